@@ -9,7 +9,7 @@ from ..operators.aggregate import impute_from_history
 from ..operators.dedupe import keep_one
 from ..plans import gold, silver
 from . import standins
-from .registry import portable, portable_sql, query, table
+from .registry import portable, portable_sql, query, single, single_sql, table
 
 LENIENT = "case when regexp_full_match({0}, '\\s*[+-]?[0-9]+([.][0-9]*)?\\s*') " \
           "then try_cast(split_part(trim({0}), '.', 1) as {1}) end"
@@ -136,7 +136,7 @@ CUTOFF = "timestamp '2024-01-15 00:00:00'"
     with typed as ({TELEMATICS_SQL}),
       old as (select chassis_no, avg(speed) as mean from typed where event_timestamp < {CUTOFF} group by chassis_no)
     select chassis_no, latitude, longitude, cast(event_timestamp as varchar) as event_timestamp,
-      round(coalesce(speed, mean), 6) as speed
+      {single_sql('coalesce(speed, mean)')} as speed
     from typed left join old using (chassis_no) where event_timestamp >= {CUTOFF}""")
 def silver_speed_impute(spark, sf):
     """The first readings are the silver table, the later ones the batch."""
@@ -145,7 +145,7 @@ def silver_speed_impute(spark, sf):
     history = silver.clean_telematics(raw).filter(F.col("event_timestamp") < cutoff)
     later = raw.filter(F.try_to_timestamp("event_timestamp", F.lit("yyyy-MM-dd HH:mm:ss")) >= cutoff)
     batch = silver.clean_telematics(later, history)
-    return portable(batch.withColumn("speed", F.round("speed", 6)))
+    return single(portable(batch), "speed")
 
 
 @query("dedupe_key", "select * replace (cast(l_shipdate as varchar) as l_shipdate) from " + first_row(
@@ -208,8 +208,8 @@ def place_sql(c: str) -> str:
             f"cast(cast({md5_part(c, 9)} * 360 - 180 as float) as double) as longitude")
 
 
-AVERAGES_SQL = f"""select chassis_no, round(avg(speed), 6) as avg_speed, round(avg(latitude), 6) as avg_latitude,
-      round(avg(longitude), 6) as avg_longitude from ({TELEMATICS_SQL}) group by chassis_no"""
+AVERAGES_SQL = f"""select chassis_no, {single_sql('avg(speed)')} as avg_speed,
+      {single_sql('avg(latitude)')} as avg_latitude, {single_sql('avg(longitude)')} as avg_longitude from ({TELEMATICS_SQL}) group by chassis_no"""
 ENRICHED_SQL = f"""select *, {place_sql('address')}
     from ({CORE_SQL}) join ({AVERAGES_SQL}) using (chassis_no)"""
 
@@ -220,8 +220,8 @@ def gold_enriched(spark, sf):
     core = gold.customer_claim_policy(*silver_frames(spark, sf))
     vehicle = gold.vehicle_averages(
         silver.clean_telematics(standins.frame(spark, sf, "telematics")))
-    rounded = vehicle.select("chassis_no", *[F.round(c, 6).alias(c) for c in vehicle.columns[1:]])
-    return portable(flat_place(gold.enrich(core, rounded)))
+    enriched = portable(flat_place(gold.enrich(core, vehicle)))
+    return single(enriched, "avg_speed", "avg_latitude", "avg_longitude")
 
 
 @query("geocode_udf", f"select customer_id, address, {place_sql('address')} from ({CUSTOMER_SQL})")
@@ -247,14 +247,13 @@ def geocode_table(spark, sf):
     return flat_place(geocode_from_table(customers, "address", places)).drop("address")
 
 
-@query("impute_history", """
+@query("impute_history", f"""
     with old as (select user_id, avg(value) as mean from events where ts < timestamp '2024-01-15' group by user_id)
-    select event_id, user_id, round(case when event_id % 4 = 0 then mean else value end, 6) as value
+    select event_id, user_id, {single_sql('case when event_id % 4 = 0 then mean else value end')} as value
     from events left join old using (user_id)""")
 def impute_history(spark, sf):
     """The bare operator: every fourth value of the whole table is taken away and imputed."""
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "ts")
     history = events.filter(F.col("ts") < F.expr("timestamp_ntz '2024-01-15'"))
     holes = events.drop("ts").withColumn("value", F.when(F.col("event_id") % 4 != 0, F.col("value")))
-    filled = impute_from_history(holes, history, ["user_id"], "value")
-    return filled.withColumn("value", F.round("value", 6))
+    return single(impute_from_history(holes, history, ["user_id"], "value"), "value")

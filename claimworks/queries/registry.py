@@ -47,3 +47,12 @@ def portable_sql(inner: str, text: str = "", double: str = "") -> str:
     casts = [f"cast({c} as varchar) as {c}" for c in text.split()]
     casts += [f"cast({c} as double) as {c}" for c in double.split()]
     return f"select * replace ({', '.join(casts)}) from ({inner})"
+
+
+def single(df: DataFrame, *columns: str) -> DataFrame:
+    """Averages to single precision: summation order shows in a double's last bits."""
+    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
+
+
+def single_sql(expr: str) -> str:
+    return f"cast(cast({expr} as float) as double)"

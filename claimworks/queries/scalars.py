@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, ranges, text
 from ..functions.messages import encode_messages
-from ..operators.aggregate import averages
+from ..plans.gold import vehicle_averages
 from . import standins
-from .registry import portable, query, table
+from .registry import portable, query, single, single_sql, table
 
 NUMBER_TEXT = (
     "case event_id % 10 when 0 then 'abc' when 1 then ' -3 ' when 2 then '12.7' when 3 then '' "
@@ -265,16 +265,18 @@ def topic_encode_json(spark, sf):
     return encode_messages(standins.frame(spark, sf, "telematics"), "chassis_no")
 
 
-@query("gold_telematics_avg", """
-    select cast(user_id as varchar) as chassis_no, round(avg(value), 6) as avg_speed,
-      round(avg(least(greatest(value - 100, -90), 90)), 6) as avg_latitude,
-      round(avg(least(greatest(2 * value - 200, -180), 180)), 6) as avg_longitude
+LATITUDE_SQL = "least(greatest(value - 100, -90), 90)"
+LONGITUDE_SQL = "least(greatest(2 * value - 200, -180), 180)"
+
+
+@query("gold_telematics_avg", f"""
+    select cast(user_id as varchar) as chassis_no, {single_sql('avg(value)')} as avg_speed,
+      {single_sql(f'avg({LATITUDE_SQL})')} as avg_latitude,
+      {single_sql(f'avg({LONGITUDE_SQL})')} as avg_longitude
     from events group by user_id""")
 def gold_telematics_avg(spark, sf):
     readings = table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("chassis_no"), F.col("value").alias("speed"),
         ranges.clamp(F.col("value") - 100, -90.0, 90.0).alias("latitude"),
         ranges.clamp(2 * F.col("value") - 200, -180.0, 180.0).alias("longitude"))
-    means = averages(readings, ["chassis_no"], {
-        "avg_speed": "speed", "avg_latitude": "latitude", "avg_longitude": "longitude"})
-    return means.select("chassis_no", *[F.round(c, 6).alias(c) for c in means.columns[1:]])
+    return single(vehicle_averages(readings), "avg_speed", "avg_latitude", "avg_longitude")

@@ -53,7 +53,7 @@ def policy_columns(engine: str, copy: int = 0) -> dict[str, str]:
         "use_of_vehicle": f"'use{copy}'",
         "product": "case when o_orderkey % 13 = 0 then null else o_orderstatus || '-product' end",
         "sum_insured": f"case when o_orderkey % 17 = 0 then '123456789012.34' else {_text2('o_totalprice')} end",
-        "premium": f"'-' || {_text2(f'o_totalprice / 100 + {copy}')}",
+        "premium": f"'-' || cast(cast(o_totalprice as decimal(18,2)) + {copy} as string)",
         "deductable": "cast(o_orderkey % 1000 as string)",
     }
 
