@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import refined, scalars  # noqa: F401
+from . import changes, refined, scalars, tables  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
