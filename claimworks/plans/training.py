@@ -100,11 +100,16 @@ def accuracy(model, df: DataFrame, label: str = "label_id") -> float | None:
 
 
 def fit_head(train: DataFrame, epochs: int, reg: float = 0.0):
-    """Linear softmax head on frozen features: multinomial logistic regression."""
-    return LogisticRegression(
+    """Linear softmax head on frozen features: (model, loss after each epoch)."""
+    model = LogisticRegression(
         featuresCol="vector", labelCol="label_id", family="multinomial", maxIter=epochs,
         regParam=reg, tol=0.0,
     ).fit(train)
+    losses = [float(x) for x in model.summary.objectiveHistory][1:]
+    # A two-class summary drags the session into every scoring task, and a
+    # session that has run an Observation does not serialise.
+    model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model, losses
 
 
 def train(df: DataFrame, key: str, params: Params = Params()) -> Run:
@@ -122,15 +127,14 @@ def train(df: DataFrame, key: str, params: Params = Params()) -> Run:
     try:
         fitted = split.filter("not is_held_out")
         held_out = split.filter("is_held_out")
-        model = fit_head(fitted, params.epochs, params.reg)
-        losses = [float(x) for x in model.summary.objectiveHistory][1:]
+        model, losses = fit_head(fitted, params.epochs, params.reg)
         rows = []
         for epoch, loss in enumerate(losses, start=1):
             score = None
             if epoch == len(losses):
                 score = accuracy(model, held_out)
             elif params.score_every_epoch:
-                score = accuracy(fit_head(fitted, epoch, params.reg), held_out)
+                score = accuracy(fit_head(fitted, epoch, params.reg)[0], held_out)
             rows.append((epoch, loss, score))
     finally:
         split.unpersist()

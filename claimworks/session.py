@@ -34,7 +34,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Only a local session may fall back to a machine-local folder: on a cluster
     the executors would not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.messages import (
-    expand_images,
     known_tables,
     parse_envelopes,
     parse_telematics,
@@ -17,7 +19,7 @@ from ..operators.changelog import net_changes, resolve
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..sources.readers import csv_stream, image_stream, topic_stream
 from ..sources.sinks import EVERY_MINUTE, append_stream, each_batch
-from .tables import empty_like, open_table
+from .tables import open_table
 
 ORDER = ["ts_ms", "offset"]
 
@@ -33,20 +35,28 @@ def apply_changes(
 ) -> None:
     """One micro-batch of the shared change log into every captured table.
 
-    The batch is parsed once and kept while the tables take their parts; the
-    tables are known beforehand, so nothing is collected to find them.
+    The batch is parsed once and kept while the tables take their parts, side
+    by side; the tables are known beforehand, so nothing is collected to find
+    them.
     """
     spark = batch.sparkSession
     batch = known_tables(batch, tables).persist()
-    try:
-        for name, (schema, keys) in tables.items():
-            net = net_changes(keyed_images(route(batch, name), schema, keys), keys, ORDER)
 
-            def rows(current, net=net, schema=schema, keys=keys):
-                now = empty_like(spark, schema) if current is None else current
-                return resolve(net, now, keys)
+    def apply(name: str) -> None:
+        schema, keys = tables[name]
+        net = net_changes(keyed_images(route(batch, name), schema, keys), keys, ORDER)
+
+        def rows(current: DataFrame | None) -> DataFrame:
+            now = spark.createDataFrame([], schema) if current is None else current
+            return resolve(net, now, keys)
 
-            open_table(spark, f"{bronze}/{name}", keys, fmt, **kw).write(batch_id, rows)
+        open_table(spark, f"{bronze}/{name}", keys, fmt, **kw).write(batch_id, rows)
+
+    try:
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            jobs = [pool.submit(inheritable_thread_target(spark)(apply), name) for name in tables]
+        for job in jobs:
+            job.result()
     finally:
         batch.unpersist()
 
@@ -102,6 +112,3 @@ def ingest_objects(
                       f"{checkpoints}/training_images", "training_images", fmt, trigger),
     ]
 
-
-__all__ = ["apply_changes", "expand_images", "ingest_changes", "ingest_image_metadata",
-           "ingest_images", "ingest_objects", "ingest_telematics", "keyed_images"]

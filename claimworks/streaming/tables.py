@@ -14,7 +14,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.changelog import UPSERT
 from ..operators.merge import same_keys
@@ -143,6 +142,3 @@ class DeltaTable(FolderTable):
 def open_table(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet", **kw):
     return (DeltaTable if fmt == "delta" else FolderTable)(spark, path, keys, fmt, **kw)
 
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
