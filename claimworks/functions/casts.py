@@ -7,28 +7,33 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-WHOLE_PART = r"^\s*([+-]?[0-9]+)([.][0-9]*)?\s*$"
+WHOLE_PART = r"^\s*([+-]?[0-9]+)(?:[.][0-9]*)?\s*$"
+WHOLE_NUMBER = r"^\s*([+-]?[0-9]+)(?:[.]0*)?\s*$"
+NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+# Texts that cast to true and false.
+TRUE_WORDS = ("t", "true", "y", "yes", "1")
+FALSE_WORDS = ("f", "false", "n", "no", "0")
 
 
 def as_column(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _lenient_whole(c: ColumnOrName, kind: str) -> Column:
-    text = as_column(c).cast("string")
-    # The regex runs only on texts the plain cast rejects, such as '12.7'.
-    return F.coalesce(
-        text.try_cast(kind), F.regexp_extract(text, WHOLE_PART, 1).try_cast(kind)
-    )
+def _digits(c: ColumnOrName, pattern: str, kind: str) -> Column:
+    # A failing try_cast builds an exception per row, some forty times the cost
+    # of this match, so only texts that fit get as far as the cast.
+    digits = F.regexp_extract(as_column(c).cast("string"), pattern, 1)
+    return F.nullif(digits, F.lit("")).try_cast(kind)
 
 
 def lenient_int(c: ColumnOrName) -> Column:
     """Text to int; a decimal tail is cut off, anything else bad is null."""
-    return _lenient_whole(c, "int")
+    return _digits(c, WHOLE_PART, "int")
 
 
 def lenient_long(c: ColumnOrName) -> Column:
-    return _lenient_whole(c, "bigint")
+    return _digits(c, WHOLE_PART, "bigint")
 
 
 def decimal_or_null(c: ColumnOrName, precision: int = 10, scale: int = 2) -> Column:
@@ -36,7 +41,11 @@ def decimal_or_null(c: ColumnOrName, precision: int = 10, scale: int = 2) -> Col
 
 
 def boolean_or_null(c: ColumnOrName) -> Column:
-    return as_column(c).try_cast("boolean")
+    """The words a cast takes for booleans, anything else null."""
+    word = F.lower(F.btrim(as_column(c).cast("string"), F.lit(" \t\r\n")))
+    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(
+        word.isin(*FALSE_WORDS), F.lit(False)
+    )
 
 
 def double_or_null(c: ColumnOrName) -> Column:
@@ -47,10 +56,10 @@ def double_or_null(c: ColumnOrName) -> Column:
 
 def whole_number(c: ColumnOrName) -> Column:
     """Any numeric text holding a whole number, '12.0' and '1e3' included."""
-    text = F.btrim(as_column(c).cast("string"), F.lit(" \t\r\n"))
+    text = as_column(c).cast("string")
     number = text.try_cast("double")
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), whole)
+    return F.coalesce(_digits(c, WHOLE_NUMBER, "bigint"), F.when(text.rlike(NUMBER), whole))
 
 
 def date_from_epoch_days(c: ColumnOrName) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOTS = 4096  # three hex digits of the row's digest
+SLOT_DIGITS = 3  # leading hex digits of a row's digest: 4096 slots
 
 
 def stratified_split(
@@ -20,7 +20,7 @@ def stratified_split(
     """
     spread = df.withColumn(
         "_digest", F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
-    ).withColumn("_slot", F.conv(F.substring("_digest", 1, 3), 16, 10).cast("int"))
+    ).withColumn("_slot", F.substring("_digest", 1, SLOT_DIGITS))
 
     per_class = Window.partitionBy(label)
     histogram = (
@@ -41,7 +41,7 @@ def stratified_split(
     )
 
     placed = spread.join(cuts, spread[label].eqNullSafe(cuts[label]), "left").drop(cuts[label])
-    clear = placed.filter(F.col("_slot") != F.coalesce("_cut", F.lit(-1))).withColumn(
+    clear = placed.filter(F.col("_slot") != F.coalesce("_cut", F.lit(""))).withColumn(
         "is_held_out", F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False))
     )
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_digest", key))

@@ -16,6 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # The JVM only interprets methods beyond 8000 bytes. Wide cleaning steps
+    # fuse into such methods; past the limit Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
