@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import salted_join
 from .casts import ColumnOrName, as_column
 
 LAT_LONG = "latitude float, longitude float"
@@ -72,31 +73,30 @@ def geocode_udf(make_geocoder: Callable[[], Callable[[pd.Series], pd.DataFrame]]
     return locate
 
 
+def _no_place() -> Column:
+    nothing = F.lit(None).cast("float")
+    return F.struct(nothing.alias("latitude"), nothing.alias("longitude"))
+
+
 def geocode(df: DataFrame, address: str, locate, out: str = "lat_long") -> DataFrame:
     """Add coordinates, looking every distinct address up once.
 
-    The distinct step combines map-side, so one address shared by a third of
-    the rows costs one lookup; the join back is left to AQE (broadcast by
-    measured size, else sort-merge with skew splitting).
+    The distinct step combines map-side and the join back is salted, so one
+    address shared by a third of the rows costs one look-up and fills no task
+    alone. A row without an address gets null coordinates.
     """
-    places = df.select(address).distinct().select(
-        F.col(address).alias("_address"), locate(F.col(address)).alias(out)
-    )
-    return df.join(places, F.col(address).eqNullSafe(F.col("_address")), "left").drop("_address")
+    known = df.select(address).filter(F.col(address).isNotNull()).distinct()
+    places = known.withColumn(out, locate(F.col(address)))
+    return salted_join(df, places, [address], "left").withColumn(out, F.coalesce(out, _no_place()))
 
 
 def geocode_from_table(
     df: DataFrame, address: str, places: DataFrame, out: str = "lat_long"
 ) -> DataFrame:
     """Coordinates from a (address, latitude, longitude) table; unknown gives nulls."""
-    known = places.groupBy(F.col("address").alias("_address")).agg(
-        F.min(F.struct(F.col("latitude").cast("float").alias("latitude"),
-                       F.col("longitude").cast("float").alias("longitude"))).alias("_place")
-    )
-    empty = F.struct(F.lit(None).cast("float").alias("latitude"),
-                     F.lit(None).cast("float").alias("longitude"))
-    return (
-        df.join(known, F.col(address) == F.col("_address"), "left")
-        .withColumn(out, F.coalesce("_place", empty))
-        .drop("_address", "_place")
+    place = F.struct(
+        F.col("latitude").cast("float").alias("latitude"),
+        F.col("longitude").cast("float").alias("longitude"),
     )
+    known = places.groupBy(F.col("address").alias(address)).agg(F.min(place).alias(out))
+    return salted_join(df, known, [address], "left").withColumn(out, F.coalesce(out, _no_place()))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CAPTURED, ENVELOPE, TELEMATICS
+from ..schemas import CAPTURED, ENVELOPE, TELEMATICS, strings
 
 STRING_MAP = T.MapType(T.StringType(), T.StringType())
 
@@ -42,10 +42,26 @@ def route(changes: DataFrame, table: str) -> DataFrame:
     return changes.filter(F.col("table_name") == table)
 
 
-def row_image(schema: T.StructType) -> Column:
+def row_text() -> Column:
     """A delete carries the old row, every other change the new one."""
-    text = F.when(F.col("op") == "d", F.col("before_str")).otherwise(F.col("after_str"))
-    return F.from_json(text, schema)
+    return F.when(F.col("op") == "d", F.col("before_str")).otherwise(F.col("after_str"))
+
+
+def row_image(schema: T.StructType) -> Column:
+    return F.from_json(row_text(), schema)
+
+
+def keyed_texts(changes: DataFrame, tables=CAPTURED) -> DataFrame:
+    """Changes of the known tables with their key values read, their rows unparsed."""
+    text, key_values = row_text(), F.lit(None).cast("array<string>")
+    for name, (_, keys) in tables.items():
+        found = F.from_json(text, strings(*keys))
+        key_values = F.when(
+            F.col("table_name") == name, F.array(*[found[k] for k in keys])
+        ).otherwise(key_values)
+    return known_tables(changes, tables).select(
+        "table_name", "op", "ts_ms", "offset", key_values.alias("key_values"), text.alias("image")
+    )
 
 
 def row_images(changes: DataFrame, schema: T.StructType) -> DataFrame:

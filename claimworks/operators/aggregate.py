@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import salted_join
+
 
 def averages(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
     """{output: column} averages per key; partial sums form before the shuffle."""
@@ -18,16 +20,13 @@ def impute_from_history(
 ) -> DataFrame:
     """Fill missing values with the key's average in ``history``.
 
-    Only keys with something missing are averaged and only incomplete rows
-    join, so neither a long history nor a hot, complete key is shuffled for
-    nothing. Keys without history stay null.
+    The history is averaged as it is scanned, two columns wide, and leaves each
+    task as one row per key; only incomplete rows of the batch join, spread
+    over salts. Keys without history stay null.
     """
+    means = averages(history, keys, {"_mean": column})
     missing = batch.filter(F.col(column).isNull())
-    wanted = missing.select(*keys).distinct()
-    means = averages(
-        history.join(wanted, list(keys), "left_semi"), keys, {"_mean": column}
-    )
-    filled = missing.join(means, list(keys), "left").withColumn(
+    filled = salted_join(missing, means, keys, "left").withColumn(
         column, F.col("_mean").cast(batch.schema[column].dataType)
     )
     complete = batch.filter(F.col(column).isNotNull())

@@ -35,8 +35,9 @@ def net_changes(
     image: str = "image",
     salts: int = 32,
 ) -> DataFrame:
-    """Log rows (keys, op, order columns, image struct) to net changes.
+    """Log rows (keys, op, order columns, image) to net changes.
 
+    The image may be a struct or, better for wide rows, still unparsed text.
     Everything is min/max per key, combined before the shuffle, so a key that
     holds a third of the log is no hot spot. Only keys created both before and
     after their last delete need a second look at their creations; that join is
@@ -108,7 +109,7 @@ def apply_net(target: DataFrame, net: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def resolve(net: DataFrame, current_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Net changes against the keys present now: (op, row), s = set, d = delete.
+    """Net changes against the keys present now: (op, keys, image), s = set, d = delete.
 
     Only key columns of the current table are read. The batch is the side that
     can be broadcast, so AQE can spare the table its shuffle.
@@ -120,15 +121,21 @@ def resolve(net: DataFrame, current_keys: DataFrame, keys: Sequence[str]) -> Dat
     )
     present = F.col("_found").isNotNull()
     image = F.when(present, F.col("on_present")).otherwise(F.col("on_absent"))
-    columns = net.schema["on_absent"].dataType.names
     return (
         net.join(found, list(keys), "left")
-        .withColumn("_image", image)
+        .withColumn("image", image)
         .withColumn(
             "op",
-            F.when(F.col("_image").isNotNull(), F.lit(UPSERT))
+            F.when(F.col("image").isNotNull(), F.lit(UPSERT))
             .when(present & F.col("removes"), F.lit(DELETE)),
         )
         .filter(F.col("op").isNotNull())
-        .select("op", *[F.col(c) if c in keys else F.col(f"_image.{c}") for c in columns])
+        .select("op", *keys, "image")
+    )
+
+
+def expand(resolved: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Struct images to columns; a delete has no image and keeps only its key."""
+    return resolved.select(
+        "op", *[F.col(c) if c in keys else F.col(f"image.{c}") for c in columns]
     )

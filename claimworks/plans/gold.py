@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.geo import hashed_lat_long
 from ..operators.aggregate import averages
+from ..operators.joins import salted_join
 from ..sources.readers import scan
 from ..sources.sinks import overwrite
 from ..streaming.tables import open_table
@@ -33,8 +34,8 @@ def policies_with_customers(policies: DataFrame, customer: DataFrame) -> DataFra
 def customer_claim_policy(claim: DataFrame, policy: DataFrame, customer: DataFrame) -> DataFrame:
     """Claims with their policy and customer.
 
-    No hints: AQE broadcasts a dimension once it has measured it and splits
-    skewed partitions of the fact side where it has not.
+    No hints: AQE broadcasts a table once it has measured it and splits skewed
+    partitions of the claims where it has not.
     """
     return policies_with_customers(claims_with_policies(claim, policy), customer)
 
@@ -49,14 +50,14 @@ def enrich(
     Joins first, so only claims that stay are located. ``locate`` adds the
     ``lat_long`` column (see functions.geo); the default stays in the JVM.
     """
-    joined = core.join(vehicle, "chassis_no", "inner")
+    joined = salted_join(core, vehicle, ["chassis_no"])
     if locate is not None:
         located = locate(joined)
     else:
         located = joined.withColumn("lat_long", hashed_lat_long("address"))
     averaged = [c for c in vehicle.columns if c != "chassis_no"]
-    front = [c for c in joined.columns if c not in averaged]
-    return located.select(*front, "lat_long", *averaged)
+    front = [c for c in core.columns if c != "chassis_no"]
+    return located.select("chassis_no", *front, "lat_long", *averaged)
 
 
 SILVER_KEYS = {

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the next step then needs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.messages import (
-    known_tables,
-    parse_envelopes,
-    parse_telematics,
-    route,
-    row_images,
-)
-from ..operators.changelog import net_changes, resolve
+from ..functions.messages import keyed_texts, parse_envelopes, parse_telematics, route
+from ..operators.changelog import expand, net_changes, resolve
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..sources.readers import csv_stream, image_stream, topic_stream
 from ..sources.sinks import EVERY_MINUTE, append_stream, each_batch
@@ -24,10 +20,11 @@ from .tables import open_table
 ORDER = ["ts_ms", "offset"]
 
 
-def keyed_images(changes: DataFrame, schema, keys) -> DataFrame:
-    """Changes of one table as (keys, op, ts_ms, offset, image)."""
-    images = row_images(changes, schema)
-    return images.select(*[images["image"][k].alias(k) for k in keys], *images.columns)
+def table_log(changes: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """One table's part of the keyed changes: (keys, op, ts_ms, offset, image text)."""
+    return route(changes, name).select(
+        *[F.col("key_values")[i].alias(k) for i, k in enumerate(keys)], "op", *ORDER, "image"
+    )
 
 
 def apply_changes(
@@ -35,20 +32,22 @@ def apply_changes(
 ) -> None:
     """One micro-batch of the shared change log into every captured table.
 
-    The batch is parsed once and kept while the tables take their parts, side
-    by side; the tables are known beforehand, so nothing is collected to find
-    them.
+    The batch is parsed once, as far as its keys, and kept while the tables
+    take their parts side by side; a row's text is parsed only if it survives
+    the reduction to one change per key. The tables are known beforehand, so
+    nothing is collected to find them.
     """
     spark = batch.sparkSession
-    batch = known_tables(batch, tables).persist()
+    keyed = keyed_texts(batch, tables).persist()
 
     def apply(name: str) -> None:
         schema, keys = tables[name]
-        net = net_changes(keyed_images(route(batch, name), schema, keys), keys, ORDER)
+        net = net_changes(table_log(keyed, name, keys), keys, ORDER)
 
         def rows(current: DataFrame | None) -> DataFrame:
             now = spark.createDataFrame([], schema) if current is None else current
-            return resolve(net, now, keys)
+            parsed = resolve(net, now, keys).withColumn("image", F.from_json("image", schema))
+            return expand(parsed, keys, schema.names)
 
         open_table(spark, f"{bronze}/{name}", keys, fmt, **kw).write(batch_id, rows)
 
@@ -58,7 +57,7 @@ def apply_changes(
         for job in jobs:
             job.result()
     finally:
-        batch.unpersist()
+        keyed.unpersist()
 
 
 def ingest_changes(

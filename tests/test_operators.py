@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimworks.operators import checks
 from claimworks.operators.aggregate import averages, impute_from_history
-from claimworks.operators.changelog import apply_net, net_changes, resolve
+from claimworks.operators.changelog import apply_net, expand, net_changes, resolve
 from claimworks.operators.dedupe import keep_one
 from claimworks.operators.labels import accuracy_pct, label_indexer
 from claimworks.operators.merge import (
@@ -96,7 +96,7 @@ def test_net_changes_equal_single_application(spark, start):
     expected = sorted((k, v) for k, v in expected.items() if v is not None)
     assert sorted(tuple(r) for r in apply_net(target, net, ["k"]).collect()) == expected
 
-    rows = resolve(net, target, ["k"]).collect()
+    rows = expand(resolve(net, target, ["k"]), ["k"], ["k", "v"]).collect()
     state = {k: start for k in logs}
     for r in rows:
         state[r["k"]] = r["v"] if r["op"] == "s" else None
