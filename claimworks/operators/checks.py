@@ -54,14 +54,14 @@ def check_foreign_key(
 ) -> DataFrame:
     """Distinct child values without a parent, and the child rows holding them.
 
-    Children are counted per value before the join, so a value shared by most
-    rows joins as one row.
+    Both sides are reduced to one row per value before the join, so a value
+    shared by most rows joins as one row.
     """
     values = child.filter(F.col(column).isNotNull()).groupBy(
         F.col(column).alias("_value")
     ).agg(F.count(F.lit(1)).alias("_rows"))
     orphans = values.join(
-        parent.select(F.col(parent_key).alias("_value")), "_value", "left_anti"
+        parent.select(F.col(parent_key).alias("_value")).distinct(), "_value", "left_anti"
     )
     return orphans.agg(
         F.count(F.lit(1)).alias("violations"),

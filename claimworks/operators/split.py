@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+MAX_CLASSES = 10_000
 SLOT_DIGITS = 3  # leading hex digits of a row's digest: 4096 slots
 
 
@@ -40,6 +41,12 @@ def stratified_split(
         (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_left"),
     )
 
+    # One row per class. Up to a checked number they are broadcast and the rows,
+    # images among them, stay where they are; beyond it the cuts stay distributed.
+    few = cuts.limit(MAX_CLASSES + 1).collect()
+    if len(few) <= MAX_CLASSES:
+        cuts = F.broadcast(df.sparkSession.createDataFrame(few, cuts.schema))
+
     placed = spread.join(cuts, spread[label].eqNullSafe(cuts[label]), "left").drop(cuts[label])
     clear = placed.filter(F.col("_slot") != F.coalesce("_cut", F.lit(""))).withColumn(
         "is_held_out", F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False))

@@ -20,13 +20,12 @@ def is_committed(spark: SparkSession, path: str) -> bool:
 
 
 def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """N of every committed ``<prefix>N`` folder, ascending. Folder names only."""
+    """N of every ``<prefix>N`` folder, ascending; finished or not. Names only."""
     fs, hadoop_path = _fs(spark, path)
     if not fs.exists(hadoop_path):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
-    numbers = sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-    return [n for n in numbers if is_committed(spark, f"{path}/{prefix}{n}")]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:

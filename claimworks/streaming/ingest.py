@@ -15,7 +15,7 @@ from ..operators.changelog import expand, net_changes, resolve
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..sources.readers import csv_stream, image_stream, topic_stream
 from ..sources.sinks import EVERY_MINUTE, append_stream, each_batch
-from .tables import open_table
+from .tables import Before, open_table
 
 ORDER = ["ts_ms", "offset"]
 
@@ -44,7 +44,8 @@ def apply_changes(
         schema, keys = tables[name]
         net = net_changes(table_log(keyed, name, keys), keys, ORDER)
 
-        def rows(current: DataFrame | None) -> DataFrame:
+        def rows(before: Before) -> DataFrame:
+            current = before()
             now = spark.createDataFrame([], schema) if current is None else current
             parsed = resolve(net, now, keys).withColumn("image", F.from_json("image", schema))
             return expand(parsed, keys, schema.names)

@@ -16,9 +16,9 @@ from ..plans import silver
 from ..schemas import BINARY_FILE, CAPTURED, IMAGE_METADATA, TELEMATICS
 from ..sources.readers import table_stream
 from ..sources.sinks import EVERY_MINUTE, each_batch
-from .tables import open_table
+from .tables import Before, open_table
 
-Rule = Callable[[DataFrame, DataFrame | None], DataFrame]
+Rule = Callable[[DataFrame, Before], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class SilverTable:
 
 
 def _plain(rule: Callable[[DataFrame], DataFrame]) -> Rule:
-    return lambda batch, current: rule(batch)
+    return lambda batch, before: rule(batch)
 
 
 SILVER_TABLES = (
@@ -46,12 +46,12 @@ SILVER_TABLES = (
                 _plain(silver.clean_image_metadata)),
     SilverTable("training_images", ["path"], BINARY_FILE, _plain(silver.clean_training_images)),
     SilverTable("telematics", ["chassis_no", "event_timestamp"], TELEMATICS,
-                silver.clean_telematics),
+                lambda batch, before: silver.clean_telematics(batch, before())),
 )
 
 
 def silver_rows(
-    table: SilverTable, batch: DataFrame, current: DataFrame | None, propagate_deletes: bool = False
+    table: SilverTable, batch: DataFrame, before: Before, propagate_deletes: bool = False
 ) -> DataFrame:
     """A micro-batch as (op, silver row).
 
@@ -59,11 +59,11 @@ def silver_rows(
     the last change of each key. Deletes stay in bronze unless asked for.
     """
     if not table.from_changes:
-        return table.rule(batch, current).select(F.lit(UPSERT).alias("op"), "*")
+        return table.rule(batch, before).select(F.lit(UPSERT).alias("op"), "*")
     if not propagate_deletes:
         batch = batch.filter(F.col("op") == UPSERT)
     last = keep_one(batch, table.keys, ["batch"], last=True).drop("batch")
-    sets = table.rule(last.filter(F.col("op") == UPSERT).drop("op"), current)
+    sets = table.rule(last.filter(F.col("op") == UPSERT).drop("op"), before)
     rows = sets.select(F.lit(UPSERT).alias("op"), "*")
     if not propagate_deletes:
         return rows
@@ -77,7 +77,7 @@ def upsert_batch(
     fmt: str = "parquet", propagate_deletes: bool = False, **kw,
 ) -> None:
     target = open_table(batch.sparkSession, f"{silver_root}/{table.name}", table.keys, fmt, **kw)
-    target.write(batch_id, lambda current: silver_rows(table, batch, current, propagate_deletes))
+    target.write(batch_id, lambda before: silver_rows(table, batch, before, propagate_deletes))
 
 
 def bronze_stream(

@@ -19,6 +19,8 @@ from ..operators.changelog import UPSERT
 from ..operators.merge import same_keys
 from ..sources.files import is_committed, numbered_folders, table_exists
 
+Before = Callable[[], DataFrame | None]
+
 
 class FolderTable:
     def __init__(
@@ -37,20 +39,26 @@ class FolderTable:
         return f"{self.path}/changes"
 
     def exists(self) -> bool:
-        return bool(self._folders("changes/batch=") or self._folders("base/upto="))
-
-    def _folders(self, kind: str) -> list[int]:
-        folder, prefix = kind.split("/")
-        return numbered_folders(self.spark, f"{self.path}/{folder}", prefix)
+        return self._newest_base() is not None or bool(self._batches())
+
+    def _newest_base(self, before: int | None = None) -> int | None:
+        for n in reversed(numbered_folders(self.spark, f"{self.path}/base", "upto=")):
+            if (before is None or n < before) and is_committed(self.spark, f"{self.path}/base/upto={n}"):
+                return n
+        return None
+
+    def _batches(self, after: int | None = None, before: int | None = None) -> list[int]:
+        """Finished batches between the two; older ones are not looked at."""
+        return [
+            n for n in numbered_folders(self.spark, self.changes_path, "batch=")
+            if (after is None or n > after) and (before is None or n < before)
+            and is_committed(self.spark, f"{self.changes_path}/batch={n}")
+        ]
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        """The table after all batches, or as batch ``before`` found it; None if empty-handed."""
-        fits = (lambda n: True) if before is None else (lambda n: n < before)
-        bases = [n for n in self._folders("base/upto=") if fits(n)]
-        newest = bases[-1] if bases else None
-        batches = [
-            n for n in self._folders("changes/batch=") if fits(n) and (newest is None or n > newest)
-        ]
+        """The table after all batches, or as batch ``before`` found it; None if there is none."""
+        newest = self._newest_base(before)
+        batches = self._batches(newest, before)
         base = None
         if newest is not None:
             base = self.spark.read.format(self.fmt).load(f"{self.path}/base/upto={newest}")
@@ -82,11 +90,15 @@ class FolderTable:
         untouched = base.join(touched.select(*self.keys), self.keys, "left_anti")
         return untouched.select(*rows.columns).unionByName(rows)
 
-    def write(self, batch_id: int, rows: Callable[[DataFrame | None], DataFrame]) -> None:
-        """Commit the (op, row) frame that ``rows(state before the batch)`` gives."""
+    def write(self, batch_id: int, rows: Callable[[Before], DataFrame]) -> None:
+        """Commit the (op, row) frame ``rows`` gives.
+
+        ``rows`` gets a function that reads the table as it was before the
+        batch; most tables never call it and so never list their files.
+        """
         target = f"{self.changes_path}/batch={batch_id}"
         if not is_committed(self.spark, target):
-            frame = rows(self.read(before=batch_id))
+            frame = rows(lambda: self.read(before=batch_id))
             frame.write.format(self.fmt).mode("overwrite").save(target)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
@@ -117,12 +129,12 @@ class DeltaTable(FolderTable):
     def read(self, before: int | None = None) -> DataFrame | None:
         return self.spark.read.format("delta").load(self.path) if self.exists() else None
 
-    def write(self, batch_id: int, rows: Callable[[DataFrame | None], DataFrame]) -> None:
+    def write(self, batch_id: int, rows: Callable[[Before], DataFrame]) -> None:
         from delta.tables import DeltaTable as Target
 
         folder = f"{self.changes_path}/batch={batch_id}"
         if not is_committed(self.spark, folder):
-            rows(self.read()).write.mode("overwrite").parquet(folder)
+            rows(self.read).write.mode("overwrite").parquet(folder)
         changes = self.spark.read.parquet(folder)
         columns = [c for c in changes.columns if c != "op"]
         if not self.exists():

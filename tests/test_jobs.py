@@ -104,7 +104,7 @@ def test_folder_table_last_batch_wins(spark, tmp_path):
     frames = [[("s", 1, "a"), ("s", 2, "b"), ("s", None, "n")], [("s", 2, "x"), ("d", 1, None)],
               [("s", 1, "back"), ("s", None, "m")], [("s", 3, "z")]]
     for n, rows in enumerate(frames):
-        table.write(n, lambda current, rows=rows: spark.createDataFrame(rows, "op string, k int, v string"))
+        table.write(n, lambda before, rows=rows: spark.createDataFrame(rows, "op string, k int, v string"))
     state = sorted((tuple(r) for r in table.read().collect()), key=str)
     assert state == sorted([(1, "back"), (2, "x"), (3, "z"), (None, "n"), (None, "m")], key=str)
     assert files.numbered_folders(spark, f"{table.path}/base", "upto=") == [2]
@@ -112,7 +112,7 @@ def test_folder_table_last_batch_wins(spark, tmp_path):
 
 def test_unfinished_folders_are_not_read(spark, tmp_path):
     table = FolderTable(spark, str(tmp_path / "t"), ["k"])
-    table.write(0, lambda c: spark.createDataFrame([("s", 1, "a")], "op string, k int, v string"))
+    table.write(0, lambda before: spark.createDataFrame([("s", 1, "a")], "op string, k int, v string"))
     spark.createDataFrame([("s", 9, "q")], "op string, k int, v string").write.parquet(
         f"{table.changes_path}/batch=1")
     (tmp_path / "t" / "changes" / "batch=1" / "_SUCCESS").unlink()
