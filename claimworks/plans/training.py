@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.images import decoded
 from ..functions.text import training_label
 from ..operators.labels import accuracy_pct, label_indexer
 from ..operators.split import stratified_split
@@ -66,16 +67,30 @@ def pixel_features(size: int):
     return features
 
 
-def labelled_features(images: DataFrame, size: int) -> DataFrame:
-    """Decoded images to (path, label, features); images without a label are left out."""
+def features_of(images: DataFrame, size: int) -> DataFrame:
+    """(path, label, height, width, channels, pixels) to (path, label, features).
+
+    Images without a label or that did not decode are left out.
+    """
+    features = pixel_features(size)("height", "width", "channels", "pixels")
     return (
-        images.withColumn("label", training_label("path"))
-        .filter(F.col("label") != "")
-        .select("path", "label",
-                pixel_features(size)("height", "width", "channels", "pixels").alias("features"))
+        images.filter((F.col("label") != "") & F.col("pixels").isNotNull())
+        .select("path", "label", features.alias("features"))
     )
 
 
+def folder_images(spark: SparkSession, folder: str) -> DataFrame:
+    """``<n>-<label>[ (<k>)].png`` files, decoded in the JVM."""
+    return image_folder(spark, folder).withColumn("label", training_label("path"))
+
+
+def table_images(images: DataFrame) -> DataFrame:
+    """Rows of the silver training table, decoded from their content column."""
+    raster = images.filter(F.col("label") != "").select(
+        "path", "label", decoded("content").alias("r"))
+    return raster.select("path", "label", "r.*")
+
+
 @dataclass(frozen=True)
 class Params:
     epochs: int = 5
@@ -153,15 +168,15 @@ def signature(model: PipelineModel, example: DataFrame) -> T.StructType:
     return model.transform(example.limit(0)).schema
 
 
-def train_folder(
-    spark: SparkSession, folder: str, run_path: str, run_id: str, params: Params = Params()
+def train_images(
+    images: DataFrame, run_path: str, run_id: str, params: Params = Params()
 ) -> Run:
-    """Train on a folder of ``<n>-<label>[ (<k>)].png`` images and record the run.
+    """Train on labelled images and record the run.
 
     Images are decoded once: the split and the fit read the written features.
     """
-    features = f"{run_path}/features/{run_id}"
-    overwrite(labelled_features(image_folder(spark, folder), params.img_size), features)
+    spark, features = images.sparkSession, f"{run_path}/features/{run_id}"
+    overwrite(features_of(images, params.img_size), features)
     run = train(scan(spark, features), "path", params)
     record(run, run_path, run_id)
     return run

@@ -199,8 +199,10 @@ def test_training_on_files(spark, tmp_path):
         png(tmp_path / "imgs" / f"{i}-{'dent' if i % 2 else 'scratch'}.png", 200 if i % 2 else 20, 4 + i % 3)
     png(tmp_path / "imgs" / "nolabel.png", 90)
     (tmp_path / "imgs" / "99-dent.png").write_bytes(b"broken")
-    run = training.train_folder(spark, str(tmp_path / "imgs"), str(tmp_path / "runs"), "r1",
-                                training.Params(epochs=3, img_size=2))
+    params = training.Params(epochs=3, img_size=2)
+    runs = str(tmp_path / "runs")
+    run = training.train_images(
+        training.folder_images(spark, str(tmp_path / "imgs")), runs, "r1", params)
     metrics = run.metrics.orderBy("epoch").collect()
     assert [m["epoch"] for m in metrics] == [1, 2, 3][: len(metrics)]
     assert metrics[-1]["val_accuracy"] == 100.0
@@ -213,10 +215,58 @@ def test_training_on_files(spark, tmp_path):
         "label", F.col("features").cast("array<double>").alias("f"))
     expected = (200 / 255 - 0.485) / 0.229
     assert features.filter("label = 'dent'").first()["f"][0] == pytest.approx(expected, abs=1e-6)
+    done(ingest.ingest_images(spark, str(tmp_path / "imgs"), f"{tmp_path}/bronze/training_images",
+                              f"{tmp_path}/cp", "imgs", trigger=None))
+    done(*refine.start_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/cps", trigger=None,
+                              tables=[t for t in refine.SILVER_TABLES if t.name == "training_images"]))
+    stored = open_table(spark, f"{tmp_path}/silver/training_images", ["path"]).read()
+    again = training.train_images(training.table_images(stored), runs, "r2", params)
+    assert [tuple(m) for m in again.metrics.orderBy("epoch").collect()] == [
+        pytest.approx(tuple(m)) for m in metrics]
     example = features.select("label", training.array_to_vector("f").alias("vector"))
     assert {"prediction", "probability"} <= set(training.signature(run.model, example).names)
 
 
+def test_png_filters(spark):
+    """Every filter and colour type gives back the image it was made from."""
+    import numpy as np
+
+    from claimworks.functions.images import decode_png
+
+    rng = np.random.default_rng(0)
+
+    def chunk(kind, data):
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    def encode(image, colour, kind, palette=b""):
+        height, width, samples = image.shape
+        lines = []
+        for y in range(height):
+            row, above = image[y].astype(int), image[y - 1].astype(int) if y else np.zeros((width, samples), int)
+            left = np.vstack([np.zeros((1, samples), int), row[:-1]])
+            corner = np.vstack([np.zeros((1, samples), int), above[:-1]])
+            guess = left + above - corner
+            a, b, c = abs(guess - left), abs(guess - above), abs(guess - corner)
+            paeth = np.where((a <= b) & (a <= c), left, np.where(b <= c, above, corner))
+            base = [0, left, above, (left + above) // 2, paeth][kind]
+            lines.append(bytes([kind]) + ((row - base) % 256).astype(np.uint8).tobytes())
+        head = struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0)
+        extra = chunk(b"PLTE", palette) if palette else b""
+        return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + extra
+                + chunk(b"IDAT", zlib.compress(b"".join(lines))) + chunk(b"IEND", b""))
+
+    for colour, samples in ((0, 1), (2, 3), (4, 2), (6, 4)):
+        image = rng.integers(0, 256, (5, 7, samples), dtype=np.uint8)
+        want = image[:, :, {1: [0], 2: [0], 3: [2, 1, 0], 4: [2, 1, 0, 3]}[samples]]
+        for kind in range(5):
+            assert np.array_equal(decode_png(encode(image, colour, kind)), want)
+    palette = rng.integers(0, 256, (4, 3), dtype=np.uint8)
+    index = rng.integers(0, 4, (3, 3, 1), dtype=np.uint8)
+    found = decode_png(encode(index, 3, 0, palette.tobytes()))
+    assert np.array_equal(found, palette[index[:, :, 0]][:, :, ::-1])
+    assert decode_png(b"nonsense") is None
+
+
 def test_resize_keeps_gradients(spark):
     import numpy as np
 
@@ -327,3 +377,32 @@ def test_scratch_follows_the_cluster_setting(tmp_path):
     with pytest.raises(RuntimeError):
         session.scratch_dir(stub("spark://host:7077"), "x")
     assert "claimworks-" in session.scratch_dir(stub("local[2]"), "x")
+
+
+def test_command_line_runs_the_whole_chain(spark, tmp_path):
+    from claimworks import jobs
+
+    base = str(tmp_path)
+    messages(spark, f"{base}/topics/changes", [
+        ("customer", "c", customer(1, "Ann Lee"), 1),
+        ("policy", "c", {"policy_no": "P1", "cust_id": "1", "chassis_no": "A"}, 1),
+        ("claim", "c", {"claim_no": "C1", "policy_no": "P1"}, 1)])
+    readings = [row(TELEMATICS, chassis_no="A", event_timestamp="2024-01-01 00:00:00", speed="7")]
+    spark.createDataFrame(readings, TELEMATICS).write.parquet(f"{base}/readings")
+    png(tmp_path / "landing/claims/images/a.jpg", 1)
+    for i in range(10):
+        png(tmp_path / f"landing/training_imgs/{i}-{'dent' if i % 2 else 'scratch'}.png", 250 * (i % 2))
+    (tmp_path / "landing/claims/metadata").mkdir(parents=True)
+    (tmp_path / "landing/claims/metadata/m.csv").write_text("image_name,image_id,claim_no,chassis_no\na.jpg,1,C1,A\n")
+    for line in (
+        f"publish --source {base}/readings --folder {base}/topics/telematics",
+        f"ingest-changes --once --folder {base}/topics/changes",
+        f"ingest-telematics --once --folder {base}/topics/telematics",
+        "ingest-objects --once", "silver --once", "gold --geocode-udf",
+        "train --epochs 2 --img_size 2 --run_id r1",
+    ):
+        name, *rest = line.split()
+        jobs.run(spark, jobs.parser().parse_args([name, "--base", base, *rest]))
+    enriched = spark.read.parquet(f"{base}/gold/customer_claim_policy_telematics").collect()
+    assert [(r["claim_no"], r["firstname"], r["avg_speed"]) for r in enriched] == [("C1", "Ann", 7.0)]
+    assert files.path_exists(spark, f"{base}/runs/damage/models/r1")
