@@ -28,6 +28,11 @@ def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = _fs(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     if fmt == "delta":
         return path_exists(spark, f"{path}/_delta_log")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.changelog import UPSERT
 from ..operators.merge import same_keys
-from ..sources.files import is_committed, numbered_folders, table_exists
+from ..sources.files import folder_bytes, is_committed, numbered_folders, table_exists
 
 Before = Callable[[], DataFrame | None]
 
@@ -30,9 +30,12 @@ class FolderTable:
         keys: Sequence[str],
         fmt: str = "parquet",
         compact_every: int = 60,
+        compact_share: float = 0.2,
+        max_pending: int = 1440,
     ):
         self.spark, self.path, self.keys, self.fmt = spark, path.rstrip("/"), list(keys), fmt
-        self.compact_every = compact_every
+        self.compact_every, self.compact_share = compact_every, compact_share
+        self.max_pending = max_pending
 
     @property
     def changes_path(self) -> str:
@@ -100,9 +103,25 @@ class FolderTable:
         if not is_committed(self.spark, target):
             frame = rows(lambda: self.read(before=batch_id))
             frame.write.format(self.fmt).mode("overwrite").save(target)
-        if (batch_id + 1) % self.compact_every == 0:
+        if (batch_id + 1) % self.compact_every == 0 and self._compaction_due(batch_id):
             self.compact(batch_id)
 
+    def _compaction_due(self, batch_id: int) -> bool:
+        """Enough has changed to be worth a rewrite, or readers face too many folders.
+
+        A rewrite costs the whole table, so it waits until the changes amount
+        to a share of it: over time a changed byte costs 1/share bytes.
+        """
+        newest = self._newest_base()
+        if newest is None:
+            return True
+        pending = self._batches(newest, batch_id + 1)
+        if len(pending) >= self.max_pending:
+            return True
+        changed = sum(folder_bytes(self.spark, f"{self.changes_path}/batch={n}") for n in pending)
+        base = folder_bytes(self.spark, f"{self.path}/base/upto={newest}")
+        return changed >= self.compact_share * base
+
     def compact(self, upto: int) -> None:
         target = f"{self.path}/base/upto={upto}"
         if not is_committed(self.spark, target):
@@ -116,8 +135,8 @@ class DeltaTable(FolderTable):
     next layer. Needs the Delta library on the classpath.
     """
 
-    def __init__(self, spark, path, keys, fmt="delta", compact_every=60):
-        super().__init__(spark, path, keys, "parquet", compact_every)
+    def __init__(self, spark, path, keys, fmt="delta", **kw):
+        super().__init__(spark, path, keys, "parquet", **kw)
 
     @property
     def changes_path(self) -> str:

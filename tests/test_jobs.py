@@ -110,6 +110,29 @@ def test_folder_table_last_batch_wins(spark, tmp_path):
     assert files.numbered_folders(spark, f"{table.path}/base", "upto=") == [2]
 
 
+def test_compaction_waits_for_enough_changes(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"), ["k"], compact_every=1, max_pending=4)
+    schema = "op string, k long, v string"
+
+    def write(n, ids):
+        rows = ids.selectExpr("'s' as op", "id as k", f"md5(cast(id + {n} as string)) as v")
+        table.write(n, lambda before: rows.coalesce(1))
+
+    def bases():
+        return files.numbered_folders(spark, f"{table.path}/base", "upto=")
+
+    write(0, spark.range(5000))
+    assert bases() == [0]
+    write(1, spark.range(10))
+    assert bases() == [0] and table.read().count() == 5000
+    write(2, spark.range(3000))
+    assert bases() == [0, 2]
+    for n in (3, 4, 5, 6):
+        write(n, spark.range(1))
+    assert bases() == [0, 2, 6] and table.read().count() == 5000
+    assert spark.createDataFrame([], schema).columns == ["op", *table.read().columns]
+
+
 def test_unfinished_folders_are_not_read(spark, tmp_path):
     table = FolderTable(spark, str(tmp_path / "t"), ["k"])
     table.write(0, lambda before: spark.createDataFrame([("s", 1, "a")], "op string, k int, v string"))
