@@ -231,17 +231,19 @@ def geocode_with_udf(spark, sf):
     return flat_place(located.select("customer_id", "address", "lat_long"))
 
 
+PLACE_NAME = "case when n_regionkey = 2 then 'ELSEWHERE_' else 'NATION_' end || cast(n_nationkey as string)"
+
+
 @query("geocode_table", f"""
-    with places as (select 'NATION_' || n_nationkey as place, cast(n_nationkey * 3.5 - 60 as float) as la,
-        cast(n_nationkey * 7.25 - 100 as float) as lo from nation where n_regionkey <> 2)
+    with places as (select {PLACE_NAME} as place, cast(n_nationkey * 3.5 - 60 as float) as la,
+        cast(n_nationkey * 7.25 - 100 as float) as lo from nation)
     select c_custkey, cast(la as double) as latitude, cast(lo as double) as longitude
     from customer left join places on place = 'NATION_' || c_nationkey""")
 def geocode_table(spark, sf):
-    """Reference-table look-up; the places of one region are unknown."""
-    places = table(spark, sf, "nation").filter("n_regionkey <> 2").select(
-        F.concat(F.lit("NATION_"), F.col("n_nationkey").cast("string")).alias("address"),
-        (F.col("n_nationkey") * 3.5 - 60).alias("latitude"),
-        (F.col("n_nationkey") * 7.25 - 100).alias("longitude"))
+    """Look-up in a table of places; the nations of one region are known by another name."""
+    places = table(spark, sf, "nation").selectExpr(
+        f"{PLACE_NAME} as address", "n_nationkey * 3.5 - 60 as latitude",
+        "n_nationkey * 7.25 - 100 as longitude")
     customers = table(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("address"))
     return flat_place(geocode_from_table(customers, "address", places)).drop("address")

@@ -172,28 +172,27 @@ def stream_silver_upsert(spark, sf):
 
 
 def captured_changes(spark, sf):
-    """Create messages for customers, policies and claims; every policy is
-    updated once, and one policy in 97 is deleted again."""
+    """Create messages for every customer, policy and claim, then a second
+    change for every policy: one in 97 is deleted, the others are updated."""
 
     def messages(frame: DataFrame, name: str, op: str, step: int) -> DataFrame:
         image = F.to_json(F.struct(*CAPTURED[name][0].names))
+        kind = F.expr(op)
         value = F.to_json(F.struct(
-            F.when(F.lit(op) == "d", image).alias("before"),
-            F.when(F.lit(op) != "d", image).alias("after"),
+            F.when(kind == "d", image).alias("before"),
+            F.when(kind != "d", image).alias("after"),
             F.struct(F.lit(name).alias("table")).alias("source"),
-            F.lit(op).alias("op"), F.lit(step).cast("bigint").alias("ts_ms")))
+            kind.alias("op"), F.lit(step).cast("bigint").alias("ts_ms")))
         return frame.select(
             F.col(CAPTURED[name][1][0]).alias("key"), value.alias("value"),
             F.lit(0).cast("bigint").alias("offset"))
 
-    policy = standins.frame(spark, sf, "policy")
-    gone = policy.filter(F.col("policy_no").cast("bigint") % 97 == 0)
+    deleted_or_updated = "case when cast(policy_no as bigint) % 97 = 0 then 'd' else 'u' end"
     parts = [
-        messages(standins.frame(spark, sf, "customer"), "customer", "c", 1),
-        messages(policy, "policy", "c", 1),
-        messages(standins.frame(spark, sf, "policy", copy=1), "policy", "u", 2),
-        messages(gone, "policy", "d", 3),
-        messages(standins.frame(spark, sf, "claim"), "claim", "c", 1),
+        messages(standins.frame(spark, sf, "customer"), "customer", "'c'", 1),
+        messages(standins.frame(spark, sf, "policy"), "policy", "'c'", 1),
+        messages(standins.frame(spark, sf, "policy", copy=1), "policy", deleted_or_updated, 2),
+        messages(standins.frame(spark, sf, "claim"), "claim", "'c'", 1),
     ]
     return reduce(DataFrame.unionByName, parts)
 

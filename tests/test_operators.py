@@ -10,6 +10,7 @@ from claimworks.operators import checks
 from claimworks.operators.aggregate import averages, impute_from_history
 from claimworks.operators.changelog import apply_net, expand, net_changes, resolve
 from claimworks.operators.dedupe import keep_one
+from claimworks.operators.joins import salted_join
 from claimworks.operators.labels import accuracy_pct, label_indexer
 from claimworks.operators.merge import (
     apply_single_changes,
@@ -145,6 +146,19 @@ def test_keep_one(spark):
     assert keep_one(df, ["k"]).columns == ["k", "o", "v"]
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_plain_join(spark, how):
+    large = spark.range(500).selectExpr(
+        "id", "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else cast(id % 40 as string) end as k")
+    lookup = spark.range(30).selectExpr("cast(id as string) as k", "id * 2 as v").unionByName(
+        spark.createDataFrame([("hot", -1), (None, -2)], "k string, v long"))
+    plain = large.join(lookup, "k", how).select("id", "k", "v")
+    salted = salted_join(large, lookup, ["k"], how, salts=5)
+    assert salted.columns == ["id", "k", "v"] and pairs(salted) == pairs(plain)
+    parts = salted.filter("k = 'hot'").count()
+    assert parts == large.filter("k = 'hot'").count()
+
+
 def test_impute(spark):
     history = spark.createDataFrame([("A", 10.0), ("A", 20.0), ("C", None)], "c string, s double")
     batch = spark.createDataFrame([("A", None), ("B", None), ("A", 5.0), ("C", None)], "c string, s double")
