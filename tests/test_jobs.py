@@ -429,3 +429,38 @@ def test_command_line_runs_the_whole_chain(spark, tmp_path):
     enriched = spark.read.parquet(f"{base}/gold/customer_claim_policy_telematics").collect()
     assert [(r["claim_no"], r["firstname"], r["avg_speed"]) for r in enriched] == [("C1", "Ann", 7.0)]
     assert files.path_exists(spark, f"{base}/runs/damage/models/r1")
+
+
+def test_gold_joins_split_hot_keys(spark, tmp_path):
+    """A policy with a third of the claims, a customer with a third of the policies."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    frames = {
+        "claim": spark.range(0, 300000, 1, 12).selectExpr(
+            "cast(id as string) claim_no", "md5(cast(id as string)) note",
+            "case when id % 3 = 0 then '7' else cast(id % 20000 as string) end policy_no"),
+        "policy": spark.range(0, 20000, 1, 4).selectExpr(
+            "cast(id as string) policy_no", "cast(case when id % 3 = 0 then 5 else id % 9000 end as int) cust_id"),
+        "customer": spark.range(9000).selectExpr("cast(id as int) customer_id", "cast(id as string) address"),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+    before = {k: spark.conf.get(k) for k in small if spark.conf.get(k, None) is not None}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        joined = gold.customer_claim_policy(
+            *[spark.read.parquet(f"{tmp_path}/{n}") for n in ("claim", "policy", "customer")])
+        total = joined.agg(F.count("*").alias("n"), F.max("note"), F.max("address"))
+        assert total.collect()[0]["n"] == 300000
+        assert total._jdf.queryExecution().executedPlan().toString().count("skew=true") >= 1
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+            if k in before:
+                spark.conf.set(k, before[k])
