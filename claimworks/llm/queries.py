@@ -1,11 +1,16 @@
-"""The operators' queries over the given tables."""
+"""The operators' queries over the given tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
+from .decontaminate import op9_decontaminate
 from .language import op4_language
+from .license import OP6_SQL, op6_license_scan
 from .mixing import op2_mixing
+from .multiset import op5_multiset_fingerprints
+from .pii import op1_pii
 from .simhash import op7_simhash_groups
 from .toxicity import op3_toxicity
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_toxicity, op4_language, op7_simhash_groups)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_toxicity, op4_language, op5_multiset_fingerprints, op6_license_scan,
+                                   op7_simhash_groups, op9_decontaminate)}
+ORACLES = {"op6_license_scan": OP6_SQL}
