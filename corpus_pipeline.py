@@ -7,9 +7,12 @@ the next stage's documents. Stages that filter keep every other row as it is.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from claimworks.llm.decontaminate import drop_leaks
 from claimworks.llm.language import keep_known
 from claimworks.llm.mixing import mix
+from claimworks.llm.pii import redact
 from claimworks.llm.simhash import drop_near_copies
 from claimworks.session import scratch_dir
 
@@ -24,13 +27,24 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_copies(docs, width=4, max_bits=4)
 
 
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, verbatim or with other numbers, names and units."""
+    return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: documents it takes words of, with size, targets and words taken."""
     taken = mix(docs).where("taken > 0")
     return taken.select("row.*", "size", "source_size", "target", "taken")
 
 
-STAGES = [("language", language), ("near_copies", near_copies), ("mixture", mixture)]
+STAGES = [("language", language), ("near_copies", near_copies), ("leaks", leaks), ("personal_data", personal_data),
+          ("mixture", mixture)]
 
 # The learned models and bit distances have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
