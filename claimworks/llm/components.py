@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     its component's least node; the number of rounds grows with the logarithm of
     the longest path. Each round is written to the checkpoint folder.
     """
-    edges = edges.toDF("a", "b").where("a != b")
+    edges = checkpointed(edges.toDF("a", "b").where("a != b"))
     state = None
     while True:
         edges = checkpointed(_small(_large(edges)))

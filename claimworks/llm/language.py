@@ -27,7 +27,7 @@ FAMILIES = {
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 UNKNOWN = "und"
 SLOTS = 4096
-PER_LANGUAGE = 400  # bound on the documents a language is learned from
+PER_LANGUAGE = 200  # bound on the documents a language is learned from
 SNIPPET_BYTES = (40, 160)  # pieces of each training text that are learned too
 
 _FOLD = np.full(256, 32, np.uint32)
@@ -46,7 +46,7 @@ def features(data: bytes) -> np.ndarray:
     return np.sqrt(np.bincount(h, minlength=SLOTS) / len(h)).astype(np.float32)
 
 
-def svm(x: np.ndarray, y: np.ndarray, strength: float = 50.0, rounds: int = 150) -> np.ndarray:
+def svm(x: np.ndarray, y: np.ndarray, strength: float = 50.0, rounds: int = 100) -> np.ndarray:
     """Weights and bias of a linear SVM with squared hinge loss, by accelerated full gradients.
 
     Both classes weigh the same, however many examples they have.

@@ -9,8 +9,9 @@ from .mixing import op2_mixing
 from .multiset import op5_multiset_fingerprints
 from .pii import op1_pii
 from .simhash import op7_simhash_groups
+from .substring import OP10_SQL, op10_substring_dedup
 from .toxicity import op3_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_toxicity, op4_language, op5_multiset_fingerprints, op6_license_scan,
-                                   op7_simhash_groups, op9_decontaminate)}
-ORACLES = {"op6_license_scan": OP6_SQL}
+                                   op7_simhash_groups, op9_decontaminate, op10_substring_dedup)}
+ORACLES = {"op6_license_scan": OP6_SQL, "op10_substring_dedup": OP10_SQL}
