@@ -49,6 +49,10 @@ def blobs(shard: np.ndarray, columns: Columns, shards: int, *more) -> Iterator[t
         yield int(i), pickle.dumps((*more, *(c[ends[i]:ends[i + 1]] for c in columns)), protocol=5)
 
 
+def length(shard: int, n: int) -> pd.DataFrame:
+    return pd.DataFrame([(shard, int(n))], columns=["shard", "n"])
+
+
 def frame(rows: list[tuple[int, bytes]]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["shard", "data"])
 
@@ -94,12 +98,11 @@ def mapped(folder: str, name: str) -> np.ndarray:
     return _MAPPED[key]
 
 
-def merged(parts: DataFrame, merge: Callable[[int, list[Columns]], int], schema: str = "shard int, n long") -> DataFrame:
-    """``merge(shard, columns of its blobs)`` once per shard; it writes arrays and returns their length."""
+def merged(parts: DataFrame, merge: Callable[[int, list[Columns]], pd.DataFrame], schema: str = "shard int, n long") -> DataFrame:
+    """``merge(shard, columns of its blobs)`` once per shard; it writes arrays and returns rows about them."""
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        n = merge(int(key[0]), [pickle.loads(d) for d in part.data])  # noqa: S301  own blobs
-        return pd.DataFrame([(int(key[0]), n)], columns=["shard", "n"])
+        return merge(int(key[0]), [pickle.loads(d) for d in part.data])
 
     return parts.groupBy("shard").applyInPandas(run, schema)
 

@@ -7,11 +7,12 @@ from .language import op4_language
 from .license import OP6_SQL, op6_license_scan
 from .mixing import op2_mixing
 from .multiset import op5_multiset_fingerprints
+from .ngram import op8_language_model
 from .pii import op1_pii
 from .simhash import op7_simhash_groups
 from .substring import OP10_SQL, op10_substring_dedup
 from .toxicity import op3_toxicity
 
 QUERIES = {f.__name__: f for f in (op1_pii, op2_mixing, op3_toxicity, op4_language, op5_multiset_fingerprints, op6_license_scan,
-                                   op7_simhash_groups, op9_decontaminate, op10_substring_dedup)}
+                                   op7_simhash_groups, op8_language_model, op9_decontaminate, op10_substring_dedup)}
 ORACLES = {"op6_license_scan": OP6_SQL, "op10_substring_dedup": OP10_SQL}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from claimworks.session import scratch_dir
 
-from .arrays import BLOBS, ENTRIES, Lookup, blobs, frame, merged, shard_of, shards_for, small, write
+from .arrays import BLOBS, ENTRIES, Lookup, blobs, frame, length, merged, shard_of, shards_for, small, write
 from .text import hashes, mix, table, window_hashes, words
 
 WIDTH = 20
@@ -166,10 +166,10 @@ def repeated_keys(docs: DataFrame, shards: int, width: int) -> Lookup:
         if held:
             yield flush()
 
-    def merge(shard: int, parts: list) -> int:
+    def merge(shard: int, parts: list) -> pd.DataFrame:
         keys, many = _distinct(*(np.concatenate(c) for c in zip(*parts)))
         write(folder, f"key-{shard}", keys[many])
-        return int(many.sum())
+        return length(shard, many.sum())
 
     found = merged(docs.mapInPandas(gather, BLOBS), merge).collect()  # one row per shard
     return Lookup(folder, shards, dict(map(tuple, found)))
@@ -211,14 +211,14 @@ def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Look
         if held:
             yield flush()
 
-    def merge(shard: int, parts: list) -> int:
+    def merge(shard: int, parts: list) -> pd.DataFrame:
         parts = [(w, (doc.astype(np.uint64) + low.view(np.uint64)).view(np.int64), at.astype(np.int64), many)
                  for low, w, doc, at, many in parts]
         w, doc, at, many = _firsts(*(np.concatenate(c) for c in zip(*parts)))
         write(folder, f"doc-{shard}", doc[many])
         write(folder, f"at-{shard}", small(at[many]))
         write(folder, f"key-{shard}", w[many])
-        return int(many.sum())
+        return length(shard, many.sum())
 
     found = merged(docs.mapInPandas(gather, BLOBS), merge).collect()  # one row per shard
     return Lookup(folder, shards, dict(map(tuple, found)))
