@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import checkpointed, count_words, table, unit
+from .text import checkpointed, table, unit
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in order, repeating
 MAX_EPOCHS = 3
 
 
-def quality(text: Column) -> Column:
-    """Weight of a document in the draw: the share of letters and spaces, squared, 0.05 at least."""
-    t = F.coalesce(text, F.lit(""))
-    plain = F.regexp_count(t, F.lit(r"[\p{L}\s]")) / F.greatest(F.length(t), F.lit(1))
-    return F.greatest(F.pow(plain, 2.0), F.lit(0.05))
+_PLAIN = bytes(i for i in range(256) if i >= 128 or chr(i).isalpha() or chr(i).isspace())
+
+
+def measured(text: Column) -> Column:
+    """(size, quality) of a text: its words, and its weight in the draw.
+
+    The weight is the share of bytes that are letters, beyond ASCII or white
+    space, squared, and 0.05 at least. Null texts count as empty.
+    """
+
+    @F.pandas_udf("size long, quality double")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            data = [(t or "").encode("utf-8", "surrogatepass") for t in part]
+            signs = [len(d.translate(None, _PLAIN)) for d in data]
+            yield pd.DataFrame({"size": [len(d.split()) for d in data],
+                                "quality": [max(0.05, (1 - n / len(d)) ** 2) if d else 0.05 for n, d in zip(signs, data)]})
+
+    return run(text)
 
 
 def _ranked(rows: DataFrame, *order: Column) -> DataFrame:
@@ -77,20 +94,24 @@ def _cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[float, ...] = WEIGHTS, seed: int = 7) -> DataFrame:
+        weights: tuple[float, ...] = WEIGHTS, seed: int = 7, whole_rows: bool = True) -> DataFrame:
     """One row (doc_id, row, size, source_size, target, taken) per row of ``docs``; ``row`` holds its columns.
 
+    Without ``whole_rows`` there is no ``row`` and the texts are read once.
+
     A source takes floor(target / size) complete epochs. The rest of its target
     goes to documents in the order of their keys -ln(u) / quality until it is
     used up; the document at the cut gives the words still missing, and rows
     equal in id and text share them. ``u`` hashes id and text, so reruns agree.
     Null or empty texts have size 0; without words every target is 0.
     """
-    words, weight = count_words(F.col(text_col)), quality(F.col(text_col))
-    key = -F.log(unit(F.lit(seed), F.col(id_col), F.col(text_col))) / weight
-    every = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        F.struct(*docs.columns).alias("row"), words.alias("size"), key.alias("key"))
-    rows = checkpointed(every.select("source", "size", "key"))
+    key = -F.log(unit(F.lit(seed), F.col(id_col), F.col(text_col))) / F.col("m.quality")
+    every = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col),
+                        F.struct(*docs.columns).alias("row"), measured(F.col(text_col)).alias("m"))
+    every = every.select("doc_id", "source", "row", F.col("m.size").alias("size"), key.alias("key"))
+    rows = checkpointed(every.drop("row"))
+    if not whole_rows:
+        every = rows
     plan = targets(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = plan.withColumn("epochs", epochs).withColumn(
@@ -102,9 +123,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .when(F.col("key") == F.col("cut"), F.least(F.col("size"), F.floor(F.col("left") / F.col("ties"))))
             .otherwise(0))
     return every.join(plan, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "row", "size", "source_size", "target",
+        "doc_id", *["row"] * whole_rows, "size", "source_size", "target",
         (F.col("epochs") * F.col("size") + more).cast("long").alias("taken"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("row")
+    return mix(table(spark, sf_dir, "documents"), whole_rows=False)

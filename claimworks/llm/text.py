@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from claimworks.session import scratch_dir
 
 LOWER_ASCII = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def words(text: str | None, lower: bool = False) -> list[bytes]:
@@ -46,10 +45,6 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
         run, n = mix(run[:-n], run[n:]), 2 * n
 
 
-def count_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
-
-
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's text modulo ``folds``; a null id counts as empty text."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds).cast("int")
