@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import salted_join
+from ..operators.joins import lookup_join
 from .casts import ColumnOrName, as_column
 
 LAT_LONG = "latitude float, longitude float"
@@ -87,7 +87,7 @@ def geocode(df: DataFrame, address: str, locate, out: str = "lat_long") -> DataF
     """
     known = df.select(address).filter(F.col(address).isNotNull()).distinct()
     places = known.withColumn(out, locate(F.col(address)))
-    return salted_join(df, places, [address], "left").withColumn(out, F.coalesce(out, _no_place()))
+    return lookup_join(df, places, [address], "left").withColumn(out, F.coalesce(out, _no_place()))
 
 
 def geocode_from_table(
@@ -99,4 +99,4 @@ def geocode_from_table(
         F.col("longitude").cast("float").alias("longitude"),
     )
     known = places.groupBy(F.col("address").alias(address)).agg(F.min(place).alias(out))
-    return salted_join(df, known, [address], "left").withColumn(out, F.coalesce(out, _no_place()))
+    return lookup_join(df, known, [address], "left").withColumn(out, F.coalesce(out, _no_place()))

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from .functions.geo import geocode, geocode_udf, hash_geocoder
 from .plans import gold, load, publish, training
+from .schemas import CAPTURED
 from .session import build_session
 from .sources.sinks import EVERY_MINUTE
 from .streaming import ingest, refine
@@ -58,6 +59,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             def locate(df):
                 return geocode(df, "address", geocode_udf(hash_geocoder))
         gold.build_gold(spark, silver, f"{args.base}/gold", args.format, locate)
+    elif args.job == "compact":
+        for name, keys in [(n, k) for n, (_, k) in CAPTURED.items()]:
+            open_table(spark, f"{bronze}/{name}", keys, args.format).compact()
+        for table in refine.SILVER_TABLES:
+            open_table(spark, f"{silver}/{table.name}", table.keys, args.format).compact()
     elif args.job == "load":
         load.load_extracts(
             spark, {"customer": args.customers, "policy": args.policies, "claim": args.claims},
@@ -99,6 +105,7 @@ def parser() -> argparse.ArgumentParser:
     job("ingest-objects", stream=True).add_argument("--landing")
     job("silver", stream=True).add_argument("--propagate-deletes", action="store_true")
     job("gold").add_argument("--geocode-udf", action="store_true")
+    job("compact")
     extracts = job("load")
     for name in ("customers", "policies", "claims"):
         extracts.add_argument(f"--{name}", required=True, help="headed CSV")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import salted_join
+from .joins import lookup_join
 
 
 def averages(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
@@ -20,13 +20,14 @@ def impute_from_history(
 ) -> DataFrame:
     """Fill missing values with the key's average in ``history``.
 
-    The history is averaged as it is scanned, two columns wide, and leaves each
-    task as one row per key; only incomplete rows of the batch join, spread
-    over salts. Keys without history stay null.
+    Only the history of keys with a missing value is averaged: the batch's few
+    keys are a semi-join before anything else is read of it. Keys without
+    history stay null.
     """
-    means = averages(history, keys, {"_mean": column})
     missing = batch.filter(F.col(column).isNull())
-    filled = salted_join(missing, means, keys, "left").withColumn(
+    wanted = missing.select(*keys).distinct()
+    means = averages(history.select(*keys, column).join(wanted, list(keys), "left_semi"), keys, {"_mean": column})
+    filled = lookup_join(missing, means, keys, "left").withColumn(
         column, F.col("_mean").cast(batch.schema[column].dataType)
     )
     complete = batch.filter(F.col(column).isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +12,18 @@ from pyspark.sql import functions as F
 def keep_one(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = False
 ) -> DataFrame:
-    """The first (or last) row per key by ``order``, then by all other columns.
+    """The first (or last) row per key by ``order``, then the one with most values, then by all other columns.
 
-    min/max over a struct combines before the shuffle, so a key or a group of
+    A row with fewer nulls is preferred: an unreadable value never displaces a
+    readable one. min/max over a struct combines before the shuffle, so a key or a group of
     copies holding most of the rows leaves each task as a single row; a
     row_number() window would send the whole group to one task.
     """
     rest = [c for c in df.columns if c not in keys]
-    ranked = [*order, *[c for c in rest if c not in order]]
-    if not ranked:
+    if not rest:
         return df.select(*keys).distinct().select(*df.columns)
+    missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in rest])
+    ranked = [*order, (-missing if last else missing).alias("_missing"), *[c for c in rest if c not in order]]
     pick = F.max if last else F.min
     best = df.groupBy(*keys).agg(pick(F.struct(*ranked)).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns])

@@ -1,4 +1,4 @@
-"""Equi-join of a large side to a small look-up side, safe against hot keys."""
+"""Equi-join of a large side to a small look-up side."""
 
 from __future__ import annotations
 
@@ -7,28 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
+
+def lookup_join(
+    large: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on shared key names; output is large's columns, then lookup's others.
+
+    A plain join: the planner broadcasts the look-up where its measured size
+    allows and AQE splits a hot key's part of the large side where not.
+    """
+    return large.join(lookup, list(keys), how).select(
+        *[large[c] for c in large.columns], *[lookup[c] for c in lookup.columns if c not in keys])
 
 
 def salted_join(
-    large: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    salts: int = SALTS,
+    large: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 32
 ) -> DataFrame:
-    """Join on shared key names; output is large's columns, then lookup's others.
+    """The same for a key known to be hot where the planner cannot split it.
 
     Every key's large rows spread over ``salts`` parts and the look-up rows are
-    repeated once per part, so no task gets a whole hot key (or all the null
-    keys). Meant for look-ups of one short row per key; a row's part comes from
-    its hash, so a recomputed task places it as before. Between two tables of
-    like size use a plain join and let AQE split skewed partitions.
+    repeated once per part, so this costs ``salts`` look-ups. A row's part comes
+    from its place in its partition, so copies of one row spread too.
     """
-    keys = list(keys)
-    spread = large.withColumn(
-        "_part", F.pmod(F.xxhash64(*large.columns), F.lit(salts)).cast("int")
-    )
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    spread = large.withColumn("_part", part)
     repeated = lookup.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     joined = spread.join(repeated, [*keys, "_part"], how)
     return joined.select(*large.columns, *[c for c in lookup.columns if c not in keys])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.geo import hashed_lat_long
 from ..operators.aggregate import averages
-from ..operators.joins import salted_join
+from ..operators.joins import lookup_join
 from ..sources.readers import scan
 from ..sources.sinks import overwrite
 from ..streaming.tables import open_table
@@ -50,7 +50,7 @@ def enrich(
     Joins first, so only claims that stay are located. ``locate`` adds the
     ``lat_long`` column (see functions.geo); the default stays in the JVM.
     """
-    joined = salted_join(core, vehicle, ["chassis_no"])
+    joined = lookup_join(core, vehicle, ["chassis_no"])
     if locate is not None:
         located = locate(joined)
     else:

@@ -44,9 +44,10 @@ def clean_claim(df: DataFrame) -> DataFrame:
 
 
 def clean_customer(df: DataFrame) -> DataFrame:
-    one = keep_one(df.dropna(subset=["customer_id"]), ["customer_id"])
+    """Keys are typed before rows are reduced: '1' and '1.0' are one customer, an unreadable key is none."""
+    typed = df.withColumn("customer_id", casts.lenient_int("customer_id"))
+    one = keep_one(typed.dropna(subset=["customer_id"]), ["customer_id"])
     return one.withColumns({
-        "customer_id": casts.lenient_int("customer_id"),
         "date_of_birth": casts.date_from_epoch_days("date_of_birth"),
         "firstname": text.name_part("name", 0),
         "lastname": text.name_part("name", 1),
@@ -54,8 +55,14 @@ def clean_customer(df: DataFrame) -> DataFrame:
     }).drop("name", "borough", "zip_code")
 
 
+def _newest(images: DataFrame) -> DataFrame:
+    """One row per path, the last modified; without a path there is nothing to upsert by."""
+    order = [c for c in ("modificationTime",) if c in images.columns]
+    return keep_one(images.dropna(subset=["path"]), ["path"], order, last=True)
+
+
 def clean_claim_images(df: DataFrame, strict: bool = False) -> DataFrame:
-    return df.withColumn("image_name", text.image_name("path", strict))
+    return _newest(df).withColumn("image_name", text.image_name("path", strict))
 
 
 def clean_image_metadata(df: DataFrame) -> DataFrame:
@@ -63,7 +70,7 @@ def clean_image_metadata(df: DataFrame) -> DataFrame:
 
 
 def clean_training_images(df: DataFrame) -> DataFrame:
-    return df.withColumn("label", text.training_label("path"))
+    return _newest(df).withColumn("label", text.training_label("path"))
 
 
 def clean_telematics(df: DataFrame, silver: DataFrame | None = None) -> DataFrame:

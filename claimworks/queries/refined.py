@@ -24,8 +24,10 @@ def day(c: str) -> str:
 
 
 def first_row(source: str, keys: list[str], columns: list[str]) -> str:
-    """One row per key: the least by all other columns, nulls first."""
-    rest = ", ".join(f"{c} nulls first" for c in columns if c not in keys)
+    """One row per key: the one with fewest nulls, then the least by all other columns."""
+    others = [c for c in columns if c not in keys]
+    fewest = " + ".join(f"({c} is null)::int" for c in others)
+    rest = ", ".join([fewest, *(f"{c} nulls first" for c in others)])
     return (f"(select * from {source} qualify row_number() over "
             f"(partition by {', '.join(keys)} order by {rest}) = 1)")
 
@@ -61,10 +63,11 @@ CLAIM_SQL = f"""
     from {first_row(standins.sql('claim'), ['claim_no'], CLAIM_NAMES)}"""
 
 CUSTOMER_SQL = f"""
-    select {lenient('customer_id')} as customer_id, {day('date_of_birth')} as date_of_birth, neighborhood,
+    select customer_id, {day('date_of_birth')} as date_of_birth, neighborhood,
       string_split(name, ' ')[1] as firstname, string_split(name, ' ')[2] as lastname,
       concat_ws(', ', borough, zip_code) as address
-    from {first_row(standins.sql('customer'), ['customer_id'], CUSTOMER_NAMES)}"""
+    from {first_row(f"(select * replace ({lenient('customer_id')} as customer_id) from {standins.sql('customer')})",
+                    ['customer_id'], CUSTOMER_NAMES)} where customer_id is not null"""
 
 TELEMATICS_TYPED = f"""
     select chassis_no, case when latitude < -90 then -90 when latitude > 90 then 90 else latitude end as latitude,
@@ -149,7 +152,7 @@ def silver_speed_impute(spark, sf):
 
 
 @query("dedupe_key", "select * replace (cast(l_shipdate as varchar) as l_shipdate) from " + first_row(
-    "lineitem", ["l_orderkey"],
+    "lineitem", ["l_orderkey"],  # without nulls the number of values decides nothing
     ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
      "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]))
 def dedupe_key(spark, sf):

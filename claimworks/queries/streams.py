@@ -34,7 +34,7 @@ from .refined import (
     lenient,
     place_sql,
 )
-from .registry import portable, query, single, single_sql, table
+from .registry import ORACLES, portable, query, single, single_sql, table
 
 CUTS = ("2024-01-11", "2024-01-21")
 
@@ -134,13 +134,55 @@ def stream_cdc_apply(spark, sf):
         write_topic(part.select("key", "value", "offset"), folder=f"{root}/topic")
         finish(ingest_changes(
             spark, {"folder": f"{root}/topic"}, f"{root}/bronze", f"{root}/checkpoint",
-            trigger=None, tables=tables, compact_every=2))
+            trigger=None, tables=tables))
+        for name, (_, keys) in list(tables.items())[:2]:
+            open_table(spark, f"{root}/bronze/{name}", keys).compact()
     return reduce(DataFrame.unionByName, [
         open_table(spark, f"{root}/bronze/{name}", keys).read().select(
             F.lit(name).alias("table_name"), *IMAGE.names)
         for name, (_, keys) in tables.items()])
 
 
+@query("stream_fresh_checkpoint", ORACLES["stream_cdc_apply"])
+def stream_fresh_checkpoint(spark, sf):
+    """The same log, each delivery under a new checkpoint, as after a lost one: nothing may go missing."""
+    root = scratch_dir(spark, "fresh")
+    messages = envelopes(spark, sf, TABLE_OF_KEY).join(
+        table(spark, sf, "events").select(F.col("event_id").alias("offset"), "ts"), "offset")
+    tables = {name: (IMAGE, ["customer_id"]) for name in CAPTURED}
+    for n, part in enumerate(slices(messages)):
+        write_topic(part.select("key", "value", "offset"), folder=f"{root}/topic-{n}")
+        for _ in range(2):  # the second run finds nothing new
+            finish(ingest_changes(spark, {"folder": f"{root}/topic-{n}"}, f"{root}/bronze",
+                                  f"{root}/checkpoint-{n}", trigger=None, tables=tables))
+    return reduce(DataFrame.unionByName, [
+        open_table(spark, f"{root}/bronze/{name}", keys).read().select(
+            F.lit(name).alias("table_name"), *IMAGE.names)
+        for name, (_, keys) in tables.items()])
+
+
+def set_age(spark, folder: str, days: int) -> None:
+    """Date the files of a folder back, as a copy that keeps times would."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in system.listStatus(path):
+        system.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+@query("stream_late_file", f"""select chassis_no, latitude, longitude, event_timestamp, speed
+    from {standins.sql('telematics')}""")
+def stream_late_file(spark, sf):
+    """New files first, then files a month older: the second run must take them."""
+    root = scratch_dir(spark, "late")
+    readings = standins.frame(spark, sf, "telematics")
+    late = F.coalesce(F.col("chassis_no").cast("bigint") % 2 == 0, F.lit(True))
+    for part, days in ((readings.filter(~late), 0), (readings.filter(late), 30)):
+        write_topic(encode_messages(part, "chassis_no"), folder=f"{root}/topic-{days}")
+        set_age(spark, f"{root}/topic-{days}", days)
+        finish(ingest_telematics(spark, {"folder": f"{root}/topic-*"}, f"{root}/bronze", f"{root}/checkpoint", trigger=None))
+    return scan(spark, f"{root}/bronze/telematics")
+
+
 CUT = "timestamp '2024-01-15 00:00:00'"
 
 
@@ -166,7 +208,7 @@ def stream_silver_upsert(spark, sf):
         append(part, f"{root}/bronze/telematics")
         finish(*start_silver(
             spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoints", trigger=None,
-            tables=telematics, compact_every=2))
+            tables=telematics))
     silver = open_table(spark, f"{root}/silver/telematics", telematics[0].keys).read()
     return single(portable(silver), "speed")
 
@@ -198,6 +240,7 @@ def captured_changes(spark, sf):
 
 
 def _first_claims() -> str:
+    """Creations of one key at one time: the log takes the least image."""
     names = ", ".join(f"{c} nulls first" for c in CLAIM_NAMES)
     return (f"(select * from {standins.sql('claim')} qualify row_number() over "
             f"(partition by claim_no order by {names}) = 1)")

@@ -28,9 +28,9 @@ def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
+def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
-    return fs.getContentSummary(hadoop_path).getLength()
+    fs.mkdirs(hadoop_path)
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +38,27 @@ def append_stream(
     return _start(writer, trigger, checkpoint).start(path)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity a checkpoint gives its query: the same after a restart, another in a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def each_batch(
     stream: DataFrame,
-    apply: Callable[[DataFrame, int], None],
+    apply: Callable[[DataFrame, int, str], None],
     checkpoint: str,
     trigger: str | None = EVERY_MINUTE,
     name: str | None = None,
 ) -> StreamingQuery:
-    writer = stream.writeStream.outputMode("update").foreachBatch(apply)
+    """``apply`` gets each batch with its number and the stream's identity."""
+    known: list[str] = []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(stream_id(batch.sparkSession, checkpoint))
+        apply(batch, batch_id, known[0])
+
+    writer = stream.writeStream.outputMode("update").foreachBatch(run)
     if name:
         writer = writer.queryName(name)
     return _start(writer, trigger, checkpoint).start()

@@ -28,7 +28,7 @@ def table_log(changes: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
 
 
 def apply_changes(
-    batch: DataFrame, batch_id: int, bronze: str, fmt: str = "parquet", tables=CAPTURED, **kw
+    batch: DataFrame, batch_id: int, bronze: str, fmt: str = "parquet", tables=CAPTURED, stream: str = "only"
 ) -> None:
     """One micro-batch of the shared change log into every captured table.
 
@@ -50,7 +50,7 @@ def apply_changes(
             parsed = resolve(net, now, keys).withColumn("image", F.from_json("image", schema))
             return expand(parsed, keys, schema.names)
 
-        open_table(spark, f"{bronze}/{name}", keys, fmt, **kw).write(batch_id, rows)
+        open_table(spark, f"{bronze}/{name}", keys, fmt).write(batch_id, rows, stream)
 
     try:
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
@@ -63,12 +63,13 @@ def apply_changes(
 
 def ingest_changes(
     spark: SparkSession, source: dict, bronze: str, checkpoint: str,
-    fmt: str = "parquet", trigger: str | None = EVERY_MINUTE, **kw,
+    fmt: str = "parquet", trigger: str | None = EVERY_MINUTE, tables=CAPTURED,
 ) -> StreamingQuery:
     """Change log of all captured tables, e.g. source={'pattern': ..., 'servers': ...}."""
     changes = parse_envelopes(topic_stream(spark, **source))
     return each_batch(
-        changes, lambda df, n: apply_changes(df, n, bronze, fmt, **kw), checkpoint, trigger, "changes"
+        changes, lambda df, n, stream: apply_changes(df, n, bronze, fmt, tables, stream),
+        checkpoint, trigger, "changes"
     )
 
 

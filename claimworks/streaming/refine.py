@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import casts
 from ..operators.changelog import DELETE, UPSERT
 from ..operators.dedupe import keep_one
 from ..plans import silver
@@ -68,16 +69,17 @@ def silver_rows(
     if not propagate_deletes:
         return rows
     gone = last.filter(F.col("op") == DELETE)
-    typed = [F.col(k).try_cast(sets.schema[k].dataType).alias(k) for k in table.keys]
+    cast = {T.IntegerType(): casts.lenient_int}
+    typed = [cast.get(sets.schema[k].dataType, F.col)(k).alias(k) for k in table.keys]
     return rows.unionByName(gone.select("op", *typed), allowMissingColumns=True)
 
 
 def upsert_batch(
     batch: DataFrame, batch_id: int, table: SilverTable, silver_root: str,
-    fmt: str = "parquet", propagate_deletes: bool = False, **kw,
+    fmt: str = "parquet", propagate_deletes: bool = False, stream: str = "only",
 ) -> None:
-    target = open_table(batch.sparkSession, f"{silver_root}/{table.name}", table.keys, fmt, **kw)
-    target.write(batch_id, lambda before: silver_rows(table, batch, before, propagate_deletes))
+    target = open_table(batch.sparkSession, f"{silver_root}/{table.name}", table.keys, fmt)
+    target.write(batch_id, lambda before: silver_rows(table, batch, before, propagate_deletes), stream)
 
 
 def bronze_stream(
@@ -99,12 +101,12 @@ def start_silver(
     spark: SparkSession, bronze: str, silver_root: str, checkpoints: str,
     fmt: str = "parquet", trigger: str | None = EVERY_MINUTE,
     tables: Sequence[SilverTable] = SILVER_TABLES, propagate_deletes: bool = False,
-    source_options: dict | None = None, **kw,
+    source_options: dict | None = None,
 ) -> list[StreamingQuery]:
     """One query per table in this session; wait with ``spark.streams.awaitAnyTermination()``."""
 
     def handler(table: SilverTable):
-        return lambda df, n: upsert_batch(df, n, table, silver_root, fmt, propagate_deletes, **kw)
+        return lambda df, n, stream: upsert_batch(df, n, table, silver_root, fmt, propagate_deletes, stream)
 
     return [
         each_batch(

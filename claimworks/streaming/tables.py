@@ -1,11 +1,13 @@
 """Keyed tables that micro-batches change, on plain folders or on Delta.
 
 A folder table holds
-    <path>/changes/batch=N   rows batch N set or deleted, at most one per key
-    <path>/base/upto=N       the table after batch N, written now and then
-and its state is the newest base with the later batches on top. A batch costs
-what it changes, not what the table holds; a replayed batch finds its folder
-committed and leaves it alone, which makes ``foreachBatch`` exactly-once.
+    <path>/changes/batch=K             rows delivery K set or deleted, at most one per key
+    <path>/deliveries/<stream>/<N>/K=  batch N of that stream is delivery K
+    <path>/base/upto=K                 the table after delivery K, where ``compact`` wrote it
+and its state is the newest base with the later deliveries on top. A delivery is
+known by its stream's identity and the batch's number: a replayed batch finds
+its own folder committed and leaves it alone, while a new checkpoint is another
+stream, all of whose batches are new. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -17,25 +19,14 @@ from pyspark.sql import functions as F
 
 from ..operators.changelog import UPSERT
 from ..operators.merge import same_keys
-from ..sources.files import folder_bytes, is_committed, numbered_folders, table_exists
+from ..sources.files import is_committed, make_folder, numbered_folders, table_exists
 
 Before = Callable[[], DataFrame | None]
 
 
 class FolderTable:
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        keys: Sequence[str],
-        fmt: str = "parquet",
-        compact_every: int = 60,
-        compact_share: float = 0.2,
-        max_pending: int = 1440,
-    ):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet"):
         self.spark, self.path, self.keys, self.fmt = spark, path.rstrip("/"), list(keys), fmt
-        self.compact_every, self.compact_share = compact_every, compact_share
-        self.max_pending = max_pending
 
     @property
     def changes_path(self) -> str:
@@ -93,39 +84,36 @@ class FolderTable:
         untouched = base.join(touched.select(*self.keys), self.keys, "left_anti")
         return untouched.select(*rows.columns).unionByName(rows)
 
-    def write(self, batch_id: int, rows: Callable[[Before], DataFrame]) -> None:
-        """Commit the (op, row) frame ``rows`` gives.
+    def _delivery(self, stream: str, batch_id: int) -> int:
+        """The number of a batch among all deliveries; reserved before anything is written."""
+        folder = f"{self.path}/deliveries/{stream}/{batch_id}"
+        known = numbered_folders(self.spark, folder, "K=")
+        if known:
+            return known[0]
+        number = max(numbered_folders(self.spark, self.changes_path, "batch="), default=-1) + 1
+        make_folder(self.spark, f"{self.changes_path}/batch={number}")
+        make_folder(self.spark, f"{folder}/K={number}")
+        return number
+
+    def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> None:
+        """Commit the (op, row) frame ``rows`` gives, once per stream and batch.
 
         ``rows`` gets a function that reads the table as it was before the
         batch; most tables never call it and so never list their files.
         """
-        target = f"{self.changes_path}/batch={batch_id}"
+        number = self._delivery(stream, batch_id)
+        target = f"{self.changes_path}/batch={number}"
         if not is_committed(self.spark, target):
-            frame = rows(lambda: self.read(before=batch_id))
+            frame = rows(lambda: self.read(before=number))
             frame.write.format(self.fmt).mode("overwrite").save(target)
-        if (batch_id + 1) % self.compact_every == 0 and self._compaction_due(batch_id):
-            self.compact(batch_id)
-
-    def _compaction_due(self, batch_id: int) -> bool:
-        """Enough has changed to be worth a rewrite, or readers face too many folders.
 
-        A rewrite costs the whole table, so it waits until the changes amount
-        to a share of it: over time a changed byte costs 1/share bytes.
-        """
-        newest = self._newest_base()
-        if newest is None:
-            return True
-        pending = self._batches(newest, batch_id + 1)
-        if len(pending) >= self.max_pending:
-            return True
-        changed = sum(folder_bytes(self.spark, f"{self.changes_path}/batch={n}") for n in pending)
-        base = folder_bytes(self.spark, f"{self.path}/base/upto={newest}")
-        return changed >= self.compact_share * base
-
-    def compact(self, upto: int) -> None:
-        target = f"{self.path}/base/upto={upto}"
-        if not is_committed(self.spark, target):
-            self.read(before=upto + 1).write.format(self.fmt).mode("overwrite").save(target)
+    def compact(self) -> None:
+        """Write the table after its last finished delivery as a new base. A job of its own, run as often
+        as reading many deliveries costs more than one rewrite."""
+        done = self._batches()
+        if done and not is_committed(self.spark, f"{self.path}/base/upto={done[-1]}"):
+            self.read(before=done[-1] + 1).write.format(self.fmt).mode("overwrite").save(
+                f"{self.path}/base/upto={done[-1]}")
 
 
 class DeltaTable(FolderTable):
@@ -135,8 +123,8 @@ class DeltaTable(FolderTable):
     next layer. Needs the Delta library on the classpath.
     """
 
-    def __init__(self, spark, path, keys, fmt="delta", **kw):
-        super().__init__(spark, path, keys, "parquet", **kw)
+    def __init__(self, spark, path, keys, fmt="delta"):
+        super().__init__(spark, path, keys, "parquet")
 
     @property
     def changes_path(self) -> str:
@@ -148,10 +136,10 @@ class DeltaTable(FolderTable):
     def read(self, before: int | None = None) -> DataFrame | None:
         return self.spark.read.format("delta").load(self.path) if self.exists() else None
 
-    def write(self, batch_id: int, rows: Callable[[Before], DataFrame]) -> None:
+    def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> None:
         from delta.tables import DeltaTable as Target
 
-        folder = f"{self.changes_path}/batch={batch_id}"
+        folder = f"{self.changes_path}/batch={self._delivery(stream, batch_id)}"
         if not is_committed(self.spark, folder):
             rows(self.read).write.mode("overwrite").parquet(folder)
         changes = self.spark.read.parquet(folder)
@@ -170,6 +158,6 @@ class DeltaTable(FolderTable):
         )
 
 
-def open_table(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet", **kw):
-    return (DeltaTable if fmt == "delta" else FolderTable)(spark, path, keys, fmt, **kw)
+def open_table(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet"):
+    return (DeltaTable if fmt == "delta" else FolderTable)(spark, path, keys, fmt)
 

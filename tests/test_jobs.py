@@ -59,13 +59,14 @@ def test_change_stream_to_bronze_and_silver(spark, tmp_path):
         ("customer", "u", customer(2, "No Body"), 1), ("customer", "c", customer(3, "Cy Coe"), 1),
         ("users", "c", {"user_id": 1}, 1), ("customer", "c", None, 1),
         ("policy", "c", {"policy_no": "P1", "cust_id": "1"}, 1)])
-    run_changes(spark, root, compact_every=2)
+    run_changes(spark, root)
     refine_now("silver")
     refine_now("mirror", propagate_deletes=True)
     messages(spark, f"{root}/topic", [
         ("customer", "d", customer(3, "Cy Coe"), 5), ("customer", "c", customer(1, "Other"), 5),
         ("customer", "r", customer(4, "Di"), 5)], offset=10)
-    run_changes(spark, root, compact_every=2)
+    run_changes(spark, root)
+    open_table(spark, f"{root}/bronze/customer", ["customer_id"]).compact()
     refine_now("silver")
     refine_now("mirror", propagate_deletes=True)
 
@@ -99,38 +100,41 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 
 def test_folder_table_last_batch_wins(spark, tmp_path):
-    table = FolderTable(spark, str(tmp_path / "t"), ["k"], compact_every=3)
+    table = FolderTable(spark, str(tmp_path / "t"), ["k"])
     assert not table.exists() and table.read() is None
     frames = [[("s", 1, "a"), ("s", 2, "b"), ("s", None, "n")], [("s", 2, "x"), ("d", 1, None)],
               [("s", 1, "back"), ("s", None, "m")], [("s", 3, "z")]]
     for n, rows in enumerate(frames):
         table.write(n, lambda before, rows=rows: spark.createDataFrame(rows, "op string, k int, v string"))
+        if n == 2:
+            table.compact()
     state = sorted((tuple(r) for r in table.read().collect()), key=str)
     assert state == sorted([(1, "back"), (2, "x"), (3, "z"), (None, "n"), (None, "m")], key=str)
     assert files.numbered_folders(spark, f"{table.path}/base", "upto=") == [2]
 
 
-def test_compaction_waits_for_enough_changes(spark, tmp_path):
-    table = FolderTable(spark, str(tmp_path / "t"), ["k"], compact_every=1, max_pending=4)
-    schema = "op string, k long, v string"
+def test_deliveries_are_known_by_stream_and_batch(spark, tmp_path):
+    table = FolderTable(spark, str(tmp_path / "t"), ["k"])
 
-    def write(n, ids):
-        rows = ids.selectExpr("'s' as op", "id as k", f"md5(cast(id + {n} as string)) as v")
-        table.write(n, lambda before: rows.coalesce(1))
+    def write(stream, n, k):
+        table.write(n, lambda before: spark.createDataFrame([("s", k, stream)], "op string, k int, v string"), stream)
 
-    def bases():
-        return files.numbered_folders(spark, f"{table.path}/base", "upto=")
+    def state():
+        return sorted(tuple(r) for r in table.read().collect())
 
-    write(0, spark.range(5000))
-    assert bases() == [0]
-    write(1, spark.range(10))
-    assert bases() == [0] and table.read().count() == 5000
-    write(2, spark.range(3000))
-    assert bases() == [0, 2]
-    for n in (3, 4, 5, 6):
-        write(n, spark.range(1))
-    assert bases() == [0, 2, 6] and table.read().count() == 5000
-    assert spark.createDataFrame([], schema).columns == ["op", *table.read().columns]
+    write("a", 0, 1)
+    write("a", 1, 2)
+    write("a", 1, 9)  # a replay
+    assert state() == [(1, "a"), (2, "a")]
+    table.compact()
+    write("b", 0, 3)  # a fresh checkpoint starts at 0 again
+    write("b", 0, 9)
+    write("a", 2, 2)
+    assert state() == [(1, "a"), (2, "a"), (3, "b")]
+    table.compact()
+    table.compact()
+    assert files.numbered_folders(spark, f"{table.path}/base", "upto=") == [1, 3]
+    assert state() == [(1, "a"), (2, "a"), (3, "b")]
 
 
 def test_unfinished_folders_are_not_read(spark, tmp_path):
@@ -370,6 +374,24 @@ def test_load_extracts(spark, tmp_path):
         30, dt.date(2001, 8, 7), True)
 
 
+def test_extract_records(spark, tmp_path):
+    """Quoted line breaks stay, the first record of a key counts, rejects are counted, surplus fields fail."""
+    extracts = write_extracts(tmp_path)
+    people = "customer_id,date_of_birth,borough,neighborhood,zip_code,name\n"
+    (tmp_path / "customers.csv").write_text(
+        people + '7,02-03-1980,"two\nlines",n,01,First\n7,02-03-1980,b,n,01,Second\nx,02-03-1980,b,n,01,NoKey\n8,bad,b,n,01,Ann\n')
+    load.load_extracts(spark, extracts, f"{tmp_path}/db", f"{tmp_path}/stage")
+    got = {r.customer_id: r for r in spark.read.parquet(f"{tmp_path}/db/customer").collect()}
+    assert set(got) == {7, 8} and (got[7].borough, got[7].name) == ("two\nlines", "First")
+    counts = {(r.extract, r.reason): r.records for r in load.reject_counts(spark, extracts).collect()}
+    assert counts["customer", "no key"] == 1 and counts["customer", "unreadable date_of_birth"] == 1
+    (tmp_path / "customers.csv").write_text(people + "9,02-03-1980,b,n,01,Doe, Jo\n")
+    assert {(r.extract, r.reason) for r in load.reject_counts(spark, extracts).collect()} >= {("customer", "surplus fields")}
+    with pytest.raises(Exception, match="more fields"):
+        load.load_extracts(spark, extracts, f"{tmp_path}/db2", f"{tmp_path}/stage2")
+    assert not files.path_exists(spark, f"{tmp_path}/db2")
+
+
 def test_bad_extract_leaves_tables_alone(spark, tmp_path):
     extracts = write_extracts(tmp_path)
     with pytest.raises(Exception):

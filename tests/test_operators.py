@@ -140,7 +140,7 @@ def test_hot_key_leaves_each_task_as_one_row(spark):
 def test_keep_one(spark):
     df = spark.createDataFrame(
         [(1, 2, "b"), (1, 1, "z"), (1, 1, None), (2, 5, "q")], "k int, o int, v string")
-    assert pairs(keep_one(df, ["k"], ["o"])) == [(1, 1, None), (2, 5, "q")]
+    assert pairs(keep_one(df, ["k"], ["o"])) == [(1, 1, "z"), (2, 5, "q")]  # a value before none
     assert pairs(keep_one(df, ["k"], ["o"], last=True)) == [(1, 2, "b"), (2, 5, "q")]
     assert keep_one(df.select("k"), ["k"]).count() == 2
     assert keep_one(df, ["k"]).columns == ["k", "o", "v"]
