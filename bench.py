@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_RUNS    timed runs per query after one warm-up (default 1)
+BENCH_RUNS    timed runs per query after one warm-up (default 3; the median counts)
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g",

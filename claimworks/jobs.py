@@ -11,8 +11,9 @@ import time
 from pyspark.sql import SparkSession
 
 from .functions.geo import geocode, geocode_udf, hash_geocoder
+from .operators.checks import check_declared
 from .plans import gold, load, publish, training
-from .schemas import CAPTURED
+from .schemas import CAPTURED, DECLARED
 from .session import build_session
 from .sources.sinks import EVERY_MINUTE
 from .streaming import ingest, refine
@@ -64,19 +65,28 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             open_table(spark, f"{bronze}/{name}", keys, args.format).compact()
         for table in refine.SILVER_TABLES:
             open_table(spark, f"{silver}/{table.name}", table.keys, args.format).compact()
+    elif args.job == "check":
+        for name, declared in DECLARED.items():
+            rows = open_table(spark, f"{bronze}/{name}", [declared.key], args.format).read()
+            if rows is not None:
+                check_declared(rows, declared).where("violations > 0").show(truncate=False)
     elif args.job == "load":
         load.load_extracts(
             spark, {"customer": args.customers, "policy": args.policies, "claim": args.claims},
             f"{args.base}/database", f"{args.base}/_staging/{int(time.time())}", args.format)
     elif args.job == "publish":
         target = {"folder": args.folder} if args.folder else {"servers": args.servers, "topic": args.topic}
-        print(f"sent {publish.publish_telematics(spark, args.source, **target)} messages")
+        sent = publish.publish_telematics(spark, args.source, **target)
+        if sent is None:
+            raise SystemExit(f"{args.source} is not readable")
+        print(f"sent {sent} messages")
     elif args.job == "train":
         if args.images:
             images = training.folder_images(spark, args.images)
         else:
             images = training.table_images(
-                open_table(spark, f"{silver}/training_images", ["path"], args.format).read())
+                open_table(spark, f"{silver}/training_images", ["path"], args.format).read(),
+                f"{args.landing or f'{args.base}/landing'}/training_imgs")
         params = training.Params(epochs=args.epochs, seed=args.seed, img_size=args.img_size, reg=args.reg)
         done = training.train_images(
             images, f"{args.base}/runs/{args.experiment_name}", args.run_id, params)
@@ -106,17 +116,19 @@ def parser() -> argparse.ArgumentParser:
     job("silver", stream=True).add_argument("--propagate-deletes", action="store_true")
     job("gold").add_argument("--geocode-udf", action="store_true")
     job("compact")
+    job("check")
     extracts = job("load")
     for name in ("customers", "policies", "claims"):
         extracts.add_argument(f"--{name}", required=True, help="headed CSV")
     job("publish", topic="telematics_topic").add_argument("--source", required=True)
     train = job("train")
     train.add_argument("--images", help="folder of images instead of the silver table")
+    train.add_argument("--landing", help="where the silver table's images lie")
     train.add_argument("--experiment_name", default="damage")
     train.add_argument("--run_id", default=time.strftime("%Y%m%d-%H%M%S"))
     train.add_argument("--epochs", type=int, default=5)
     train.add_argument("--reg", type=float, default=0.0)
-    train.add_argument("--img_size", type=int, default=16)
+    train.add_argument("--img_size", type=int, default=224)
     train.add_argument("--seed", type=int, default=42)
     return root
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import Declared
+
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; null keys are the not-null check's matter."""
@@ -39,14 +41,27 @@ def check_domain(
     max_digits: Mapping[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Text length limits and decimal(precision, scale) ranges."""
-    rules = {
-        f"length({c})<={n}": F.length(c) > n for c, n in (max_length or {}).items()
-    }
-    for c, (precision, scale) in (max_digits or {}).items():
+    return _counted(df, _domain_rules(max_length or {}, max_digits or {}))
+
+
+def _domain_rules(
+    max_length: Mapping[str, int], max_digits: Mapping[str, tuple[int, int]]
+) -> dict[str, Column]:
+    rules = {f"length({c})<={n}": F.length(c) > n for c, n in max_length.items()}
+    for c, (precision, scale) in max_digits.items():
         rules[f"numeric({c},{precision},{scale})"] = F.col(c).isNotNull() & F.col(c).try_cast(
             f"decimal({precision},{scale})"
         ).isNull()
-    return _counted(df, rules)
+    return rules
+
+
+def check_declared(df: DataFrame, declared: Declared) -> DataFrame:
+    """All declared constraints of a table: one pass for the columns, one aggregate for the key."""
+    rules = {f"not_null({c})": F.col(c).isNull() for c in declared.not_null}
+    return (
+        _counted(df, {**rules, **_domain_rules(declared.lengths, declared.digits)})
+        .unionByName(check_unique(df, [declared.key]))
+    )
 
 
 def check_foreign_key(

@@ -5,50 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 10_000
-SLOT_DIGITS = 3  # leading hex digits of a row's digest: 4096 slots
-
-
 def stratified_split(
     df: DataFrame, label: str, key: str, fraction: str = "0.2", seed: int = 42
 ) -> DataFrame:
     """Mark ``ceil(fraction * n)`` rows of each class as held out, in ``is_held_out``.
 
-    Rows rank by the digest of (key, seed). Ranking a class in one window would
-    put a class holding most of the rows into one task; instead a histogram
-    over the digest's first digits says which slot holds the cut, and only that
-    slot, 1/4096 of the class, is ranked row by row.
+    Rows rank by the digest of (key, seed), then by the key. Ranking a class in
+    one window would put a class holding most of the rows into one task; instead
+    digests are dealt to sqrt(n) slots per class, a histogram says which slot
+    holds the cut, and only that slot is ranked row by row.
     """
-    spread = df.withColumn(
-        "_digest", F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
-    ).withColumn("_slot", F.substring("_digest", 1, SLOT_DIGITS))
-
-    per_class = Window.partitionBy(label)
-    histogram = (
-        spread.groupBy(label, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(per_class.orderBy("_slot")))
-        .withColumn("_total", F.sum("_n").over(per_class))
-        .withColumn(
-            "_wanted",
-            F.ceil(F.col("_total").cast("decimal(18,0)") * F.lit(fraction).cast("decimal(9,6)")),
-        )
+    digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    share = F.conv(F.substring("_digest", 1, 12), 16, 10).cast("double") / float(16**12)
+    spread = df.withColumn("_digest", digest)
+    sizes = spread.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_total"))
+    slot = F.floor(share * F.ceil(F.sqrt("_total")))
+    spread = spread.join(sizes, spread[label].eqNullSafe(sizes["_label"])).drop("_label").withColumn("_slot", slot)
+
+    histogram = spread.groupBy(label, "_total", "_slot").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_upto", F.sum("_n").over(Window.partitionBy(label).orderBy("_slot"))
+    ).withColumn(
+        "_wanted", F.ceil(F.col("_total").cast("decimal(18,0)") * F.lit(fraction).cast("decimal(9,6)"))
     )
     cuts = histogram.filter(
         (F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted"))
     ).select(
-        label,
-        F.col("_slot").alias("_cut"),
+        F.col(label).alias("_label"), F.col("_slot").alias("_cut"),
         (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_left"),
     )
 
-    # One row per class. Up to a checked number they are broadcast and the rows,
-    # images among them, stay where they are; beyond it the cuts stay distributed.
-    few = cuts.limit(MAX_CLASSES + 1).collect()
-    if len(few) <= MAX_CLASSES:
-        cuts = F.broadcast(df.sparkSession.createDataFrame(few, cuts.schema))
-
-    placed = spread.join(cuts, spread[label].eqNullSafe(cuts[label]), "left").drop(cuts[label])
-    clear = placed.filter(F.col("_slot") != F.coalesce("_cut", F.lit(""))).withColumn(
+    # One row per class; the planner broadcasts it where its measured size allows.
+    placed = spread.join(cuts, spread[label].eqNullSafe(cuts["_label"]), "left").drop("_label")
+    clear = placed.filter(~F.col("_slot").eqNullSafe(F.col("_cut"))).withColumn(
         "is_held_out", F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False))
     )
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_digest", key))

@@ -8,16 +8,16 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.images import decoded
 from ..functions.text import training_label
 from ..operators.labels import accuracy_pct, label_indexer
 from ..operators.split import stratified_split
+from ..session import scratch_dir
 from ..sources.readers import image_folder, scan
 from ..sources.sinks import append, overwrite
 
@@ -26,20 +26,23 @@ CHANNEL_MEAN = (0.485, 0.456, 0.406)
 CHANNEL_STD = (0.229, 0.224, 0.225)
 
 
-def _resize(image: np.ndarray, size: int) -> np.ndarray:
-    """Bilinear resize of (height, width, 3) to (size, size, 3), pixel centres aligned."""
+def _shares(length: int, size: int) -> np.ndarray:
+    """(size, length) weights: how much of each pixel lies under each output pixel, rows summing to 1.
 
-    def axis(length: int):
+    Shrinking averages the covered area, so every pixel counts; enlarging interpolates linearly.
+    """
+    if size >= length:
         at = np.clip((np.arange(size) + 0.5) * length / size - 0.5, 0, length - 1)
-        low = np.floor(at).astype(int)
-        return low, np.minimum(low + 1, length - 1), at - low
+        return np.maximum(0, 1 - abs(at[:, None] - np.arange(length)))
+    edges = np.arange(size + 1) * length / size
+    under = np.minimum(edges[1:, None], np.arange(length) + 1) - np.maximum(edges[:-1, None], np.arange(length))
+    return np.maximum(0, under) * size / length
+
 
-    top, bottom, dy = axis(image.shape[0])
-    left, right, dx = axis(image.shape[1])
-    dy, dx = dy[:, None, None], dx[None, :, None]
-    upper = image[top][:, left] * (1 - dx) + image[top][:, right] * dx
-    lower = image[bottom][:, left] * (1 - dx) + image[bottom][:, right] * dx
-    return upper * (1 - dy) + lower * dy
+def _resize(image: np.ndarray, size: int) -> np.ndarray:
+    """(height, width, channels) to (size, size, channels)."""
+    rows = np.tensordot(_shares(image.shape[0], size), image, 1)
+    return np.tensordot(_shares(image.shape[1], size), rows, (1, 1)).transpose(1, 0, 2)
 
 
 def pixel_features(size: int):
@@ -70,7 +73,7 @@ def pixel_features(size: int):
 def features_of(images: DataFrame, size: int) -> DataFrame:
     """(path, label, height, width, channels, pixels) to (path, label, features).
 
-    Images without a label or that did not decode are left out.
+    Images without a label or that did not decode are left out; ``undecoded`` lists the latter.
     """
     features = pixel_features(size)("height", "width", "channels", "pixels")
     return (
@@ -80,15 +83,20 @@ def features_of(images: DataFrame, size: int) -> DataFrame:
 
 
 def folder_images(spark: SparkSession, folder: str) -> DataFrame:
-    """``<n>-<label>[ (<k>)].png`` files, decoded in the JVM."""
+    """``<n>-<label>[ (<k>)].png`` files, decoded in the JVM; files that do not decode have null pixels."""
     return image_folder(spark, folder).withColumn("label", training_label("path"))
 
 
-def table_images(images: DataFrame) -> DataFrame:
-    """Rows of the silver training table, decoded from their content column."""
-    raster = images.filter(F.col("label") != "").select(
-        "path", "label", decoded("content").alias("r"))
-    return raster.select("path", "label", "r.*")
+def table_images(images: DataFrame, folder: str) -> DataFrame:
+    """Rows of the silver training table, decoded in the JVM from the files at their paths."""
+    labels = images.filter(F.col("label") != "").select(file_name("path").alias("_name"), "label")
+    decoded = image_folder(images.sparkSession, folder, recursive=True)
+    return decoded.withColumn("_name", file_name("path")).join(labels, "_name").drop("_name")
+
+
+def file_name(path: str) -> Column:
+    """A path without its scheme, escapes undone: the streaming and the image source write it differently."""
+    return F.regexp_replace(F.replace(F.col(path), F.lit("%20"), F.lit(" ")), "^[a-z0-9]+:/*", "/")
 
 
 @dataclass(frozen=True)
@@ -97,8 +105,7 @@ class Params:
     reg: float = 0.0
     fraction: str = "0.2"
     seed: int = 42
-    img_size: int = 16
-    score_every_epoch: bool = True
+    img_size: int = 224
 
 
 @dataclass(frozen=True)
@@ -121,9 +128,10 @@ def fit_head(train: DataFrame, epochs: int, reg: float = 0.0):
         regParam=reg, tol=0.0,
     ).fit(train)
     losses = [float(x) for x in model.summary.objectiveHistory][1:]
-    # A two-class summary drags the session into every scoring task, and a
-    # session that has run an Observation does not serialise.
-    model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    # A stored model has no summary, which would drag the session into every scoring task.
+    path = scratch_dir(train.sparkSession, "model")
+    model.write().save(path)
+    model = LogisticRegressionModel.load(path)
     return model, losses
 
 
@@ -131,26 +139,17 @@ def train(df: DataFrame, key: str, params: Params = Params()) -> Run:
     """Fit on (key, label, features) with a stratified hold-out.
 
     Features stay distributed; the driver sees the class list, the loss per
-    epoch and one accuracy per scored model. Stopping after ``e`` iterations
-    gives epoch ``e``'s model, which is how single epochs are scored; with
-    ``score_every_epoch`` off only the last is, in one fit.
+    epoch and the last model's accuracy. One fit makes all epochs.
     """
     spark = df.sparkSession
     df = df.select(key, "label", array_to_vector(F.col("features").cast("array<double>")).alias("vector"))
     indexer = label_indexer(df)
     split = stratified_split(indexer.transform(df), "label", key, params.fraction, params.seed).persist()
     try:
-        fitted = split.filter("not is_held_out")
-        held_out = split.filter("is_held_out")
-        model, losses = fit_head(fitted, params.epochs, params.reg)
-        rows = []
-        for epoch, loss in enumerate(losses, start=1):
-            score = None
-            if epoch == len(losses):
-                score = accuracy(model, held_out)
-            elif params.score_every_epoch:
-                score = accuracy(fit_head(fitted, epoch, params.reg)[0], held_out)
-            rows.append((epoch, loss, score))
+        model, losses = fit_head(split.filter("not is_held_out"), params.epochs, params.reg)
+        score = accuracy(model, split.filter("is_held_out"))
+        rows = [(epoch, loss, score if epoch == len(losses) else None)
+                for epoch, loss in enumerate(losses, start=1)]
     finally:
         split.unpersist()
     return Run(
@@ -177,6 +176,7 @@ def train_images(
     """
     spark, features = images.sparkSession, f"{run_path}/features/{run_id}"
     overwrite(features_of(images, params.img_size), features)
+    overwrite(images.filter(F.col("pixels").isNull()).select("path"), f"{run_path}/undecoded/{run_id}")
     run = train(scan(spark, features), "path", params)
     record(run, run_path, run_id)
     return run

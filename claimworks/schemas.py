@@ -6,6 +6,8 @@ systems and stay in the order the sources define.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import types as T
 
 
@@ -60,3 +62,30 @@ CAPTURED = {
     "claim": (CLAIM, ["claim_no"]),
     "customer": (CUSTOMER, ["customer_id"]),
 }
+
+
+@dataclass(frozen=True)
+class Declared:
+    """What the source database declares about a table."""
+
+    key: str
+    not_null: tuple[str, ...] = ()
+    lengths: dict[str, int] = field(default_factory=dict)
+    digits: dict[str, tuple[int, int]] = field(default_factory=dict)
+
+
+# Keys, obligatory columns, text lengths and decimal ranges of the source tables.
+DECLARED = {
+    "policy": Declared(
+        "policy_no", ("policy_no", "cust_id"),
+        {**dict.fromkeys(("policy_no", "cust_id", "policytype", "make", "model", "chassis_no"), 50),
+         "use_of_vehicle": 100, "product": 100},
+        {"sum_insured": (15, 2), "premium": (15, 2)}),
+    "claim": Declared(
+        "claim_no", ("claim_no", "policy_no"),
+        dict.fromkeys(("claim_no", "policy_no", "collision_type", "insured_relationship", "incident_type",
+                       "incident_severity"), 50)),
+    "customer": Declared(
+        "customer_id", ("customer_id",),
+        {"borough": 100, "neighborhood": 150, "zip_code": 10, "name": 255}),
+}

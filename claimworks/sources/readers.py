@@ -118,9 +118,9 @@ def csv_rejects(spark: SparkSession, path: str) -> DataFrame:
 def image_folder(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """Images decoded by the JVM: (path, height, width, channels, pixels).
 
-    Pixels are rows of blue-green-red bytes. Broken files are left out.
+    Pixels are rows of blue-green-red bytes, null where a file does not decode.
     """
-    reader = spark.read.format("image").option("dropInvalid", "true").option(
+    reader = spark.read.format("image").option("dropInvalid", "false").option(
         "pathGlobFilter", IMAGE_GLOB
     )
     if recursive:
@@ -130,5 +130,5 @@ def image_folder(spark: SparkSession, folder: str, recursive: bool = False) -> D
         F.col("image.height").alias("height"),
         F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("channels"),
-        F.col("image.data").alias("pixels"),
+        F.when(F.col("image.height") > 0, F.col("image.data")).alias("pixels"),
     )

@@ -238,6 +238,7 @@ def test_training_on_files(spark, tmp_path):
     assert labels == {"dent": 0, "scratch": 1}
     assert {r["name"] for r in spark.read.parquet(f"{tmp_path}/runs/params").collect()} >= {"epochs", "seed"}
     assert files.path_exists(spark, f"{tmp_path}/runs/models/r1")
+    assert spark.read.parquet(f"{tmp_path}/runs/undecoded/r1").count() == 1
     features = spark.read.parquet(f"{tmp_path}/runs/features/r1").select(
         "label", F.col("features").cast("array<double>").alias("f"))
     expected = (200 / 255 - 0.485) / 0.229
@@ -247,53 +248,13 @@ def test_training_on_files(spark, tmp_path):
     done(*refine.start_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/cps", trigger=None,
                               tables=[t for t in refine.SILVER_TABLES if t.name == "training_images"]))
     stored = open_table(spark, f"{tmp_path}/silver/training_images", ["path"]).read()
-    again = training.train_images(training.table_images(stored), runs, "r2", params)
+    again = training.train_images(training.table_images(stored, str(tmp_path / "imgs")), runs, "r2", params)
     assert [tuple(m) for m in again.metrics.orderBy("epoch").collect()] == [
         pytest.approx(tuple(m)) for m in metrics]
     example = features.select("label", training.array_to_vector("f").alias("vector"))
     assert {"prediction", "probability"} <= set(training.signature(run.model, example).names)
 
 
-def test_png_filters(spark):
-    """Every filter and colour type gives back the image it was made from."""
-    import numpy as np
-
-    from claimworks.functions.images import decode_png
-
-    rng = np.random.default_rng(0)
-
-    def chunk(kind, data):
-        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-
-    def encode(image, colour, kind, palette=b""):
-        height, width, samples = image.shape
-        lines = []
-        for y in range(height):
-            row, above = image[y].astype(int), image[y - 1].astype(int) if y else np.zeros((width, samples), int)
-            left = np.vstack([np.zeros((1, samples), int), row[:-1]])
-            corner = np.vstack([np.zeros((1, samples), int), above[:-1]])
-            guess = left + above - corner
-            a, b, c = abs(guess - left), abs(guess - above), abs(guess - corner)
-            paeth = np.where((a <= b) & (a <= c), left, np.where(b <= c, above, corner))
-            base = [0, left, above, (left + above) // 2, paeth][kind]
-            lines.append(bytes([kind]) + ((row - base) % 256).astype(np.uint8).tobytes())
-        head = struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0)
-        extra = chunk(b"PLTE", palette) if palette else b""
-        return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + extra
-                + chunk(b"IDAT", zlib.compress(b"".join(lines))) + chunk(b"IEND", b""))
-
-    for colour, samples in ((0, 1), (2, 3), (4, 2), (6, 4)):
-        image = rng.integers(0, 256, (5, 7, samples), dtype=np.uint8)
-        want = image[:, :, {1: [0], 2: [0], 3: [2, 1, 0], 4: [2, 1, 0, 3]}[samples]]
-        for kind in range(5):
-            assert np.array_equal(decode_png(encode(image, colour, kind)), want)
-    palette = rng.integers(0, 256, (4, 3), dtype=np.uint8)
-    index = rng.integers(0, 4, (3, 3, 1), dtype=np.uint8)
-    found = decode_png(encode(index, 3, 0, palette.tobytes()))
-    assert np.array_equal(found, palette[index[:, :, 0]][:, :, ::-1])
-    assert decode_png(b"nonsense") is None
-
-
 def test_resize_keeps_gradients(spark):
     import numpy as np
 
@@ -301,6 +262,10 @@ def test_resize_keeps_gradients(spark):
     half = training._resize(ramp, 4)
     assert half.shape == (4, 4, 3) and np.allclose(half[0, :, 0], [0.5, 2.5, 4.5, 6.5])
     assert np.allclose(training._resize(ramp, 8), ramp)
+    noise = np.random.default_rng(1).random((37, 61, 3))
+    small = training._resize(noise, 5)
+    assert small.shape == (5, 5, 3) and np.allclose(small.mean(), noise.mean())  # every pixel counts
+    assert np.allclose(training._resize(noise, 1)[0, 0], noise.mean((0, 1)))
 
 
 def test_silver_policy_and_claim(either_ansi):
