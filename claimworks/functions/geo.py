@@ -81,9 +81,9 @@ def _no_place() -> Column:
 def geocode(df: DataFrame, address: str, locate, out: str = "lat_long") -> DataFrame:
     """Add coordinates, looking every distinct address up once.
 
-    The distinct step combines map-side and the join back is salted, so one
-    address shared by a third of the rows costs one look-up and fills no task
-    alone. A row without an address gets null coordinates.
+    The distinct step combines map-side, so an address shared by a third of the
+    rows costs one look-up; the join back is plain, for AQE to broadcast or
+    split. A row without an address gets null coordinates.
     """
     known = df.select(address).filter(F.col(address).isNotNull()).distinct()
     places = known.withColumn(out, locate(F.col(address)))
