@@ -70,9 +70,14 @@ def parse_timestamp(c: ColumnOrName, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Co
     return F.try_to_timestamp(as_column(c), F.lit(pattern)).cast("timestamp")
 
 
+USUAL_DATES = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy",
+               "d MMM yyyy", "MMM d, yyyy", "yyyyMMdd")
+
+
 def parse_date(c: ColumnOrName, *patterns: str) -> Column:
-    """The first pattern that fits; ISO dates, with or without time, by default."""
-    tries = patterns or ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
+    """The first pattern that fits; by default ISO dates, with or without time, then other usual forms
+    (month before day where both are numbers)."""
+    tries = patterns or USUAL_DATES
     return F.coalesce(*[parse_timestamp(c, p).cast("date") for p in tries])
 
 

@@ -10,11 +10,12 @@ import time
 
 from pyspark.sql import SparkSession
 
-from .functions.geo import geocode, geocode_udf, hash_geocoder
+from .functions.geo import geocode_from_table
 from .operators.checks import check_declared
 from .plans import gold, load, publish, training
 from .schemas import CAPTURED, DECLARED
 from .session import build_session
+from .sources.readers import scan
 from .sources.sinks import EVERY_MINUTE
 from .streaming import ingest, refine
 from .streaming.tables import open_table
@@ -56,9 +57,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         wait(spark, streams, args.once)
     elif args.job == "gold":
         locate = None
-        if args.geocode_udf:
+        if args.places:
             def locate(df):
-                return geocode(df, "address", geocode_udf(hash_geocoder))
+                return geocode_from_table(df, "address", scan(spark, args.places, args.format))
         gold.build_gold(spark, silver, f"{args.base}/gold", args.format, locate)
     elif args.job == "compact":
         for name, keys in [(n, k) for n, (_, k) in CAPTURED.items()]:
@@ -114,7 +115,7 @@ def parser() -> argparse.ArgumentParser:
     job("ingest-telematics", stream=True, topic="telematics_topic")
     job("ingest-objects", stream=True).add_argument("--landing")
     job("silver", stream=True).add_argument("--propagate-deletes", action="store_true")
-    job("gold").add_argument("--geocode-udf", action="store_true")
+    job("gold").add_argument("--places", help="table of (address, latitude, longitude)")
     job("compact")
     job("check")
     extracts = job("load")

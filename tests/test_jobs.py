@@ -399,6 +399,8 @@ def test_command_line_runs_the_whole_chain(spark, tmp_path):
         ("claim", "c", {"claim_no": "C1", "policy_no": "P1"}, 1)])
     readings = [row(TELEMATICS, chassis_no="A", event_timestamp="2024-01-01 00:00:00", speed="7")]
     spark.createDataFrame(readings, TELEMATICS).write.parquet(f"{base}/readings")
+    spark.createDataFrame([("Bronx, 10451", 40.5, -73.5)], "address string, latitude double, longitude double").write.parquet(
+        f"{base}/places")
     png(tmp_path / "landing/claims/images/a.jpg", 1)
     for i in range(10):
         png(tmp_path / f"landing/training_imgs/{i}-{'dent' if i % 2 else 'scratch'}.png", 250 * (i % 2))
@@ -408,13 +410,14 @@ def test_command_line_runs_the_whole_chain(spark, tmp_path):
         f"publish --source {base}/readings --folder {base}/topics/telematics",
         f"ingest-changes --once --folder {base}/topics/changes",
         f"ingest-telematics --once --folder {base}/topics/telematics",
-        "ingest-objects --once", "silver --once", "gold --geocode-udf",
-        "train --epochs 2 --img_size 2 --run_id r1",
+        "ingest-objects --once", "silver --once", f"gold --places {base}/places",
+        "compact", "check", "train --epochs 2 --img_size 2 --run_id r1",
     ):
         name, *rest = line.split()
         jobs.run(spark, jobs.parser().parse_args([name, "--base", base, *rest]))
     enriched = spark.read.parquet(f"{base}/gold/customer_claim_policy_telematics").collect()
     assert [(r["claim_no"], r["firstname"], r["avg_speed"]) for r in enriched] == [("C1", "Ann", 7.0)]
+    assert enriched[0]["lat_long"]["latitude"] == 40.5
     assert files.path_exists(spark, f"{base}/runs/damage/models/r1")
 
 
