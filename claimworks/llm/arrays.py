@@ -21,7 +21,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARD_BYTES = 48 << 20  # text bytes behind one shard
+SHARD_BYTES = 32 << 20  # text bytes behind one shard
 ENTRIES = 1_500_000  # entries a worker combines at a time
 
 Columns = tuple[np.ndarray, ...]
