@@ -33,8 +33,11 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
-    return redact(docs).withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    """All documents, personal data replaced by its kind in brackets; n_chars follows where the text changed."""
+    done = redact(docs.withColumn("_before", F.col("text")))
+    same = F.col("text").eqNullSafe(F.col("_before"))
+    n_chars = F.when(same, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.withColumn("n_chars", n_chars).drop("_before")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
