@@ -103,7 +103,10 @@ def block_matches(text: Column, templates: dict[str, str], order: list[str], thr
 
 def scan(docs: DataFrame, text_col: str = "text", templates: dict[str, str] = TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``license_matches``, an array of (block, label, containment); null texts have none."""
+    """``docs`` with ``license_matches``, an array of (block, label, containment); null texts have none.
+
+    A block is a line. A column of that name is replaced.
+    """
     order = token_order(docs, sorted({w for t in templates.values() for w in tokens_of(t)}), text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.withColumn("license_matches", block_matches(text, templates, order, threshold))

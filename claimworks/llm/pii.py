@@ -206,7 +206,11 @@ def decided(spans: Column, weights: dict[str, float]) -> Column:
 
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``pii_spans``: every base span and every other span the trained classifier takes."""
+    """``docs`` with ``pii_spans``: every base span and every other span the trained classifier takes.
+
+    A column of that name is replaced. Null texts have no spans; without any
+    candidate in ``docs`` nothing is learned and only base spans could be there.
+    """
     return docs.withColumn("pii_spans", decided(candidates(F.col(text_col)), fit(docs, text_col)))
 
 
