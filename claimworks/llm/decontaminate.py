@@ -26,7 +26,13 @@ UNITS = set("mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hour
             "inches foot feet gram grams kilogram kilograms pound pounds liter liters litre litres dollar dollars cent "
             "cents euro euros percent degree degrees".split())
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*")
-_NAME = re.compile(r"(?<=[^\W\d_A-Z,;][ ])[A-Z][a-z]+|(?<=[,;][ ])[A-Z][a-z]+")
+_DIGIT = re.compile(r"\d")
+_CAPITAL = re.compile(r" [A-Z][a-z]")
+
+
+def _inside(before: str) -> bool:
+    """Whether a sentence goes on after this character: a letter other than A-Z, a comma or a semicolon."""
+    return before in (",", ";") or before.isalpha() and not "A" <= before <= "Z"
 
 
 def canonical(text: str | None) -> tuple[list[str], list[str]]:
@@ -35,11 +41,14 @@ def canonical(text: str | None) -> tuple[list[str], list[str]]:
     A name is a capitalised word (A-Z, then a-z) inside a sentence; a unit stands behind a number.
     """
     text = text or ""
-    plain = _TOKEN.findall(text.lower())
-    names = {m.start() for m in _NAME.finditer(text)} if text.isascii() or len(text.lower()) == len(text) else set()
-    if not names and not any(c.isdigit() for c in text) and NUMBERS.isdisjoint(plain):
+    lowered = text.lower()
+    plain = _TOKEN.findall(lowered)
+    names = {m.start() + 1 for m in _CAPITAL.finditer(text) if _inside(text[m.start() - 1:m.start()])}
+    if len(lowered) != len(text):  # places no longer agree
+        names = set()
+    if not names and not _DIGIT.search(text) and NUMBERS.isdisjoint(plain):
         return plain, plain
-    starts = [m.start() for m in _TOKEN.finditer(text.lower())] if names else ()
+    starts = [m.start() for m in _TOKEN.finditer(lowered)] if names else ()
     out = list(plain)
     for i, w in enumerate(plain):
         if w[0].isdigit() or w in NUMBERS:
@@ -52,7 +61,7 @@ def canonical(text: str | None) -> tuple[list[str], list[str]]:
 
 
 def _hashed(words: list[str]) -> np.ndarray:
-    return hashes([w.encode("utf-8", "surrogatepass") for w in words])
+    return hashes(words)
 
 
 def _windows(text: str | None, widths: tuple[int, ...]) -> list[tuple[int, np.ndarray, list[str], list[str]]]:

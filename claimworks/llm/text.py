@@ -18,7 +18,8 @@ def words(text: str | None, lower: bool = False) -> list[bytes]:
     return (data.translate(LOWER_ASCII) if lower else data).split()
 
 
-def hashes(tokens: list[bytes]) -> np.ndarray:
+def hashes(tokens: list[bytes] | list[str]) -> np.ndarray:
+    """XXH64 of each token's bytes (of text: its UTF-8)."""
     digest = xxhash.xxh64_intdigest
     return np.fromiter(map(digest, tokens), np.uint64, len(tokens))
 
