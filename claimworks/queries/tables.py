@@ -21,6 +21,7 @@ from ..sources.readers import scan, scan_csv
 from ..sources.sinks import append, create_if_absent, overwrite, write_topic
 from . import standins
 from .registry import portable, query, single, single_sql, table
+from .streams import write_files
 
 
 @query("count_rows", "select count(*) as messages, count(*) as sent from lineitem")
@@ -198,6 +199,105 @@ def clean_claims(spark, sf):
     return portable(load.load_claims(extract))
 
 
+BROKEN_CUSTOMER = {**CSV_CUSTOMER, "neighborhood": "case when c_custkey % 7 = 0 then null else c_mktsegment || chr(10) || 'north, \"1\"' end"}
+SURPLUS_ROWS = "c_custkey % 50 = 0"
+
+
+def customer_files(spark, sf, folder: str, surplus: bool = False) -> str:
+    """Customer extracts of a thousand records, some fields with line breaks, some records with a field too many."""
+    customer = table(spark, sf, "customer")
+    values = F.struct(*[F.expr(e).cast("string").alias(n) for n, e in BROKEN_CUSTOMER.items()])
+    line = F.to_csv(values, {"quoteAll": "true", "escape": '"'})
+    if surplus:
+        line = F.when(F.expr(SURPLUS_ROWS), F.concat(line, F.lit(",more"))).otherwise(line)
+    files = customer.select(F.floor(F.col("c_custkey") / 1000).alias("n"), line.alias("line")).groupBy("n").agg(
+        F.array_join(F.collect_list("line"), "\n").alias("lines"))
+    header = F.lit(",".join(BROKEN_CUSTOMER) + "\n")
+    write_files(files.select(F.concat(F.lit("part-"), F.col("n").cast("string"), F.lit(".csv")).alias("name"),
+                             F.concat(header, "lines").cast("binary").alias("content")), folder)
+    return folder
+
+
+@query("csv_quoted_breaks", f"""
+    select {', '.join(f'{_csv_sql(c)} as {c}' for c in BROKEN_CUSTOMER)}
+    from (select {standins.select_list(BROKEN_CUSTOMER)} from customer)""")
+def csv_quoted_breaks(spark, sf):
+    return scan_csv(spark, customer_files(spark, sf, scratch_dir(spark, "breaks")))
+
+
+def extracts(spark, sf, surplus: bool = False, copies: int = 1) -> dict[str, str]:
+    """The three extracts; with copies, every policy and claim again behind all first records, one column changed."""
+    root = scratch_dir(spark, "extracts")
+
+    def written(name: str, source: str, columns: dict[str, str], changed: str) -> str:
+        rows = reduce(DataFrame.unionByName, [
+            table(spark, sf, source).selectExpr(*[f"{e} as `{n}`" for n, e in columns.items()]).withColumn(
+                changed, F.col(f"`{changed}`") if k == 0 else F.lit(f"copy {k}")).withColumn("copy", F.lit(k))
+            for k in range(copies)])
+        rows.coalesce(1).sortWithinPartitions("copy").drop("copy").write.option("header", "true").option(
+            "escape", '"').csv(f"{root}/{name}")
+        return f"{root}/{name}"
+
+    return {"customer": customer_files(spark, sf, f"{root}/customer", surplus),
+            "policy": written("policy", "orders", CSV_POLICY, "PRODUCT"),
+            "claim": written("claim", "lineitem", CSV_CLAIM, "severity")}
+
+
+def _rejects_sql() -> str:
+    def source(columns: dict[str, str], name: str, where: str = "true") -> str:
+        raw = f"(select {_quoted(columns)} from {name} where {where})"
+        return "(select " + ", ".join(f'{_csv_sql(chr(34) + c + chr(34))} as "{c}"' for c in columns) + f" from {raw})"
+
+    def date(c: str, pattern: str) -> str:
+        return f"try_strptime({c}, '{pattern}')"
+
+    customers = source(BROKEN_CUSTOMER, "customer", f"not ({SURPLUS_ROWS})")
+    policies, claims = source(CSV_POLICY, "orders"), source(CSV_CLAIM, "lineitem")
+    numbers = ("months_as_customer", "injury", "property", "vehicle", "total", "number_of_vehicles_involved", "age",
+               "hour", "number_of_witnesses")
+    cases = [("customer", customers, "customer_id", _whole("customer_id"), {"date_of_birth": date("date_of_birth", "%d-%m-%Y")}),
+             ("policy", policies, "POLICY_NO", "POLICY_NO", {
+                 "CUST_ID": _whole("CUST_ID"), "MODEL_YEAR": _whole("MODEL_YEAR"),
+                 **{c: _iso(c) for c in ("POL_ISSUE_DATE", "POL_EFF_DATE", "POL_EXPIRY_DATE")}}),
+             ("claim", claims, "claim_no", "claim_no", {
+                 **{c: _whole(f'"{c}"') for c in numbers}, "claim_date": _iso("claim_date"), "date": _iso('"date"'),
+                 "license_issue_date": date("license_issue_date", "%d-%m-%Y"),
+                 "suspicious_activity": "case lower(suspicious_activity) when 'true' then 1 when 'false' then 0 end"})]
+    parts = [f"select 'customer' as extract, 'surplus fields' as reason, count(*) as records from customer where {SURPLUS_ROWS}"]
+    for name, rows, key, typed, rules in cases:
+        names = load.POLICY_NAMES if name == "policy" else load.CLAIM_NAMES if name == "claim" else {}
+        parts.append(f"select '{name}', 'no key', count(*) from {rows} where ({typed}) is null")
+        parts += [f"""select '{name}', 'unreadable {names.get(c, c)}', count(*) from {rows}
+            where ({typed}) is not null and "{c}" is not null and ({rule}) is null""" for c, rule in rules.items()]
+    return f"select * from ({' union all '.join(parts)}) where records > 0"
+
+
+@query("load_rejects", _rejects_sql())
+def load_rejects(spark, sf):
+    """What a load of the three extracts leaves out, by reason."""
+    return load.reject_counts(spark, extracts(spark, sf, surplus=True))
+
+
+@query("load_extracts_run", f"""
+    select 'customer' as table_name, cast(customer_id as varchar) as key, neighborhood as value
+      from (select {_whole('customer_id')} as customer_id, {_csv_sql('neighborhood')} as neighborhood
+            from (select {standins.select_list(BROKEN_CUSTOMER)} from customer)) where customer_id is not null
+    union all select distinct 'policy', POLICY_NO, 'first' from (select {_quoted(CSV_POLICY)} from orders) where POLICY_NO is not null
+    union all select distinct 'claim', claim_no, 'first' from (select {_quoted(CSV_CLAIM)} from lineitem) where claim_no is not null""")
+def load_extracts_run(spark, sf):
+    """The load run twice over extracts that repeat every policy and claim: the first records stay."""
+    root = scratch_dir(spark, "loaded")
+    files = extracts(spark, sf, copies=2)
+    for attempt in range(2):
+        load.load_extracts(spark, files, f"{root}/db", f"{root}/stage-{attempt}")
+    copy = "case when {} like 'copy %' then 'later' else 'first' end"
+    columns = {"customer": ("customer_id", "neighborhood"), "policy": ("policy_no", copy.format("product")),
+               "claim": ("claim_no", copy.format("incident_severity"))}
+    return reduce(DataFrame.unionByName, [
+        scan(spark, f"{root}/db/{name}").select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"),
+                                                F.expr(value).alias("value")) for name, (key, value) in columns.items()])
+
+
 @query("append_merge_schema", """
     select c_custkey, c_name, null::varchar as c_mktsegment from customer
     union all select c_custkey, c_name, c_mktsegment from customer""")
