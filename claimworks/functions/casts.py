@@ -70,7 +70,7 @@ def parse_timestamp(c: ColumnOrName, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Co
     return F.try_to_timestamp(as_column(c), F.lit(pattern)).cast("timestamp")
 
 
-USUAL_DATES = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/M/d", "M/d/yyyy", "M-d-yyyy",
+USUAL_DATES = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/M/d", "M/d/yyyy",
                "d MMM yyyy", "MMM d, yyyy", "yyyyMMdd")
 
 

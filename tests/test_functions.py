@@ -46,8 +46,8 @@ CASES = {
                   [dt.date(2020, 2, 1), dt.date(2020, 2, 1), None, None, None]),
     "iso_date": (casts.parse_date, ["2020-02-01", "2020-02-01 10:00:00", "x"],
                  [dt.date(2020, 2, 1), dt.date(2020, 2, 1), None]),
-    "usual_dates": (casts.parse_date, ["2020/02/01", "2/1/2020", "1 Feb 2020", "Feb 1, 2020", "20200201", "02-01-2020",
-                                       "2020-02-01T10:00:00", "soon"], [dt.date(2020, 2, 1)] * 7 + [None]),
+    "usual_dates": (casts.parse_date, ["2020/02/01", "2/1/2020", "1 Feb 2020", "Feb 1, 2020", "20200201",
+                                       "2020-02-01T10:00:00", "soon"], [dt.date(2020, 2, 1)] * 6 + [None]),
     "clean_name": (text.clean_name, [' ""Doe, Jo"', None, "\tAnn\n"], ["Doe Jo", None, "Ann"]),
     "image_name": (text.image_name,
                    ["s3a://b/l/a b.jpg", "/x/a.PNG", "/x/axjpg", "/x/a.jpg.png", "/x/a.jpeg"],
