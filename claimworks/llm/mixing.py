@@ -12,6 +12,7 @@ from .text import checkpointed, table, unit
 
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in order, repeating
 MAX_EPOCHS = 3
+SMALL_PLAN = 100_000  # sources whose one row each is broadcast; more are joined by shuffle
 
 
 _PLAIN = bytes(i for i in range(256) if i >= 128 or chr(i).isalpha() or chr(i).isspace())
@@ -119,6 +120,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     cuts = _cuts(rows, plan).withColumnRenamed("source", "s")
     plan = checkpointed(plan.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s", "n", "rest")
                         .withColumnRenamed("source", "of"))
+    if plan.count() <= SMALL_PLAN:
+        plan = F.broadcast(plan)
     more = (F.when(F.col("key") < F.col("cut"), F.col("size"))
             .when(F.col("key") == F.col("cut"), F.least(F.col("size"), F.floor(F.col("left") / F.col("ties"))))
             .otherwise(0))
