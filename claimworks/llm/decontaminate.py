@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .text import hashes, table, window_hashes
 
 WIDTH = 10  # words of a window; shorter items are one window
-MIN_SHARE = 0.5  # of an item's windows that a document must hold, aligned
+MIN_SHARE = 0.5  # of an item's words that a document must hold in windows
+MIN_RUN = 30  # words of one passage that count whatever an item's length
 MIN_PLAIN = 5  # words of a template window that are no placeholders (half, if it is shorter)
 PREFILTER = 4_000_000  # window hashes that workers may hold at once; more are joined without
 
-NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
+NUMBER, NAME = "<num>", "<name>"
 # Number words and units.
 NUMBERS = set("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty "
               "seventy eighty ninety hundred thousand million".split())
@@ -28,6 +31,7 @@ UNITS = set("mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hour
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*")
 _DIGIT = re.compile(r"\d")
 _CAPITAL = re.compile(r" [A-Z][a-z]")
+_PLACEHOLDER = {kind: xxhash.xxh64_intdigest(kind) for kind in (NUMBER, NAME)}
 
 
 def _inside(before: str) -> bool:
@@ -35,10 +39,28 @@ def _inside(before: str) -> bool:
     return before in (",", ";") or before.isalpha() and not "A" <= before <= "Z"
 
 
-def canonical(text: str | None) -> tuple[list[str], list[str]]:
-    """Lower-cased words, and the same with numbers, names and units replaced by typed placeholders.
+def _slots(kinds: dict[int, str], lowered: str, words: list[str], starts: list[int]) -> list[tuple[int, int, str, str, str]]:
+    """(first word, end, kind, value, unit) of each slot; words of one kind with only blanks or a dash between are one."""
+    found: list[tuple[int, int, str, str, str]] = []
+    for i in sorted(kinds):
+        kind, value = kinds[i], words[i]
+        unit = words[i + 1] if kind == NUMBER and i + 1 < len(words) and words[i + 1] in UNITS else ""
+        end = i + 1 + bool(unit)
+        if found and found[-1][1] == i and found[-1][2] == kind and not found[-1][4] and not lowered[
+                starts[i - 1] + len(words[i - 1]):starts[i]].strip(" \t\n-"):
+            first, *_, before, _ = found.pop()
+            found.append((first, end, kind, f"{before} {value}", unit))
+        else:
+            found.append((i, end, kind, value, unit))
+    return found
+
+
+def canonical(text: str | None) -> tuple[list[str], list[list[tuple[int, int, str, str, str]]]]:
+    """Lower-cased words, and the slots of each reading of them that has some.
 
-    A name is a capitalised word (A-Z, then a-z) inside a sentence; a unit stands behind a number.
+    A name is a capitalised word (A-Z, then a-z) inside a sentence. A slot is a
+    name of any number of words, or a number of any number of words with or
+    without a unit, so a template does not change with the words of its slots.
     """
     text = text or ""
     lowered = text.lower()
@@ -46,49 +68,76 @@ def canonical(text: str | None) -> tuple[list[str], list[str]]:
     names = {m.start() + 1 for m in _CAPITAL.finditer(text) if _inside(text[m.start() - 1:m.start()])}
     if len(lowered) != len(text):  # places no longer agree
         names = set()
-    if not names and not _DIGIT.search(text) and NUMBERS.isdisjoint(plain):
-        return plain, plain
-    starts = [m.start() for m in _TOKEN.finditer(lowered)] if names else ()
-    out = list(plain)
-    for i, w in enumerate(plain):
-        if w[0].isdigit() or w in NUMBERS:
-            out[i] = NUMBER
-        elif i and out[i - 1] == NUMBER and w in UNITS:
-            out[i] = UNIT
-        elif names and starts[i] in names:
-            out[i] = NAME
-    return plain, out
-
-
-def _hashed(words: list[str]) -> np.ndarray:
-    return hashes(words)
-
-
-def _windows(text: str | None, widths: tuple[int, ...]) -> list[tuple[int, np.ndarray, list[str], list[str]]]:
-    """(width, hash by start, words, template) for both readings of a text."""
-    plain, template = canonical(text)
-    found = []
-    for read in (plain,) if template is plain else (plain, template):
-        h = _hashed(read)
-        found += [(n, window_hashes(h, n), plain, read) for n in widths if len(h) >= n]
-    return found
-
-
-def _row(h: int, start: int, n: int, plain: list[str], read: list[str]) -> tuple | None:
-    """(hash, start, template text, slots) of a window, or None if it has too few words of its own."""
-    window, own = read[start:start + n], plain[start:start + n]
-    if sum(not w.startswith("<") for w in window) < min(MIN_PLAIN, (n + 1) // 2):
-        return None
-    return int(h.astype(np.int64)), start, " ".join(window), [w for w, r in zip(own, window) if r.startswith("<")]
-
-
-_WINDOW = "h long, start int, template string, slots array<string>"
+    numbers = bool(_DIGIT.search(text)) or not NUMBERS.isdisjoint(plain)
+    if not names and not numbers:
+        return plain, []
+    starts = [m.start() for m in _TOKEN.finditer(lowered)]
+    kinds = {i: NUMBER for i, w in enumerate(plain) if w[0].isdigit() or w in NUMBERS} if numbers else {}
+    if names:
+        units = {i + 1 for i in kinds if i + 1 < len(plain) and plain[i + 1] in UNITS}
+        kinds |= {i: NAME for i, at in enumerate(starts) if at in names and i not in kinds and i not in units}
+    return plain, [_slots(kinds, lowered, plain, starts)] if kinds else []
+
+
+class _Reading:
+    """One reading of a text: words or slots, where each starts among the plain words, and their hashes."""
+
+    def __init__(self, words: list[str], h: np.ndarray, slots: list[tuple[int, int, str, str, str]]):
+        self.words, self.slots = words, {s[0]: s for s in slots}
+        self.firsts = np.array([s[0] for s in slots], np.int64)
+        keep = np.ones(len(words) + 1, bool)
+        self.h = h
+        if slots:
+            self.h = h.copy()
+            for first, end, kind, *_ in slots:
+                keep[first + 1:end] = False
+                self.h[first] = _PLACEHOLDER[kind]
+            self.h = self.h[keep[:-1]]
+        self.places = np.flatnonzero(keep)  # the last one is the number of words
+
+    def slotted(self, n: int) -> np.ndarray:
+        """Whether the window of ``n`` from each start holds a slot."""
+        at = np.searchsorted(self.firsts, self.places)
+        return at[n:] > at[:-n]
+
+    def row(self, start: int, n: int) -> tuple | None:
+        """(start, first word, end, template text, slot values) of a window, or None if it has too few words of its own."""
+        places = self.places[start:start + n].tolist()
+        held = [self.slots.get(i) for i in places]
+        if sum(s is None for s in held) < min(MIN_PLAIN, (n + 1) // 2):
+            return None
+        template = " ".join(s[2] if s else self.words[i] for i, s in zip(places, held))
+        return start, places[0], int(self.places[start + n]), template, [v for s in held if s for v in s[3:]]
+
+
+def _readings(text: str | None) -> list[_Reading]:
+    """The words as they are, and with slots if there are any."""
+    plain, slotted = canonical(text)
+    h = hashes(plain)
+    return [_Reading(plain, h, slots) for slots in ([], *slotted)]
+
+
+def _windows(readings: list[_Reading], widths: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(reading, width, starts, hashes) of the windows; those of a later reading hold a slot, others are the first's."""
+    for k, read in enumerate(readings):
+        for n in widths:
+            if len(read.h) >= n:
+                hs = window_hashes(read.h, n)
+                at = np.flatnonzero(read.slotted(n)) if k else np.arange(len(hs))
+                yield k, n, at, hs[at]
+
+
+def _signed(h: np.ndarray) -> list[int]:
+    return h.view(np.int64).tolist()
+
+
+_WINDOW = "h long, reading int, start int, first int, end int, template string, slots array<string>"
 
 
 def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Rows (item_id, n_windows, h, start, template, slots): all windows of all items.
+    """Rows (item_id, n_words, width, h, reading, start, first, end, template, slots): all windows of all items.
 
-    Items shorter than ``width`` are one window of their own length; those
+    A reading shorter than ``width`` is one window of its own length; items
     without a word, and null ones, have none.
     """
 
@@ -96,24 +145,111 @@ def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
         for part in parts:
             rows = []
             for item, text in zip(part.item_id, part.text):
-                n = min(width, len(canonical(text)[0]))
-                for _, hs, plain, read in _windows(text, (n,)) if n else ():
-                    got = [r for i in range(len(hs)) if (r := _row(hs[i], i, n, plain, read))]
-                    rows += [(item, len(hs), n, *r) for r in got]
-            yield pd.DataFrame(rows, columns=["item_id", "n_windows", "width", "h", "start", "template", "slots"])
+                readings = _readings(text)
+                for k, read in enumerate(readings):
+                    n = min(width, len(read.h))
+                    for j, _, at, hs in _windows(readings, (n,)) if n else ():
+                        if j == k:
+                            rows += [(item, len(read.words), n, h, k, *r) for i, h in zip(at.tolist(), _signed(hs))
+                                     if (r := read.row(i, n))]
+            yield pd.DataFrame(rows, columns=["item_id", "n_words", "width", "h", "reading", "start", "first", "end",
+                                              "template", "slots"])
 
     return items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), "text").mapInPandas(
-        run, f"item_id string, n_windows int, width int, {_WINDOW}")
+        run, f"item_id string, n_words int, width int, {_WINDOW}")
+
+
+def _consistent(windows: list[dict]) -> list[dict]:
+    """The windows that do not contradict the most frequent value of a slot."""
+    votes = Counter(p for w in windows for p in w["pairs"])
+    most: dict[str, int] = {}
+    for (value, _), n in votes.items():
+        most[value] = max(n, most.get(value, 0))
+    return [w for w in windows if all(votes[p] >= most[p[0]] for p in w["pairs"])]
+
+
+def _runs(windows: list[dict]) -> list[list[dict]]:
+    """Windows of one alignment, cut where they do not touch."""
+    out: list[list[dict]] = []
+    for w in sorted(windows, key=lambda w: w["at"]):
+        if out and w["first"] <= out[-1][-1]["end"]:
+            out[-1].append(w)
+        else:
+            out.append([w])
+    return out
+
+
+def _chain(runs: list[list[dict]]) -> list[list[dict]]:
+    """The runs that cover most of an item's words in the item's order, the closer ones if equal."""
+    runs = sorted(runs, key=lambda r: (r[0]["doc_first"], r[0]["first"]))
+    a, b, s, e = (np.array([r[i][k] for r in runs]) for i, k in ((0, "first"), (-1, "end"), (0, "doc_first"), (-1, "doc_end")))
+    score, before = (b - a).astype(float), np.full(len(runs), -1)
+    for j in range(1, len(runs)):
+        i = np.flatnonzero((a[:j] < a[j]) & (b[:j] < b[j]) & (s[:j] < s[j]) & (e[:j] < e[j]))
+        if len(i):
+            total = score[i] + b[j] - np.maximum(a[j], b[i]) - 1e-7 * np.abs((s[j] - e[i]) - (a[j] - b[i]))
+            k = int(np.argmax(total))
+            if total[k] > score[j]:
+                score[j], before[j] = total[k], i[k]
+    out, j = [], int(np.argmax(score))
+    while j >= 0:
+        out.append(runs[j])
+        j = int(before[j])
+    return out[::-1]
+
+
+def _covered(windows: list[dict], n_words: int) -> np.ndarray:
+    words = np.zeros(n_words, bool)
+    for w in windows:
+        words[w["first"]:w["end"]] = True
+    return words
+
+
+def _share(windows: list[dict], n_words: int) -> float:
+    return _covered(windows, n_words).mean()
+
+
+def _passage(runs: list[list[dict]], n_words: int) -> int:
+    """Most words held by runs that follow each other with no more than a window's width between, in item and document."""
+    most, near = 0, []
+    for run in runs:
+        if near and max(run[0][k] - near[-1][j] for k, j in (("first", "end"), ("doc_first", "doc_end"))) > WIDTH:
+            near = []
+        near = near + run
+        most = max(most, int(_covered(near, n_words).sum()))
+    return most
+
+
+def held_share(windows: list[dict], n_words: int) -> tuple[float, int]:
+    """The share of an item's words that a document holds, and the longest passage in words.
+
+    Windows count at one alignment, or at several if they follow each other in
+    the item's order; either way those with contradicting slots do not count.
+    """
+    alignments = defaultdict(list)
+    for w in windows:
+        alignments[w["reading"], w["doc_reading"], w["start"] - w["at"]].append(w)
+    sound = [good for at in alignments.values() if (good := _consistent(at))]
+    parts = [_runs(good) for good in sound]
+    share, passage = max(_share(good, n_words) for good in sound), max(_passage(p, n_words) for p in parts)
+    if len(sound) > 1 and share < 1:
+        chain = _chain([run for p in parts for run in p])
+        good = {id(w): w for w in _consistent([w for run in chain for w in run])}
+        left = [kept for run in chain if (kept := [w for w in run if id(w) in good])]
+        share, passage = max(share, _share(list(good.values()), n_words)), max(passage, _passage(left, n_words))
+    return float(share), passage
 
 
 def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, min_share: float = MIN_SHARE) -> DataFrame:
-    """Rows (doc_id, row_key, item_id, share): documents that hold ``min_share`` of an item's windows.
-
-    Windows meet by hash and then by their template text. Within one document,
-    item and alignment (difference of starts) the slots must be consistent: equal
-    values in the item have equal values in the document; windows that
-    contradict the most frequent value of a slot do not count. A document may
-    hold an item's words, or its template with other numbers, names and units.
+    """Rows (doc_id, row_key, item_id, share): documents that hold ``min_share`` of an item's words in windows,
+    or a passage of ``MIN_RUN`` words of it.
+
+    Windows meet by hash and then by their template text. They count at one
+    alignment (difference of starts) or, where words were put in or left out, at
+    several in the item's order. Their slots must be consistent: equal values in
+    the item have equal values in the document; windows that contradict the most
+    frequent value of a slot do not count. A document may hold an item's words,
+    or its template with other numbers, names and units.
     ``row_key`` hashes id and text, so rows with equal ids stay apart.
     """
     known = benchmark_windows(items, width)
@@ -126,35 +262,36 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, min_share: fl
         for part in parts:
             rows = []
             for doc, key, text in zip(part.doc_id, part.row_key, part.text):
-                for n, hs, plain, read in _windows(text, widths):
-                    if wanted is None:
-                        hits = range(len(hs))
-                    else:
-                        at = np.searchsorted(wanted, hs)
-                        hits = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == hs) if len(wanted) else ()
-                    got = [r for i in hits if (r := _row(hs[i], int(i), n, plain, read))]
-                    rows += [(doc, key, *r) for r in got]
-            yield pd.DataFrame(rows, columns=["doc_id", "row_key", "h", "start", "template", "slots"])
+                readings = _readings(text)
+                for k, n, at, hs in _windows(readings, widths):
+                    if wanted is not None:
+                        hits = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hs), len(wanted) - 1)] == hs)
+                        at, hs = at[hits], hs[hits]
+                    rows += [(doc, key, h, k, *r) for i, h in zip(at.tolist(), _signed(hs)) if (r := readings[k].row(i, n))]
+            yield pd.DataFrame(rows, columns=["doc_id", "row_key", "h", "reading", "start", "first", "end", "template", "slots"])
+
+    def shares(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for doc, key, item, n_words, windows in part.itertuples(index=False):
+                for w in windows:  # a slot's value and unit; one that is missing on either side says nothing
+                    w["pairs"] = [p for p in zip(w["values"], w["slots"]) if all(p)]
+                rows.append((doc, key, item, *held_share(list(windows), n_words)))
+            yield pd.DataFrame(rows, columns=["doc_id", "row_key", "item_id", "share", "passage"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    held = rows.mapInPandas(run, f"doc_id string, row_key long, {_WINDOW}").distinct()
-    k = known.select("item_id", "n_windows", "h", F.col("start").alias("at"), "template", F.col("slots").alias("values"))
-    pairs = held.join(k, ["h", "template"]).select(
-        "doc_id", "row_key", "item_id", "n_windows", "at", (F.col("start") - F.col("at")).alias("shift"),
-        F.arrays_zip("values", "slots").alias("pairs")).distinct()
-    by = ["doc_id", "row_key", "item_id", "shift"]
-    # One group is one item's windows in one document at one alignment.
-    groups = pairs.groupBy(*by, "n_windows").agg(F.collect_list(F.struct("at", "pairs")).alias("windows"))
-    every = F.flatten(F.transform("windows", lambda w: w.pairs))
-
-    def usual(p: Column) -> Column:
-        votes = lambda q: F.size(F.filter(every, lambda r: r == q))
-        return votes(p) >= F.array_max(F.transform(F.filter(every, lambda q: q["values"] == p["values"]), votes))
-
-    good = F.filter("windows", lambda w: F.forall(w.pairs, usual))
-    share = F.size(F.array_distinct(F.transform(good, lambda w: w.at))) / F.col("n_windows")
-    whole = groups.withColumn("share", share).groupBy("doc_id", "row_key", "item_id").agg(F.max("share").alias("share"))
-    return whole.where(F.col("share") >= min_share).withColumn("doc_id", F.col("doc_id").cast("long"))
+    held = rows.mapInPandas(run, f"doc_id string, row_key long, {_WINDOW}").select(
+        "doc_id", "row_key", "h", F.col("reading").alias("doc_reading"), "start", F.col("first").alias("doc_first"),
+        F.col("end").alias("doc_end"), "template", "slots")
+    k = known.select("item_id", "n_words", "h", "reading", F.col("start").alias("at"), "first", "end", "template",
+                     F.col("slots").alias("values"))
+    window = F.struct("reading", "doc_reading", "at", "start", "first", "end", "doc_first", "doc_end", "values", "slots")
+    # One group is one item's windows in one document.
+    groups = held.join(k, ["h", "template"]).groupBy("doc_id", "row_key", "item_id", "n_words").agg(
+        F.collect_set(window).alias("windows"))
+    whole = groups.mapInPandas(shares, "doc_id string, row_key long, item_id string, share double, passage int")
+    return whole.where((F.col("share") >= min_share) | (F.col("passage") >= MIN_RUN)).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "row_key", "item_id", "share")
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

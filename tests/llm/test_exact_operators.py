@@ -356,6 +356,21 @@ def test_decontamination(spark):
     assert {903, 904} <= {r.doc_id for r in kept.collect()} and kept.count() == docs.count() - len({k for k, _ in shares})
 
 
+def test_decontamination_across_alignments(spark):
+    rng = random.Random(21)
+    made = lambda n: ["".join(rng.choices("abcdefghij", k=8)) for _ in range(n)]
+    item, long, filler = made(25), made(120), made(40)
+    dealt = "Then Mary pays 25 dollars for 5 kg of flour and old Jane adds 3 eggs to the bowl of dough."
+    other = "Then Lucy Ann pays thirty five dollars for 9 of flour and old Peggy Sue adds six eggs to the bowl of dough."
+    texts = {910: [*filler, *item[:12], "indeed", *item[12:], *filler], 911: [*filler, *item[:12], *item[13:]],
+             912: [*item[13:], *filler, *item[:12]], 913: [*filler, "end.", other], 914: [*filler, *long[30:70], *filler],
+             915: [*filler, *long[30:55], *filler]}
+    docs = fixture.table(spark, [(i, " ".join(t)) for i, t in texts.items()])
+    items = spark.createDataFrame([(1, " ".join(item)), (2, dealt), (3, " ".join(long))], "item_id long, text string")
+    shares = {(r.doc_id, r.item_id): r.share for r in decontaminate.matches(docs, items).collect()}
+    assert shares == {(910, "1"): 1.0, (911, "1"): 24 / 25, (913, "2"): 1.0, (914, "3"): pytest.approx(40 / 120)}
+
+
 # Substrings --------------------------------------------------------------
 
 def without_repeats(rows, width):
