@@ -30,13 +30,15 @@ UNITS = set("mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hour
             "cents euro euros percent degree degrees".split())
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*")
 _DIGIT = re.compile(r"\d")
-_CAPITAL = re.compile(r" [A-Z][a-z]")
+_DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
+_CAPITAL = re.compile(r"(?<![^\W\d_])[A-Z][a-z]")
 _PLACEHOLDER = {kind: xxhash.xxh64_intdigest(kind) for kind in (NUMBER, NAME)}
 
 
 def _inside(before: str) -> bool:
-    """Whether a sentence goes on after this character: a letter other than A-Z, a comma or a semicolon."""
-    return before in (",", ";") or before.isalpha() and not "A" <= before <= "Z"
+    """Whether a sentence goes on after these two characters: a letter other than A-Z, a comma or a semicolon, and a space."""
+    c = before[:1]
+    return before[1:] == " " and (c in ",;" or c.isalpha() and not "A" <= c <= "Z")
 
 
 def _slots(kinds: dict[int, str], lowered: str, words: list[str], starts: list[int]) -> list[tuple[int, int, str, str, str]]:
@@ -58,33 +60,42 @@ def _slots(kinds: dict[int, str], lowered: str, words: list[str], starts: list[i
 def canonical(text: str | None) -> tuple[list[str], list[list[tuple[int, int, str, str, str]]]]:
     """Lower-cased words, and the slots of each reading of them that has some.
 
-    A name is a capitalised word (A-Z, then a-z) inside a sentence. A slot is a
-    name of any number of words, or a number of any number of words with or
+    A name is a capitalised word (A-Z, then a-z) inside a sentence; the last
+    reading also takes those that start a sentence, line or quotation. A slot is
+    a name of any number of words, or a number of any number of words with or
     without a unit, so a template does not change with the words of its slots.
     """
     text = text or ""
     lowered = text.lower()
     plain = _TOKEN.findall(lowered)
-    names = {m.start() + 1 for m in _CAPITAL.finditer(text) if _inside(text[m.start() - 1:m.start()])}
+    capitals = [m.start() for m in _CAPITAL.finditer(text)]
     if len(lowered) != len(text):  # places no longer agree
-        names = set()
-    numbers = bool(_DIGIT.search(text)) or not NUMBERS.isdisjoint(plain)
-    if not names and not numbers:
+        capitals = []
+    numbers = NUMBERS.intersection(plain)
+    if _DIGIT.search(text):
+        numbers.update(_DIGITS.findall(lowered))
+    if not capitals and not numbers:
         return plain, []
     starts = [m.start() for m in _TOKEN.finditer(lowered)]
-    kinds = {i: NUMBER for i, w in enumerate(plain) if w[0].isdigit() or w in NUMBERS} if numbers else {}
-    if names:
-        units = {i + 1 for i in kinds if i + 1 < len(plain) and plain[i + 1] in UNITS}
-        kinds |= {i: NAME for i, at in enumerate(starts) if at in names and i not in kinds and i not in units}
-    return plain, [_slots(kinds, lowered, plain, starts)] if kinds else []
+    kinds = {i: NUMBER for i, w in enumerate(plain) if w in numbers} if numbers else {}
+    units = {i + 1 for i in kinds if i + 1 < len(plain) and plain[i + 1] in UNITS}
+    names = {}
+    for i, at in zip(np.searchsorted(starts, capitals).tolist() if starts else (), capitals):
+        if i < len(starts) and starts[i] == at and i not in kinds and i not in units:
+            names[i] = at
+    inside = kinds | {i: NAME for i, at in names.items() if at > 1 and _inside(text[at - 2:at])}
+    every = kinds | dict.fromkeys(names, NAME)
+    found = [inside, every] if len(every) > len(inside) else [inside]
+    return plain, [_slots(k, lowered, plain, starts) for k in found if k]
 
 
 class _Reading:
     """One reading of a text: words or slots, where each starts among the plain words, and their hashes."""
 
-    def __init__(self, words: list[str], h: np.ndarray, slots: list[tuple[int, int, str, str, str]]):
+    def __init__(self, words: list[str], h: np.ndarray, slots: list[tuple[int, int, str, str, str]],
+                 known: list[tuple[int, int, str, str, str]] = ()):
         self.words, self.slots = words, {s[0]: s for s in slots}
-        self.firsts = np.array([s[0] for s in slots], np.int64)
+        self.firsts = np.array(sorted(s[0] for s in {*slots}.difference(known)), np.int64)
         keep = np.ones(len(words) + 1, bool)
         self.h = h
         if slots:
@@ -93,10 +104,10 @@ class _Reading:
                 keep[first + 1:end] = False
                 self.h[first] = _PLACEHOLDER[kind]
             self.h = self.h[keep[:-1]]
-        self.places = np.flatnonzero(keep)  # the last one is the number of words
+        self.places = np.flatnonzero(keep) if slots else np.arange(len(keep))  # the last one is the number of words
 
     def slotted(self, n: int) -> np.ndarray:
-        """Whether the window of ``n`` from each start holds a slot."""
+        """Whether the window of ``n`` from each start holds a slot that an earlier reading has not."""
         at = np.searchsorted(self.firsts, self.places)
         return at[n:] > at[:-n]
 
@@ -114,11 +125,11 @@ def _readings(text: str | None) -> list[_Reading]:
     """The words as they are, and with slots if there are any."""
     plain, slotted = canonical(text)
     h = hashes(plain)
-    return [_Reading(plain, h, slots) for slots in ([], *slotted)]
+    return [_Reading(plain, h, slots, known) for slots, known in zip([[], *slotted], [[], [], *slotted])]
 
 
 def _windows(readings: list[_Reading], widths: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(reading, width, starts, hashes) of the windows; those of a later reading hold a slot, others are the first's."""
+    """(reading, width, starts, hashes) of the windows; those of a later reading hold a slot of its own."""
     for k, read in enumerate(readings):
         for n in widths:
             if len(read.h) >= n:
@@ -135,9 +146,10 @@ _WINDOW = "h long, reading int, start int, first int, end int, template string,
 
 
 def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Rows (item_id, n_words, width, h, reading, start, first, end, template, slots): all windows of all items.
+    """Rows (item_id, n_words, n_free, width, h, exact, reading, start, first, end, template, slots): all windows of all items.
 
-    A reading shorter than ``width`` is one window of its own length; items
+    ``exact`` windows hold the words of a slot as they are; ``n_free`` words are
+    in others, so can be met where the slots' words are other ones. A reading shorter than ``width`` is one window of its own length; items
     without a word, and null ones, have none.
     """
 
@@ -146,17 +158,24 @@ def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
             rows = []
             for item, text in zip(part.item_id, part.text):
                 readings = _readings(text)
+                own, bound = [], np.zeros(len(readings[0].words) + 1, bool)
+                for first, last, *_ in readings[-1].slots.values():
+                    bound[first:last] = True
                 for k, read in enumerate(readings):
                     n = min(width, len(read.h))
                     for j, _, at, hs in _windows(readings, (n,)) if n else ():
                         if j == k:
-                            rows += [(item, len(read.words), n, h, k, *r) for i, h in zip(at.tolist(), _signed(hs))
-                                     if (r := read.row(i, n))]
-            yield pd.DataFrame(rows, columns=["item_id", "n_words", "width", "h", "reading", "start", "first", "end",
-                                              "template", "slots"])
+                            got = [(h, r) for i, h in zip(at.tolist(), _signed(hs)) if (r := read.row(i, n))]
+                            own += [(n, h, k == 0 and bool(bound[r[1]:r[2]].any()), k, *r) for h, r in got]
+                free = np.zeros(len(bound), bool)
+                for _, _, exact, _, _, first, last, *_ in own:
+                    free[first:last] |= not exact
+                rows += [(item, len(bound) - 1, int(free.sum()), *r) for r in own]
+            yield pd.DataFrame(rows, columns=["item_id", "n_words", "n_free", "width", "h", "exact", "reading", "start",
+                                              "first", "end", "template", "slots"])
 
     return items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), "text").mapInPandas(
-        run, f"item_id string, n_words int, width int, {_WINDOW}")
+        run, "item_id string, n_words int, n_free int, width int, " + _WINDOW.replace("h long", "h long, exact boolean"))
 
 
 def _consistent(windows: list[dict]) -> list[dict]:
@@ -205,8 +224,10 @@ def _covered(windows: list[dict], n_words: int) -> np.ndarray:
     return words
 
 
-def _share(windows: list[dict], n_words: int) -> float:
-    return _covered(windows, n_words).mean()
+def _share(windows: list[dict], n_words: int, n_free: int) -> float:
+    """Of all words, or of those that can be met whatever the slots' words are."""
+    free = _covered([w for w in windows if not w["exact"]], n_words).sum()
+    return max(_covered(windows, n_words).mean(), free / n_free if n_free else 0.0)
 
 
 def _passage(runs: list[list[dict]], n_words: int) -> int:
@@ -220,7 +241,7 @@ def _passage(runs: list[list[dict]], n_words: int) -> int:
     return most
 
 
-def held_share(windows: list[dict], n_words: int) -> tuple[float, int]:
+def held_share(windows: list[dict], n_words: int, n_free: int) -> tuple[float, int]:
     """The share of an item's words that a document holds, and the longest passage in words.
 
     Windows count at one alignment, or at several if they follow each other in
@@ -231,12 +252,12 @@ def held_share(windows: list[dict], n_words: int) -> tuple[float, int]:
         alignments[w["reading"], w["doc_reading"], w["start"] - w["at"]].append(w)
     sound = [good for at in alignments.values() if (good := _consistent(at))]
     parts = [_runs(good) for good in sound]
-    share, passage = max(_share(good, n_words) for good in sound), max(_passage(p, n_words) for p in parts)
+    share, passage = max(_share(good, n_words, n_free) for good in sound), max(_passage(p, n_words) for p in parts)
     if len(sound) > 1 and share < 1:
         chain = _chain([run for p in parts for run in p])
         good = {id(w): w for w in _consistent([w for run in chain for w in run])}
         left = [kept for run in chain if (kept := [w for w in run if id(w) in good])]
-        share, passage = max(share, _share(list(good.values()), n_words)), max(passage, _passage(left, n_words))
+        share, passage = max(share, _share(list(good.values()), n_words, n_free)), max(passage, _passage(left, n_words))
     return float(share), passage
 
 
@@ -273,21 +294,21 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, min_share: fl
     def shares(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
-            for doc, key, item, n_words, windows in part.itertuples(index=False):
+            for doc, key, item, n_words, n_free, windows in part.itertuples(index=False):
                 for w in windows:  # a slot's value and unit; one that is missing on either side says nothing
                     w["pairs"] = [p for p in zip(w["values"], w["slots"]) if all(p)]
-                rows.append((doc, key, item, *held_share(list(windows), n_words)))
+                rows.append((doc, key, item, *held_share(list(windows), n_words, n_free)))
             yield pd.DataFrame(rows, columns=["doc_id", "row_key", "item_id", "share", "passage"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
     held = rows.mapInPandas(run, f"doc_id string, row_key long, {_WINDOW}").select(
         "doc_id", "row_key", "h", F.col("reading").alias("doc_reading"), "start", F.col("first").alias("doc_first"),
         F.col("end").alias("doc_end"), "template", "slots")
-    k = known.select("item_id", "n_words", "h", "reading", F.col("start").alias("at"), "first", "end", "template",
+    k = known.select("item_id", "n_words", "n_free", "h", "exact", "reading", F.col("start").alias("at"), "first", "end", "template",
                      F.col("slots").alias("values"))
-    window = F.struct("reading", "doc_reading", "at", "start", "first", "end", "doc_first", "doc_end", "values", "slots")
+    window = F.struct("exact", "reading", "doc_reading", "at", "start", "first", "end", "doc_first", "doc_end", "values", "slots")
     # One group is one item's windows in one document.
-    groups = held.join(k, ["h", "template"]).groupBy("doc_id", "row_key", "item_id", "n_words").agg(
+    groups = held.join(k, ["h", "template"]).groupBy("doc_id", "row_key", "item_id", "n_words", "n_free").agg(
         F.collect_set(window).alias("windows"))
     whole = groups.mapInPandas(shares, "doc_id string, row_key long, item_id string, share double, passage int")
     return whole.where((F.col("share") >= min_share) | (F.col("passage") >= MIN_RUN)).select(

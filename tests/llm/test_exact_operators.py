@@ -371,6 +371,19 @@ def test_decontamination_across_alignments(spark):
     assert shares == {(910, "1"): 1.0, (911, "1"): 24 / 25, (913, "2"): 1.0, (914, "3"): pytest.approx(40 / 120)}
 
 
+def test_decontamination_names_that_start_a_sentence(spark):
+    item = "Alice has 3 apples. Bob has 5 apples. Alice gives Bob 2."
+    short = "Rose buys 4 pears and sells 2 of them"
+    dense = "Add 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16 to get the total of all of these numbers in the end"
+    docs = fixture.table(spark, [
+        (920, "Carol has 7 apples. Dave has 9 apples. Carol gives Dave 4."), (921, "some say\nMartha buys 8 pears and sells 3 of them"),
+        (922, "Add 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 32, 33, 34, 35, 36 to get the total of all of these numbers in the end"),
+        (923, "Carol has many apples. Dave likes pears. Carol sees him.")])
+    items = spark.createDataFrame([(1, item), (2, short), (3, dense)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, items).collect()}
+    assert found == {(920, "1"), (921, "2"), (922, "3")}
+
+
 # Substrings --------------------------------------------------------------
 
 def without_repeats(rows, width):
