@@ -122,13 +122,15 @@ def pivoted_cholesky(a: np.ndarray) -> np.ndarray:
     """L with L L' = ``a`` (symmetric, no negative eigenvalue), one column per rank; rows in the order of ``a``.
 
     Each step takes the largest remaining diagonal entry as pivot and stops where
-    nothing but rounding is left. With rows in pivot order L is lower triangular.
+    nothing but rounding of the rows' own entries is left. With rows in pivot order
+    L is lower triangular.
     """
     rest, columns = a.astype(np.float64).copy(), []
-    least = len(a) * np.finfo(float).eps * max(np.diag(a).max(initial=0.0), 0.0)
+    rounding = len(a) * np.finfo(float).eps * np.diag(a)
     for _ in range(len(a)):
-        p = int(np.argmax(np.diag(rest)))
-        if rest[p, p] <= least:
+        left = np.where(np.diag(rest) > rounding, np.diag(rest), 0.0)
+        p = int(np.argmax(left))
+        if not left[p]:
             break
         column = rest[:, p] / np.sqrt(rest[p, p])
         columns.append(column)
