@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping
+from functools import reduce
 from itertools import permutations
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from claimworks.session import scratch_dir
 
-from .text import table
+from .text import checkpointed, table
 
 KEY = ["id", "has_id", "digest"]
 COUNTS = ["n", "good", "toxic"]
@@ -68,45 +69,34 @@ def written(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def audit(rows: DataFrame, failing: Mapping[str, DataFrame]) -> DataFrame:
     """What each filter does after each set of others: per part, order and step.
 
-    ``rows`` holds (key, part, counts), ``failing`` each filter's keys. Rows that
-    fail nothing are told off once. The others are paired with every set of filters
-    that may have run before (a bit mask; 2^k of k filters, so k is to be small):
-    a left-anti join with the failing tables of the set leaves its survivors, a
-    left-semi join what it has dropped; of either, a left-semi join with the next
-    filter's table counts what that filter removes, or would have removed. All
-    these joins are on the key, so rows are dealt once and no key is hot. Parts,
-    orders and steps without any such row hold zeros.
+    ``rows`` holds (key, part, counts), ``failing`` each filter's keys. Rows are
+    paired with every set of filters that may have run before (a bit mask; 2^k of k
+    filters, so k is to be small): a left-anti join with the failing tables of the
+    set leaves its survivors. Of the rows that a left-semi join with one filter's
+    table finds failing, a left-anti join with the tables of a set leaves those that
+    this filter then removes, a left-semi join those that are gone already. All
+    joins are on the key, so rows are dealt once and no key is hot. Parts, orders
+    and steps without any such row hold zeros.
     """
     names = list(failing)
     bit = {name: 1 << i for i, name in enumerate(names)}
-    table_of = lambda name: failing[name].select(*KEY, F.lit(bit[name]).alias("bit"))
-    union = table_of(names[0])
-    for name in names[1:]:
-        union = union.union(table_of(name))
-    union = union.alias("f").hint("shuffle_hash")
+    whole = (1 << len(names)) - 1
+    union = reduce(DataFrame.union, [failing[f].select(*KEY, F.lit(b).alias("bit")) for f, b in bit.items()])
 
-    def kept_by(states: DataFrame, mask: str, how: str) -> DataFrame:
+    def against(states: DataFrame, mask: str, how: str) -> DataFrame:
         meets = [F.col(f"s.{k}") == F.col(f"f.{k}") for k in KEY] + [F.col(f"s.{mask}").bitwiseAND(F.col("f.bit")) != 0]
-        return states.alias("s").join(union, meets, how)
-
-    whole = (1 << len(names)) - 1
-    any_fails = rows.withColumn("before", F.lit(whole))
-    failing_rows = kept_by(any_fails, "before", "left_semi").drop("before")
-    states = failing_rows.withColumn("before", F.explode(F.array(*map(F.lit, range(whole + 1)))))
-    following = F.array(*[F.array(*[F.lit(b) for b in bit.values() if not m & b]).cast("array<int>") for m in range(whole + 1)])
-    survivors, dropped = kept_by(states, "before", "left_anti"), kept_by(states, "before", "left_semi")
-    sums = [F.sum(c).alias(c) for c in COUNTS]
+        return states.alias("s").join(union.alias("f"), meets, how)
 
-    def meets_next(of: DataFrame, kind: str) -> DataFrame:
-        ahead = of.withColumn("next", F.explode(F.element_at(following, F.col("before") + 1)))
-        return (kept_by(ahead, "next", "left_semi").groupBy("part", "before", "next").agg(*sums)
-                .select("part", "before", "next", F.lit(kind).alias("kind"), *COUNTS))
+    def counted(states: DataFrame, kind: str) -> DataFrame:
+        return states.groupBy("part", "before", "next").agg(*[F.sum(c).alias(c) for c in COUNTS]).withColumn("kind", F.lit(kind))
 
-    remaining = survivors.groupBy("part", "before").agg(*sums).select(
-        "part", "before", F.lit(0).alias("next"), F.lit("kept").alias("kind"), *COUNTS)
-    counted = meets_next(survivors, "removed").union(meets_next(dropped, "redundant")).union(remaining)
-    clean = kept_by(any_fails, "before", "left_anti").groupBy("part").agg(F.sum("n").alias("clean"))
-    return _by_order(rows.select("part").distinct().join(clean, "part", "left"), counted, names, bit)
+    masks = lambda of: F.explode(F.array(*map(F.lit, of)))
+    states = rows.withColumn("next", F.lit(0)).withColumn("before", masks(range(whole + 1)))
+    fails = against(rows.withColumn("next", masks(bit.values())), "next", "left_semi")
+    ahead = fails.withColumn("before", masks(range(whole + 1))).where(F.col("before").bitwiseAND(F.col("next")) == 0)
+    parts = [counted(against(states, "before", "left_anti"), "kept"), counted(against(ahead, "before", "left_anti"), "removed"),
+             counted(against(ahead, "before", "left_semi"), "redundant")]
+    return _by_order(rows.select("part").distinct(), checkpointed(reduce(DataFrame.union, parts)), names, bit)
 
 
 def _by_order(parts: DataFrame, counted: DataFrame, names: list[str], bit: Mapping[str, int]) -> DataFrame:
@@ -131,12 +121,12 @@ def _by_order(parts: DataFrame, counted: DataFrame, names: list[str], bit: Mappi
     columns = ("filter_order", "step", "before", "next")
     cells = F.from_json(F.lit(json.dumps([dict(zip(columns, s)) for s in steps])),
                         "array<struct<filter_order:string,step:int,before:int,next:int>>")
-    laid = parts.select("part", "clean", F.explode(cells).alias("cell")).select("part", "clean", "cell.*")
+    laid = parts.select("part", F.explode(cells).alias("cell")).select("part", "cell.*")
     laid = laid.withColumn("after", F.col("before").bitwiseOR(F.col("next")))
     for more, on in ((removed, ["part", "before", "next"]), (redundant, ["part", "before", "next"]), (per_filter, ["part", "next"]),
                      (kept, ["part", "after"])):
         laid = laid.join(more, on, "left")
-    return laid.select("part", "filter_order", "step", (zero("clean") + zero("left")).alias("kept"),
+    return laid.select("part", "filter_order", "step", zero("left").alias("kept"),
                        *[zero(c).alias(c) for c in ("removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")])
 
 
