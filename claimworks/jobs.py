@@ -88,7 +88,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             images = training.table_images(
                 open_table(spark, f"{silver}/training_images", ["path"], args.format).read(),
                 f"{args.landing or f'{args.base}/landing'}/training_imgs")
-        params = training.Params(epochs=args.epochs, seed=args.seed, img_size=args.img_size, reg=args.reg)
+        params = training.Params(epochs=args.epochs, lr=args.lr, batch_size=args.batch_size, seed=args.seed,
+                                 img_size=args.img_size, reg=args.reg)
         done = training.train_images(
             images, f"{args.base}/runs/{args.experiment_name}", args.run_id, params)
         done.metrics.orderBy("epoch").show()
@@ -128,6 +129,8 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--experiment_name", default="damage")
     train.add_argument("--run_id", default=time.strftime("%Y%m%d-%H%M%S"))
     train.add_argument("--epochs", type=int, default=5)
+    train.add_argument("--lr", type=float, default=0.001)
+    train.add_argument("--batch_size", type=int, default=32)
     train.add_argument("--reg", type=float, default=0.0)
     train.add_argument("--img_size", type=int, default=224)
     train.add_argument("--seed", type=int, default=42)

@@ -6,11 +6,13 @@ it stood before the batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import casts, ranges, text
-from ..operators.aggregate import impute_from_history
+from ..operators.aggregate import fill_missing, impute_from_history
 from ..operators.dedupe import keep_one
 
 
@@ -73,8 +75,8 @@ def clean_training_images(df: DataFrame) -> DataFrame:
     return _newest(df).withColumn("label", text.training_label("path"))
 
 
-def clean_telematics(df: DataFrame, silver: DataFrame | None = None) -> DataFrame:
-    """Typed readings; a missing speed takes the vehicle's average in ``silver``.
+def clean_telematics(df: DataFrame, silver: DataFrame | None = None, means: Callable | None = None) -> DataFrame:
+    """Typed readings; a missing speed takes the vehicle's average in ``silver``, or what ``means`` says it is.
 
     Times are parsed before the de-duplication, so a reading whose time does
     not parse is dropped instead of being inserted again by every batch.
@@ -90,4 +92,6 @@ def clean_telematics(df: DataFrame, silver: DataFrame | None = None) -> DataFram
     })
     keys = ["chassis_no", "event_timestamp"]
     one = keep_one(typed.dropna(subset=keys), keys)
+    if means is not None:
+        return fill_missing(one, ["chassis_no"], "speed", means)
     return one if silver is None else impute_from_history(one, silver, ["chassis_no"], "speed")

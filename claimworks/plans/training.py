@@ -8,14 +8,14 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import training_label
-from ..operators.labels import accuracy_pct, label_indexer
+from ..operators import softmax
+from ..operators.labels import label_indexer
 from ..operators.split import stratified_split
 from ..session import scratch_dir
 from ..sources.readers import image_folder, scan
@@ -88,80 +88,88 @@ def folder_images(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_images(images: DataFrame, folder: str) -> DataFrame:
-    """Rows of the silver training table, decoded in the JVM from the files at their paths."""
-    labels = images.filter(F.col("label") != "").select(file_name("path").alias("_name"), "label")
+    """Labelled rows of the silver training table, decoded in the JVM from the files at their paths.
+
+    Every labelled row stays: one whose file is gone, was moved or does not decode
+    has null pixels and is listed by ``undecoded``.
+    """
+    labelled = images.filter(F.col("label") != "").select(
+        F.col("path").alias("_path"), without_scheme(F.col("path")).alias("_name"), "label")
     decoded = image_folder(images.sparkSession, folder, recursive=True)
-    return decoded.withColumn("_name", file_name("path")).join(labels, "_name").drop("_name")
+    # The image source writes a path as a URI; the table holds it as it is.
+    plain = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    found = labelled.join(decoded.withColumn("_name", without_scheme(plain)), "_name", "left")
+    return found.withColumn("path", F.coalesce("path", "_path")).drop("_name", "_path")
 
 
-def file_name(path: str) -> Column:
-    """A path without its scheme, escapes undone: the streaming and the image source write it differently."""
-    return F.regexp_replace(F.replace(F.col(path), F.lit("%20"), F.lit(" ")), "^[a-z0-9]+:/*", "/")
+def without_scheme(path: Column) -> Column:
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
 
 
 @dataclass(frozen=True)
 class Params:
     epochs: int = 5
+    lr: float = 0.001
+    batch_size: int = 32
     reg: float = 0.0
     fraction: str = "0.2"
     seed: int = 42
     img_size: int = 224
+    random_start: bool = False  # the loss is convex: zeros start as well
 
 
 @dataclass(frozen=True)
 class Run:
-    model: PipelineModel
-    metrics: DataFrame  # (epoch, train_loss, val_accuracy)
-    params: DataFrame   # (name, value)
-    labels: DataFrame   # (label_id, label)
-
-
-def accuracy(model, df: DataFrame, label: str = "label_id") -> float | None:
-    scored = model.transform(df)
-    return scored.select(accuracy_pct(F.col("prediction"), F.col(label)).alias("a")).first()["a"]
-
-
-def fit_head(train: DataFrame, epochs: int, reg: float = 0.0):
-    """Linear softmax head on frozen features: (model, loss after each epoch)."""
-    model = LogisticRegression(
-        featuresCol="vector", labelCol="label_id", family="multinomial", maxIter=epochs,
-        regParam=reg, tol=0.0,
-    ).fit(train)
-    losses = [float(x) for x in model.summary.objectiveHistory][1:]
-    # A stored model has no summary, which would drag the session into every scoring task.
-    path = scratch_dir(train.sparkSession, "model")
-    model.write().save(path)
-    model = LogisticRegressionModel.load(path)
-    return model, losses
+    model: PipelineModel    # of the last epoch
+    metrics: DataFrame      # (epoch, train_loss, val_accuracy)
+    params: DataFrame       # (name, value)
+    labels: DataFrame       # (label_id, label)
+    confusion: DataFrame    # (epoch, label_id, prediction, n) of the held-out rows
+    predictions: DataFrame  # (key, label_id, epoch, prediction) of the held-out rows
 
 
 def train(df: DataFrame, key: str, params: Params = Params()) -> Run:
-    """Fit on (key, label, features) with a stratified hold-out.
+    """Fit on (key, label, features) with a stratified hold-out, scored after every epoch.
 
-    Features stay distributed; the driver sees the class list, the loss per
-    epoch and the last model's accuracy. One fit makes all epochs.
+    Features stay distributed; the driver sees the class list, the weights, the
+    loss per epoch and one count per epoch and pair of classes.
     """
     spark = df.sparkSession
-    df = df.select(key, "label", array_to_vector(F.col("features").cast("array<double>")).alias("vector"))
+    df = df.select(key, "label", F.col("features").cast("array<double>").alias("features"))
     indexer = label_indexer(df)
-    split = stratified_split(indexer.transform(df), "label", key, params.fraction, params.seed).persist()
-    try:
-        model, losses = fit_head(split.filter("not is_held_out"), params.epochs, params.reg)
-        score = accuracy(model, split.filter("is_held_out"))
-        rows = [(epoch, loss, score if epoch == len(losses) else None)
-                for epoch, loss in enumerate(losses, start=1)]
-    finally:
-        split.unpersist()
+    folder = scratch_dir(spark, "training")
+    split = stratified_split(indexer.transform(df), "label", key, params.fraction, params.seed)
+    overwrite(split, f"{folder}/split")
+    split = scan(spark, f"{folder}/split")
+    fitted = softmax.fit(
+        split.filter("not is_held_out"), key, len(indexer.labels), params.epochs, params.lr, params.batch_size,
+        params.seed, params.random_start, params.reg)
+    overwrite(softmax.predictions(split.filter("is_held_out"), key, [head for head, _ in fitted]), f"{folder}/predictions")
+    scored = scan(spark, f"{folder}/predictions")
+    pairs = softmax.confusion(scored).collect()
+    metrics = []
+    for epoch, (_, loss) in enumerate(fitted, start=1):
+        counts = [(r["n"], r["label_id"] == r["prediction"]) for r in pairs if r["epoch"] == epoch]
+        total = sum(n for n, _ in counts)
+        metrics.append((epoch, loss, 100.0 * sum(n for n, right in counts if right) / total if total else None))
+    model = softmax.spark_model(spark, fitted[-1][0])
     return Run(
         PipelineModel([indexer, model]),
-        spark.createDataFrame(rows, "epoch int, train_loss double, val_accuracy double"),
+        spark.createDataFrame(metrics, "epoch int, train_loss double, val_accuracy double"),
         spark.createDataFrame(
             [(k, str(v)) for k, v in asdict(params).items()], "name string, value string"),
         spark.createDataFrame(
             list(enumerate(indexer.labels)), "label_id int, label string"),
+        spark.createDataFrame(pairs, "epoch int, label_id int, prediction int, n long"),
+        scored,
     )
 
 
+def with_vectors(df: DataFrame) -> DataFrame:
+    """Rows with ``vector``, the column the model reads, from their ``features``."""
+    return df.withColumn("vector", array_to_vector(F.col("features").cast("array<double>")))
+
+
 def signature(model: PipelineModel, example: DataFrame) -> T.StructType:
     """What the model gives for rows like the example's, without running it."""
     return model.transform(example.limit(0)).schema
@@ -183,6 +191,6 @@ def train_images(
 
 
 def record(run: Run, path: str, run_id: str) -> None:
-    for name in ("params", "metrics", "labels"):
+    for name in ("params", "metrics", "labels", "confusion"):
         append(getattr(run, name).withColumn("run_id", F.lit(run_id)), f"{path}/{name}")
     run.model.write().overwrite().save(f"{path}/models/{run_id}")

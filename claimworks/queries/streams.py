@@ -13,6 +13,7 @@ from ..functions.messages import encode_messages
 from ..plans import gold
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..session import scratch_dir
+from ..sources.metrics import rows_scanned
 from ..sources.readers import scan
 from ..sources.sinks import append, write_topic
 from ..streaming.ingest import (
@@ -21,7 +22,7 @@ from ..streaming.ingest import (
     ingest_images,
     ingest_telematics,
 )
-from ..streaming.refine import SILVER_TABLES, start_silver
+from ..streaming.refine import SILVER_TABLES, open_silver, start_silver, sums_of
 from ..streaming.tables import open_table
 from . import standins
 from .changes import IMAGE, LOG_SQL, READABLE, envelopes
@@ -161,6 +162,30 @@ def stream_fresh_checkpoint(spark, sf):
         for name, (_, keys) in tables.items()])
 
 
+TOUCHED = "c_custkey % 500 = 7"
+KEY_BUCKET = "('0x' || substr(md5(cast(c_custkey as varchar)), 1, 8))::bigint % 64"
+
+
+@query("cdc_touched_rows", f"""
+    with held as (select c_custkey, c_custkey % 3 as part, {KEY_BUCKET} as bucket from customer)
+    select n as delivery, count(*) filter (part < n and bucket in (select bucket from held where {TOUCHED})) as rows_read,
+      count(*) filter (part < n and {TOUCHED}) as found, count(*) filter (part < n) as rows_held
+    from held, (select unnest([0, 1, 2, 3]) as n) where n > 0 group by n""")
+def cdc_touched_rows(spark, sf):
+    """What a batch reads of its table to find the rows of its own keys: no more than the buckets these lie in."""
+    customers = table(spark, sf, "customer").select(F.lit("s").alias("op"), "c_custkey", "c_name")
+    state = open_table(spark, f"{scratch_dir(spark, 'touched')}/customer", ["c_custkey"], buckets=64)
+    batch, rows = customers.where(TOUCHED).drop("op"), []
+    for n in range(3):
+        state.write(n, lambda before, n=n: customers.where(F.col("c_custkey") % 3 == n))
+        if n == 1:
+            state.compact()
+        present = state.read(touching=batch, columns=["c_custkey"])
+        found = present.join(batch, "c_custkey", "left_semi").count()
+        rows.append((n + 1, rows_scanned(present, state.path), found, state.read().count()))
+    return spark.createDataFrame(rows, "delivery int, rows_read long, found long, rows_held long")
+
+
 def set_age(spark, folder: str, days: int) -> None:
     """Date the files of a folder back, as a copy that keeps times would."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -213,6 +238,25 @@ def stream_silver_upsert(spark, sf):
     return single(portable(silver), "speed")
 
 
+@query("telematics_running_sums", f"""
+    select chassis_no, count(*) as readings, {', '.join(f"{single_sql(f'avg({c})')} as {c}" for c in ('speed', 'latitude', 'longitude'))}
+    from ({ORACLES['stream_silver_upsert']}) group by chassis_no""")
+def telematics_running_sums(spark, sf):
+    """Averages per vehicle kept up by the deliveries of ``stream_silver_upsert``, against a recount of the table."""
+    root = scratch_dir(spark, "sums")
+    readings = standins.frame(spark, sf, "telematics")
+    early = F.coalesce(F.col("event_timestamp") < F.lit("2024-01-15"), F.lit(True))
+    (telematics,) = [t for t in SILVER_TABLES if t.name == "telematics"]
+    for part in (readings.filter(early), readings.filter(~early), readings.filter(early)):
+        append(part, f"{root}/bronze/telematics")
+        finish(*start_silver(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoints", trigger=None, tables=[telematics]))
+        open_silver(spark, telematics, f"{root}/silver").compact()
+    sums = sums_of(spark, telematics, f"{root}/silver")
+    counts = sums.table.read(columns=["rows"]).withColumnRenamed("rows", "readings")
+    return single(counts.join(sums.averages(), "chassis_no"), "speed", "latitude", "longitude")
+
+
 def captured_changes(spark, sf):
     """Create messages for every customer, policy and claim, then a second
     change for every policy: one in 97 is deleted, the others are updated."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.messages import encode_messages
@@ -424,17 +424,51 @@ def check_declared_tables(spark, sf):
         for name, df in frames.items()])
 
 
-@query("train_metrics", """
-    select unnest(range(1, 4))::integer as epoch, true as loss_falls, true as accuracy_holds,
-      (select count(distinct label) from embeddings)::bigint as n_labels""")
+EPOCHS, RATE = 3, 0.01
+
+
+def _training_sql() -> str:
+    """The optimiser's epochs over one batch of all training rows, from zeros, as SQL."""
+    parts = ["""
+    rows as (select vec_id, 'class ' || label as label, embedding, row_number() over (partition by label order by md5(vec_id || '-42'), vec_id)
+        <= ceil(0.2 * count(*) over (partition by label)) as held_out from embeddings),
+    classes as (select label, row_number() over (order by label) - 1 as c from (select distinct label from rows)),
+    x as (select vec_id, c as y, held_out, 0 as i, 1.0::double as v from rows join classes using (label)
+        union all select vec_id, c, held_out, unnest(range(1, len(embedding) + 1)), unnest(embedding)::double from rows join classes using (label)),
+    n as (select count(*) as n from rows where not held_out),
+    w0 as (select c, i, 0.0::double as w, 0.0::double as m, 0.0::double as s from classes, (select distinct i from x))"""]
+    for e in range(EPOCHS + 1):
+        parts.append(f"z{e} as (select vec_id, y, held_out, c, sum(v * w) as z from x join w{e} using (i) group by all)")
+        if e:
+            parts.append(f"""guess{e} as (select vec_id, y, (c = y)::integer as is_right from z{e} where held_out
+                qualify row_number() over (partition by vec_id order by z desc, c) = 1)""")
+        if e < EPOCHS:
+            k = e + 1
+            parts.append(f"""top{e} as (select vec_id, max(z) as top from z{e} where not held_out group by 1),
+            sum{e} as (select vec_id, any_value(top) + ln(sum(exp(z - top))) as total from z{e} join top{e} using (vec_id) group by 1),
+            loss{k} as (select avg(total - z) as train_loss from z{e} join sum{e} using (vec_id) where c = y),
+            slope{e} as (select vec_id, c, exp(z - total) - (c = y)::integer as d from z{e} join sum{e} using (vec_id)),
+            g{e} as (select c, i, sum(d * v) / any_value(n) as g from slope{e} join x using (vec_id), n group by 1, 2),
+            a{e} as (select c, i, w, 0.9 * m + 0.1 * g as m, 0.999 * s + 0.001 * g * g as s from w{e} join g{e} using (c, i)),
+            w{k} as (select c, i, w - {RATE} * (m / (1 - pow(0.9, {k}))) / (sqrt(s / (1 - pow(0.999, {k}))) + 1e-8) as w, m, s from a{e})""")
+    results = " union all ".join(
+        f"select {e} as epoch, label, count(*) as n_held_out, sum(is_right)::bigint as n_right, round((select train_loss from loss{e}), 6) as train_loss, "
+        f"round((select 100.0 * sum(is_right) / count(*) from guess{e}), 6) as val_accuracy from guess{e} join classes on c = y group by label"
+        for e in range(1, EPOCHS + 1))
+    return f"with {', '.join(parts)} {results}"
+
+
+@query("train_metrics", _training_sql())
 def train_metrics(spark, sf):
-    """What is determined of a run: its epochs, a falling loss, an accuracy from 0 to 100 for the last
-    model that is well above chance, and its labels."""
+    """Loss and accuracy of every epoch, and right answers per class recounted from the stored predictions."""
     labelled = table(spark, sf, "embeddings").select(
         "vec_id", F.concat(F.lit("class "), F.col("label").cast("string")).alias("label"),
         F.col("embedding").alias("features"))
-    run = train(labelled, "vec_id", Params(epochs=3))
-    before = F.lag("train_loss").over(Window.orderBy("epoch"))  # one row per epoch
-    holds = F.when(F.col("epoch") < 3, F.col("val_accuracy").isNull()).otherwise(F.col("val_accuracy").between(0, 100))
-    return run.metrics.select("epoch", (F.col("train_loss") < F.coalesce(before, F.lit(float("inf")))).alias("loss_falls"),
-                              holds.alias("accuracy_holds"), F.lit(run.labels.count()).cast("bigint").alias("n_labels"))
+    run = train(labelled, "vec_id", Params(epochs=EPOCHS, lr=RATE, batch_size=1 << 40))
+    truth = labelled.select("vec_id", "label")
+    guessed = run.predictions.select("vec_id", "epoch", "prediction").join(
+        run.labels.select(F.col("label_id").alias("prediction"), F.col("label").alias("guess")), "prediction")
+    by_class = guessed.join(truth, "vec_id").groupBy("epoch", "label").agg(
+        F.count("*").alias("n_held_out"), F.count_if(F.col("guess") == F.col("label")).alias("n_right"))
+    metrics = run.metrics.select("epoch", F.round("train_loss", 6).alias("train_loss"), F.round("val_accuracy", 6).alias("val_accuracy"))
+    return by_class.join(metrics, "epoch").select("epoch", "label", "n_held_out", "n_right", "train_loss", "val_accuracy")

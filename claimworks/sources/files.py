@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +35,32 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where there is none."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file at once, whole; False, and no change, where there is one already."""
+    fs, hadoop_path = _fs(spark, path)
+    if fs.exists(hadoop_path):
+        return False
+    part = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), f".{hadoop_path.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(part, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    return fs.rename(part, hadoop_path)
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     if fmt == "delta":
         return path_exists(spark, f"{path}/_delta_log")

@@ -15,7 +15,7 @@ from ..operators.changelog import expand, net_changes, resolve
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..sources.readers import csv_stream, image_stream, topic_stream
 from ..sources.sinks import EVERY_MINUTE, append_stream, each_batch
-from .tables import Before, open_table
+from .tables import BUCKETS, Before, open_table
 
 ORDER = ["ts_ms", "offset"]
 
@@ -28,7 +28,8 @@ def table_log(changes: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
 
 
 def apply_changes(
-    batch: DataFrame, batch_id: int, bronze: str, fmt: str = "parquet", tables=CAPTURED, stream: str = "only"
+    batch: DataFrame, batch_id: int, bronze: str, fmt: str = "parquet", tables=CAPTURED, stream: str = "only",
+    buckets: int = BUCKETS,
 ) -> None:
     """One micro-batch of the shared change log into every captured table.
 
@@ -42,15 +43,19 @@ def apply_changes(
 
     def apply(name: str) -> None:
         schema, keys = tables[name]
-        net = net_changes(table_log(keyed, name, keys), keys, ORDER)
+        net = net_changes(table_log(keyed, name, keys), keys, ORDER).persist()
 
         def rows(before: Before) -> DataFrame:
-            current = before()
+            # Only the buckets of the batch's keys are read, and of them only keys.
+            current = before(touching=net, columns=keys)
             now = spark.createDataFrame([], schema) if current is None else current
             parsed = resolve(net, now, keys).withColumn("image", F.from_json("image", schema))
             return expand(parsed, keys, schema.names)
 
-        open_table(spark, f"{bronze}/{name}", keys, fmt).write(batch_id, rows, stream)
+        try:
+            open_table(spark, f"{bronze}/{name}", keys, fmt, buckets=buckets).write(batch_id, rows, stream)
+        finally:
+            net.unpersist()
 
     try:
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
@@ -63,12 +68,15 @@ def apply_changes(
 
 def ingest_changes(
     spark: SparkSession, source: dict, bronze: str, checkpoint: str,
-    fmt: str = "parquet", trigger: str | None = EVERY_MINUTE, tables=CAPTURED,
+    fmt: str = "parquet", trigger: str | None = EVERY_MINUTE, tables=CAPTURED, buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Change log of all captured tables, e.g. source={'pattern': ..., 'servers': ...}."""
+    """Change log of all captured tables, e.g. source={'pattern': ..., 'servers': ...}.
+
+    ``buckets`` counts for tables that are not there yet: so many that one fits a task.
+    """
     changes = parse_envelopes(topic_stream(spark, **source))
     return each_batch(
-        changes, lambda df, n, stream: apply_changes(df, n, bronze, fmt, tables, stream),
+        changes, lambda df, n, stream: apply_changes(df, n, bronze, fmt, tables, stream, buckets),
         checkpoint, trigger, "changes"
     )
 

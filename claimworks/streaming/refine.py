@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,11 @@ from ..plans import silver
 from ..schemas import BINARY_FILE, CAPTURED, IMAGE_METADATA, TELEMATICS
 from ..sources.readers import table_stream
 from ..sources.sinks import EVERY_MINUTE, each_batch
+from .sums import RunningSums
 from .tables import Before, open_table
 
-Rule = Callable[[DataFrame, Before], DataFrame]
+# (batch, the table before it, its running sums if it keeps any)
+Rule = Callable[[DataFrame, Before, RunningSums | None], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -31,10 +33,18 @@ class SilverTable:
     schema: T.StructType
     rule: Rule
     from_changes: bool = False  # source is a change-fed bronze table
+    layout: dict = field(default_factory=dict)  # what rows are partitioned by
+    averaged: tuple[Sequence[str], Sequence[str]] | None = None  # (by, columns) of the running sums
 
 
 def _plain(rule: Callable[[DataFrame], DataFrame]) -> Rule:
-    return lambda batch, before: rule(batch)
+    return lambda batch, before, sums: rule(batch)
+
+
+def _telematics(batch: DataFrame, before: Before, sums: RunningSums | None) -> DataFrame:
+    if sums is None:
+        return silver.clean_telematics(batch, before())
+    return silver.clean_telematics(batch, means=sums.averages)
 
 
 SILVER_TABLES = (
@@ -46,13 +56,15 @@ SILVER_TABLES = (
     SilverTable("image_metadata", ["image_name"], IMAGE_METADATA,
                 _plain(silver.clean_image_metadata)),
     SilverTable("training_images", ["path"], BINARY_FILE, _plain(silver.clean_training_images)),
-    SilverTable("telematics", ["chassis_no", "event_timestamp"], TELEMATICS,
-                lambda batch, before: silver.clean_telematics(batch, before())),
+    # Readings come in about the order of their time: a batch touches a few days.
+    SilverTable("telematics", ["chassis_no", "event_timestamp"], TELEMATICS, _telematics,
+                layout={"day": "event_timestamp"}, averaged=(["chassis_no"], ["speed", "latitude", "longitude"])),
 )
 
 
 def silver_rows(
-    table: SilverTable, batch: DataFrame, before: Before, propagate_deletes: bool = False
+    table: SilverTable, batch: DataFrame, before: Before, propagate_deletes: bool = False,
+    sums: RunningSums | None = None,
 ) -> DataFrame:
     """A micro-batch as (op, silver row).
 
@@ -60,11 +72,11 @@ def silver_rows(
     the last change of each key. Deletes stay in bronze unless asked for.
     """
     if not table.from_changes:
-        return table.rule(batch, before).select(F.lit(UPSERT).alias("op"), "*")
+        return table.rule(batch, before, sums).select(F.lit(UPSERT).alias("op"), "*")
     if not propagate_deletes:
         batch = batch.filter(F.col("op") == UPSERT)
-    last = keep_one(batch, table.keys, ["batch"], last=True).drop("batch")
-    sets = table.rule(last.filter(F.col("op") == UPSERT).drop("op"), before)
+    last = keep_one(batch.drop("bucket"), table.keys, ["batch"], last=True).drop("batch")
+    sets = table.rule(last.filter(F.col("op") == UPSERT).drop("op"), before, sums)
     rows = sets.select(F.lit(UPSERT).alias("op"), "*")
     if not propagate_deletes:
         return rows
@@ -78,8 +90,24 @@ def upsert_batch(
     batch: DataFrame, batch_id: int, table: SilverTable, silver_root: str,
     fmt: str = "parquet", propagate_deletes: bool = False, stream: str = "only",
 ) -> None:
-    target = open_table(batch.sparkSession, f"{silver_root}/{table.name}", table.keys, fmt)
-    target.write(batch_id, lambda before: silver_rows(table, batch, before, propagate_deletes), stream)
+    target = open_silver(batch.sparkSession, table, silver_root, fmt)
+    sums = sums_of(batch.sparkSession, table, silver_root, fmt)
+    if sums is not None:
+        sums.follow()  # nothing to do, unless the last batch broke off between the two
+    target.write(batch_id, lambda before: silver_rows(table, batch, before, propagate_deletes, sums), stream)
+    if sums is not None:
+        sums.follow()
+
+
+def open_silver(spark: SparkSession, table: SilverTable, silver_root: str, fmt: str = "parquet"):
+    return open_table(spark, f"{silver_root}/{table.name}", table.keys, fmt, **table.layout)
+
+
+def sums_of(spark: SparkSession, table: SilverTable, silver_root: str, fmt: str = "parquet") -> RunningSums | None:
+    """The table's running sums; on Delta none, as a merged table no longer shows what it held before."""
+    if table.averaged is None or fmt == "delta":
+        return None
+    return RunningSums(open_silver(spark, table, silver_root, fmt), f"{silver_root}/{table.name}_sums", *table.averaged)
 
 
 def bronze_stream(
@@ -90,7 +118,7 @@ def bronze_stream(
         # A change-fed table is rewritten when compacted; its changes only grow.
         schema = T.StructType(
             [T.StructField("op", T.StringType()), *table.schema.fields,
-             T.StructField("batch", T.IntegerType())]
+             T.StructField("batch", T.IntegerType()), T.StructField("bucket", T.IntegerType())]
         )
         changes = open_table(spark, path, table.keys, fmt).changes_path
         return table_stream(spark, changes, schema, "parquet", **options)

@@ -1,32 +1,61 @@
 """Keyed tables that micro-batches change, on plain folders or on Delta.
 
 A folder table holds
-    <path>/changes/batch=K             rows delivery K set or deleted, at most one per key
+    <path>/layout.json                 columns, and what rows are partitioned by
+    <path>/changes/batch=K/bucket=B    rows delivery K set or deleted, at most one per key
     <path>/deliveries/<stream>/<N>/K=  batch N of that stream is delivery K
-    <path>/base/upto=K                 the table after delivery K, where ``compact`` wrote it
-and its state is the newest base with the later deliveries on top. A delivery is
-known by its stream's identity and the batch's number: a replayed batch finds
-its own folder committed and leaves it alone, while a new checkpoint is another
-stream, all of whose batches are new. One writer per table at a time.
+    <path>/base/upto=K/bucket=B        the table after delivery K, where ``compact`` wrote it
+and its state is the newest base with the later deliveries on top. A row's bucket
+follows from its key (a hash, or the day of a time that is part of it), so a batch
+that asks for the rows its own keys may replace reads only the buckets it touches.
+A delivery is known by its stream's identity and the batch's number: a replayed
+batch finds its own folder committed and leaves it alone, while a new checkpoint is
+another stream, all of whose batches are new. One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.changelog import UPSERT
 from ..operators.merge import same_keys
-from ..sources.files import is_committed, make_folder, numbered_folders, table_exists
+from ..sources.files import create_text, is_committed, make_folder, numbered_folders, read_text, table_exists
 
-Before = Callable[[], DataFrame | None]
+BUCKETS = 32
+_DAY_US = 86_400_000_000
+
+# (touching=None, columns=None): the table as a batch found it, see ``FolderTable.read``.
+Before = Callable[..., DataFrame | None]
+
+
+def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int, day: str | None = None) -> Column:
+    """The bucket of a row's key: the day of ``day``, or a hash modulo ``buckets``, alike in every session.
+
+    Null key parts count as empty text, a null time as the first day there is.
+    """
+    def instant(c: str) -> Column:
+        return F.unix_micros(F.col(c).cast("timestamp"))
+
+    if day is not None:
+        return F.coalesce(F.floor(instant(day) / _DAY_US).cast("int"), F.lit(-719_529))
+    times = {f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    parts = [F.coalesce((instant(k) if k in times else F.col(k)).cast("string"), F.lit("")) for k in keys]
+    head = F.conv(F.substring(F.md5(F.concat_ws("\x01", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.pmod(head, F.lit(buckets)).cast("int")
 
 
 class FolderTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet"):
+    """``buckets`` and ``day`` (a key column) are fixed by the first delivery; later ones keep what it chose."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet",
+                 buckets: int = BUCKETS, day: str | None = None):
         self.spark, self.path, self.keys, self.fmt = spark, path.rstrip("/"), list(keys), fmt
+        self.buckets, self.day = buckets, day
 
     @property
     def changes_path(self) -> str:
@@ -35,6 +64,24 @@ class FolderTable:
     def exists(self) -> bool:
         return self._newest_base() is not None or bool(self._batches())
 
+    def _layout(self, frame: DataFrame | None = None) -> dict:
+        """What the table was laid out by; written with the first delivery, whose frame is (op, row)."""
+        path = f"{self.path}/layout.json"
+        text = read_text(self.spark, path)
+        if text is None:
+            rows = T.StructType([f for f in frame.schema if f.name != "op"])
+            text = json.dumps({"buckets": self.buckets, "day": self.day, "rows": rows.jsonValue()})
+            create_text(self.spark, path, text)
+        return json.loads(text)
+
+    def _bucket(self, frame: DataFrame, layout: dict) -> Column:
+        return bucket_of(frame, self.keys, layout["buckets"], layout["day"])
+
+    def _save(self, frame: DataFrame, layout: dict, target: str) -> None:
+        """Rows by bucket, dealt so that a bucket is one file, or several if it is large."""
+        dealt = frame.withColumn("bucket", self._bucket(frame, layout)).hint("rebalance", "bucket")
+        dealt.write.format(self.fmt).partitionBy("bucket").mode("overwrite").save(target)
+
     def _newest_base(self, before: int | None = None) -> int | None:
         for n in reversed(numbered_folders(self.spark, f"{self.path}/base", "upto=")):
             if (before is None or n < before) and is_committed(self.spark, f"{self.path}/base/upto={n}"):
@@ -49,20 +96,58 @@ class FolderTable:
             and is_committed(self.spark, f"{self.changes_path}/batch={n}")
         ]
 
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The table after all batches, or as batch ``before`` found it; None if there is none."""
+    def _load(self, fields: list[T.StructField], root: str, folders: list[str], touched: DataFrame | None) -> DataFrame:
+        """The folders' rows, without the buckets that were not touched."""
+        number = T.StructField(folders[0].rpartition("/")[2].partition("=")[0], T.IntegerType())
+        schema = T.StructType([*fields, number, T.StructField("bucket", T.IntegerType())])
+        rows = self.spark.read.format(self.fmt).schema(schema).option("basePath", root).load(folders)
+        # The other side is one whole number per bucket; its broadcast prunes the scan's partitions.
+        return rows if touched is None else rows.join(F.broadcast(touched), "bucket", "left_semi")
+
+    def read(
+        self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None
+    ) -> DataFrame | None:
+        """The table after all batches, or as batch ``before`` found it; None if there is none.
+
+        ``touching`` (rows with the key columns) leaves out buckets in which none of
+        its keys can lie: rows of other keys may or may not be there. ``columns``
+        narrows the rows; few and small ones are reduced before they are dealt.
+        """
         newest = self._newest_base(before)
         batches = self._batches(newest, before)
-        base = None
+        if newest is None and not batches:
+            return None
+        layout = self._layout()
+        rows = T.StructType.fromJson(layout["rows"])
+        touched = None
+        if touching is not None:
+            keyed = touching.select(*[F.col(k).cast(rows[k].dataType).alias(k) for k in self.keys])
+            # A comparison marks the filter as selective, so that the planner prunes by it.
+            touched = keyed.select(self._bucket(keyed, layout).alias("bucket")).where("bucket > -1000000").distinct()
+        base = changes = None
         if newest is not None:
-            base = self.spark.read.format(self.fmt).load(f"{self.path}/base/upto={newest}")
-        if not batches:
-            return base
-        changes = (
-            self.spark.read.format(self.fmt).option("basePath", self.changes_path)
-            .load([f"{self.changes_path}/batch={n}" for n in batches])
-        )
-        return self._fold(base, changes, single=len(batches) == 1)
+            base = self._load(rows.fields, f"{self.path}/base", [f"{self.path}/base/upto={newest}"], touched)
+        if batches:
+            fields = [T.StructField("op", T.StringType()), *rows.fields]
+            folders = [f"{self.changes_path}/batch={n}" for n in batches]
+            changes = self._load(fields, self.changes_path, folders, touched)
+        if columns is not None:
+            return self._narrow(base, changes, [*self.keys, *[c for c in columns if c not in self.keys]])
+        if changes is None:
+            return base.select(*rows.names)
+        return self._fold(base, changes, single=len(batches) == 1).select(*rows.names)
+
+    def _narrow(self, base: DataFrame | None, changes: DataFrame | None, columns: list[str]) -> DataFrame:
+        """The last row of each key, by an aggregate that combines before the shuffle."""
+        log = []
+        if base is not None:
+            log.append(base.select(*columns, F.lit(UPSERT).alias("_op"), F.lit(-1).alias("_at")))
+        if changes is not None:
+            log.append(changes.select(*columns, F.col("op").alias("_op"), F.col("batch").alias("_at")))
+        rest = [c for c in columns if c not in self.keys]
+        last = log[0] if len(log) == 1 else log[0].union(log[1])
+        last = last.groupBy(*self.keys).agg(F.max(F.struct("_at", "_op", *rest)).alias("_last"))
+        return last.where(F.col("_last._op") == UPSERT).select(*self.keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
     def _fold(self, base: DataFrame | None, changes: DataFrame, single: bool) -> DataFrame:
         # Whole rows (image contents among them) move only if the key sets they
@@ -95,8 +180,20 @@ class FolderTable:
         make_folder(self.spark, f"{folder}/K={number}")
         return number
 
-    def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> None:
-        """Commit the (op, row) frame ``rows`` gives, once per stream and batch.
+    def delivered(self, number: int) -> DataFrame | None:
+        """The (op, row) frame of a finished delivery; None where it is not there."""
+        if not is_committed(self.spark, f"{self.changes_path}/batch={number}"):
+            return None
+        fields = [T.StructField("op", T.StringType()), *T.StructType.fromJson(self._layout()["rows"]).fields]
+        folder = f"{self.changes_path}/batch={number}"
+        return self._load(fields, self.changes_path, [folder], None).drop("batch", "bucket")
+
+    def deliveries(self, after: int | None = None) -> list[int]:
+        """Numbers of the finished deliveries after that one."""
+        return self._batches(after)
+
+    def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> int:
+        """Commit the (op, row) frame ``rows`` gives, once per stream and batch; the delivery's number.
 
         ``rows`` gets a function that reads the table as it was before the
         batch; most tables never call it and so never list their files.
@@ -104,16 +201,16 @@ class FolderTable:
         number = self._delivery(stream, batch_id)
         target = f"{self.changes_path}/batch={number}"
         if not is_committed(self.spark, target):
-            frame = rows(lambda: self.read(before=number))
-            frame.write.format(self.fmt).mode("overwrite").save(target)
+            frame = rows(lambda touching=None, columns=None: self.read(number, touching, columns))
+            self._save(frame, self._layout(frame), target)
+        return number
 
     def compact(self) -> None:
         """Write the table after its last finished delivery as a new base. A job of its own, run as often
         as reading many deliveries costs more than one rewrite."""
         done = self._batches()
         if done and not is_committed(self.spark, f"{self.path}/base/upto={done[-1]}"):
-            self.read(before=done[-1] + 1).write.format(self.fmt).mode("overwrite").save(
-                f"{self.path}/base/upto={done[-1]}")
+            self._save(self.read(before=done[-1] + 1), self._layout(), f"{self.path}/base/upto={done[-1]}")
 
 
 class DeltaTable(FolderTable):
@@ -123,8 +220,8 @@ class DeltaTable(FolderTable):
     next layer. Needs the Delta library on the classpath.
     """
 
-    def __init__(self, spark, path, keys, fmt="delta"):
-        super().__init__(spark, path, keys, "parquet")
+    def __init__(self, spark, path, keys, fmt="delta", **layout):
+        super().__init__(spark, path, keys, "parquet", **layout)
 
     @property
     def changes_path(self) -> str:
@@ -133,16 +230,21 @@ class DeltaTable(FolderTable):
     def exists(self) -> bool:
         return table_exists(self.spark, self.path, "delta")
 
-    def read(self, before: int | None = None) -> DataFrame | None:
+    def read(
+        self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None
+    ) -> DataFrame | None:
+        """The table as it is now: a batch is merged once, after its rows are written, and the merge prunes by file."""
         return self.spark.read.format("delta").load(self.path) if self.exists() else None
 
-    def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> None:
+    def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> int:
         from delta.tables import DeltaTable as Target
 
-        folder = f"{self.changes_path}/batch={self._delivery(stream, batch_id)}"
+        number = self._delivery(stream, batch_id)
+        folder = f"{self.changes_path}/batch={number}"
         if not is_committed(self.spark, folder):
-            rows(self.read).write.mode("overwrite").parquet(folder)
-        changes = self.spark.read.parquet(folder)
+            frame = rows(lambda touching=None, columns=None: self.read())
+            self._save(frame, self._layout(frame), folder)
+        changes = self.delivered(number)
         columns = [c for c in changes.columns if c != "op"]
         if not self.exists():
             self.spark.createDataFrame([], changes.select(columns).schema).write.format(
@@ -156,8 +258,9 @@ class DeltaTable(FolderTable):
             .whenNotMatchedInsert(condition="s.op = 's'", values=values)
             .execute()
         )
+        return number
 
 
-def open_table(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet"):
-    return (DeltaTable if fmt == "delta" else FolderTable)(spark, path, keys, fmt)
+def open_table(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet", **layout):
+    return (DeltaTable if fmt == "delta" else FolderTable)(spark, path, keys, fmt, **layout)
 
