@@ -11,6 +11,7 @@ from ..functions.messages import encode_messages
 from ..operators import checks
 from ..operators.checks import check_declared
 from ..operators.labels import accuracy_pct, label_indexer
+from ..operators.merge import absent_rows
 from ..operators.split import stratified_split
 from ..plans import load
 from ..plans.publish import counted
@@ -229,18 +230,20 @@ def extracts(spark, sf, surplus: bool = False, copies: int = 1) -> dict[str, str
     """The three extracts; with copies, every policy and claim again behind all first records, one column changed."""
     root = scratch_dir(spark, "extracts")
 
-    def written(name: str, source: str, columns: dict[str, str], changed: str) -> str:
+    def written(name: str, source: str, columns: dict[str, str], key: str, changed: str) -> str:
         rows = reduce(DataFrame.unionByName, [
             table(spark, sf, source).selectExpr(*[f"{e} as `{n}`" for n, e in columns.items()]).withColumn(
                 changed, F.col(f"`{changed}`") if k == 0 else F.lit(f"copy {k}")).withColumn("copy", F.lit(k))
             for k in range(copies)])
-        rows.coalesce(1).sortWithinPartitions("copy").drop("copy").write.option("header", "true").option(
+        # Files of some ten thousand records each; all records of a key in one of them, first copies first.
+        files = max(1, -(-table(spark, sf, source).count() // 20_000))
+        rows.repartition(files, f"`{key}`").sortWithinPartitions("copy").drop("copy").write.option("header", "true").option(
             "escape", '"').csv(f"{root}/{name}")
         return f"{root}/{name}"
 
     return {"customer": customer_files(spark, sf, f"{root}/customer", surplus),
-            "policy": written("policy", "orders", CSV_POLICY, "PRODUCT"),
-            "claim": written("claim", "lineitem", CSV_CLAIM, "severity")}
+            "policy": written("policy", "orders", CSV_POLICY, "POLICY_NO", "PRODUCT"),
+            "claim": written("claim", "lineitem", CSV_CLAIM, "claim_no", "severity")}
 
 
 def _rejects_sql() -> str:
@@ -278,24 +281,56 @@ def load_rejects(spark, sf):
     return load.reject_counts(spark, extracts(spark, sf, surplus=True))
 
 
-@query("load_extracts_run", f"""
+LOADED_SQL = f"""
     select 'customer' as table_name, cast(customer_id as varchar) as key, neighborhood as value
       from (select {_whole('customer_id')} as customer_id, {_csv_sql('neighborhood')} as neighborhood
             from (select {standins.select_list(BROKEN_CUSTOMER)} from customer)) where customer_id is not null
     union all select distinct 'policy', POLICY_NO, 'first' from (select {_quoted(CSV_POLICY)} from orders) where POLICY_NO is not null
-    union all select distinct 'claim', claim_no, 'first' from (select {_quoted(CSV_CLAIM)} from lineitem) where claim_no is not null""")
+    union all select distinct 'claim', claim_no, 'first' from (select {_quoted(CSV_CLAIM)} from lineitem) where claim_no is not null"""
+
+
+def loaded_keys(spark, root: str, numbered: bool = False) -> DataFrame:
+    copy = "case when {} like 'copy %' then 'later' else 'first' end"
+    columns = {"customer": ("customer_id", "neighborhood"), "policy": ("policy_no", copy.format("product")),
+               "claim": ("claim_no", copy.format("incident_severity"))}
+    more = ["load"] if numbered else []
+    return reduce(DataFrame.unionByName, [
+        load.loaded(spark, root, name, numbered=numbered).select(
+            F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"), F.expr(value).alias("value"), *more)
+        for name, (key, value) in columns.items()])
+
+
+@query("load_extracts_run", LOADED_SQL)
 def load_extracts_run(spark, sf):
     """The load run twice over extracts that repeat every policy and claim: the first records stay."""
     root = scratch_dir(spark, "loaded")
     files = extracts(spark, sf, copies=2)
     for attempt in range(2):
         load.load_extracts(spark, files, f"{root}/db", f"{root}/stage-{attempt}")
-    copy = "case when {} like 'copy %' then 'later' else 'first' end"
-    columns = {"customer": ("customer_id", "neighborhood"), "policy": ("policy_no", copy.format("product")),
-               "claim": ("claim_no", copy.format("incident_severity"))}
-    return reduce(DataFrame.unionByName, [
-        scan(spark, f"{root}/db/{name}").select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"),
-                                                F.expr(value).alias("value")) for name, (key, value) in columns.items()])
+    return loaded_keys(spark, f"{root}/db")
+
+
+@query("load_all_or_none", f"""
+    select table_name, 0 as load, count(*) as records, case table_name when 'policy' then count(*) else 0 end as not_in_the_ledger
+    from ({LOADED_SQL}) group by table_name""")
+def load_all_or_none(spark, sf):
+    """A load that was killed after its first table, a whole one, and one killed after its second table: only the whole one shows."""
+    root = scratch_dir(spark, "ledger")
+    db, files = f"{root}/db", extracts(spark, sf)
+
+    def killed(name: str, number: int) -> None:
+        (key, clean), = [(key, clean) for n, key, clean in load.LOADS if n == name]
+        rows = clean(scan_csv(spark, files[name], place=True))
+        overwrite(absent_rows(rows.limit(0), rows, [key], load.PLACE).drop(*load.PLACE), f"{root}/killed-{number}")
+        load.add_files(spark, f"{root}/killed-{number}", f"{db}/{name}", number)
+
+    killed("customer", 0)
+    number = load.load_extracts(spark, files, db, f"{root}/stage")
+    killed("policy", number + 1)
+    shown = loaded_keys(spark, db, numbered=True).groupBy("table_name", "load").agg(F.count("*").alias("records"))
+    there = reduce(DataFrame.unionByName, [
+        scan(spark, f"{db}/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, _, _ in load.LOADS])
+    return shown.join(there, "table_name").select("table_name", "load", "records", (F.col("rows") - F.col("records")).alias("not_in_the_ledger"))
 
 
 @query("append_merge_schema", """

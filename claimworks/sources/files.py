@@ -30,6 +30,27 @@ def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, ascending; none where there is no folder."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile())
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename within one file system; an attempt that was repeated finds it done."""
+    fs, hadoop_path = _fs(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not fs.rename(hadoop_path, to) and not fs.exists(to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.delete(hadoop_path, False)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.mkdirs(hadoop_path)

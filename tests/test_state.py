@@ -170,3 +170,54 @@ def test_training_images_lose_none(spark, tmp_path):
     images = training.table_images(stored, str(tmp_path / "imgs")).collect()
     assert len(images) == 9
     assert sorted(r.path.rsplit("/", 2)[1] for r in images if r.pixels is None) == ["gone", "plain"]
+
+
+def test_load_shows_all_or_none(spark, tmp_path, monkeypatch):
+    """A failure after each of the moves, and one that also keeps the run from cleaning up: the tables stay as they were."""
+    from test_jobs import write_extracts
+    from claimworks.plans import load
+
+    files, db = write_extracts(tmp_path), str(tmp_path / "db")
+    state = lambda: {n: (lambda df: None if df is None else sorted(map(str, df.collect())))(load.loaded(spark, db, n)) for n, _, _ in load.LOADS}
+    attempt, moved, add_files, undo = iter(range(100)), [], load.add_files, load.undo_unfinished
+
+    def run(extracts=files):
+        return load.load_extracts(spark, extracts, db, str(tmp_path / f"stage{next(attempt)}"))
+
+    def breaking(at):
+        def add(*args):
+            add_files(*args)
+            moved.append(args)
+            if len(moved) == at:
+                raise OSError("broken")
+        moved.clear()
+        monkeypatch.setattr(load, "add_files", add)
+
+    for at in (1, 2, 3):
+        breaking(at)
+        with pytest.raises(OSError):
+            run()
+        assert state() == {"customer": None, "policy": None, "claim": None}
+    monkeypatch.setattr(load, "add_files", add_files)
+    assert run() == 0
+    first = state()
+    assert [len(v) for v in first.values()] == [1, 1, 1]
+    more = tmp_path / "more"
+    more.mkdir()
+    (more / "customers.csv").write_text((tmp_path / "customers.csv").read_text() + "2,02-03-1980,a,b,1,new\n")
+    (more / "claims.csv").write_text((tmp_path / "claims.csv").read_text().replace("C1,", "C2,"))
+    extracts = {**files, "customer": str(more / "customers.csv"), "claim": str(more / "claims.csv")}
+    breaking(2)
+    with pytest.raises(OSError):
+        run(extracts)
+    assert state() == first and spark.read.parquet(f"{db}/customer").count() == 1  # taken out again
+    breaking(2)
+    monkeypatch.setattr(load, "undo_unfinished", lambda spark, root: None)  # as if the run was killed
+    with pytest.raises(OSError):
+        run(extracts)
+    assert state() == first and spark.read.parquet(f"{db}/customer").count() == 2
+    monkeypatch.setattr(load, "undo_unfinished", undo)
+    monkeypatch.setattr(load, "add_files", add_files)
+    assert run(extracts) == 1 and run(extracts) == 2
+    assert [len(v) for v in state().values()] == [2, 1, 2] and spark.read.parquet(f"{db}/claim").count() == 2
+    assert sorted(r.load for r in load.loaded(spark, db, "customer", numbered=True).collect()) == [0, 1]
