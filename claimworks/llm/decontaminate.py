@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,9 @@ WIDTH = 10  # words of a window; shorter items are one window
 MIN_SHARE = 0.5  # of an item's words that a document must hold in windows
 MIN_RUN = 30  # words of one passage that count whatever an item's length
 MIN_PLAIN = 5  # words of a template window that are no placeholders (half, if it is shorter)
-PREFILTER = 4_000_000  # window hashes that workers may hold at once; more are joined without
+LOT = 500_000  # words whose windows are hashed at once
+FILTER_BITS = (16, 28)  # least and most of a filter: 8 KB to 32 MB
+CHUNK = 16  # of them in one row while the filter is gathered
 
 NUMBER, NAME = "<num>", "<name>"
 # Number words and units.
@@ -29,9 +32,6 @@ UNITS = set("mm cm m km in ft yd mi mg g kg t lb oz ml l gal s sec min h hr hour
             "inches foot feet gram grams kilogram kilograms pound pounds liter liters litre litres dollar dollars cent "
             "cents euro euros percent degree degrees".split())
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*")
-_DIGIT = re.compile(r"\d")
-_DIGITS = re.compile(r"\d+(?:[.,]\d+)*")
-_CAPITAL = re.compile(r"(?<![^\W\d_])[A-Z][a-z]")
 _PLACEHOLDER = {kind: xxhash.xxh64_intdigest(kind) for kind in (NUMBER, NAME)}
 
 
@@ -41,7 +41,7 @@ def _inside(before: str) -> bool:
     return before[1:] == " " and (c in ",;" or c.isalpha() and not "A" <= c <= "Z")
 
 
-def _slots(kinds: dict[int, str], lowered: str, words: list[str], starts: list[int]) -> list[tuple[int, int, str, str, str]]:
+def _slots(kinds: dict[int, str], lowered: str, words: list[str], starts: np.ndarray) -> list[tuple[int, int, str, str, str]]:
     """(first word, end, kind, value, unit) of each slot; words of one kind with only blanks or a dash between are one."""
     found: list[tuple[int, int, str, str, str]] = []
     for i in sorted(kinds):
@@ -57,6 +57,26 @@ def _slots(kinds: dict[int, str], lowered: str, words: list[str], starts: list[i
     return found
 
 
+@lru_cache(maxsize=2)
+def _classes(size: int) -> np.ndarray:
+    """By code point: 1 what words are made of, 2 digits, 4 what may stand between digits."""
+    kinds = np.fromiter((2 if c.isdecimal() else c.isalnum() for c in map(chr, range(size))), np.uint8, size)
+    kinds[[ord("."), ord(",")]] = 4
+    return kinds
+
+
+def _token_starts(lowered: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokens of ``_TOKEN`` start, and whether each is a number."""
+    points = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = np.zeros(len(points) + 2, np.uint8)
+    kinds[2:] = _classes(1 << 16 if points.max(initial=0) < 1 << 16 else 0x110000)[points]
+    digit, now = kinds == 2, kinds[2:]
+    begins = (now == 1) & (kinds[1:-1] != 1)
+    begins |= digit[2:] & ~digit[1:-1] & ~((kinds[1:-1] == 4) & digit[:-2])
+    starts = np.flatnonzero(begins)
+    return starts, digit[2:][starts]
+
+
 def canonical(text: str | None) -> tuple[list[str], list[list[tuple[int, int, str, str, str]]]]:
     """Lower-cased words, and the slots of each reading of them that has some.
 
@@ -68,21 +88,23 @@ def canonical(text: str | None) -> tuple[list[str], list[list[tuple[int, int, st
     text = text or ""
     lowered = text.lower()
     plain = _TOKEN.findall(lowered)
-    capitals = [m.start() for m in _CAPITAL.finditer(text)]
-    if len(lowered) != len(text):  # places no longer agree
-        capitals = []
-    numbers = NUMBERS.intersection(plain)
-    if _DIGIT.search(text):
-        numbers.update(_DIGITS.findall(lowered))
-    if not capitals and not numbers:
+    if not plain:
         return plain, []
-    starts = [m.start() for m in _TOKEN.finditer(lowered)]
-    kinds = {i: NUMBER for i, w in enumerate(plain) if w in numbers} if numbers else {}
+    starts, digits = _token_starts(lowered)
+    kinds = dict.fromkeys(np.flatnonzero(digits).tolist(), NUMBER)
+    spelt = NUMBERS.intersection(plain)
+    if spelt:
+        kinds |= {i: NUMBER for i, w in enumerate(plain) if w in spelt}
     units = {i + 1 for i in kinds if i + 1 < len(plain) and plain[i + 1] in UNITS}
     names = {}
-    for i, at in zip(np.searchsorted(starts, capitals).tolist() if starts else (), capitals):
-        if i < len(starts) and starts[i] == at and i not in kinds and i not in units:
-            names[i] = at
+    if len(lowered) == len(text):  # else places do not agree
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        first, second = points[starts] - ord("A"), points[np.minimum(starts + 1, len(points) - 1)] - ord("a")
+        for i in np.flatnonzero((first < 26) & (second < 26)).tolist():
+            if i not in kinds and i not in units:
+                names[i] = int(starts[i])
+    if not names and not kinds:
+        return plain, []
     inside = kinds | {i: NAME for i, at in names.items() if at > 1 and _inside(text[at - 2:at])}
     every = kinds | dict.fromkeys(names, NAME)
     found = [inside, every] if len(every) > len(inside) else [inside]
@@ -94,22 +116,32 @@ class _Reading:
 
     def __init__(self, words: list[str], h: np.ndarray, slots: list[tuple[int, int, str, str, str]],
                  known: list[tuple[int, int, str, str, str]] = ()):
-        self.words, self.slots = words, {s[0]: s for s in slots}
-        self.firsts = np.array(sorted(s[0] for s in {*slots}.difference(known)), np.int64)
-        keep = np.ones(len(words) + 1, bool)
-        self.h = h
+        self.words, self.h, self._slots, self._earlier = words, h, slots, known
         if slots:
             self.h = h.copy()
-            for first, end, kind, *_ in slots:
-                keep[first + 1:end] = False
-                self.h[first] = _PLACEHOLDER[kind]
-            self.h = self.h[keep[:-1]]
-        self.places = np.flatnonzero(keep) if slots else np.arange(len(keep))  # the last one is the number of words
-
-    def slotted(self, n: int) -> np.ndarray:
-        """Whether the window of ``n`` from each start holds a slot that an earlier reading has not."""
-        at = np.searchsorted(self.firsts, self.places)
-        return at[n:] > at[:-n]
+            self.h[[s[0] for s in slots]] = [_PLACEHOLDER[s[2]] for s in slots]
+            self._inner = [i for s in slots for i in range(s[0] + 1, s[1])]
+            if self._inner:
+                self.h = np.delete(self.h, self._inner)
+
+    @cached_property
+    def slots(self) -> dict[int, tuple[int, int, str, str, str]]:
+        return {s[0]: s for s in self._slots}
+
+    @cached_property
+    def firsts(self) -> np.ndarray:
+        """Where slots start that an earlier reading has not."""
+        return np.array(sorted(s[0] for s in {*self._slots}.difference(self._earlier)), np.int64)
+
+    @cached_property
+    def places(self) -> np.ndarray:
+        """The plain word at which each word or slot starts, and the number of plain words."""
+        every = np.arange(len(self.words) + 1)
+        return np.delete(every, self._inner) if self._slots else every
+
+    def slotted(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """Whether the windows of ``n`` from the starts hold a slot that an earlier reading has not."""
+        return np.searchsorted(self.firsts, self.places[starts + n]) > np.searchsorted(self.firsts, self.places[starts])
 
     def row(self, start: int, n: int) -> tuple | None:
         """(start, first word, end, template text, slot values) of a window, or None if it has too few words of its own."""
@@ -128,14 +160,59 @@ def _readings(text: str | None) -> list[_Reading]:
     return [_Reading(plain, h, slots, known) for slots, known in zip([[], *slotted], [[], [], *slotted])]
 
 
-def _windows(readings: list[_Reading], widths: tuple[int, ...]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(reading, width, starts, hashes) of the windows; those of a later reading hold a slot of its own."""
-    for k, read in enumerate(readings):
+def _windows(texts: list[list[_Reading]], widths: tuple[int, ...], bits: np.ndarray | None = None
+             ) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, reading, width, start, hash) of the windows of several texts' readings, hashed as one run.
+
+    Windows of a later reading hold a slot of its own. With ``bits`` only those that may be in the filter.
+    """
+    for k in range(max(map(len, texts), default=0)):
+        own = [i for i, readings in enumerate(texts) if len(readings) > k]
+        ends = np.cumsum([len(texts[i][k].h) for i in own])
+        h = np.concatenate([texts[i][k].h for i in own])
         for n in widths:
-            if len(read.h) >= n:
-                hs = window_hashes(read.h, n)
-                at = np.flatnonzero(read.slotted(n)) if k else np.arange(len(hs))
-                yield k, n, at, hs[at]
+            hs = window_hashes(h, n)
+            at = may_hold(bits, hs) if bits is not None else np.arange(len(hs))
+            of = np.searchsorted(ends, at, "right")
+            whole = np.flatnonzero(at + n <= ends[of]) if len(at) else at
+            at, of = at[whole], of[whole]
+            cuts = np.flatnonzero(np.diff(of)) + 1
+            for of, at in zip(np.split(of, cuts), np.split(at, cuts)) if len(at) else ():
+                i, begin = own[of[0]], ends[of[0]] - len(texts[own[of[0]]][k].h)
+                starts = at - begin
+                keep = texts[i][k].slotted(starts, n) if k else slice(None)
+                for start, value in zip(starts[keep].tolist(), _signed(hs[at[keep]])):
+                    yield i, k, n, start, value
+
+
+def filter_of(hashes: DataFrame) -> np.ndarray:
+    """A bit per place for the hashes in column ``h`` (two places each), at most 32 MB whatever their number.
+
+    Over 128 bits a hash as long as that fits; beyond, more windows pass that meet
+    nothing in the join. Gathered as chunks of 8 KB.
+    """
+    low, high = FILTER_BITS
+    k = min(high, max(low, (128 * hashes.count()).bit_length()))
+    places = hashes.select(F.explode(F.array(F.shiftrightunsigned("h", 64 - k), F.col("h").bitwiseAND((1 << k) - 1))).alias("p"))
+
+    def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << CHUNK, np.uint8)
+        bits[part.p.to_numpy() & ((1 << CHUNK) - 1)] = 1
+        return pd.DataFrame([(key[0], np.packbits(bits, bitorder="little").tobytes())], columns=["chunk", "bits"])
+
+    chunks = places.distinct().withColumn("chunk", F.shiftright("p", CHUNK)).groupBy("chunk").applyInPandas(pack, "chunk long, bits binary")
+    out = np.zeros(1 << (k - 3), np.uint8)
+    for r in chunks.collect():
+        out[r.chunk << (CHUNK - 3):(r.chunk + 1) << (CHUNK - 3)] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def may_hold(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Places of the hashes of which both bits are set."""
+    k = (8 * len(bits)).bit_length() - 1
+    held = lambda p: bits[p >> 3] >> (p & 7).astype(np.uint8) & 1
+    found = np.flatnonzero(held((h >> np.uint64(64 - k)).astype(np.int64)))
+    return found[held((h[found] & np.uint64((1 << k) - 1)).astype(np.int64)) == 1]
 
 
 def _signed(h: np.ndarray) -> list[int]:
@@ -163,10 +240,9 @@ def benchmark_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
                     bound[first:last] = True
                 for k, read in enumerate(readings):
                     n = min(width, len(read.h))
-                    for j, _, at, hs in _windows(readings, (n,)) if n else ():
-                        if j == k:
-                            got = [(h, r) for i, h in zip(at.tolist(), _signed(hs)) if (r := read.row(i, n))]
-                            own += [(n, h, k == 0 and bool(bound[r[1]:r[2]].any()), k, *r) for h, r in got]
+                    for _, j, _, start, h in _windows([readings], (n,)) if n else ():
+                        if j == k and (r := read.row(start, n)):
+                            own.append((n, h, k == 0 and bool(bound[r[1]:r[2]].any()), k, *r))
                 free = np.zeros(len(bound), bool)
                 for _, _, exact, _, _, first, last, *_ in own:
                     free[first:last] |= not exact
@@ -275,20 +351,21 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, min_share: fl
     """
     known = benchmark_windows(items, width)
     widths = tuple(sorted(r[0] for r in known.select("width").distinct().collect()))  # ``width`` values at most
-    distinct = known.select("h").distinct()
-    n = distinct.count()
-    wanted = np.sort(distinct.toArrow()["h"].to_numpy().view(np.uint64)) if n <= PREFILTER else None  # 8 bytes each
+    bits = filter_of(known.select("h").distinct())
+
+    def held(lot: list[tuple[str, int, list[_Reading]]]) -> list[tuple]:
+        texts = [readings for *_, readings in lot]
+        return [(*lot[i][:2], h, k, *r) for i, k, n, start, h in _windows(texts, widths, bits) if (r := texts[i][k].row(start, n))]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = []
+            rows, lot, words = [], [], 0
             for doc, key, text in zip(part.doc_id, part.row_key, part.text):
-                readings = _readings(text)
-                for k, n, at, hs in _windows(readings, widths):
-                    if wanted is not None:
-                        hits = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, hs), len(wanted) - 1)] == hs)
-                        at, hs = at[hits], hs[hits]
-                    rows += [(doc, key, h, k, *r) for i, h in zip(at.tolist(), _signed(hs)) if (r := readings[k].row(i, n))]
+                lot.append((doc, key, _readings(text)))
+                words += len(lot[-1][2][0].words)
+                if words >= LOT:
+                    rows, lot, words = rows + held(lot), [], 0
+            rows += held(lot)
             yield pd.DataFrame(rows, columns=["doc_id", "row_key", "h", "reading", "start", "first", "end", "template", "slots"])
 
     def shares(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -301,14 +378,14 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, min_share: fl
             yield pd.DataFrame(rows, columns=["doc_id", "row_key", "item_id", "share", "passage"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row_key"), "text")
-    held = rows.mapInPandas(run, f"doc_id string, row_key long, {_WINDOW}").select(
+    found = rows.mapInPandas(run, f"doc_id string, row_key long, {_WINDOW}").select(
         "doc_id", "row_key", "h", F.col("reading").alias("doc_reading"), "start", F.col("first").alias("doc_first"),
         F.col("end").alias("doc_end"), "template", "slots")
     k = known.select("item_id", "n_words", "n_free", "h", "exact", "reading", F.col("start").alias("at"), "first", "end", "template",
                      F.col("slots").alias("values"))
     window = F.struct("exact", "reading", "doc_reading", "at", "start", "first", "end", "doc_first", "doc_end", "values", "slots")
     # One group is one item's windows in one document.
-    groups = held.join(k, ["h", "template"]).groupBy("doc_id", "row_key", "item_id", "n_words", "n_free").agg(
+    groups = found.join(k, ["h", "template"]).groupBy("doc_id", "row_key", "item_id", "n_words", "n_free").agg(
         F.collect_set(window).alias("windows"))
     whole = groups.mapInPandas(shares, "doc_id string, row_key long, item_id string, share double, passage int")
     return whole.where((F.col("share") >= min_share) | (F.col("passage") >= MIN_RUN)).select(

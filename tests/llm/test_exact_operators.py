@@ -384,6 +384,55 @@ def test_decontamination_names_that_start_a_sentence(spark):
     assert found == {(920, "1"), (921, "2"), (922, "3")}
 
 
+def planted(rng):
+    """(item, copy of it): words put in or left out near its ends or its middle, other names and numbers, other case."""
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randrange(5, 9)))
+    n = rng.randrange(24, 70)
+    item, slots = [word() for _ in range(n)], {}
+    for i in rng.sample(range(2, n - 2), rng.randrange(3)):
+        item[i] = slots[i] = rng.choice(["Anna", "Bert", "7", "12", "three"])
+    copy = list(item)
+    new = {"Anna": "Clara", "Bert": "David Lee", "7": "31", "12": "8.5", "three": "twenty one"}
+    if rng.random() < 0.5:
+        copy = [new[w] if i in slots else w for i, w in enumerate(copy)]
+    kind, at = rng.randrange(3), rng.choice([1, n // 2, n - 2])
+    if kind == 1:
+        copy.insert(at, "indeed")
+    elif kind == 2:
+        del copy[at]
+    return " ".join(item), " ".join(copy)
+
+
+def test_decontamination_recall(spark):
+    """Random items, copied with edits into documents; the same words in another order are no copy."""
+    rng = random.Random(77)
+    pairs = [planted(rng) for _ in range(150)]
+    texts = {}
+    for k, (item, copy) in enumerate(pairs):
+        around = [fixture.sentence(rng, rng.randrange(80)) for _ in range(2)]
+        texts[2000 + k] = f"{around[0]} so {copy} and {around[1]}"
+        mixed = copy.split()
+        rng.shuffle(mixed)
+        texts[4000 + k] = f"{around[0]} {' '.join(mixed)}"
+    docs = fixture.table(spark, list(texts.items()))
+    items = spark.createDataFrame(list(enumerate(i for i, _ in pairs)), "item_id long, text string")
+    found = {(r.doc_id, int(r.item_id)) for r in decontaminate.matches(docs, items).collect()}
+    assert {d - 2000 for d, _ in found} <= set(range(150)) and all(d - 2000 == i for d, i in found)
+    assert len(found) >= 0.9 * len(pairs)
+
+
+def test_window_filter(spark):
+    """Every hash that was put in is found; few others are; the same at a filter's least and most size."""
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    put = spark.createDataFrame([(int(x),) for x in h[:2000].view(np.int64)], "h long")
+    bits = decontaminate.filter_of(put)
+    hits = decontaminate.may_hold(bits, h)
+    assert set(range(2000)) <= set(hits.tolist()) and len(hits) < 2100
+    least = decontaminate.filter_of(put.limit(0))
+    assert len(least) == 8192 and len(decontaminate.may_hold(least, h)) == 0
+
+
 # Substrings --------------------------------------------------------------
 
 def without_repeats(rows, width):
