@@ -64,6 +64,34 @@ def keyed_texts(changes: DataFrame, tables=CAPTURED) -> DataFrame:
     )
 
 
+OPS = ("c", "r", "u", "d")
+
+
+def sorted_messages(topic: DataFrame, tables=CAPTURED) -> DataFrame:
+    """Every message of the topic: ``keyed_texts`` where it can be applied, else ``reason`` says why not.
+
+    The message's own key, value and offset stay beside what was read of it.
+    """
+    parsed = topic.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "offset"
+    ).withColumn("e", F.from_json("value", ENVELOPE)).select(
+        "key", "value", "offset", F.col("e.source.table").alias("table_name"), F.col("e.op").alias("op"),
+        F.col("e.before").alias("before_str"), F.col("e.after").alias("after_str"), F.col("e.ts_ms").alias("ts_ms"))
+    text, key_values = row_text(), F.lit(None).cast("array<string>")
+    for name, (_, keys) in tables.items():
+        found = F.from_json(text, strings(*keys))
+        key_values = F.when(F.col("table_name") == name, F.array(*[found[k] for k in keys])).otherwise(key_values)
+    read = parsed.select("key", "value", "offset", "table_name", "op", "ts_ms", key_values.alias("key_values"), text.alias("image"))
+    reason = (
+        F.when(F.col("value").isNull(), "tombstone")
+        .when(F.col("table_name").isNull(), "unreadable")
+        .when(~F.col("table_name").isin(*tables), "table not captured")
+        .when(~F.coalesce(F.col("op").isin(*OPS), F.lit(False)), "unknown op")
+        .when(F.exists("key_values", lambda k: k.isNull()), "no key")
+    )
+    return read.withColumn("reason", reason)
+
+
 def row_images(changes: DataFrame, schema: T.StructType) -> DataFrame:
     return changes.select("op", "ts_ms", "offset", row_image(schema).alias("image"))
 

@@ -13,12 +13,14 @@ from pyspark.sql import SparkSession
 from .functions.geo import geocode_from_table
 from .operators.checks import check_declared
 from .plans import gold, load, publish, training
-from .schemas import CAPTURED, DECLARED
+from .schemas import CAPTURED, DECLARED, REFERENCES
 from .session import build_session
 from .sources.readers import scan
 from .sources.sinks import EVERY_MINUTE
 from .streaming import ingest, refine
-from .streaming.tables import open_table
+from .streaming.follow import References
+from .streaming.star import StarJoin
+from .streaming.tables import BUCKETS, open_table
 
 
 def topic_source(args: argparse.Namespace) -> dict:
@@ -40,8 +42,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     bronze, silver = f"{args.base}/bronze", f"{args.base}/silver"
     checkpoints = f"{args.base}/_checkpoints"
     if args.job == "ingest-changes":
-        streams = [ingest.ingest_changes(spark, topic_source(args), bronze,
-                                         f"{checkpoints}/changes", args.format, trigger)]
+        streams = [ingest.ingest_changes(spark, topic_source(args), bronze, f"{checkpoints}/changes", args.format, trigger,
+                                         buckets=args.buckets, quarantine=f"{bronze}/refused" if args.quarantine else None)]
         wait(spark, streams, args.once)
     elif args.job == "ingest-telematics":
         streams = [ingest.ingest_telematics(spark, topic_source(args), bronze,
@@ -60,17 +62,34 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.places:
             def locate(df):
                 return geocode_from_table(df, "address", scan(spark, args.places, args.format))
-        gold.build_gold(spark, silver, f"{args.base}/gold", args.format, locate)
+        core = None
+        if args.keep_join:
+            sides = (open_table(spark, f"{silver}/{n}", gold.SILVER_KEYS[n], args.format) for n in ("claim", "policy", "customer"))
+            star = StarJoin(*sides, f"{silver}/star")
+            star.follow()
+            core = star.table.read()
+        gold.build_gold(spark, silver, f"{args.base}/gold", args.format, locate, core)
     elif args.job == "compact":
         for name, keys in [(n, k) for n, (_, k) in CAPTURED.items()]:
             open_table(spark, f"{bronze}/{name}", keys, args.format).compact()
         for table in refine.SILVER_TABLES:
-            open_table(spark, f"{silver}/{table.name}", table.keys, args.format).compact()
+            refine.open_silver(spark, table, silver, args.format).compact()
+            sums = refine.sums_of(spark, table, silver, args.format)
+            if sums is not None:
+                sums.follow()
+                sums.compact()
     elif args.job == "check":
         for name, declared in DECLARED.items():
             rows = open_table(spark, f"{bronze}/{name}", [declared.key], args.format).read()
             if rows is not None:
                 check_declared(rows, declared).where("violations > 0").show(truncate=False)
+        if args.format != "delta":
+            for child, column, parent in REFERENCES:
+                sides = [open_table(spark, f"{bronze}/{n}", [DECLARED[n].key]) for n in (child, parent)]
+                kept = References(sides[0], column, sides[1], f"{bronze}/references/{child}.{column}")
+                kept.follow()
+                if kept.check() is not None:
+                    kept.check().where("violations > 0").show(truncate=False)
     elif args.job == "load":
         load.load_extracts(
             spark, {"customer": args.customers, "policy": args.policies, "claim": args.claims},
@@ -112,11 +131,15 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--folder", help="parquet message folder instead of a broker")
         return sub
 
-    job("ingest-changes", stream=True, topic="")
+    changes = job("ingest-changes", stream=True, topic="")
+    changes.add_argument("--buckets", type=int, default=BUCKETS, help="of new tables: so many that one fits a task")
+    changes.add_argument("--quarantine", action="store_true", help="keep messages that cannot be applied")
     job("ingest-telematics", stream=True, topic="telematics_topic")
     job("ingest-objects", stream=True).add_argument("--landing")
     job("silver", stream=True).add_argument("--propagate-deletes", action="store_true")
-    job("gold").add_argument("--places", help="table of (address, latitude, longitude)")
+    golden = job("gold")
+    golden.add_argument("--places", help="table of (address, latitude, longitude)")
+    golden.add_argument("--keep-join", action="store_true", help="keep the claim join up by silver's changes (folder tables)")
     job("compact")
     job("check")
     extracts = job("load")

@@ -70,12 +70,13 @@ SILVER_KEYS = {
 
 def build_gold(
     spark: SparkSession, silver: str, gold: str, fmt: str = "parquet",
-    locate: Callable[[DataFrame], DataFrame] | None = None,
+    locate: Callable[[DataFrame], DataFrame] | None = None, core: DataFrame | None = None,
 ) -> None:
     """The daily job: three tables, each overwritten, in order.
 
     Vehicle averages come from the sums that silver keeps, a row a vehicle; only
-    where there are none are all readings averaged.
+    where there are none are all readings averaged. ``core`` takes the place of the
+    join of claims, policies and customers where that is kept (``streaming.star``).
     """
 
     def table(name: str) -> DataFrame:
@@ -90,10 +91,9 @@ def build_gold(
     else:
         vehicles = vehicle_averages(table("telematics"))
     overwrite(vehicles, f"{gold}/aggregated_telematics", fmt)
-    overwrite(
-        customer_claim_policy(table("claim"), table("policy"), table("customer")),
-        f"{gold}/customer_claim_policy", fmt,
-    )
+    if core is None:
+        core = customer_claim_policy(table("claim"), table("policy"), table("customer"))
+    overwrite(core, f"{gold}/customer_claim_policy", fmt)
     overwrite(
         enrich(
             scan(spark, f"{gold}/customer_claim_policy", fmt),

@@ -15,15 +15,18 @@ from ..schemas import CAPTURED, IMAGE_METADATA
 from ..session import scratch_dir
 from ..sources.metrics import rows_scanned
 from ..sources.readers import scan
-from ..sources.sinks import append, write_topic
+from ..sources.sinks import append, stream_id, write_topic
 from ..streaming.ingest import (
+    apply_messages,
     ingest_changes,
     ingest_image_metadata,
     ingest_images,
     ingest_telematics,
 )
+from ..streaming.follow import References
 from ..streaming.refine import SILVER_TABLES, open_silver, start_silver, sums_of
-from ..streaming.tables import open_table
+from ..streaming.star import StarJoin
+from ..streaming.tables import AppendedTable, open_table
 from . import standins
 from .changes import IMAGE, LOG_SQL, READABLE, envelopes
 from .refined import (
@@ -186,6 +189,103 @@ def cdc_touched_rows(spark, sf):
     return spark.createDataFrame(rows, "delivery int, rows_read long, found long, rows_held long")
 
 
+@query("stream_quarantine", f"""
+    select reason, sum(n)::bigint as messages, sum(v)::bigint as offsets from (
+      select case when event_id % 43 = 0 then 'tombstone' when event_id % 47 = 0 then 'unreadable'
+        when {TABLE_OF_KEY} = 'users' then 'table not captured' when event_id % 53 = 0 then 'no key' else 'kept' end as reason,
+        1 as n, event_id as v from events)
+    group by reason""")
+def stream_quarantine(spark, sf):
+    """The event log in three deliveries, one of them under a checkpoint that is replayed: kept and refused messages are all."""
+    root = scratch_dir(spark, "quarantine")
+    messages = envelopes(spark, sf, TABLE_OF_KEY).join(
+        table(spark, sf, "events").select(F.col("event_id").alias("offset"), "ts"), "offset")
+    tables = {name: (IMAGE, ["customer_id"]) for name in CAPTURED}
+    for part in slices(messages):
+        write_topic(part.select("key", "value", "offset"), folder=f"{root}/topic")
+        finish(ingest_changes(spark, {"folder": f"{root}/topic"}, f"{root}/bronze", f"{root}/checkpoint",
+                              trigger=None, tables=tables, quarantine=f"{root}/refused"))
+    last = part.select("key", "value", "offset")
+    apply_messages(last, 2, f"{root}/bronze", f"{root}/refused", tables=tables, stream=stream_id(spark, f"{root}/checkpoint"))
+    refused = AppendedTable(spark, f"{root}/refused/messages").read()
+    counts = AppendedTable(spark, f"{root}/refused/counts").read()
+    by_reason = refused.groupBy("reason").agg(F.count("*").alias("messages"), F.sum("offset").alias("offsets"))
+    # What was kept is what was not refused: of the topic's offsets, and in the counts.
+    topic = scan(spark, f"{root}/topic").agg(F.sum("offset").alias("all"))
+    kept = counts.agg(F.sum("kept").alias("messages")).join(topic).join(refused.agg(F.sum("offset").alias("gone")))  # one row each
+    return by_reason.unionByName(kept.select(F.lit("kept").alias("reason"), "messages", (F.col("all") - F.col("gone")).alias("offsets")))
+
+
+@query("check_references_kept", """
+    with parents as (select c_custkey from customer where c_custkey % 7 <> 0 or c_custkey % 21 = 0),
+      children as (select case when o_orderkey % 5 = 0 then o_custkey + 1000000 else o_custkey end as o_custkey from orders
+        where o_orderkey % 11 <> 0 and o_orderkey % 13 <> 0),
+      lost as (select o_custkey, count(*) as n from children where o_custkey not in (select c_custkey from parents) group by 1)
+    select 'foreign_key(o_custkey)' as check_name, count(*) as violations, coalesce(sum(n), 0)::bigint as orphan_rows,
+      sum(o_custkey)::bigint as lost_values from lost""")
+def check_references_kept(spark, sf):
+    """A foreign key's violations, kept up through inserts, replacements and deletes on both sides."""
+    root = scratch_dir(spark, "references")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    parent, child = (open_table(spark, f"{root}/{name}", [key]) for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey")))
+    kept = References(child, "o_custkey", parent, f"{root}/kept")
+    deliver = lambda target, n, op, rows: target.write(n, lambda before: rows.select(F.lit(op).alias("op"), "*"))
+    deliver(parent, 0, "s", customers)
+    deliver(child, 0, "s", orders.where("o_orderkey % 13 <> 0"))
+    kept.follow()
+    deliver(parent, 1, "d", customers.where("c_custkey % 7 = 0"))
+    deliver(child, 1, "s", orders.where("o_orderkey % 5 = 0 and o_orderkey % 13 <> 0").withColumn("o_custkey", F.col("o_custkey") + 1_000_000))
+    kept.follow()
+    kept.follow()  # nothing new
+    deliver(child, 2, "d", orders.where("o_orderkey % 11 = 0"))
+    deliver(parent, 2, "s", customers.where("c_custkey % 21 = 0"))
+    kept.follow()
+    lost = kept.orphans().agg(F.sum(F.col("value").cast("long")).alias("lost_values"))
+    return kept.check().join(lost)  # one row each
+
+
+@query("gold_star_kept", """
+    with claims as (select l_orderkey * 10 + l_linenumber as claim_no,
+        case when (l_orderkey * 10 + l_linenumber) % 23 = 0 then 2 when l_orderkey % 3 = 0 then 1 else l_orderkey end as policy_no,
+        l_shipmode from (select distinct l_orderkey, l_linenumber, l_returnflag as l_shipmode from lineitem
+          qualify row_number() over (partition by l_orderkey, l_linenumber order by l_returnflag) = 1)
+      where (l_orderkey * 10 + l_linenumber) % 19 <> 0),
+      policies as (select o_orderkey as policy_no, o_custkey as cust_id,
+        case when o_orderkey % 10 = 1 then -1.0 else o_totalprice end as premium from orders where o_orderkey % 17 <> 0),
+      people as (select c_custkey as customer_id, case when c_custkey % 27 = 0 then 'back' else c_name end as name
+        from customer where c_custkey % 9 <> 0 or c_custkey % 27 = 0)
+    select claim_no, policy_no, cust_id, l_shipmode as flag, premium, name
+    from claims join policies using (policy_no) join people on cust_id = customer_id""")
+def gold_star_kept(spark, sf):
+    """The claim star join kept up through changes on each side; one policy holds a third of the claims."""
+    root = scratch_dir(spark, "star")
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("flag"))
+    claims = lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim_no"), F.when(
+        F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_orderkey")).alias("policy_no"), "flag")
+    policies = table(spark, sf, "orders").selectExpr("o_orderkey as policy_no", "o_custkey as cust_id", "o_totalprice as premium")
+    people = table(spark, sf, "customer").selectExpr("c_custkey as customer_id", "c_name as name")
+    claim, policy, customer = (open_table(spark, f"{root}/{name}", [key], buckets=8) for name, key in (
+        ("claim", "claim_no"), ("policy", "policy_no"), ("customer", "customer_id")))
+    star = StarJoin(claim, policy, customer, f"{root}/gold", buckets=8)
+    deliver = lambda target, n, *parts: target.write(n, lambda before: reduce(
+        DataFrame.unionByName, [rows.select(F.lit(op).alias("op"), "*") for op, rows in parts]))
+    deliver(claim, 0, ("s", claims))
+    deliver(policy, 0, ("s", policies))
+    deliver(customer, 0, ("s", people))
+    star.follow()
+    deliver(policy, 1, ("s", policies.where("policy_no % 10 = 1").withColumn("premium", F.lit(-1.0))), ("d", policies.where("policy_no % 17 = 0 and policy_no % 10 <> 1")))
+    deliver(policy, 2, ("d", policies.where("policy_no % 17 = 0")))
+    deliver(customer, 1, ("d", people.where("customer_id % 9 = 0")))
+    deliver(claim, 1, ("d", claims.where("claim_no % 19 = 0")),
+            ("s", claims.where("claim_no % 23 = 0 and claim_no % 19 <> 0").withColumn("policy_no", F.lit(2).cast("long"))))
+    star.follow()
+    deliver(customer, 2, ("s", people.where("customer_id % 27 = 0").withColumn("name", F.lit("back"))))
+    star.follow()
+    star.follow()  # nothing new
+    return star.table.read().select("claim_no", "policy_no", "cust_id", "flag", "premium", "name")
+
+
 def set_age(spark, folder: str, days: int) -> None:
     """Date the files of a folder back, as a copy that keeps times would."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

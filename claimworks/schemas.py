@@ -89,3 +89,6 @@ DECLARED = {
         "customer_id", ("customer_id",),
         {"borough": 100, "neighborhood": 150, "zip_code": 10, "name": 255}),
 }
+
+# Which captured table's column names a row of which other: (child, column, parent).
+REFERENCES = (("claim", "policy_no", "policy"), ("policy", "cust_id", "customer"))

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.messages import keyed_texts, parse_envelopes, parse_telematics, route
+from ..functions.messages import keyed_texts, parse_envelopes, parse_telematics, route, sorted_messages
 from ..operators.changelog import expand, net_changes, resolve
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..sources.readers import csv_stream, image_stream, topic_stream
 from ..sources.sinks import EVERY_MINUTE, append_stream, each_batch
-from .tables import BUCKETS, Before, open_table
+from .tables import BUCKETS, AppendedTable, Before, open_table
 
 ORDER = ["ts_ms", "offset"]
 
@@ -38,8 +38,38 @@ def apply_changes(
     the reduction to one change per key. The tables are known beforehand, so
     nothing is collected to find them.
     """
-    spark = batch.sparkSession
     keyed = keyed_texts(batch, tables).persist()
+    try:
+        _apply_keyed(keyed, batch_id, bronze, fmt, tables, stream, buckets)
+    finally:
+        keyed.unpersist()
+
+
+def apply_messages(
+    batch: DataFrame, batch_id: int, bronze: str, quarantine: str, fmt: str = "parquet", tables=CAPTURED,
+    stream: str = "only", buckets: int = BUCKETS,
+) -> None:
+    """The same from the topic's messages; those that cannot be applied are kept with their reason.
+
+    They go to ``<quarantine>/messages``, and the batch's counts to
+    ``<quarantine>/counts``, as deliveries of the same stream and batch: a replay
+    adds nothing, and kept and quarantined messages are all there are.
+    """
+    spark = batch.sparkSession
+    messages = sorted_messages(batch, tables).persist()
+    try:
+        refused = F.col("reason").isNotNull()
+        AppendedTable(spark, f"{quarantine}/messages").add(
+            batch_id, messages.where(refused).select("reason", "key", "value", "offset"), stream)
+        AppendedTable(spark, f"{quarantine}/counts").add(
+            batch_id, messages.agg(F.count("*").alias("messages"), F.count_if(~refused).alias("kept")), stream)
+        _apply_keyed(messages.where(~refused), batch_id, bronze, fmt, tables, stream, buckets)
+    finally:
+        messages.unpersist()
+
+
+def _apply_keyed(keyed: DataFrame, batch_id: int, bronze: str, fmt: str, tables, stream: str, buckets: int) -> None:
+    spark = keyed.sparkSession
 
     def apply(name: str) -> None:
         schema, keys = tables[name]
@@ -57,28 +87,30 @@ def apply_changes(
         finally:
             net.unpersist()
 
-    try:
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            jobs = [pool.submit(inheritable_thread_target(spark)(apply), name) for name in tables]
-        for job in jobs:
-            job.result()
-    finally:
-        keyed.unpersist()
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(apply), name) for name in tables]
+    for job in jobs:
+        job.result()
 
 
 def ingest_changes(
     spark: SparkSession, source: dict, bronze: str, checkpoint: str,
     fmt: str = "parquet", trigger: str | None = EVERY_MINUTE, tables=CAPTURED, buckets: int = BUCKETS,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Change log of all captured tables, e.g. source={'pattern': ..., 'servers': ...}.
 
-    ``buckets`` counts for tables that are not there yet: so many that one fits a task.
+    ``buckets`` counts for tables that are not there yet: so many that one fits a
+    task. Messages that cannot be applied drop out, or go to ``quarantine``.
     """
-    changes = parse_envelopes(topic_stream(spark, **source))
+    topic = topic_stream(spark, **source)
+    if quarantine is None:
+        return each_batch(
+            parse_envelopes(topic), lambda df, n, stream: apply_changes(df, n, bronze, fmt, tables, stream, buckets),
+            checkpoint, trigger, "changes")
     return each_batch(
-        changes, lambda df, n, stream: apply_changes(df, n, bronze, fmt, tables, stream, buckets),
-        checkpoint, trigger, "changes"
-    )
+        topic, lambda df, n, stream: apply_messages(df, n, bronze, quarantine, fmt, tables, stream, buckets),
+        checkpoint, trigger, "changes")
 
 
 def ingest_telematics(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.changelog import DELETE, UPSERT
-from ..sources.files import numbered_folders
+from .follow import pending, rows_replaced, rows_set
 from .tables import FolderTable
 
 # Sums are fixed-point: what a row adds, its retraction takes off again exactly.
@@ -29,20 +29,11 @@ class RunningSums:
         self.source, self.by, self.columns = source, list(by), list(columns)
         self.table = FolderTable(source.spark, path, by, **({"buckets": buckets} if buckets else {}))
 
-    def _followed(self) -> int | None:
-        known = numbered_folders(self.source.spark, f"{self.table.path}/deliveries/source", "")
-        return known[-1] if known else None
-
     def follow(self) -> None:
-        """Take up all finished deliveries of the source that are not yet in the sums."""
-        last = self._followed()
-        if last is None:  # first of all the whole table once
-            done = self.source.deliveries()
-            if done:
-                self.table.write(done[-1], lambda before: self._recount(done[-1]), "source")
-            return
-        for number in self.source.deliveries(last - 1):  # the last one may not have been finished
-            self.table.write(number, lambda before, n=number: self._change(n, before), "source")
+        """Take up all finished deliveries of the source that are not yet in the sums; first of all the whole table once."""
+        numbers, whole = pending(self.table, "source", self.source)
+        for number in numbers:
+            self.table.write(number, lambda before, s=(number, whole): self._change(*s, before), "source")
 
     def _signed(self, df: DataFrame, sign: int) -> DataFrame:
         """One row per row of ``df``: what it adds."""
@@ -62,18 +53,12 @@ class RunningSums:
         return rows.groupBy(*self.by).agg(*[
             F.sum(c).cast(FIXED if c.endswith("_sum") else "long").alias(c) for c in self._totals])
 
-    def _recount(self, number: int) -> DataFrame:
-        whole = self.source.read(before=number + 1, columns=[*self.by, *self.columns])
-        return self._added(self._signed(whole, 1)).select(F.lit(UPSERT).alias("op"), *self.by, *self._totals)
-
-    def _change(self, number: int, before) -> DataFrame:
-        keys, wanted = self.source.keys, [*self.by, *self.columns]
-        delivery = self.source.delivered(number)
-        gains = self._signed(delivery.where(F.col("op") == UPSERT), 1)
-        old = self.source.read(number, touching=delivery, columns=wanted)
+    def _change(self, number: int, whole: bool, before) -> DataFrame:
+        wanted = [*self.by, *self.columns]
+        gains = self._signed(rows_set(self.source, number, whole, wanted), 1)
+        old = rows_replaced(self.source, number, whole, wanted)
         if old is not None:
-            replaced = old.join(delivery.select(*keys), keys, "left_semi")
-            gains = gains.union(self._signed(replaced, -1))
+            gains = gains.union(self._signed(old, -1))
         change = self._added(gains)
         now = before(touching=change, columns=self._totals)
         if now is not None:

@@ -50,12 +50,16 @@ def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int, day: str | None
 
 
 class FolderTable:
-    """``buckets`` and ``day`` (a key column) are fixed by the first delivery; later ones keep what it chose."""
+    """What rows are partitioned by is fixed by the first delivery; later ones keep what it chose.
+
+    ``by`` are the key columns that are hashed (all of them, unless said), ``day``
+    a key column whose day is the bucket instead.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet",
-                 buckets: int = BUCKETS, day: str | None = None):
+                 buckets: int = BUCKETS, day: str | None = None, by: Sequence[str] | None = None):
         self.spark, self.path, self.keys, self.fmt = spark, path.rstrip("/"), list(keys), fmt
-        self.buckets, self.day = buckets, day
+        self.buckets, self.day, self.by = buckets, day, list(by or keys)
 
     @property
     def changes_path(self) -> str:
@@ -70,12 +74,12 @@ class FolderTable:
         text = read_text(self.spark, path)
         if text is None:
             rows = T.StructType([f for f in frame.schema if f.name != "op"])
-            text = json.dumps({"buckets": self.buckets, "day": self.day, "rows": rows.jsonValue()})
+            text = json.dumps({"buckets": self.buckets, "day": self.day, "by": self.by, "rows": rows.jsonValue()})
             create_text(self.spark, path, text)
         return json.loads(text)
 
     def _bucket(self, frame: DataFrame, layout: dict) -> Column:
-        return bucket_of(frame, self.keys, layout["buckets"], layout["day"])
+        return bucket_of(frame, layout["by"], layout["buckets"], layout["day"])
 
     def _save(self, frame: DataFrame, layout: dict, target: str) -> None:
         """Rows by bucket, dealt so that a bucket is one file, or several if it is large."""
@@ -109,8 +113,8 @@ class FolderTable:
     ) -> DataFrame | None:
         """The table after all batches, or as batch ``before`` found it; None if there is none.
 
-        ``touching`` (rows with the key columns) leaves out buckets in which none of
-        its keys can lie: rows of other keys may or may not be there. ``columns``
+        ``touching`` (rows with the columns that rows are partitioned by) leaves out
+        buckets in which none of its keys can lie: other rows may or may not be there. ``columns``
         narrows the rows; few and small ones are reduced before they are dealt.
         """
         newest = self._newest_base(before)
@@ -121,7 +125,8 @@ class FolderTable:
         rows = T.StructType.fromJson(layout["rows"])
         touched = None
         if touching is not None:
-            keyed = touching.select(*[F.col(k).cast(rows[k].dataType).alias(k) for k in self.keys])
+            wanted = [layout["day"]] if layout["day"] else layout["by"]
+            keyed = touching.select(*[F.col(k).cast(rows[k].dataType).alias(k) for k in wanted])
             # A comparison marks the filter as selective, so that the planner prunes by it.
             touched = keyed.select(self._bucket(keyed, layout).alias("bucket")).where("bucket > -1000000").distinct()
         base = changes = None
@@ -213,6 +218,25 @@ class FolderTable:
             self._save(self.read(before=done[-1] + 1), self._layout(), f"{self.path}/base/upto={done[-1]}")
 
 
+class AppendedTable(FolderTable):
+    """Rows that batches add: each batch's once, whatever is replayed."""
+
+    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
+        super().__init__(spark, path, [], fmt, buckets=1)
+
+    def add(self, batch_id: int, rows: DataFrame, stream: str = "only") -> int:
+        return self.write(batch_id, lambda before: rows.select(F.lit(UPSERT).alias("op"), "*"), stream)
+
+    def read(self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None):
+        """All rows of finished deliveries; keys play no part."""
+        done = self._batches(before=before)
+        if not done:
+            return None
+        rows = T.StructType.fromJson(self._layout()["rows"])
+        folders = [f"{self.changes_path}/batch={n}" for n in done]
+        return self._load(rows.fields, self.changes_path, folders, None).select(*(columns or rows.names))
+
+
 class DeltaTable(FolderTable):
     """The same changes, merged into a Delta table at ``path``.
 
