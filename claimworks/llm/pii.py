@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,37 +99,66 @@ def _votes(kind: str, span: Column, before: Column, after: Column) -> dict[str,
             "left": kind_of(last), "right": kind_of(following)}
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column], none: int) -> Column:
+    """``values`` joined with all before them, by doubling: n log n steps, where a fold that grows a list takes n squared."""
+    n = F.size(values)
+    rounds = F.slice(F.sequence(F.lit(0), F.lit(31)), 1, F.ceil(F.log2(F.greatest(n, F.lit(1)))).cast("int"))
+
+    def step(acc: Column, k: Column) -> Column:
+        shift = F.least(F.call_function("shiftleft", F.lit(1), k), n)
+        return F.zip_with(acc, F.concat(F.array_repeat(F.lit(none), shift), F.slice(acc, 1, n - shift)), join)
+
+    return F.aggregate(rounds, values, step)
+
+
 def _found(text: Column, kind: str, base: bool) -> Column:
     """Array of spans of one pattern: matches and the pieces between them, laid end to end."""
     pattern = PATTERNS[kind] if base else EXTRA[kind]
     matches, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    laid = F.arrays_zip(pieces.alias("piece"), F.concat(matches, F.array(F.lit(""))).alias("span"),
-                        F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))).alias("next"))
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS ARRAY<{_SPAN}>)").alias("spans"))
+    lengths = F.zip_with(pieces, F.concat(matches, F.array(F.lit(""))), lambda p, m: F.length(p) + F.length(m))
+    laid = F.arrays_zip(pieces.alias("piece"), matches.alias("span"), F.slice(pieces, 2, F.greatest(F.size(matches), F.lit(1))).alias("next"),
+                        _running(lengths, lambda a, b: a + b, 0).alias("end"))
+    good = F.filter(F.slice(laid, 1, F.size(matches)), lambda x: _valid(kind, x["span"])) if base else F.slice(laid, 1, F.size(matches))
+
+    def one(x: Column) -> Column:
+        votes = _votes(kind, x["span"], F.right(x["piece"], F.lit(_CONTEXT_CHARS)), F.coalesce(x["next"], F.lit("")))
+        return F.struct(F.lit(kind).alias("kind"), (x["end"] - F.length(x["span"])).alias("start"), x["end"].alias("end"),
+                        F.lit(base).alias("base"), *[votes[c].alias(c) for c in (*LABELERS, "length", "left", "right")])
+
+    nothing = F.expr(f"CAST(array() AS ARRAY<{_SPAN}>)")
+    return F.when(text.rlike(_MAY[kind if base else kind + "+"]), F.transform(good, one)).otherwise(nothing)
+
 
-    def step(acc: Column, x: Column) -> Column:
-        piece, span = x["piece"], x["span"]
-        begin = acc["at"] + F.length(piece)
-        votes = _votes(kind, span, F.right(piece, F.lit(_CONTEXT_CHARS)), F.coalesce(x["next"], F.lit("")))
-        one = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), (begin + F.length(span)).alias("end"),
-                       F.lit(base).alias("base"), *[votes[c].alias(c) for c in (*LABELERS, "length", "left", "right")])
-        holds = (span != "") & (_valid(kind, span) if base else F.lit(True))
-        return F.struct((begin + F.length(span)).alias("at"),
-                        F.when(holds, F.concat(acc["spans"], F.array(one))).otherwise(acc["spans"]).alias("spans"))
+def _apart(base: Column, extra: Column) -> Column:
+    """The spans of ``extra`` that overlap none of ``base``: of all spans by start, a base one before ends first, one after starts later."""
+    far = 2**31 - 1
+    laid = F.array_sort(F.concat(
+        F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("extra"), s["end"].alias("end"), s.alias("span"))),
+        F.transform(extra, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("extra"), s["end"].alias("end"), s.alias("span")))))
 
-    return F.when(text.rlike(_MAY[kind if base else kind + "+"]), F.aggregate(laid, start, step)["spans"]).otherwise(start["spans"])
+    def kept(all_spans: Column) -> Column:
+        ends = F.transform(all_spans, lambda x: F.when(x["extra"] == 0, x["end"]).otherwise(0))
+        starts = F.transform(F.reverse(all_spans), lambda x: F.when(x["extra"] == 0, x["start"]).otherwise(far))
+        zipped = F.arrays_zip(all_spans.alias("x"), _running(ends, lambda a, b: F.greatest(a, b), 0).alias("before"),
+                              F.reverse(_running(starts, lambda a, b: F.least(a, b), far)).alias("after"))
+        clear = F.filter(zipped, lambda z: (z["x"]["extra"] == 1) & (z["before"] <= z["x"]["start"]) & (z["after"] >= z["x"]["end"]))
+        return F.transform(clear, lambda z: z["x"]["span"])
+
+    # The list is used several times; a lambda's argument is worked out once.
+    return F.when((F.size(base) == 0) | (F.size(extra) == 0), extra).otherwise(F.transform(F.array(laid), kept)[0])
 
 
 def candidates(text: Column) -> Column:
     """All base spans, and other spans that overlap none of their kind, with votes and features.
 
     Places count code points from 0, ends are exclusive. Null texts have none.
+    Time is in proportion to the text and its spans, but for a logarithm.
     """
     text = F.coalesce(text, F.lit(""))
     base = F.concat(*[_found(text, kind, True) for kind in PATTERNS])
     extra = F.concat(*[_found(text, kind, False) for kind in EXTRA])
-    apart = lambda spans, x: ~F.exists(spans, lambda b: (b.start < x.end) & (x.start < b.end))
-    return F.transform(F.array(base), lambda b: F.concat(b, F.filter(extra, lambda x: apart(b, x))))[0]
+    both = F.array(F.struct(base.alias("base"), extra.alias("extra")))
+    return F.transform(both, lambda s: F.concat(s["base"], _apart(s["base"], s["extra"])))[0]
 
 
 def estimate(patterns: list, rounds: int = 50) -> dict[tuple, float]:
@@ -214,18 +244,35 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("pii_spans", decided(candidates(F.col(text_col)), fit(docs, text_col)))
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every found span in its text replaced by its kind in brackets; overlapping spans become one."""
-    spans = F.array_sort(F.transform("pii_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text, start = F.col("text"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _code_points(data: Column, start: Column, end: Column) -> Column:
+    """Text of a range of code points of UTF-32 data, at once; a letter ahead keeps a first byte-order mark from being dropped."""
+    part = F.substring(data, 4 * start + 1, 4 * F.greatest(end - start, F.lit(0)))
+    return F.substring(F.decode(F.concat(F.encode(F.lit("x"), "UTF-32"), part), "UTF-32"), F.lit(2), F.length(data))
+
+
+def replaced(text: Column, spans: Column) -> Column:
+    """``text`` with its spans replaced by their kind in brackets; one that starts inside those before it only adds to the gap."""
+    laid = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def written(x: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), _running(F.transform(x["spans"], lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0))
+        begun = F.filter(F.arrays_zip(x["spans"].alias("s"), F.slice(ends, 1, F.size(x["spans"])).alias("at")), lambda z: z["s"]["start"] >= z["at"])
+        parts = F.transform(begun, lambda z: F.concat(
+            _code_points(x["data"], z["at"], z["s"]["start"]), F.lit("["), F.upper(z["s"]["kind"]), F.lit("]")))
+        tail = _code_points(x["data"], F.element_at(ends, -1), (F.length(x["data"]) / 4).cast("int"))
+        return F.concat(F.array_join(parts, ""), tail)
 
-    def step(acc: Column, s: Column) -> Column:
-        kept = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], kept, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    one = F.array(F.struct(laid.alias("spans"), F.encode(text, "UTF-32").alias("data")))
+    return F.when(F.size(spans) > 0, F.transform(one, written)[0]).otherwise(text)
 
-    done = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return find(docs).withColumn("text", F.when(F.size("pii_spans") > 0, done).otherwise(text)).select(*docs.columns)
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with every found span in its text replaced by its kind in brackets; overlapping spans become one.
+
+    All other columns stay, whatever their names. Null texts stay null, texts without a span as they are.
+    """
+    spans = decided(candidates(F.col(text_col)), fit(docs, text_col))
+    return docs.withColumn(text_col, replaced(F.col(text_col), spans))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

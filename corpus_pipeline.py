@@ -33,17 +33,22 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind in brackets; n_chars follows where the text changed."""
-    done = redact(docs.withColumn("_before", F.col("text")))
-    same = F.col("text").eqNullSafe(F.col("_before"))
-    n_chars = F.when(same, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.withColumn("n_chars", n_chars).drop("_before")
+    """All documents, personal data replaced by its kind in brackets; n_chars follows where the text changed.
+
+    Other columns stay as they are, whatever their names.
+    """
+    done = redact(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    same = F.col("text").eqNullSafe(F.col("row.text"))
+    n_chars = F.when(same, F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return done.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents it takes words of, with size, targets and words taken."""
-    taken = mix(docs).where("taken > 0")
-    return taken.select("row.*", "size", "source_size", "target", "taken")
+    """The mix: documents it takes words of, with size, source_size, target and taken, which replace columns of these names."""
+    own = ("size", "source_size", "target", "taken")
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in own]
+    return mix(docs).where("taken > 0").select(*kept, *own)
 
 
 STAGES = [("language", language), ("near_copies", near_copies), ("leaks", leaks), ("personal_data", personal_data),

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -278,6 +279,57 @@ def test_redaction(spark):
     assert done[809].count("[PHONE]") >= 1
 
 
+def test_personal_data_query(spark, tmp_path):
+    """Counts, digest and spans of the query, against ``re``."""
+    fixture.table(spark, PERSONAL).write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {r[0]: r[1] for r in fixture.rows(PERSONAL)}
+    rows = [r for r in pii.op1_pii(spark, str(tmp_path)).collect() if r.doc_id is not None and r.doc_id != 9006]
+    assert len(rows) == len(fixture.rows(PERSONAL)) - 5
+    for r in rows:
+        spans = sorted(base_spans(texts[r.doc_id]), key=lambda s: (list(BASE).index(s[0]), s[1]))
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in spans) for k in BASE]
+        written = [f"{k}:{a}:{b}" for k, a, b in spans]
+        assert r.base_sha256 == hashlib.sha256(",".join(written).encode()).hexdigest()
+        every = r.spans.split(",") if r.spans else []
+        assert set(written) <= set(every)
+        order = [((*BASE, "secret").index(s.split(":")[0]), int(s.split(":")[1])) for s in every]
+        assert order == sorted(order)
+
+
+def test_texts_with_very_many_spans(spark):
+    """Time in proportion: a fold that copies its list takes minutes for this."""
+    rng = random.Random(4)
+    parts = [rng.choice(["1.2.3.4 x", "me@host.org", "me [at] host [dot] org", "call 555-123-4567", "+1 (555) 123-4567", "\ufeffé\U0001F600"])
+             for _ in range(20_000)]
+    text = " ".join(parts)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    spans = pii.find(docs).first().pii_spans
+    assert [(s.kind, s.start, s.end) for s in spans if s.base] == base_spans(text)
+    done = pii.redact(docs).first().text
+    assert time.time() - start < 90
+    out, at = [], 0
+    for s in sorted(spans, key=lambda s: (s.start, s.end, s.kind)):
+        if s.start >= at:
+            out += [text[at:s.start], f"[{s.kind.upper()}]"]
+        at = max(at, s.end)
+    assert done == "".join(out) + text[at:]
+
+
+def test_other_spans_stay_apart_from_base_ones(spark):
+    rng = random.Random(2)
+    rows = []
+    for _ in range(200):
+        spans = lambda: sorted((a, a + rng.randrange(1, 6)) for a in rng.sample(range(60), rng.randrange(9)))
+        rows.append((spans(), spans()))
+    df = spark.createDataFrame([([tuple(x) for x in b], [tuple(x) for x in e]) for b, e in rows],
+                               "base array<struct<start:int,end:int>>, extra array<struct<start:int,end:int>>")
+    got = df.select("base", "extra", pii._apart(F.col("base"), F.col("extra")).alias("kept")).collect()
+    for r in got:
+        expected = [e for e in r.extra if not any(b.start < e.end and e.start < b.end for b in r.base)]
+        assert sorted(r.kept) == sorted(expected)
+
+
 def test_supervision_learns_reliable_labelers():
     class Row(dict):
         __getattr__ = dict.__getitem__

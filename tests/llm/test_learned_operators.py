@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from claimworks.llm import language, toxicity
@@ -144,9 +145,21 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == set(seen["mixture"])
 
 
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    docs = fixture.table(spark, [(800, "write me@host.org")]).withColumns({c: F.lit(f"own {c}") for c in (
+        "_before", "pii_spans", "target", "taken", "source_size", "_leak", "m")})
+    done = corpus_pipeline.personal_data(spark, docs, "")
+    assert done.columns == docs.columns and done.count() == docs.count()
+    one = done.where("doc_id = 800").first()
+    assert one.text == "write [EMAIL]" and one.pii_spans == "own pii_spans" and one._before == "own _before"
+    mixed = corpus_pipeline.mixture(spark, docs, "")
+    assert set(mixed.columns) == set(docs.columns) and dict(mixed.dtypes)["taken"] == "bigint"
+    assert mixed.first().m == "own m" and mixed.where("size = 0").count() == 0
+
+
 def test_registration():
     import __spark_entry__ as entry
 
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in QUERIES) == 1 for n in names)
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
