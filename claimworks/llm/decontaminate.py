@@ -19,7 +19,7 @@ WIDTH = 10  # words of a window; shorter items are one window
 MIN_SHARE = 0.5  # of an item's words that a document must hold in windows
 MIN_RUN = 30  # words of one passage that count whatever an item's length
 MIN_PLAIN = 5  # words of a template window that are no placeholders (half, if it is shorter)
-LOT = 500_000  # words whose windows are hashed at once
+LOT = 100_000  # words whose windows are hashed at once
 FILTER_BITS = (16, 28)  # least and most of a filter: 8 KB to 32 MB
 CHUNK = 16  # of them in one row while the filter is gathered
 

@@ -114,19 +114,24 @@ def _running(values: Column, join: Callable[[Column, Column], Column], none: int
 def _found(text: Column, kind: str, base: bool) -> Column:
     """Array of spans of one pattern: matches and the pieces between them, laid end to end."""
     pattern = PATTERNS[kind] if base else EXTRA[kind]
-    matches, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    lengths = F.zip_with(pieces, F.concat(matches, F.array(F.lit(""))), lambda p, m: F.length(p) + F.length(m))
-    laid = F.arrays_zip(pieces.alias("piece"), matches.alias("span"), F.slice(pieces, 2, F.greatest(F.size(matches), F.lit(1))).alias("next"),
-                        _running(lengths, lambda a, b: a + b, 0).alias("end"))
-    good = F.filter(F.slice(laid, 1, F.size(matches)), lambda x: _valid(kind, x["span"])) if base else F.slice(laid, 1, F.size(matches))
+
+    def spans(x: Column) -> Column:
+        matches, pieces = x["matches"], x["pieces"]
+        n = F.size(matches)
+        lengths = F.zip_with(pieces, F.concat(matches, F.array(F.lit(""))), lambda p, m: F.length(p) + F.length(m))
+        laid = F.slice(F.arrays_zip(pieces.alias("piece"), matches.alias("span"), F.slice(pieces, 2, F.greatest(n, F.lit(1))).alias("next"),
+                                    _running(lengths, lambda a, b: a + b, 0).alias("end")), 1, n)
+        return F.transform(F.filter(laid, lambda m: _valid(kind, m["span"])) if base else laid, one)
 
     def one(x: Column) -> Column:
         votes = _votes(kind, x["span"], F.right(x["piece"], F.lit(_CONTEXT_CHARS)), F.coalesce(x["next"], F.lit("")))
         return F.struct(F.lit(kind).alias("kind"), (x["end"] - F.length(x["span"])).alias("start"), x["end"].alias("end"),
                         F.lit(base).alias("base"), *[votes[c].alias(c) for c in (*LABELERS, "length", "left", "right")])
 
+    # A lambda's argument is worked out once, however often it is used.
+    found = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"), F.split(text, pattern, -1).alias("pieces")))
     nothing = F.expr(f"CAST(array() AS ARRAY<{_SPAN}>)")
-    return F.when(text.rlike(_MAY[kind if base else kind + "+"]), F.transform(good, one)).otherwise(nothing)
+    return F.when(text.rlike(_MAY[kind if base else kind + "+"]), F.transform(found, spans)[0]).otherwise(nothing)
 
 
 def _apart(base: Column, extra: Column) -> Column:
@@ -144,7 +149,6 @@ def _apart(base: Column, extra: Column) -> Column:
         clear = F.filter(zipped, lambda z: (z["x"]["extra"] == 1) & (z["before"] <= z["x"]["start"]) & (z["after"] >= z["x"]["end"]))
         return F.transform(clear, lambda z: z["x"]["span"])
 
-    # The list is used several times; a lambda's argument is worked out once.
     return F.when((F.size(base) == 0) | (F.size(extra) == 0), extra).otherwise(F.transform(F.array(laid), kept)[0])
 
 
@@ -272,7 +276,9 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     All other columns stay, whatever their names. Null texts stay null, texts without a span as they are.
     """
     spans = decided(candidates(F.col(text_col)), fit(docs, text_col))
-    return docs.withColumn(text_col, replaced(F.col(text_col), spans))
+    found = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"), spans.alias("spans"))
+    done = replaced(F.col("text"), F.col("spans")).alias(text_col)
+    return found.select(*[done if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
