@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.fuzzy import near_texts
 from ..operators.joins import lookup_join
 from .casts import ColumnOrName, as_column
 
@@ -100,3 +101,19 @@ def geocode_from_table(
     )
     known = places.groupBy(F.col("address").alias(address)).agg(F.min(place).alias(out))
     return lookup_join(df, known, [address], "left").withColumn(out, F.coalesce(out, _no_place()))
+
+
+def geocode_nearest(
+    df: DataFrame, address: str, places: DataFrame, edits: int = 2, out: str = "lat_long"
+) -> DataFrame:
+    """Coordinates of the nearest address of a (address, latitude, longitude) table within ``edits`` edits.
+
+    Of equally near addresses the first in order counts, of several places of one
+    address the least. Distinct addresses are compared, not rows. Rows without an
+    address, and those with nothing near, get null coordinates.
+    """
+    near = near_texts(df.select(address), places.select("address"), edits)
+    best = near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("_best")).select(
+        F.col("a").alias(address), F.col("_best.b").alias("_place"))
+    found = geocode_from_table(best, "_place", places, out).drop("_place")
+    return lookup_join(df, found, [address], "left").withColumn(out, F.coalesce(out, _no_place()))

@@ -10,7 +10,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from .functions.geo import geocode_from_table
+from .functions.geo import geocode_from_table, geocode_nearest
 from .operators.checks import check_declared
 from .plans import gold, load, publish, training
 from .schemas import CAPTURED, DECLARED, REFERENCES
@@ -55,13 +55,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         wait(spark, streams, args.once)
     elif args.job == "silver":
         streams = refine.start_silver(spark, bronze, silver, f"{checkpoints}/silver", args.format,
-                                      trigger, propagate_deletes=args.propagate_deletes)
+                                      trigger, propagate_deletes=args.propagate_deletes, copies_within=args.copies_within)
         wait(spark, streams, args.once)
     elif args.job == "gold":
         locate = None
         if args.places:
             def locate(df):
-                return geocode_from_table(df, "address", scan(spark, args.places, args.format))
+                places = scan(spark, args.places, args.format)
+                if args.edits:
+                    return geocode_nearest(df, "address", places, args.edits)
+                return geocode_from_table(df, "address", places)
         core = None
         if args.keep_join:
             sides = (open_table(spark, f"{silver}/{n}", gold.SILVER_KEYS[n], args.format) for n in ("claim", "policy", "customer"))
@@ -136,9 +139,12 @@ def parser() -> argparse.ArgumentParser:
     changes.add_argument("--quarantine", action="store_true", help="keep messages that cannot be applied")
     job("ingest-telematics", stream=True, topic="telematics_topic")
     job("ingest-objects", stream=True).add_argument("--landing")
-    job("silver", stream=True).add_argument("--propagate-deletes", action="store_true")
+    refined = job("silver", stream=True)
+    refined.add_argument("--propagate-deletes", action="store_true")
+    refined.add_argument("--copies-within", help="leave out readings that come again within this time, e.g. '10 minutes'")
     golden = job("gold")
     golden.add_argument("--places", help="table of (address, latitude, longitude)")
+    golden.add_argument("--edits", type=int, default=0, help="edits by which an address may differ from the table's")
     golden.add_argument("--keep-join", action="store_true", help="keep the claim join up by silver's changes (folder tables)")
     job("compact")
     job("check")

@@ -27,3 +27,17 @@ def keep_one(
     pick = F.max if last else F.min
     best = df.groupBy(*keys).agg(pick(F.struct(*ranked)).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns])
+
+
+def keep_one_of_few(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = False) -> DataFrame:
+    """``keep_one`` for tables where few keys repeat: only their rows are ranked, the others stay where they are.
+
+    A first pass over the keys alone finds those that repeat; the planner
+    broadcasts them where their measured size allows. A table that comes out of
+    this is not dealt by its key, so that a later join on it can split a hot part.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(
+        *[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    once = df.join(repeated, same, "left_anti")
+    return once.unionByName(keep_one(df.join(repeated, same, "left_semi"), keys, order, last))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.geo import geocode, geocode_from_table, geocode_udf, hash_geocoder
+from ..functions.geo import geocode, geocode_from_table, geocode_nearest, geocode_udf, hash_geocoder
 from ..operators.aggregate import impute_from_history
 from ..operators.dedupe import keep_one
 from ..plans import gold, silver
@@ -252,6 +252,31 @@ def geocode_table(spark, sf):
     return flat_place(geocode_from_table(customers, "address", places)).drop("address")
 
 
+# Addresses with a letter put in, left out or changed, and some that are far off.
+TYPED = """case c_custkey % 7 when 0 then c_name when 1 then substr(c_name, 1, 4) || 'x' || substr(c_name, 5)
+    when 2 then substr(c_name, 1, 2) || substr(c_name, 4) when 3 then 'C' || substr(c_name, 3) || 'y'
+    when 4 then substr(c_name, 16) when 5 then null else 'nowhere ' || c_custkey end"""
+
+
+@query("geocode_nearest", f"""
+    with typed as (select c_custkey, {TYPED} as address from customer),
+      places as (select c_name as address, cast(c_custkey % 180 - 90 as float) as la, cast(c_custkey % 360 - 180 as float) as lo
+        from customer where c_custkey % 3 = 0 union all select substr(c_name, 17), 1, 2 from customer where c_custkey % 5 = 0),
+      one as (select address, min(struct_pack(la := la, lo := lo)) as place from places group by address),
+      near as (select t.address, min(struct_pack(d := levenshtein(t.address, p.address), b := p.address)) as best
+        from (select distinct address from typed) t join one p on levenshtein(t.address, p.address) <= 2 group by t.address)
+    select c_custkey, cast(place.la as double) as latitude, cast(place.lo as double) as longitude
+    from typed left join near using (address) left join one on one.address = best.b""")
+def geocode_nearest_place(spark, sf):
+    """Addresses within two edits of a place's; equally near places, short texts and repeated places among them."""
+    customer = table(spark, sf, "customer")
+    typed = customer.selectExpr("c_custkey", f"{TYPED} as address")
+    places = customer.where("c_custkey % 3 = 0").selectExpr(
+        "c_name as address", "c_custkey % 180 - 90 as latitude", "c_custkey % 360 - 180 as longitude").union(
+        customer.where("c_custkey % 5 = 0").selectExpr("substr(c_name, 17)", "1", "2"))
+    return flat_place(geocode_nearest(typed, "address", places)).drop("address")
+
+
 @query("impute_history", f"""
     with old as (select user_id, avg(value) as mean from events where ts < timestamp '2024-01-15' group by user_id)
     select event_id, user_id, {single_sql('case when event_id % 4 = 0 then mean else value end')} as value

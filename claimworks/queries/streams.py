@@ -357,6 +357,25 @@ def telematics_running_sums(spark, sf):
     return single(counts.join(sums.averages(), "chassis_no"), "speed", "latitude", "longitude")
 
 
+@query("stream_copies", f"""
+    select case when event_timestamp < {CUT} then 0 else 1 end as delivery, count(*) as rows_set from ({TELEMATICS_SQL}) group by 1""")
+def stream_copies(spark, sf):
+    """Early readings, then the same ones again with the late ones: the copies are not written again."""
+    root = scratch_dir(spark, "copies")
+    readings = standins.frame(spark, sf, "telematics")
+    early = F.coalesce(F.col("event_timestamp") < F.lit("2024-01-15"), F.lit(True))
+    (telematics,) = [t for t in SILVER_TABLES if t.name == "telematics"]
+    silver, parts, last = open_silver(spark, telematics, f"{root}/silver"), [], None
+    for run, part in enumerate((readings.filter(early), readings)):
+        append(part, f"{root}/bronze/telematics")
+        finish(*start_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoints", trigger=None,
+                             tables=[telematics], copies_within="1 hour"))
+        numbers = silver.deliveries(last)  # a batch without rows may follow, to advance the watermark
+        last = numbers[-1]
+        parts += [silver.delivered(n).select(F.lit(run).alias("delivery")) for n in numbers]
+    return reduce(DataFrame.unionByName, parts).groupBy("delivery").agg(F.count("*").alias("rows_set"))
+
+
 def captured_changes(spark, sf):
     """Create messages for every customer, policy and claim, then a second
     change for every policy: one in 97 is deleted, the others are updated."""

@@ -35,6 +35,7 @@ class SilverTable:
     from_changes: bool = False  # source is a change-fed bronze table
     layout: dict = field(default_factory=dict)  # what rows are partitioned by
     averaged: tuple[Sequence[str], Sequence[str]] | None = None  # (by, columns) of the running sums
+    copies: bool = False  # whether its source sends rows again
 
 
 def _plain(rule: Callable[[DataFrame], DataFrame]) -> Rule:
@@ -58,7 +59,7 @@ SILVER_TABLES = (
     SilverTable("training_images", ["path"], BINARY_FILE, _plain(silver.clean_training_images)),
     # Readings come in about the order of their time: a batch touches a few days.
     SilverTable("telematics", ["chassis_no", "event_timestamp"], TELEMATICS, _telematics,
-                layout={"day": "event_timestamp"}, averaged=(["chassis_no"], ["speed", "latitude", "longitude"])),
+                layout={"day": "event_timestamp"}, averaged=(["chassis_no"], ["speed", "latitude", "longitude"]), copies=True),
 )
 
 
@@ -129,17 +130,40 @@ def start_silver(
     spark: SparkSession, bronze: str, silver_root: str, checkpoints: str,
     fmt: str = "parquet", trigger: str | None = EVERY_MINUTE,
     tables: Sequence[SilverTable] = SILVER_TABLES, propagate_deletes: bool = False,
-    source_options: dict | None = None,
+    source_options: dict | None = None, copies_within: str | None = None,
 ) -> list[StreamingQuery]:
-    """One query per table in this session; wait with ``spark.streams.awaitAnyTermination()``."""
+    """One query per table in this session; wait with ``spark.streams.awaitAnyTermination()``.
+
+    ``copies_within``, a duration, leaves out readings that come again within that
+    time (see ``without_copies``).
+    """
 
     def handler(table: SilverTable):
-        return lambda df, n, stream: upsert_batch(df, n, table, silver_root, fmt, propagate_deletes, stream)
+        def upsert(df: DataFrame, n: int, stream: str) -> None:
+            rows = df.persist() if copies_within and table.copies else df  # state is to be worked out once a batch
+            try:
+                upsert_batch(rows, n, table, silver_root, fmt, propagate_deletes, stream)
+            finally:
+                rows.unpersist()
+
+        return upsert
+
+    def source(table: SilverTable) -> DataFrame:
+        rows = bronze_stream(spark, table, bronze, fmt, **(source_options or {}))
+        return without_copies(rows, copies_within) if copies_within and table.copies else rows
 
     return [
-        each_batch(
-            bronze_stream(spark, table, bronze, fmt, **(source_options or {})),
-            handler(table), f"{checkpoints}/{table.name}", trigger, f"silver_{table.name}",
-        )
+        each_batch(source(table), handler(table), f"{checkpoints}/{table.name}", trigger, f"silver_{table.name}")
         for table in tables
     ]
+
+
+def without_copies(stream: DataFrame, within: str) -> DataFrame:
+    """The stream's rows, but for copies of a row that came within that time before.
+
+    The watermark runs on the time of arrival: a reading that is late by its own
+    time is not lost, and the state holds what arrived within the duration only. A
+    copy that comes later than that is upserted as before, to the same effect.
+    """
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(stream.columns).drop("_arrived")

@@ -300,3 +300,66 @@ def test_refused_messages_are_kept_once(spark, tmp_path):
         (n, why, values[n]) for n, why in reasons.items() for _ in range(2)) or refused.count() == 12
     assert [tuple(r) for r in AppendedTable(spark, f"{tmp_path}/refused/counts").read().collect()] == [(7, 1)] * 2
     assert open_table(spark, f"{tmp_path}/bronze/customer", ["customer_id"]).read().count() == 1
+
+
+def test_copies_write_nothing_and_state_is_bounded(spark, tmp_path):
+    import time
+
+    from test_jobs import done
+    from claimworks.schemas import TELEMATICS
+    from claimworks.streaming import refine
+
+    rows = [(f"c{i}", "1", "2", f"2024-01-01 00:00:{i:02d}", "5") for i in range(20)]
+    bronze, (table,) = f"{tmp_path}/bronze/telematics", [t for t in refine.SILVER_TABLES if t.name == "telematics"]
+
+    def run(part, within):
+        spark.createDataFrame(part, TELEMATICS).write.mode("append").parquet(bronze)
+        (stream,) = refine.start_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver", f"{tmp_path}/cp", trigger=None,
+                                        tables=[table], copies_within=within)
+        done(stream)
+        return [p.stateOperators[0].numRowsTotal for p in stream.recentProgress if p.numInputRows]
+
+    silver = refine.open_silver(spark, table, f"{tmp_path}/silver")
+    run(rows[:10] * 2, "1 second")
+    first = silver.deliveries()
+    time.sleep(2)
+    run(rows[10:15], "1 second")
+    time.sleep(2)
+    assert run([*rows[15:], *rows[15:]], "1 second") == [10]  # the first ten are forgotten
+    sizes = [silver.delivered(n).count() for n in silver.deliveries()]
+    assert sizes[0] == 10 and sum(sizes) == 20 and silver.read().count() == 20 and len(first) >= 1
+
+
+def test_near_texts_find_every_pair(spark):
+    from claimworks.operators.fuzzy import near_texts
+
+    rng = random.Random(6)
+    words = lambda n: "".join(rng.choice("abc ") for _ in range(n))
+    left = [words(rng.randrange(0, 12)) for _ in range(120)] + [None, "", "a", "aaaaaaaa", "é\U0001F600x"]
+    right = [words(rng.randrange(0, 12)) for _ in range(120)] + [None, "", "b", "aaaaaaaaa", "éx"]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    frames = [spark.createDataFrame([(x,) for x in side], f"{name} string") for side, name in ((left, "l"), (right, "r"))]
+    for edits in (0, 1, 2, 3):
+        found = {(r.a, r.b): r.distance for r in near_texts(*frames, edits).collect()}
+        expected = {(a, b): d for a in set(left) - {None} for b in set(right) - {None} if (d := distance(a, b)) <= edits}
+        assert found == expected
+
+
+def test_few_repeated_keys(spark):
+    from claimworks.operators.dedupe import keep_one, keep_one_of_few
+
+    rng = random.Random(2)
+    rows = [(rng.choice([None, *range(30)]), rng.choice([None, "x"]), rng.choice([None, 1, 2]), i % 5) for i in range(60)] + [(99, "a", 1, 1)]
+    df = spark.createDataFrame(rows, "k int, a string, b int, c int")
+    for order, last in (([], False), (["c"], True), (["b", "a"], False)):
+        for keys in (["k"], ["k", "a"]):
+            both = [sorted(map(str, f(df, keys, [o for o in order if o not in keys], last).collect())) for f in (keep_one, keep_one_of_few)]
+            assert both[0] == both[1]
