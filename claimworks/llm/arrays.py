@@ -13,14 +13,17 @@ import os
 import pickle
 import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimworks.session import scratch_dir
+
 SHARD_BYTES = 32 << 20  # text bytes behind one shard
 ENTRIES = 1_500_000  # entries a worker combines at a time
 
@@ -60,10 +63,23 @@ def frame(rows: list[tuple[int, bytes]]) -> pd.DataFrame:
 BLOBS = "shard int, data binary"
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh shared folder, named with its file system: what Spark takes a bare path for, workers do too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, name))
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(path).toString()
+
+
 def _open(folder: str) -> tuple[arrow_fs.FileSystem, str]:
-    if "://" in folder or folder.startswith("file:"):
-        return arrow_fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
-    return arrow_fs.LocalFileSystem(), folder
+    """The file system of a folder's scheme, and the folder's path there."""
+    scheme, colon, path = folder.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{folder} names no file system; see shared_folder")
+    if scheme == "file":
+        return arrow_fs.LocalFileSystem(), "/" + path.lstrip("/")
+    if scheme in ("s3a", "s3n"):  # Hadoop's names for it
+        scheme = "s3"
+    return arrow_fs.FileSystem.from_uri(f"{scheme}:{path}")
 
 
 def write(folder: str, name: str, array: np.ndarray) -> None:
@@ -78,33 +94,46 @@ def write(folder: str, name: str, array: np.ndarray) -> None:
     system.move(part, f"{path}/{name}.npy")
 
 
-_MAPPED: dict[str, np.ndarray] = {}
+MAPPED = 100  # arrays a worker holds open; each holds a file handle
+_mapped: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
 def mapped(folder: str, name: str) -> np.ndarray:
-    """One array, memory-mapped; from a store without local paths over an unnamed local copy."""
+    """One array, memory-mapped; from a store without local paths over an unnamed local copy.
+
+    The latest ``MAPPED`` are kept; one that no caller holds any longer is closed.
+    """
     key = f"{folder}/{name}"
-    if key not in _MAPPED:
-        system, path = _open(folder)
-        if isinstance(system, arrow_fs.LocalFileSystem):
-            _MAPPED[key] = np.load(f"{path}/{name}.npy", mmap_mode="r")
-        else:
-            handle, local = tempfile.mkstemp(suffix=".npy")
-            with os.fdopen(handle, "wb") as out, system.open_input_stream(f"{path}/{name}.npy") as data:
-                while chunk := data.read(1 << 24):
-                    out.write(chunk)
-            _MAPPED[key] = np.load(local, mmap_mode="r")
-            os.unlink(local)
-    return _MAPPED[key]
-
-
-def merged(parts: DataFrame, merge: Callable[[int, list[Columns]], pd.DataFrame], schema: str = "shard int, n long") -> DataFrame:
-    """``merge(shard, columns of its blobs)`` once per shard; it writes arrays and returns rows about them."""
+    if key in _mapped:
+        _mapped.move_to_end(key)
+        return _mapped[key]
+    system, path = _open(folder)
+    if isinstance(system, arrow_fs.LocalFileSystem):
+        array = np.load(f"{path}/{name}.npy", mmap_mode="r")
+    else:
+        handle, local = tempfile.mkstemp(suffix=".npy")
+        with os.fdopen(handle, "wb") as out, system.open_input_stream(f"{path}/{name}.npy") as data:
+            while chunk := data.read(1 << 24):
+                out.write(chunk)
+        array = np.load(local, mmap_mode="r")
+        os.unlink(local)
+    _mapped[key] = array
+    while len(_mapped) > MAPPED:
+        _mapped.popitem(last=False)
+    return array
+
+
+def merged(parts: DataFrame, merge: Callable[[int, list[Columns]], pd.DataFrame], shards: int,
+           schema: str = "shard int, n long") -> DataFrame:
+    """``merge(shard, columns of its blobs)`` once per shard; it writes arrays and returns rows about them.
+
+    There are as many tasks as shards, so that a task reads about one shard at any size of the input.
+    """
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return merge(int(key[0]), [pickle.loads(d) for d in part.data])
 
-    return parts.groupBy("shard").applyInPandas(run, schema)
+    return parts.repartition(shards, "shard").groupBy("shard").applyInPandas(run, schema)
 
 
 class Lookup:
@@ -112,24 +141,28 @@ class Lookup:
 
     def __init__(self, folder: str, shards: int, lengths: dict[int, int]):
         self.folder, self.shards = folder, shards
-        self.lengths = {s: n for s, n in lengths.items() if n}
-        self.starts, at = {}, 0
-        for s in sorted(self.lengths):
-            self.starts[s], at = at, at + self.lengths[s]
-        self.size = at
+        self.present = np.array(sorted(s for s, n in lengths.items() if n), np.int64)
+        ends = np.cumsum(np.array([lengths[s] for s in self.present], np.int64))
+        self.starts = np.append(np.int64(0), ends)
+        self.size = int(self.starts[-1])
 
     def find(self, keys: np.ndarray, *columns: str) -> tuple[np.ndarray, ...]:
-        """For sorted keys: place in the whole table or -1, then the columns' values there (0 elsewhere)."""
+        """For sorted keys: place in the whole table or -1, then the columns' values there (0 elsewhere).
+
+        Only shards in which a key may lie are opened.
+        """
         place = np.full(len(keys), -1, np.int64)
         values = [np.zeros(len(keys), np.int64) for _ in columns]
-        ends = np.searchsorted(shard_of(keys, self.shards), np.arange(self.shards + 1)) if len(keys) else np.zeros(self.shards + 1, int)
-        for s in self.lengths:
-            a, b = ends[s], ends[s + 1]
-            if a < b:
+        shard = shard_of(keys, self.shards).astype(np.int64)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(keys)]]) if len(keys) else np.zeros(1, int)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            s = int(shard[a])
+            i = np.searchsorted(self.present, s)
+            if i < len(self.present) and self.present[i] == s:
                 table = mapped(self.folder, f"key-{s}")
                 at = np.minimum(np.searchsorted(table, keys[a:b]), len(table) - 1)
                 hit = np.flatnonzero(table[at] == keys[a:b])
-                place[a + hit] = self.starts[s] + at[hit]
+                place[a + hit] = self.starts[i] + at[hit]
                 for value, name in zip(values, columns):
                     value[a + hit] = mapped(self.folder, f"{name}-{s}")[at[hit]]
         return place, *values

@@ -10,9 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.session import scratch_dir
-
-from .arrays import BLOBS, ENTRIES, Lookup, blobs, frame, mapped, merged, shard_of, shards_for, small, write
+from .arrays import BLOBS, ENTRIES, Lookup, blobs, frame, mapped, merged, shard_of, shards_for, shared_folder, small, write
 from .text import checkpointed, fold_of, hashes, table, words
 
 END = b"\n"  # no word holds white space
@@ -50,7 +48,7 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def vocabulary(docs: DataFrame, shards: int) -> tuple[Lookup, int]:
     """Every token's count, by hash, and the number of all tokens."""
-    folder = scratch_dir(docs.sparkSession, "lm-words")
+    folder = shared_folder(docs.sparkSession, "lm-words")
 
     def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -72,7 +70,7 @@ def vocabulary(docs: DataFrame, shards: int) -> tuple[Lookup, int]:
         write(folder, f"key-{shard}", keys)
         return pd.DataFrame([(shard, len(keys), int(n.sum()))], columns=["shard", "n", "tokens"])
 
-    found = merged(docs.select("text").mapInPandas(gather, BLOBS), merge, "shard int, n long, tokens long").collect()
+    found = merged(docs.select("text").mapInPandas(gather, BLOBS), merge, shards, "shard int, n long, tokens long").collect()
     return Lookup(folder, shards, {r.shard: r.n for r in found}), sum(r.tokens for r in found)
 
 
@@ -100,7 +98,9 @@ def bigrams(docs: DataFrame, known: Lookup, shards: int) -> tuple[Bigrams, list[
     A shard of first words is a sparse matrix: row starts, second words and counts,
     with each row's sum and its numbers of entries with counts 1, 2 and 3 or more.
     """
-    folder = scratch_dir(docs.sparkSession, "lm-bigrams")
+    folder = shared_folder(docs.sparkSession, "lm-bigrams")
+    if known.size + 1 >= 1 << 32:
+        raise ValueError(f"{known.size} different tokens: pairs are packed as two numbers below 2**32")
     step = -(-(known.size + 1) // shards)
 
     def packed(held: list) -> pd.DataFrame:
@@ -149,9 +149,9 @@ def bigrams(docs: DataFrame, known: Lookup, shards: int) -> tuple[Bigrams, list[
         return frame([(shard, pickle.dumps((*_histogram(n), int(n.sum()))))])
 
     # One row per shard and histogram reaches the driver.
-    first = checkpointed(merged(docs.select("text").mapInPandas(gather, BLOBS), merge, BLOBS))
+    first = checkpointed(merged(docs.select("text").mapInPandas(gather, BLOBS), merge, shards, BLOBS))
     seen = {-1 - r.shard: pickle.loads(r.data) for r in first.where("shard < 0").collect()}
-    left = {r.shard: pickle.loads(r.data) for r in merged(first.where("shard >= 0"), continued, BLOBS).collect()}
+    left = {r.shard: pickle.loads(r.data) for r in merged(first.where("shard >= 0"), continued, shards, BLOBS).collect()}
     total = lambda rows, n: [sum(r[i] for r in rows.values()) for i in range(n)]
     *lefts, n_left = total(left, 5)
     return Bigrams(folder, step, set(seen), set(left)), total(seen, 4), lefts, n_left

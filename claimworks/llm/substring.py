@@ -10,9 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.session import scratch_dir
-
-from .arrays import BLOBS, ENTRIES, Lookup, blobs, frame, length, merged, shard_of, shards_for, small, write
+from .arrays import BLOBS, ENTRIES, Lookup, blobs, frame, length, merged, shard_of, shards_for, shared_folder, small, write
 from .text import hashes, mix, table, window_hashes, words
 
 WIDTH = 20
@@ -145,7 +143,7 @@ def _firsts(keys: np.ndarray, docs: np.ndarray, at: np.ndarray, many: np.ndarray
 
 def repeated_keys(docs: DataFrame, shards: int, width: int) -> Lookup:
     """Keys that stand at two or more places of the corpus."""
-    folder = scratch_dir(docs.sparkSession, "repeat-keys")
+    folder = shared_folder(docs.sparkSession, "repeat-keys")
 
     def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -171,7 +169,7 @@ def repeated_keys(docs: DataFrame, shards: int, width: int) -> Lookup:
         write(folder, f"key-{shard}", keys[many])
         return length(shard, many.sum())
 
-    found = merged(docs.mapInPandas(gather, BLOBS), merge).collect()  # one row per shard
+    found = merged(docs.mapInPandas(gather, BLOBS), merge, shards).collect()  # one row per shard
     return Lookup(folder, shards, dict(map(tuple, found)))
 
 
@@ -181,7 +179,7 @@ def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Look
     Only windows all of whose keys are repeated can be repeated; the others are
     never gathered. What is gathered is exact.
     """
-    folder = scratch_dir(docs.sparkSession, "repeat-windows")
+    folder = shared_folder(docs.sparkSession, "repeat-windows")
 
     def gather(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -220,7 +218,7 @@ def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Look
         write(folder, f"key-{shard}", w[many])
         return length(shard, many.sum())
 
-    found = merged(docs.mapInPandas(gather, BLOBS), merge).collect()  # one row per shard
+    found = merged(docs.mapInPandas(gather, BLOBS), merge, shards).collect()  # one row per shard
     return Lookup(folder, shards, dict(map(tuple, found)))
 
 

@@ -206,6 +206,12 @@ LICENSES = [
     (705, "the émit license"), (706, "Permission is granted free of charge to any person obtaining a copy of software"),
     (707, "all\nrights reserved"), (708, "x " * 20_000 + "apache license " + "y " * 20_000 + "Apache License"),
     (709, "Redistribution and use in source and binary forms with or without modification are not permitted at all"),
+    (710, "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that"),
+    (711, "under the terms of the GNU Lesser General Public\nLicense as published"),
+    (712, "subject to the terms of the Mozilla Public License, v. 2.0."),
+    (713, "We reserved a table for all of you; the rights of guests matter."),
+    (714, "creative people have much in commons and the attribution of a work is no license"),
+    (715, "all rights all reserved rights all rights reserved " * 300), (716, "reserved rights all"),
 ]
 
 
@@ -216,15 +222,17 @@ def test_license_scan(spark):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(ASCII))
     n = 0
     for r in found:
-        expected = []
-        for i, line in enumerate((r.text or "").split("\n")):
-            for label, template in license.TEMPLATES.items():
-                t = set(split(template))
-                share = len(t & set(split(line))) / len(t)
-                if share >= license.THRESHOLD:
-                    expected.append((i, label, share))
-        assert sorted(map(tuple, r.license_matches)) == sorted(expected), r.text
+        expected, held = set(), split(r.text or "")
+        for label, template in ((label, t) for label, texts in license.TEMPLATES.items() for t in texts):
+            t, width = set(split(template)), len(split(template))
+            for i, w in enumerate(held):
+                if w in t and len(t & set(held[i:i + width])) / len(t) >= license.THRESHOLD:
+                    expected.add((i, label, len(t & set(held[i:i + width])) / len(t)))
+        assert list(map(tuple, r.license_matches)) == sorted(expected), r.text
         n += len(expected)
+        labels = {m.label for m in r.license_matches}
+        wanted = {710: {"bsd"}, 711: {"lgpl"}, 712: {"mpl"}, 713: set(), 714: set(), 715: {"reserved"}, 716: {"reserved"}}
+        assert labels == wanted.get(r.doc_id, labels)
     assert n >= 5
 
 
@@ -534,6 +542,46 @@ def test_symbols_are_consistent():
     assert all(s == seen[0] for s in seen) and len(seen[0]) > 3
 
 
+# Sorted arrays -----------------------------------------------------------
+
+def test_lookups_hold_few_handles(tmp_path):
+    """A thousand shards under a limit of 256 handles; every key is found, in the order of the whole table."""
+    import resource
+
+    from claimworks.llm import arrays
+
+    rng, folder, shards = np.random.default_rng(1), f"file:{tmp_path}", 1000
+    keys = np.unique(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2))
+    of, lengths = arrays.shard_of(keys, shards), {}
+    for s in range(shards):
+        own = keys[of == s]
+        lengths[s] = len(own)
+        arrays.write(folder, f"key-{s}", own)
+        arrays.write(folder, f"n-{s}", np.arange(len(own)) + s)
+    table = arrays.Lookup(folder, shards, lengths)
+    limit = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (256, limit[1]))
+    try:
+        place, n = table.find(keys, "n")
+        assert (place == np.arange(len(keys))).all() and (n[:5] >= 0).all()
+        assert (table.find(keys + np.uint64(1), "n")[0] == -1).all()
+        assert table.find(keys[:0])[0].size == 0
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, limit)
+    assert len(arrays._mapped) <= arrays.MAPPED
+
+
+def test_folders_name_their_file_system(spark):
+    from claimworks.llm import arrays
+
+    assert arrays.shared_folder(spark, "x").startswith("file:/")
+    assert arrays._open("file:///a/b")[1] == arrays._open("file:/a/b")[1] == "/a/b"
+    system, path = arrays._open("s3a://bucket/key?region=eu-west-1")
+    assert system.type_name == "s3" and path == "bucket/key"
+    with pytest.raises(ValueError):
+        arrays._open("/a/b")
+
+
 # Empty tables ------------------------------------------------------------
 
 def test_empty_tables(spark):
