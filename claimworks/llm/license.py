@@ -10,21 +10,21 @@ from pyspark.sql import functions as F
 
 from .text import table
 
-# Names and wordings of licenses.
+# Names of licenses and the wordings of their notices and headers.
 TEMPLATES = {
-    "agpl": "GNU Affero General Public License",
-    "apache": "Licensed under the Apache License, Version 2.0",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "cc-by": "Creative Commons Attribution license",
-    "cc-by-nc": "Licensed under CC BY-NC 4.0",
-    "gpl": "GNU General Public License",
-    "lgpl": "GNU Lesser General Public License",
-    "mit": "Released under the MIT License",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-    "mpl": "Mozilla Public License, version 2.0",
-    "reserved": "All rights reserved",
-    "spdx": "SPDX-License-Identifier",
-    "unlicense": "This is free and unencumbered software released into the public domain",
+    "agpl": ("GNU Affero General Public License",),
+    "apache": ("Licensed under the Apache License, Version 2.0",),
+    "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted",),
+    "cc-by": ("Creative Commons Attribution license",),
+    "cc-by-nc": ("Licensed under CC BY-NC 4.0",),
+    "gpl": ("GNU General Public License",),
+    "lgpl": ("GNU Lesser General Public License",),
+    "mit": ("Released under the MIT License",),
+    "mit-grant": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software",),
+    "mpl": ("Mozilla Public License, version 2.0", "Mozilla Public License, v. 2.0"),
+    "reserved": ("All rights reserved",),
+    "spdx": ("SPDX-License-Identifier",),
+    "unlicense": ("This is free and unencumbered software released into the public domain",),
 }
 # Fixed values of the base scan: phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -36,8 +36,17 @@ _IN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _in_order(template: str) -> list[str]:
+    return re.findall(_IN + "+", template.translate(str.maketrans(_UPPER, _LOWER)))
+
+
 def tokens_of(template: str) -> list[str]:
-    return sorted(set(re.findall(_IN + "+", template.translate(str.maketrans(_UPPER, _LOWER)))))
+    return sorted(set(_in_order(template)))
+
+
+def wordings(templates: dict[str, tuple[str, ...]]) -> list[tuple[str, list[str], int]]:
+    """(label, distinct words, width of a block) of every wording; a block is as many words as the wording has."""
+    return [(label, tokens_of(t), len(_in_order(t))) for label, texts in templates.items() for t in texts]
 
 
 def _any_of(tokens: list[str]) -> str:
@@ -56,58 +65,72 @@ def token_order(docs: DataFrame, vocabulary: list[str], text_col: str = "text")
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
 
-def _strings(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def block_matches(text: Column, templates: dict[str, tuple[str, ...]], order: list[str], threshold: float) -> Column:
+    """Array of (block, label, containment): blocks that hold ``threshold`` of a wording's distinct words.
 
-
-def block_matches(text: Column, templates: dict[str, str], order: list[str], threshold: float) -> Column:
-    """Array of (block, label, containment): lines that hold ``threshold`` of a template's distinct words.
-
-    With n template words, k = ceil(threshold * n) must be in the block. A block
-    can only match if it holds one of the n - k + 1 rarest (prefix), has k words
-    (length) and, seen from the first prefix word they share, both have enough
-    words left in the global order (position). What is left is counted exactly.
+    A block is a window as wide as the wording, over line ends too, and starts (by
+    its place among the text's words) at a word of it: one that starts before holds
+    no more. With n distinct words, k = ceil(threshold * n) must be in the block. It
+    can only match if it holds one of the n - k + 1 rarest (prefix), if k words of the
+    wording stand near it (length), and if k of these do not come before it in the
+    global order (position). What is left is counted exactly, from the rarest word.
     """
     rank = {w: i for i, w in enumerate(order)}
-    sorted_tokens = {name: sorted(tokens_of(t), key=rank.get) for name, t in templates.items()}
-    need = {name: math.ceil(threshold * len(t) - 1e-9) for name, t in sorted_tokens.items()}
-    prefix = {name: t[:len(t) - need[name] + 1] for name, t in sorted_tokens.items()}
-    rare = _any_of(sorted({w for p in prefix.values() for w in p}))
-
-    def of_block(block: Column, place: Column) -> Column:
-        words = F.array_distinct(F.regexp_extract_all(F.translate(block, _UPPER, _LOWER), F.lit(_IN + "+"), F.lit(0)))
-        # Shared words in the global order: those outside all templates rank behind and never count.
-        ranked = F.array_intersect(_strings(order), words)
-
-        def of_template(name: str, ranked: Column) -> Column:
-            t, k = _strings(sorted_tokens[name]), need[name]
-            first = F.element_at(F.array_intersect(_strings(prefix[name]), ranked), 1)
-            left = F.least(len(sorted_tokens[name]) - F.array_position(t, first),
-                           F.size(ranked) - F.array_position(ranked, first)) + 1
-            shared = F.size(F.array_intersect(t, ranked))
-            could = (F.size(ranked) >= k) & F.arrays_overlap(_strings(prefix[name]), ranked)
-            return F.when(could, F.when((left >= k) & (shared >= k), F.struct(
-                place.cast("int").alias("block"), F.lit(name).alias("label"),
-                (shared / F.lit(float(len(sorted_tokens[name])))).alias("containment"))))
-
-        # One evaluation of the block's words serves all templates.
-        return F.flatten(F.transform(F.array(ranked), lambda r: F.filter(
-            F.array(*[of_template(name, r) for name in sorted_tokens]), lambda m: m.isNotNull())))
-
-    blocks = F.filter(F.transform(F.split(text, "\n"), lambda b, i: F.struct(b.alias("line"), i.alias("i"))),
-                      lambda b: b.line.rlike(rare))
-    found = F.flatten(F.transform(blocks, lambda b: of_block(b.line, b.i)))
-    empty = F.expr("CAST(array() AS ARRAY<STRUCT<block: INT, label: STRING, containment: DOUBLE>>)")
-    return F.when(text.rlike(rare), found).otherwise(empty)
-
-
-def scan(docs: DataFrame, text_col: str = "text", templates: dict[str, str] = TEMPLATES,
+    every = []
+    for label, words, width in wordings(templates):
+        ranks, k = sorted(map(rank.get, words)), math.ceil(threshold * len(words) - 1e-9)
+        every.append((label, ranks, k, ranks[:len(ranks) - k + 1], width))
+    rare = sorted({r for *_, prefix, _ in every for r in prefix})
+    reach = max(width for *_, width in every)
+    pattern = _any_of([order[r] for r in rare])
+    found = F.transform(F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(_IN + "+"), F.lit(0)),
+                        lambda w, i: F.struct(w.alias("w"), i.alias("i")))
+    ordered = F.array(*map(F.lit, order))
+    hits = F.transform(F.filter(found, lambda h: h.w.isin(order)), lambda h: F.struct(
+        h.i.alias("i"), (F.array_position(ordered, h.w) - 1).cast("int").alias("r")))
+    nothing = F.expr("CAST(array() AS ARRAY<STRUCT<block: INT, label: STRING, containment: DOUBLE>>)")
+
+    def of_wording(near: Column, h: Column, label: str, ranks: list[int], k: int, prefix: list[int], width: int) -> Column:
+        own = F.filter(near, lambda x: x.r.isin(ranks) & (x.i > h.i - width) & (x.i < h.i + width))
+
+        def blocks(own: Column) -> Column:
+            def block(s: Column) -> Column:
+                held = F.array_distinct(F.transform(F.filter(own, lambda x: (x.i >= s.i) & (x.i < s.i + width)), lambda x: x.r))
+                return F.struct(s.i.cast("int").alias("block"), held.alias("held"))
+
+            starts = F.transform(F.filter(own, lambda s: (s.i <= h.i) & (s.i > h.i - width)), block)
+            # A block is found from its rarest word, so once, but for repetitions of that word.
+            whole = F.filter(starts, lambda b: (F.size(b.held) >= k) & (F.array_min(b.held) == h.r))
+            return F.transform(whole, lambda b: F.struct(
+                b.block.alias("block"), F.lit(label).alias("label"), (F.size(b.held) / F.lit(float(len(ranks)))).alias("containment")))
+
+        def checked(own: Column) -> Column:
+            left = F.size(F.array_distinct(F.transform(F.filter(own, lambda x: x.r >= h.r), lambda x: x.r)))
+            return F.when((F.size(own) >= k) & (left >= k), blocks(own)).otherwise(nothing)
+
+        return F.when(h.r.isin(prefix), F.transform(F.array(own), checked)[0]).otherwise(nothing)
+
+    def of_text(hits: Column) -> Column:
+        placed = F.filter(F.transform(hits, lambda h, j: F.struct(h.alias("h"), j.alias("j"))), lambda x: x.h.r.isin(rare))
+
+        def of_anchor(x: Column) -> Column:
+            first = F.greatest(x.j + 2 - reach, F.lit(1))
+            near = F.slice(hits, first, x.j + reach + 1 - first)
+            return F.flatten(F.transform(F.array(near), lambda near: F.concat(*[of_wording(near, x.h, *w) for w in every])))
+
+        return F.array_sort(F.array_distinct(F.flatten(F.transform(placed, of_anchor))))
+
+    return F.when(text.rlike(pattern), F.transform(F.array(hits), of_text)[0]).otherwise(nothing)
+
+
+def scan(docs: DataFrame, text_col: str = "text", templates: dict[str, tuple[str, ...]] = TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``license_matches``, an array of (block, label, containment); null texts have none.
 
-    A block is a line. A column of that name is replaced.
+    A block is a window of a wording's length, named by its first word's place in
+    the text. A column of that name is replaced; other columns and repeated rows stay.
     """
-    order = token_order(docs, sorted({w for t in templates.values() for w in tokens_of(t)}), text_col)
+    order = token_order(docs, sorted({w for _, words, _ in wordings(templates) for w in words}), text_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.withColumn("license_matches", block_matches(text, templates, order, threshold))
 
@@ -147,17 +170,15 @@ def _sql() -> str:
     places = ["list_transform(list_filter(range(1, len(w) + 1), lambda i: "
               + " and ".join(f"w[i + {k}] = '{part}'" for k, part in enumerate(phrase.split()))
               + f"), lambda i: {{'at': i - 1, 'label': '{label}'}})" for phrase, label in PHRASES.items()]
-    shared = [f"{{'label': '{name}', 'share': len(list_intersect(b, {tokens_of(t)!r}))::double / {len(tokens_of(t))}}}"
-              for name, t in TEMPLATES.items()]
+    shared = [f"list_transform(list_filter(range(1, len(w) + 1), lambda i: list_contains({words_!r}, w[i])), "
+              f"lambda i: {{'label': '{label}', 'share': len(list_intersect(w[i:i + {width - 1}], {words_!r}))::double / {len(words_)}}})"
+              for label, words_, width in wordings(TEMPLATES)]
     return f"""
     with docs as (
-      select doc_id, coalesce(text, '') as text, {words.format("coalesce(text, '')")} as w from documents),
-    base as (
-      select doc_id, len(w) as n_words, {' || '.join(places)} as p,
-        list_transform(string_split(text, chr(10)), lambda line: {words.format('line')}) as blocks from docs),
+      select doc_id, {words.format("coalesce(text, '')")} as w from documents),
     found as (
-      select doc_id, n_words, p, list_filter(flatten(list_transform(blocks, lambda b: [{', '.join(shared)}])),
-        lambda m: m.share >= {THRESHOLD} - 1e-9) as m from base)
+      select doc_id, len(w) as n_words, {' || '.join(places)} as p,
+        list_filter({' || '.join(shared)}, lambda m: m.share >= {THRESHOLD} - 1e-9) as m from docs)
     select doc_id, n_words, len(p)::bigint as n_base,
       list_min(list_transform(p, lambda x: x.at))::bigint as first_word,
       list_max(list_transform(p, lambda x: x.at))::bigint as last_word,
