@@ -38,8 +38,13 @@ def append_stream(
     return _start(writer, trigger, checkpoint).start(path)
 
 
+def running_id(spark: SparkSession) -> str | None:
+    """The identity of the query whose batch this is: the same after a restart, another in a new checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The identity a checkpoint gives its query: the same after a restart, another in a new checkpoint."""
+    """The same identity from outside the query: its checkpoint holds it."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
@@ -55,7 +60,7 @@ def each_batch(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if not known:
-            known.append(stream_id(batch.sparkSession, checkpoint))
+            known.append(running_id(batch.sparkSession) or stream_id(batch.sparkSession, checkpoint))
         apply(batch, batch_id, known[0])
 
     writer = stream.writeStream.outputMode("update").foreachBatch(run)

@@ -363,3 +363,14 @@ def test_few_repeated_keys(spark):
         for keys in (["k"], ["k", "a"]):
             both = [sorted(map(str, f(df, keys, [o for o in order if o not in keys], last).collect())) for f in (keep_one, keep_one_of_few)]
             assert both[0] == both[1]
+
+
+def test_a_batch_knows_its_query(spark, tmp_path):
+    from test_jobs import done
+    from claimworks.sources import sinks
+
+    seen = []
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+    done(sinks.each_batch(stream, lambda df, n, name: seen.append((name, sinks.running_id(df.sparkSession))), f"{tmp_path}/cp", None))
+    assert seen == [(sinks.stream_id(spark, f"{tmp_path}/cp"),) * 2]
