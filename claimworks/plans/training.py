@@ -137,6 +137,8 @@ def train(df: DataFrame, key: str, params: Params = Params()) -> Run:
     spark = df.sparkSession
     df = df.select(key, "label", F.col("features").cast("array<double>").alias("features"))
     indexer = label_indexer(df)
+    if not indexer.labels:
+        raise ValueError("there is no labelled row to train on")
     folder = scratch_dir(spark, "training")
     split = stratified_split(indexer.transform(df), "label", key, params.fraction, params.seed)
     overwrite(split, f"{folder}/split")

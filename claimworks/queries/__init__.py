@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import changes, refined, scalars, streams, tables  # noqa: F401
+from . import changes, commands, refined, scalars, streams, tables  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
