@@ -27,7 +27,9 @@ FAMILIES = {
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 UNKNOWN = "und"
 SLOTS = 4096
-PER_LANGUAGE = 200  # bound on the documents a language is learned from
+PER_LANGUAGE = 200  # bound on the different texts a language is learned from
+LANGUAGES = 200  # bound on the languages that are learned: those with most different texts, then by code
+VECTORS = 12_000  # bound on the vectors of all of them, three a text; more languages get fewer texts each
 SNIPPET_BYTES = (40, 160)  # pieces of each training text that are learned too
 
 _FOLD = np.full(256, 32, np.uint32)
@@ -115,11 +117,19 @@ def _pieces(data: bytes, key: int) -> list[bytes]:
 
 
 def fit(rows: DataFrame, lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from at most about ``per_language`` rows (text, lang) of each language, chosen by a hash."""
+    """Learn from at most about ``per_language`` different texts of each language, chosen by a hash.
+
+    The driver gets at most about ``VECTORS`` vectors of ``SLOTS`` numbers, whatever
+    the number of languages; of more than ``LANGUAGES`` the rest are not learned.
+    Copies of a text count once, so a language that is mostly copies of few texts
+    is learned from all of these.
+    """
     rows = rows.select("text", F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = dict(rows.groupBy("lang").count().collect())
+    different = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    counts = {r.lang: r["count"] for r in different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return Model(np.zeros((0, SLOTS), np.float32), [])
+    per_language = min(per_language, max(1, VECTORS // (3 * len(counts))))
     share = F.create_map(*[F.lit(v) for code, n in counts.items() for v in (code, per_language / n)])
     some = rows.withColumn("u", unit(F.lit(4), "text")).where(F.col("u") < share[F.col("lang")])
 
@@ -129,7 +139,6 @@ def fit(rows: DataFrame, lang_col: str = "lang", per_language: int = PER_LANGUAG
                    for i, piece in enumerate(_pieces(text.encode("utf-8", "surrogatepass"), int(u * 2**52)))]
             yield pd.DataFrame(got, columns=["u", "piece", "lang", "x"])
 
-    # One text may stand in many rows; the bound holds for rows all the same.
     got = (some.mapInPandas(featured, "u double, piece int, lang string, x binary")
            .dropDuplicates(["u", "piece", "lang"]).limit(9 * per_language * len(counts)).collect())
     got.sort(key=lambda r: (r.lang, r.u, r.piece))

@@ -69,6 +69,22 @@ def test_language_learns_only_from_its_folds(spark, corpus):
     assert kept.columns == docs.columns and {9001, 9002, 9003, 9005}.isdisjoint(r.doc_id for r in kept.collect())
 
 
+def test_languages_of_few_texts_and_very_many_languages(spark, monkeypatch):
+    """A language that is thousands of copies of two texts is learned; vectors stay bounded, rare languages are left out."""
+    rng = random.Random(8)
+    rows = [(written(rng, "en", 40), "en") for _ in range(300)] + [(written(rng, "de", 40), "de") for _ in range(2)] * 1500
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert set(model.languages) == {"en", "de"} if hasattr(model, "languages") else model.predict(written(rng, "de", 40))[0] == "de"
+    sizes = []
+    monkeypatch.setattr(language, "Model", lambda x, codes: sizes.append((len(x), len(set(codes)))))
+    monkeypatch.setattr(language, "VECTORS", 600)
+    monkeypatch.setattr(language, "LANGUAGES", 50)
+    many = [(written(rng, "fr", 40), f"x{k % 80}") for k in range(4000)]
+    language.fit(spark.createDataFrame(many, "text string, lang string"))
+    (vectors, codes), = sizes
+    assert 30 < codes <= 50 and vectors <= 1200
+
+
 def test_families_come_first():
     rng = random.Random(1)
     texts = [(code, written(rng, code, 60)) for code in ("en", "de", "fr", "es") for _ in range(40)]
