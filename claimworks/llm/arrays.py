@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,14 +95,24 @@ def write(folder: str, name: str, array: np.ndarray) -> None:
     system.move(part, f"{path}/{name}.npy")
 
 
-MAPPED = 100  # arrays a worker holds open; each holds a file handle
+MAPPED = 20_000  # arrays a worker keeps mapped: under a third of the mappings Linux allows a process
 _mapped: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
+def _map(path: str) -> np.ndarray:
+    """A saved array, mapped. The mapping outlives its file handle, which is closed at once."""
+    with pa.memory_map(path) as file:
+        data = file.read_buffer()
+    head = io.BytesIO(data[:256])
+    read = np.lib.format.read_array_header_1_0 if np.lib.format.read_magic(head) == (1, 0) else np.lib.format.read_array_header_2_0
+    shape, _, kind = read(head)
+    return np.frombuffer(data, kind, shape[0], head.tell())
+
+
 def mapped(folder: str, name: str) -> np.ndarray:
     """One array, memory-mapped; from a store without local paths over an unnamed local copy.
 
-    The latest ``MAPPED`` are kept; one that no caller holds any longer is closed.
+    The latest ``MAPPED`` are kept; one that no caller holds any longer is unmapped.
     """
     key = f"{folder}/{name}"
     if key in _mapped:
@@ -109,13 +120,13 @@ def mapped(folder: str, name: str) -> np.ndarray:
         return _mapped[key]
     system, path = _open(folder)
     if isinstance(system, arrow_fs.LocalFileSystem):
-        array = np.load(f"{path}/{name}.npy", mmap_mode="r")
+        array = _map(f"{path}/{name}.npy")
     else:
         handle, local = tempfile.mkstemp(suffix=".npy")
         with os.fdopen(handle, "wb") as out, system.open_input_stream(f"{path}/{name}.npy") as data:
             while chunk := data.read(1 << 24):
                 out.write(chunk)
-        array = np.load(local, mmap_mode="r")
+        array = _map(local)
         os.unlink(local)
     _mapped[key] = array
     while len(_mapped) > MAPPED:
@@ -146,10 +157,11 @@ class Lookup:
         self.starts = np.append(np.int64(0), ends)
         self.size = int(self.starts[-1])
 
-    def find(self, keys: np.ndarray, *columns: str) -> tuple[np.ndarray, ...]:
+    def find(self, keys: np.ndarray, *columns: str, skip: int = 0) -> tuple[np.ndarray, ...]:
         """For sorted keys: place in the whole table or -1, then the columns' values there (0 elsewhere).
 
-        Only shards in which a key may lie are opened.
+        Where a key stands several times, ``skip`` tells which of its places is
+        asked for. Only shards in which a key may lie are opened.
         """
         place = np.full(len(keys), -1, np.int64)
         values = [np.zeros(len(keys), np.int64) for _ in columns]
@@ -160,8 +172,9 @@ class Lookup:
             i = np.searchsorted(self.present, s)
             if i < len(self.present) and self.present[i] == s:
                 table = mapped(self.folder, f"key-{s}")
-                at = np.minimum(np.searchsorted(table, keys[a:b]), len(table) - 1)
-                hit = np.flatnonzero(table[at] == keys[a:b])
+                there = np.searchsorted(table, keys[a:b]) + skip
+                at = np.minimum(there, len(table) - 1)
+                hit = np.flatnonzero((table[at] == keys[a:b]) & (there < len(table)))
                 place[a + hit] = self.starts[i] + at[hit]
                 for value, name in zip(values, columns):
                     value[a + hit] = mapped(self.folder, f"{name}-{s}")[at[hit]]

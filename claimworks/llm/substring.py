@@ -1,4 +1,4 @@
-"""Removal of long repeats by recompression: consistent symbols reveal them, window hashes verify."""
+"""Removal of long repeats by recompression: consistent symbols reveal them, two window hashes verify."""
 
 from __future__ import annotations
 
@@ -132,13 +132,19 @@ def _distinct(keys: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], (n > 1) | (np.maximum.reduceat(many, first) if len(first) else many)
 
 
-def _firsts(keys: np.ndarray, docs: np.ndarray, at: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Each key once, with its first place and whether it has another."""
-    order = np.lexsort((at, docs, keys))
-    keys, docs, at, many = keys[order], docs[order], at[order], many[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
+def _firsts(keys: np.ndarray, checks: np.ndarray, docs: np.ndarray, at: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each pair of key and check once, with its first place and whether it has another."""
+    order = np.lexsort((at, docs, checks, keys))
+    keys, checks, docs, at, many = keys[order], checks[order], docs[order], at[order], many[order]
+    new = (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])
+    first = np.flatnonzero(np.append(True, new)) if len(keys) else np.zeros(0, int)
     n = np.diff(np.append(first, len(keys)))
-    return keys[first], docs[first], at[first], (n > 1) | (np.maximum.reduceat(many, first) if len(first) else many)
+    return keys[first], checks[first], docs[first], at[first], (n > 1) | (np.maximum.reduceat(many, first) if len(first) else many)
+
+
+def _checks(h: np.ndarray, width: int) -> np.ndarray:
+    """A second hash of every window, independent of ``window_hashes(h)``: windows are equal where both are."""
+    return window_hashes(mix(h, 3), width)
 
 
 def repeated_keys(docs: DataFrame, shards: int, width: int) -> Lookup:
@@ -174,7 +180,7 @@ def repeated_keys(docs: DataFrame, shards: int, width: int) -> Lookup:
 
 
 def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Lookup:
-    """Window hashes that stand at two or more places, each with the first: document and start.
+    """Windows (hash and second hash) that stand at two or more places, each with the first: document and start.
 
     Only windows all of whose keys are repeated can be repeated; the others are
     never gathered. What is gathered is exact.
@@ -185,11 +191,11 @@ def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Look
         held, n = [], 0
 
         def flush() -> pd.DataFrame:
-            w, doc, at, many = _firsts(*(np.concatenate(c) for c in zip(*held)))
+            w, check, doc, at, many = _firsts(*(np.concatenate(c) for c in zip(*held)))
             # Ids counted from the least one take few bytes.
             low = doc.min() if len(doc) else LAST
             apart = small(doc.view(np.uint64) - low.view(np.uint64))
-            return frame(list(blobs(shard_of(w, shards), (w, apart, small(at), many), shards, low)))
+            return frame(list(blobs(shard_of(w, shards), (w, check, apart, small(at), many), shards, low)))
 
         for ids, texts in _batches(parts):
             h, counts = _batch(texts)
@@ -201,7 +207,8 @@ def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Look
             could[bare] = np.isin(_bare_key(w[bare]), again)
             begins = np.cumsum(counts + 1) - counts - 1
             owner = np.searchsorted(begins, at[could], "right") - 1
-            held.append((w[could], _numbers(ids)[owner], at[could] - begins[owner], np.zeros(int(could.sum()), bool)))
+            check = _checks(h, width)[at[could]] if len(at) else w
+            held.append((w[could], check, _numbers(ids)[owner], at[could] - begins[owner], np.zeros(int(could.sum()), bool)))
             n += len(held[-1][0])
             if n >= ENTRIES:
                 yield flush()
@@ -210,11 +217,12 @@ def first_places(docs: DataFrame, keys: Lookup, shards: int, width: int) -> Look
             yield flush()
 
     def merge(shard: int, parts: list) -> pd.DataFrame:
-        parts = [(w, (doc.astype(np.uint64) + low.view(np.uint64)).view(np.int64), at.astype(np.int64), many)
-                 for low, w, doc, at, many in parts]
-        w, doc, at, many = _firsts(*(np.concatenate(c) for c in zip(*parts)))
+        parts = [(w, check, (doc.astype(np.uint64) + low.view(np.uint64)).view(np.int64), at.astype(np.int64), many)
+                 for low, w, check, doc, at, many in parts]
+        w, check, doc, at, many = _firsts(*(np.concatenate(c) for c in zip(*parts)))
         write(folder, f"doc-{shard}", doc[many])
         write(folder, f"at-{shard}", small(at[many]))
+        write(folder, f"check-{shard}", check[many].view(np.int64))
         write(folder, f"key-{shard}", w[many])
         return length(shard, many.sum())
 
@@ -240,10 +248,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             begins, numbers = np.cumsum(counts + 1) - counts - 1, _numbers(ids)
             at = _places(counts, width)
             w = window_hashes(h, width)[at] if len(at) else np.zeros(0, np.uint64)
-            order = np.argsort(w, kind="stable")
-            place, doc, start = firsts.find(w[order], "doc", "at")
-            hit = order[place >= 0]
-            doc, start = doc[place >= 0], start[place >= 0]
+            hit, doc, start = _verified(firsts, w, _checks(h, width)[at].view(np.int64) if len(at) else w.view(np.int64))
             owner = np.searchsorted(begins, at[hit], "right") - 1
             mine, here = numbers[owner], at[hit] - begins[owner]
             gone = at[hit][(doc < mine) | ((doc == mine) & (start < here))]
@@ -263,6 +268,18 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "doc_id", F.col("doc_id").cast("long"))
 
 
+def _verified(firsts: Lookup, w: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, document, start) of the windows that stand in ``firsts`` with both hashes."""
+    left, out, skip = np.argsort(w, kind="stable"), [], 0
+    while True:
+        place, doc, start, other = firsts.find(w[left], "doc", "at", "check", skip=skip)
+        same = (place >= 0) & (other == check[left])
+        out.append((left[same], doc[same], start[same]))
+        left, skip = left[(place >= 0) & ~same], skip + 1  # another window of the same first hash
+        if not len(left):
+            return tuple(map(np.concatenate, zip(*out)))
+
+
 def _rows(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "kept"]).astype({"n_words": "int64", "n_removed": "int64"})
 

@@ -526,6 +526,28 @@ def test_substring_dedup(spark, width):
     assert grouped(found) == grouped(without_repeats([r[:2] for r in fixture.rows(extra)], width))
 
 
+def test_windows_of_one_hash_are_told_apart():
+    """Where first hashes are equal the second one decides, in what is kept and in what is looked up."""
+    w = np.array([5, 5, 9, 9, 5], np.uint64)
+    check, doc, at = np.array([1, 2, 1, 1, 2], np.uint64), np.array([3, 4, 1, 0, 2]), np.zeros(5, np.int64)
+    keys, checks, docs, _, many = substring._firsts(w, check, doc, at, np.zeros(5, bool))
+    assert list(zip(keys.tolist(), checks.tolist(), docs.tolist(), many.tolist())) == [(5, 1, 3, False), (5, 2, 2, True), (9, 1, 0, True)]
+
+    class Table:
+        rows = [(5, 11, 1), (5, 12, 2), (5, 13, 3), (9, 11, 4)]
+
+        def find(self, keys, *columns, skip):
+            out = []
+            for k in keys.tolist():
+                own = [(i, r) for i, r in enumerate(self.rows) if r[0] == k][skip:skip + 1]
+                out.append((own[0][0], own[0][1][2], 0, own[0][1][1]) if own else (-1, 0, 0, 0))
+            return tuple(np.array(c, np.int64) for c in zip(*out))
+
+    asked = [(9, 11), (5, 13), (5, 99), (7, 11), (5, 11), (9, 12), (5, 13)]
+    hit, docs, _ = substring._verified(Table(), np.array([a for a, _ in asked], np.uint64), np.array([b for _, b in asked], np.int64))
+    assert sorted(zip(hit.tolist(), docs.tolist())) == [(0, 4), (1, 3), (4, 1), (6, 3)]
+
+
 def test_symbols_are_consistent():
     """Equal windows hold the same symbols, whatever stands around them."""
     rng = np.random.default_rng(2)
@@ -569,6 +591,8 @@ def test_lookups_hold_few_handles(tmp_path):
     finally:
         resource.setrlimit(resource.RLIMIT_NOFILE, limit)
     assert len(arrays._mapped) <= arrays.MAPPED
+    arrays.write(folder, "none", np.zeros(0, np.uint32))
+    assert arrays.mapped(folder, "none").dtype == np.uint32 and len(arrays.mapped(folder, "none")) == 0
 
 
 def test_folders_name_their_file_system(spark):
