@@ -46,6 +46,21 @@ def move_file(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def publish_folder(spark: SparkSession, source: str, target: str) -> None:
+    """A finished folder to its place by one rename, so that readers see all of its files or none.
+
+    What an attempt that broke off has left at the target goes first. Stores that
+    rename by copying show the files one by one, but whole ones.
+    """
+    fs, hadoop_path = _fs(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to):
+        fs.delete(to, True)
+    if not fs.rename(hadoop_path, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def remove_file(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.delete(hadoop_path, False)

@@ -4,6 +4,7 @@ A folder table holds
     <path>/layout.json                 columns, and what rows are partitioned by
     <path>/changes/batch=K/bucket=B    rows delivery K set or deleted, at most one per key
     <path>/deliveries/<stream>/<N>/K=  batch N of that stream is delivery K
+    <path>/numbers/batch=K             taken numbers; a delivery gets to its place whole, by a rename
     <path>/base/upto=K/bucket=B        the table after delivery K, where ``compact`` wrote it
 and its state is the newest base with the later deliveries on top. A row's bucket
 follows from its key (a hash, or the day of a time that is part of it), so a batch
@@ -16,6 +17,7 @@ another stream, all of whose batches are new. One writer per table at a time.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +26,15 @@ from pyspark.sql import types as T
 
 from ..operators.changelog import UPSERT
 from ..operators.merge import same_keys
-from ..sources.files import create_text, is_committed, make_folder, numbered_folders, read_text, table_exists
+from ..sources.files import (
+    create_text,
+    is_committed,
+    make_folder,
+    numbered_folders,
+    publish_folder,
+    read_text,
+    table_exists,
+)
 
 BUCKETS = 32
 _DAY_US = 86_400_000_000
@@ -180,11 +190,18 @@ class FolderTable:
         known = numbered_folders(self.spark, folder, "K=")
         if known:
             return known[0]
-        number = max(numbered_folders(self.spark, self.changes_path, "batch="), default=-1) + 1
-        make_folder(self.spark, f"{self.changes_path}/batch={number}")
+        taken = [n for at in (self.changes_path, f"{self.path}/numbers") for n in numbered_folders(self.spark, at, "batch=")]
+        number = max(taken, default=-1) + 1
+        make_folder(self.spark, f"{self.path}/numbers/batch={number}")
         make_folder(self.spark, f"{folder}/K={number}")
         return number
 
+    def _deliver(self, frame: DataFrame, number: int) -> None:
+        """Write a delivery aside and move it to its place whole: streams list that place file by file."""
+        aside = f"{self.path}/_tries/{number}-{uuid.uuid4().hex}"
+        self._save(frame, self._layout(frame), aside)
+        publish_folder(self.spark, aside, f"{self.changes_path}/batch={number}")
+
     def delivered(self, number: int) -> DataFrame | None:
         """The (op, row) frame of a finished delivery; None where it is not there."""
         if not is_committed(self.spark, f"{self.changes_path}/batch={number}"):
@@ -206,8 +223,7 @@ class FolderTable:
         number = self._delivery(stream, batch_id)
         target = f"{self.changes_path}/batch={number}"
         if not is_committed(self.spark, target):
-            frame = rows(lambda touching=None, columns=None: self.read(number, touching, columns))
-            self._save(frame, self._layout(frame), target)
+            self._deliver(rows(lambda touching=None, columns=None: self.read(number, touching, columns)), number)
         return number
 
     def compact(self) -> None:
@@ -266,8 +282,7 @@ class DeltaTable(FolderTable):
         number = self._delivery(stream, batch_id)
         folder = f"{self.changes_path}/batch={number}"
         if not is_committed(self.spark, folder):
-            frame = rows(lambda touching=None, columns=None: self.read())
-            self._save(frame, self._layout(frame), folder)
+            self._deliver(rows(lambda touching=None, columns=None: self.read()), number)
         changes = self.delivered(number)
         columns = [c for c in changes.columns if c != "op"]
         if not self.exists():

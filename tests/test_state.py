@@ -374,3 +374,23 @@ def test_a_batch_knows_its_query(spark, tmp_path):
     stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
     done(sinks.each_batch(stream, lambda df, n, name: seen.append((name, sinks.running_id(df.sparkSession))), f"{tmp_path}/cp", None))
     assert seen == [(sinks.stream_id(spark, f"{tmp_path}/cp"),) * 2]
+
+
+def test_half_written_deliveries_are_never_listed(spark, tmp_path, monkeypatch):
+    """A delivery whose write breaks off shows no file where streams look; its replay takes the same number."""
+    table = FolderTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
+    table.write(0, delivery(spark, [("s", 1, "a")], "k int, v string"))
+    save = FolderTable._save
+
+    def breaking(self, frame, layout, target):
+        save(self, frame, layout, target)
+        raise OSError("broken")
+
+    monkeypatch.setattr(FolderTable, "_save", breaking)
+    with pytest.raises(OSError):
+        table.write(1, delivery(spark, [("s", 2, "b")], "k int, v string"))
+    assert sorted(p.name for p in (tmp_path / "t" / "changes").iterdir() if p.is_dir()) == ["batch=0"]
+    monkeypatch.setattr(FolderTable, "_save", save)
+    assert table.write(0, delivery(spark, [("s", 7, "other")], "k int, v string"), "other") == 2
+    assert table.write(1, delivery(spark, [("s", 2, "b")], "k int, v string")) == 1
+    assert sorted(r.k for r in table.read().collect()) == [1, 2, 7]
