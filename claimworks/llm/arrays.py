@@ -138,13 +138,13 @@ def merged(parts: DataFrame, merge: Callable[[int, list[Columns]], pd.DataFrame]
            schema: str = "shard int, n long") -> DataFrame:
     """``merge(shard, columns of its blobs)`` once per shard; it writes arrays and returns rows about them.
 
-    There are as many tasks as shards, so that a task reads about one shard at any size of the input.
+    There are three times as many tasks as shards, so that few get two of them, at any size of the input.
     """
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return merge(int(key[0]), [pickle.loads(d) for d in part.data])
 
-    return parts.repartition(shards, "shard").groupBy("shard").applyInPandas(run, schema)
+    return parts.repartition(3 * shards, "shard").groupBy("shard").applyInPandas(run, schema)
 
 
 class Lookup:
