@@ -36,7 +36,7 @@ from ..sources.files import (
     table_exists,
 )
 
-BUCKETS = 32
+BUCKETS = 8
 _DAY_US = 86_400_000_000
 
 # (touching=None, columns=None): the table as a batch found it, see ``FolderTable.read``.
