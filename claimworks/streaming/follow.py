@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.changelog import DELETE, UPSERT
+from ..session import scratch_dir
 from ..sources.files import numbered_folders
 from .tables import FolderTable
 
@@ -40,6 +41,13 @@ def rows_replaced(source: FolderTable, number: int, whole: bool, columns: Sequen
     return None if old is None else old.join(delivery.select(*source.keys), source.keys, "left_semi")
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder: several steps that follow read them."""
+    path = scratch_dir(rows.sparkSession, "follow")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class References:
     """A declared reference: rows of ``child`` per value of ``column``, and whether ``parent`` has that key.
 
@@ -77,7 +85,7 @@ class References:
         old = rows_replaced(source, number, whole, [column])
         if old is not None:
             change = change.union(signed(old, -1))
-        change = added(change)
+        change = stored(added(change))
         now = before(touching=change, columns=["parents", "children"])
         if now is not None:
             change = added(change.union(now.join(change.select("value"), "value", "left_semi").select(*change.columns)))

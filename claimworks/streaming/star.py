@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.changelog import DELETE, UPSERT
 from ..plans.gold import customer_claim_policy
-from ..session import scratch_dir
-from .follow import pending, rows_replaced, rows_set
+from .follow import pending, rows_replaced, rows_set, stored
 from .tables import BUCKETS, FolderTable
 
 
@@ -78,19 +77,14 @@ class StarJoin:
         if name != "claim":
             changed = self.claims_of.keys_with(changed)
         # Each step feeds several that follow, so it is written once to the shared folder.
-        changed = self._stored(changed)
-        claims = self._stored(self.claim.read(touching=changed).join(changed, "claim_no", "left_semi"))
+        changed = stored(changed)
+        claims = stored(self.claim.read(touching=changed).join(changed, "claim_no", "left_semi"))
         of = claims.select("policy_no").distinct()
-        policies = self._stored(self.policy.read(touching=of).join(of, "policy_no", "left_semi"))
+        policies = stored(self.policy.read(touching=of).join(of, "policy_no", "left_semi"))
         people = self.customer.read(touching=policies.select(F.col("cust_id").alias("customer_id")))
-        joined = self._stored(customer_claim_policy(claims, policies, people))
+        joined = stored(customer_claim_policy(claims, policies, people))
         gone = changed.join(joined.select("claim_no"), "claim_no", "left_anti")
         return self._set(joined).unionByName(gone.select(F.lit(DELETE).alias("op"), "claim_no"), allowMissingColumns=True)
 
-    def _stored(self, rows: DataFrame) -> DataFrame:
-        path = scratch_dir(rows.sparkSession, "star")
-        rows.write.parquet(path)
-        return rows.sparkSession.read.parquet(path)
-
     def _set(self, joined: DataFrame) -> DataFrame:
         return joined.select(F.lit(UPSERT).alias("op"), "*")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.changelog import DELETE, UPSERT
-from .follow import pending, rows_replaced, rows_set
+from .follow import pending, rows_replaced, rows_set, stored
 from .tables import FolderTable
 
 # Sums are fixed-point: what a row adds, its retraction takes off again exactly.
@@ -59,7 +59,7 @@ class RunningSums:
         old = rows_replaced(self.source, number, whole, wanted)
         if old is not None:
             gains = gains.union(self._signed(old, -1))
-        change = self._added(gains)
+        change = stored(self._added(gains))
         now = before(touching=change, columns=self._totals)
         if now is not None:
             kept = now.join(change.select(*self.by), self.by, "left_semi").select(*self.by, *self._totals)
