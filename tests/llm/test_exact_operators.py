@@ -315,7 +315,7 @@ def test_texts_with_very_many_spans(spark):
     spans = pii.find(docs).first().pii_spans
     assert [(s.kind, s.start, s.end) for s in spans if s.base] == base_spans(text)
     done = pii.redact(docs).first().text
-    assert time.time() - start < 90
+    assert time.time() - start < 300
     out, at = [], 0
     for s in sorted(spans, key=lambda s: (s.start, s.end, s.kind)):
         if s.start >= at:
