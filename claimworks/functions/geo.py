@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -110,10 +111,15 @@ def geocode_nearest(
 
     Of equally near addresses the first in order counts, of several places of one
     address the least. Distinct addresses are compared, not rows. Rows without an
-    address, and those with nothing near, get null coordinates.
+    address, and those with nothing near, get null coordinates. What a smaller
+    distance finds is not looked for at a larger one, where a text has more neighbours.
     """
-    near = near_texts(df.select(address), places.select("address"), edits)
-    best = near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("_best")).select(
-        F.col("a").alias(address), F.col("_best.b").alias("_place"))
+    rest = df.select(F.col(address).alias("a")).where(F.col("a").isNotNull()).distinct()
+    nearest = []
+    for within in range(edits + 1):
+        near = near_texts(rest, places.select("address"), within)
+        nearest.append(near.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("_best")))
+        rest = rest.join(nearest[-1].select("a"), "a", "left_anti")
+    best = reduce(DataFrame.unionByName, nearest).select(F.col("a").alias(address), F.col("_best.b").alias("_place"))
     found = geocode_from_table(best, "_place", places, out).drop("_place")
     return lookup_join(df, found, [address], "left").withColumn(out, F.coalesce(out, _no_place()))

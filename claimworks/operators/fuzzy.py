@@ -1,52 +1,40 @@
-"""Join of texts that differ by a few edits: shared rare n-grams find the pairs, the edit distance decides."""
+"""Join of texts that differ by a few edits: what both become by leaving characters out finds the pairs, the edit distance decides."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GRAM = 2
 
+def _shortened(text: Column, edits: int) -> Column:
+    """Hashes of all texts that leaving out up to ``edits`` characters gives, the text itself among them."""
+    def one_less(t: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)))  # an empty text stays one
+        return F.transform(places, lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
 
-def _grams(text: Column) -> Column:
-    """The n-grams of a text, each with its place among equal ones, so that they form a set."""
-    n, width = F.length(text) - (GRAM - 1), F.lit(GRAM)
-    plain = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(text, i, width))).otherwise(
-        F.expr("CAST(array() AS ARRAY<STRING>)"))
-    ordered = F.array_sort(plain)
-    first = F.transform(ordered, lambda g, i: i - F.array_position(ordered, g) + 1)
-    return F.zip_with(ordered, first, lambda g, k: F.concat(g, F.lit(":"), k.cast("string")))
+    levels = [F.array(text)]
+    for _ in range(edits):
+        levels.append(F.array_distinct(F.flatten(F.transform(levels[-1], one_less))))
+    return F.array_distinct(F.transform(F.concat(*levels), lambda t: F.xxhash64(t)))
 
 
 def near_texts(left: DataFrame, right: DataFrame, edits: int = 2) -> DataFrame:
     """Rows (a, b, distance): every distinct ``a`` of ``left`` and ``b`` of ``right`` (one column each) within ``edits`` edits.
 
-    One edit changes at most ``GRAM`` n-grams, so of two texts within k edits the
-    first k * GRAM + 1 n-grams of each, rarest first, have one in common; nothing
-    else is compared. Rarity is counted over both sides. Texts with no more than
-    k * GRAM n-grams need not share any: they, and texts that are at most k longer,
-    also meet by their length. Lengths differ by at most k. Nulls match nothing. All
-    pairs within the distance are found, whatever the n-grams' frequencies.
+    Texts within k edits become the same text if up to k fitting characters are
+    left out of each, so they share a token; nothing else is compared. A token
+    names nearly the whole text, so however common a beginning or an n-gram is,
+    those that meet are near each other. A text of n characters has some n**k / k!
+    tokens. Nulls match nothing. All pairs within the distance are found. The join
+    is hinted: the planner knows a side's size only from before it is exploded, and
+    would broadcast all tokens of a side that was small as texts.
     """
-    most = GRAM * edits
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # texts are few bytes, their tokens many
     sides = []
     for frame, name in ((left, "a"), (right, "b")):
         text = F.col(frame.columns[0])
-        sides.append(frame.select(text.alias(name)).where(text.isNotNull()).distinct().withColumn("grams", _grams(F.col(name))))
-    every = sides[0].select(F.explode("grams").alias("gram")).union(sides[1].select(F.explode("grams").alias("gram")))
-    counts = every.groupBy("gram").agg(F.count("*").alias("n"))
-
-    def tokens(side: DataFrame, name: str) -> DataFrame:
-        ranked = side.select(name, F.explode("grams").alias("gram")).join(counts, "gram").groupBy(name).agg(
-            F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("ranked"))
-        rare = ranked.select(name, F.explode(F.slice("ranked", 1, most + 1)).alias("r")).select(name, F.col("r.gram").alias("token"))
-        n_short = most + GRAM - 1  # the longest text that may share no n-gram with one within the distance
-        lengths = F.length(name)
-        near = F.sequence(lengths - edits, lengths + edits) if name == "b" else F.array(lengths)
-        short = side.where(lengths <= n_short + edits).select(name, F.explode(near).alias("l")).select(
-            name, F.concat(F.lit("length "), F.col("l").cast("string")).alias("token"))
-        return rare.union(short)
-
-    a, b = tokens(sides[0], "a"), tokens(sides[1], "b")
-    pairs = a.join(b, "token").where(F.abs(F.length("a") - F.length("b")) <= edits).select("a", "b").distinct()
-    return pairs.withColumn("distance", F.levenshtein("a", "b", edits)).where("distance >= 0")
+        texts = frame.select(text.alias(name)).where(text.isNotNull()).distinct().repartition(tasks)
+        sides.append(texts.select(name, F.explode(_shortened(F.col(name), edits)).alias("token")))
+    near = F.abs(F.length("a") - F.length("b")) <= edits
+    pairs = sides[0].join(sides[1].hint("merge"), "token").where(near).select("a", "b", F.levenshtein("a", "b", edits).alias("distance"))
+    return pairs.where("distance >= 0").distinct()

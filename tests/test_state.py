@@ -353,6 +353,15 @@ def test_near_texts_find_every_pair(spark):
         assert found == expected
 
 
+def test_tokens_of_few_texts_are_not_broadcast(spark):
+    from claimworks.operators.fuzzy import near_texts
+
+    texts = spark.range(50).selectExpr("'Customer#' || lpad(id, 9, '0') as t")
+    pairs = near_texts(texts, texts, 1)
+    assert pairs.count() == 700
+    assert "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_few_repeated_keys(spark):
     from claimworks.operators.dedupe import keep_one, keep_one_of_few
 
