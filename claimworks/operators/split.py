@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SLOTS = 65_536
+
+
 def stratified_split(
     df: DataFrame, label: str, key: str, fraction: str = "0.2", seed: int = 42
 ) -> DataFrame:
@@ -12,19 +15,17 @@ def stratified_split(
 
     Rows rank by the digest of (key, seed), then by the key. Ranking a class in
     one window would put a class holding most of the rows into one task; instead
-    digests are dealt to sqrt(n) slots per class, a histogram says which slot
-    holds the cut, and only that slot is ranked row by row.
+    digests are dealt to ``SLOTS`` slots, a histogram per class says which slot
+    holds the cut, and only that slot is ranked row by row. The cuts, one row a
+    class, go to the rows: a join on the label would deal a class to one task.
     """
     digest = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
     share = F.conv(F.substring("_digest", 1, 12), 16, 10).cast("double") / float(16**12)
-    spread = df.withColumn("_digest", digest)
-    sizes = spread.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_total"))
-    slot = F.floor(share * F.ceil(F.sqrt("_total")))
-    spread = spread.join(sizes, spread[label].eqNullSafe(sizes["_label"])).drop("_label").withColumn("_slot", slot)
-
-    histogram = spread.groupBy(label, "_total", "_slot").agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_upto", F.sum("_n").over(Window.partitionBy(label).orderBy("_slot"))
-    ).withColumn(
+    spread = df.withColumn("_digest", digest).withColumn("_slot", F.floor(share * SLOTS))
+
+    of_class = Window.partitionBy(label)
+    histogram = spread.groupBy(label, "_slot").agg(F.count(F.lit(1)).alias("_n")).withColumns({
+        "_total": F.sum("_n").over(of_class), "_upto": F.sum("_n").over(of_class.orderBy("_slot"))}).withColumn(
         "_wanted", F.ceil(F.col("_total").cast("decimal(18,0)") * F.lit(fraction).cast("decimal(9,6)"))
     )
     cuts = histogram.filter(
@@ -34,12 +35,11 @@ def stratified_split(
         (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_left"),
     )
 
-    # One row per class; the planner broadcasts it where its measured size allows.
-    placed = spread.join(cuts, spread[label].eqNullSafe(cuts["_label"]), "left").drop("_label")
+    placed = spread.join(F.broadcast(cuts), spread[label].eqNullSafe(cuts["_label"]), "left").drop("_label")
     clear = placed.filter(~F.col("_slot").eqNullSafe(F.col("_cut"))).withColumn(
         "is_held_out", F.coalesce(F.col("_slot") < F.col("_cut"), F.lit(False))
     )
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_digest", key))
+    rank = F.row_number().over(of_class.orderBy("_digest", key))
     at_cut = placed.filter(F.col("_slot") == F.col("_cut")).withColumn(
         "is_held_out", rank <= F.col("_left")
     )

@@ -193,6 +193,17 @@ def test_split_is_exact_and_repeatable(spark):
     assert nothing.count() == 9000 and nothing.filter("is_held_out").count() == 0
 
 
+def test_split_deals_no_class_to_one_task(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large to be broadcast
+    try:
+        split = stratified_split(spark.range(100).selectExpr("id", "id % 2 as label"), "label", "id")
+        assert split.filter("is_held_out").count() == 20
+        assert "SortMergeJoin" not in split._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_labels_and_accuracy(spark):
     df = spark.createDataFrame([("b", 1), ("a", 0), ("b", 0), ("c", 2)], "label string, guess int")
     model = label_indexer(df)
