@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import hashed_lat_long
 from ..operators.aggregate import averages
 from ..operators.joins import lookup_join
+from ..session import freed_shuffles
 from ..sources.readers import scan
 from ..sources.sinks import overwrite
 from ..streaming.sums import RunningSums
@@ -79,6 +80,11 @@ def build_gold(
     join of claims, policies and customers where that is kept (``streaming.star``).
     """
 
+    with freed_shuffles(spark):
+        _build(spark, silver, gold, fmt, locate, core)
+
+
+def _build(spark: SparkSession, silver: str, gold: str, fmt: str, locate, core: DataFrame | None) -> None:
     def table(name: str) -> DataFrame:
         return open_table(spark, f"{silver}/{name}", SILVER_KEYS[name], fmt).read()
 

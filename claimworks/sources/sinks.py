@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import freed_shuffles
 from .files import table_exists
 
 EVERY_MINUTE = "60 seconds"
@@ -61,7 +62,8 @@ def each_batch(
     def run(batch: DataFrame, batch_id: int) -> None:
         if not known:
             known.append(running_id(batch.sparkSession) or stream_id(batch.sparkSession, checkpoint))
-        apply(batch, batch_id, known[0])
+        with freed_shuffles(batch.sparkSession):
+            apply(batch, batch_id, known[0])
 
     writer = stream.writeStream.outputMode("update").foreachBatch(run)
     if name:

@@ -73,17 +73,20 @@ def _apply_keyed(keyed: DataFrame, batch_id: int, bronze: str, fmt: str, tables,
 
     def apply(name: str) -> None:
         schema, keys = tables[name]
-        net = net_changes(table_log(keyed, name, keys), keys, ORDER).persist()
+        target = open_table(spark, f"{bronze}/{name}", keys, fmt, buckets=buckets)
+        net = net_changes(table_log(keyed, name, keys), keys, ORDER)
+        if target.exists():  # else nothing is looked up in it, and it is read once
+            net = net.persist()
 
         def rows(before: Before) -> DataFrame:
             # Only the buckets of the batch's keys are read, and of them only keys.
             current = before(touching=net, columns=keys)
-            now = spark.createDataFrame([], schema) if current is None else current
+            now = net.select(*keys).limit(0) if current is None else current  # an empty side is planned away
             parsed = resolve(net, now, keys).withColumn("image", F.from_json("image", schema))
             return expand(parsed, keys, schema.names)
 
         try:
-            open_table(spark, f"{bronze}/{name}", keys, fmt, buckets=buckets).write(batch_id, rows, stream)
+            target.write(batch_id, rows, stream)
         finally:
             net.unpersist()
 
