@@ -37,10 +37,11 @@ def policies_with_customers(policies: DataFrame, customer: DataFrame) -> DataFra
 def customer_claim_policy(claim: DataFrame, policy: DataFrame, customer: DataFrame) -> DataFrame:
     """Claims with their policy and customer.
 
+    Policies meet their customers first, so the claims, most of the rows, move once.
     No hints: AQE broadcasts a table once it has measured it and splits skewed
     partitions of the claims where it has not.
     """
-    return policies_with_customers(claims_with_policies(claim, policy), customer)
+    return claims_with_policies(claim, policies_with_customers(policy, customer))
 
 
 def enrich(

@@ -37,8 +37,7 @@ def rows_replaced(source: FolderTable, number: int, whole: bool, columns: Sequen
     if whole:
         return None
     delivery = source.delivered(number)
-    old = source.read(number, touching=delivery, columns=columns)
-    return None if old is None else old.join(delivery.select(*source.keys), source.keys, "left_semi")
+    return source.read(number, touching=delivery, columns=columns, only=delivery.select(*source.keys))
 
 
 def stored(rows: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +56,10 @@ def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int, day: str | None
         return F.coalesce(F.floor(instant(day) / _DAY_US).cast("int"), F.lit(-719_529))
     times = {f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
     parts = [F.coalesce((instant(k) if k in times else F.col(k)).cast("string"), F.lit("")) for k in keys]
-    head = F.conv(F.substring(F.md5(F.concat_ws("\x01", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
-    return F.pmod(head, F.lit(buckets)).cast("int")
+    digest = F.md5(F.concat_ws("\x01", *parts).cast("binary"))
+    if 16 % buckets == 0:  # the last of the eight digits tells, at half the cost
+        return F.pmod(F.instr(F.lit("0123456789abcdef"), F.substring(digest, 8, 1)) - 1, F.lit(buckets)).cast("int")
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
 
 
 class FolderTable:
@@ -119,26 +122,49 @@ class FolderTable:
         return rows if touched is None else rows.join(F.broadcast(touched), "bucket", "left_semi")
 
     def read(
-        self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None
+        self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None,
+        only: DataFrame | None = None,
     ) -> DataFrame | None:
         """The table after all batches, or as batch ``before`` found it; None if there is none.
 
         ``touching`` (rows with the columns that rows are partitioned by) leaves out
         buckets in which none of its keys can lie: other rows may or may not be there. ``columns``
-        narrows the rows; few and small ones are reduced before they are dealt.
+        narrows the rows; few and small ones are reduced before they are dealt. ``only`` (some of the
+        key columns) leaves just the rows that match it, before anything is reduced.
         """
+        base, changes, batches, rows = self._log(before, touching, only)
+        if base is None and changes is None:
+            return None
+        if columns is not None:
+            return self._narrow(base, changes, [*self.keys, *[c for c in columns if c not in self.keys]])
+        if changes is None:
+            return base.select(*rows.names)
+        return self._fold(base, changes, batches).select(*rows.names)
+
+    def ever(self, values: DataFrame) -> DataFrame:
+        """The keys of all rows that hold, or since the newest base once held, one of the values (a frame of the
+        columns that rows are partitioned by). Nothing is reduced, so a value that many rows hold is no hot key."""
+        base, changes, _, _ = self._log(None, values, values.distinct())
+        parts = [] if base is None else [base.select(*self.keys)]
+        parts += [] if changes is None else [changes.where(F.col("op") == UPSERT).select(*self.keys)]
+        return reduce(DataFrame.union, parts)
+
+    def _log(
+        self, before: int | None, touching: DataFrame | None, only: DataFrame | None
+    ) -> tuple[DataFrame | None, DataFrame | None, list[int], T.StructType]:
+        """(newest base, later changes, their numbers, columns) that ``read`` puts together."""
         newest = self._newest_base(before)
         batches = self._batches(newest, before)
         if newest is None and not batches:
-            return None
+            return None, None, [], T.StructType([])
         layout = self._layout()
         rows = T.StructType.fromJson(layout["rows"])
         touched = None
         if touching is not None:
             wanted = [layout["day"]] if layout["day"] else layout["by"]
             keyed = touching.select(*[F.col(k).cast(rows[k].dataType).alias(k) for k in wanted])
-            # A comparison marks the filter as selective, so that the planner prunes by it.
-            touched = keyed.select(self._bucket(keyed, layout).alias("bucket")).where("bucket > -1000000").distinct()
+            # A comparison, true of every row, marks the filter as selective, so that the planner prunes by it.
+            touched = keyed.where(F.hash(*wanted) >= -2_147_483_648).select(self._bucket(keyed, layout).alias("bucket")).distinct()
         base = changes = None
         if newest is not None:
             base = self._load(rows.fields, f"{self.path}/base", [f"{self.path}/base/upto={newest}"], touched)
@@ -146,11 +172,10 @@ class FolderTable:
             fields = [T.StructField("op", T.StringType()), *rows.fields]
             folders = [f"{self.changes_path}/batch={n}" for n in batches]
             changes = self._load(fields, self.changes_path, folders, touched)
-        if columns is not None:
-            return self._narrow(base, changes, [*self.keys, *[c for c in columns if c not in self.keys]])
-        if changes is None:
-            return base.select(*rows.names)
-        return self._fold(base, changes, single=len(batches) == 1).select(*rows.names)
+        if only is not None:
+            wanted = only.select(*[F.col(k).cast(rows[k].dataType).alias(k) for k in only.columns])
+            base, changes = (part and part.join(wanted, only.columns, "left_semi") for part in (base, changes))
+        return base, changes, batches, rows
 
     def _narrow(self, base: DataFrame | None, changes: DataFrame | None, columns: list[str]) -> DataFrame:
         """The last row of each key, by an aggregate that combines before the shuffle."""
@@ -164,17 +189,17 @@ class FolderTable:
         last = last.groupBy(*self.keys).agg(F.max(F.struct("_at", "_op", *rest)).alias("_last"))
         return last.where(F.col("_last._op") == UPSERT).select(*self.keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
-    def _fold(self, base: DataFrame | None, changes: DataFrame, single: bool) -> DataFrame:
+    def _fold(self, base: DataFrame | None, changes: DataFrame, batches: list[int]) -> DataFrame:
         # Whole rows (image contents among them) move only if the key sets they
         # are checked against are too big for AQE to broadcast.
-        touched = changes.groupBy(*self.keys).agg(
-            F.max("batch").alias("_last"), F.count(F.lit(1)).alias("_n")
-        )
+        newer = changes
+        if base is None:  # what the first batch holds replaces nothing, and it may be most of the table
+            newer = changes.filter(F.col("batch") > batches[0])
+        touched = newer.groupBy(*self.keys).agg(F.max("batch").alias("_last"))
         latest = changes
-        if not single:
-            redone = touched.filter("_n > 1")
+        if len(batches) > 1:
             latest = changes.alias("l").join(
-                redone.alias("r"),
+                touched.alias("r"),
                 same_keys("l", "r", self.keys) & (F.col("l.batch") < F.col("r._last")),
                 "left_anti",
             )
@@ -202,6 +227,11 @@ class FolderTable:
         self._save(frame, self._layout(frame), aside)
         publish_folder(self.spark, aside, f"{self.changes_path}/batch={number}")
 
+    def took(self, stream: str, batch_id: int) -> bool:
+        """Whether that stream's batch is a finished delivery."""
+        known = numbered_folders(self.spark, f"{self.path}/deliveries/{stream}/{batch_id}", "K=")
+        return bool(known) and is_committed(self.spark, f"{self.changes_path}/batch={known[0]}")
+
     def delivered(self, number: int) -> DataFrame | None:
         """The (op, row) frame of a finished delivery; None where it is not there."""
         if not is_committed(self.spark, f"{self.changes_path}/batch={number}"):
@@ -243,7 +273,8 @@ class AppendedTable(FolderTable):
     def add(self, batch_id: int, rows: DataFrame, stream: str = "only") -> int:
         return self.write(batch_id, lambda before: rows.select(F.lit(UPSERT).alias("op"), "*"), stream)
 
-    def read(self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None):
+    def read(self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None,
+             only: DataFrame | None = None):
         """All rows of finished deliveries; keys play no part."""
         done = self._batches(before=before)
         if not done:
@@ -271,10 +302,14 @@ class DeltaTable(FolderTable):
         return table_exists(self.spark, self.path, "delta")
 
     def read(
-        self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None
+        self, before: int | None = None, touching: DataFrame | None = None, columns: Sequence[str] | None = None,
+        only: DataFrame | None = None,
     ) -> DataFrame | None:
         """The table as it is now: a batch is merged once, after its rows are written, and the merge prunes by file."""
-        return self.spark.read.format("delta").load(self.path) if self.exists() else None
+        if not self.exists():
+            return None
+        rows = self.spark.read.format("delta").load(self.path)
+        return rows if only is None else rows.join(only, only.columns, "left_semi")
 
     def write(self, batch_id: int, rows: Callable[[Before], DataFrame], stream: str = "only") -> int:
         from delta.tables import DeltaTable as Target

@@ -280,6 +280,46 @@ def test_kept_star_join_equals_the_join(spark, tmp_path):
         assert sorted(map(str, got.select(*full.columns).collect())) == sorted(map(str, full.collect()))
 
 
+def test_star_join_takes_up_what_waits_at_once(spark, tmp_path, monkeypatch):
+    """Deliveries of all sides are one change of the joined table; a run that breaks off loses none."""
+    from claimworks.plans.gold import customer_claim_policy
+    from claimworks.streaming.star import StarJoin
+
+    claim, policy, customer = (FolderTable(spark, str(tmp_path / n), [k], buckets=4) for n, k in (
+        ("claim", "claim_no"), ("policy", "policy_no"), ("customer", "customer_id")))
+    star = StarJoin(claim, policy, customer, str(tmp_path / "gold"), buckets=4)
+    types = {claim: "claim_no int, policy_no int", policy: "policy_no int, cust_id int, premium int", customer: "customer_id int, name string"}
+    deliver = lambda side, n, rows: side.write(n, delivery(spark, rows, types[side]))
+    deliver(claim, 0, [("s", i, i % 5) for i in range(20)])
+    deliver(policy, 0, [("s", i, i % 3, 0) for i in range(5)])
+    deliver(customer, 0, [("s", i, "a") for i in range(3)])
+    star.follow()
+    deliver(policy, 1, [("s", 1, 1, 7)])
+    deliver(policy, 2, [("d", 2, None, None)])
+    deliver(claim, 1, [("s", 3, 1), ("d", 4, None)])
+    deliver(customer, 1, [("s", 0, "b")])
+    last = star.table.deliveries()[-1]
+    with monkeypatch.context() as broken:
+        broken.setattr(star.table, "_deliver", lambda frame, number: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            star.follow()
+    star.follow()
+    full = customer_claim_policy(claim.read(), policy.read(), customer.read())
+    assert sorted(map(str, star.table.read().select(*full.columns).collect())) == sorted(map(str, full.collect()))
+    assert [star.table.delivered(n).count() > 0 for n in star.table.deliveries(last)] == [True, False, False, False]
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 7, 8, 16, 64])
+def test_buckets_stay_where_they_were(spark, buckets):
+    import hashlib
+
+    from claimworks.streaming.tables import bucket_of
+
+    rows = spark.createDataFrame([(str(n) if n else None,) for n in range(200)], "k string")
+    for r in rows.select("k", bucket_of(rows, ["k"], buckets).alias("bucket")).collect():
+        assert r.bucket == int(hashlib.md5((r.k or "").encode()).hexdigest()[:8], 16) % buckets
+
+
 def test_refused_messages_are_kept_once(spark, tmp_path):
     import json
 
