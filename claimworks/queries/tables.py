@@ -17,7 +17,7 @@ from ..plans import load
 from ..plans.publish import counted
 from ..plans.training import CHANNEL_MEAN, CHANNEL_STD, Params, pixel_features, train
 from ..schemas import DECLARED
-from ..session import scratch_dir
+from ..session import scratch_dir, small_scans
 from ..sources.readers import scan, scan_csv
 from ..sources.sinks import append, create_if_absent, overwrite, write_topic
 from . import standins
@@ -204,6 +204,11 @@ BROKEN_CUSTOMER = {**CSV_CUSTOMER, "neighborhood": "case when c_custkey % 7 = 0
 SURPLUS_ROWS = "c_custkey % 50 = 0"
 
 
+def some_files(rows: DataFrame) -> int:
+    """How many files of some ten thousand records the rows make."""
+    return max(1, -(-rows.count() // 20_000))
+
+
 def customer_files(spark, sf, folder: str, surplus: bool = False) -> str:
     """Customer extracts of a thousand records, some fields with line breaks, some records with a field too many."""
     customer = table(spark, sf, "customer")
@@ -211,11 +216,13 @@ def customer_files(spark, sf, folder: str, surplus: bool = False) -> str:
     line = F.to_csv(values, {"quoteAll": "true", "escape": '"'})
     if surplus:
         line = F.when(F.expr(SURPLUS_ROWS), F.concat(line, F.lit(",more"))).otherwise(line)
-    files = customer.select(F.floor(F.col("c_custkey") / 1000).alias("n"), line.alias("line")).groupBy("n").agg(
-        F.array_join(F.collect_list("line"), "\n").alias("lines"))
+    # Text is made and put together behind the shuffle, in tasks of some ten thousand records.
+    dealt = customer.withColumn("n", F.floor(F.col("c_custkey") / 1000)).repartition(some_files(customer), "n")
+    files = dealt.select("n", line.alias("line")).groupBy("n").agg(F.array_join(F.collect_list("line"), "\n").alias("lines"))
     header = F.lit(",".join(BROKEN_CUSTOMER) + "\n")
-    write_files(files.select(F.concat(F.lit("part-"), F.col("n").cast("string"), F.lit(".csv")).alias("name"),
-                             F.concat(header, "lines").cast("binary").alias("content")), folder)
+    with small_scans(spark):
+        write_files(files.select(F.concat(F.lit("part-"), F.col("n").cast("string"), F.lit(".csv")).alias("name"),
+                                 F.concat(header, "lines").cast("binary").alias("content")), folder)
     return folder
 
 
@@ -231,14 +238,19 @@ def extracts(spark, sf, surplus: bool = False, copies: int = 1) -> dict[str, str
     root = scratch_dir(spark, "extracts")
 
     def written(name: str, source: str, columns: dict[str, str], key: str, changed: str) -> str:
-        rows = reduce(DataFrame.unionByName, [
-            table(spark, sf, source).selectExpr(*[f"{e} as `{n}`" for n, e in columns.items()]).withColumn(
-                changed, F.col(f"`{changed}`") if k == 0 else F.lit(f"copy {k}")).withColumn("copy", F.lit(k))
-            for k in range(copies)])
-        # Files of some ten thousand records each; all records of a key in one of them, first copies first.
-        files = max(1, -(-table(spark, sf, source).count() // 20_000))
-        rows.repartition(files, f"`{key}`").sortWithinPartitions("copy").drop("copy").write.option("header", "true").option(
-            "escape", '"').csv(f"{root}/{name}")
+        rows = table(spark, sf, source)
+        # Files of some ten thousand records each; all records of a key in one of them, first copies first. The source's
+        # rows are dealt, as the wide texts made of them would fill the memory of the tasks that deal; those
+        # without a key, which may be many, go anywhere.
+        files, number = some_files(rows), F.expr(columns[key])
+        anywhere = F.when(number.isNull(), F.xxhash64(*[F.expr(e) for e in columns.values()]))
+        copied = reduce(DataFrame.unionByName, [rows.withColumn("copy", F.lit(k)) for k in range(copies)])
+        texts = copied.repartition(files, number, anywhere).selectExpr(*[f"{e} as `{n}`" for n, e in columns.items()], "copy")
+        texts = texts.withColumn(changed, F.when(F.col("copy") == 0, F.col(f"`{changed}`")).otherwise(
+            F.concat(F.lit("copy "), F.col("copy").cast("string"))))
+        with small_scans(spark):
+            texts.sortWithinPartitions("copy").drop("copy").write.option("header", "true").option(
+                "escape", '"').csv(f"{root}/{name}")
         return f"{root}/{name}"
 
     return {"customer": customer_files(spark, sf, f"{root}/customer", surplus),

@@ -357,6 +357,31 @@ def test_extract_records(spark, tmp_path):
     assert not files.path_exists(spark, f"{tmp_path}/db2")
 
 
+def test_extracts_are_dealt_evenly(spark, tmp_path):
+    """Records without a key, half of the claims here, fill no file and no task; a key's records stay together."""
+    from pyspark.sql import functions as F
+
+    from claimworks.queries import tables
+
+    n = 100_000
+    spark.range(n).selectExpr(
+        "id div 2 as l_orderkey", "if(id % 4 < 2, 71, 1) as l_partkey", "id as l_suppkey", "1 as l_linenumber", "cast(id as double) as l_quantity",
+        "1.0D as l_extendedprice", "0.1D as l_discount", "0.1D as l_tax", "'A' as l_returnflag", "'F' as l_linestatus",
+        "timestamp '2024-01-01' as l_shipdate").write.parquet(f"{tmp_path}/sf/lineitem.parquet")
+    spark.range(100).selectExpr(
+        "id as o_orderkey", "id as o_custkey", "'O' as o_orderstatus", "1.5D as o_totalprice", "timestamp '2024-01-01' as o_orderdate",
+        "'1-URGENT' as o_orderpriority").write.parquet(f"{tmp_path}/sf/orders.parquet")
+    spark.range(100).selectExpr(
+        "id as c_custkey", "concat('N', id) as c_name", "id % 25 as c_nationkey", "1.5D as c_acctbal",
+        "'MACHINERY' as c_mktsegment").write.parquet(f"{tmp_path}/sf/customer.parquet")
+    folder = tables.extracts(spark, f"{tmp_path}/sf", copies=2)["claim"]
+    found = spark.read.option("header", "true").option("escape", '"').csv(folder).withColumn("file", F.col("_metadata.file_name"))
+    sizes = [r["count"] for r in found.groupBy("file").count().collect()]
+    assert sum(sizes) == 2 * n and max(sizes) < 0.3 * 2 * n
+    keyed = found.where("claim_no is not null")
+    assert keyed.count() == n and keyed.groupBy("claim_no").agg(F.countDistinct("file").alias("files")).where("files > 1").count() == 0
+
+
 def test_bad_extract_leaves_tables_alone(spark, tmp_path):
     extracts = write_extracts(tmp_path)
     with pytest.raises(Exception):
