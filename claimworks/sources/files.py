@@ -66,6 +66,11 @@ def remove_file(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, False)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _fs(spark, path)
     fs.mkdirs(hadoop_path)

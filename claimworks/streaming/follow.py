@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.changelog import DELETE, UPSERT
 from ..session import scratch_dir
-from ..sources.files import numbered_folders
+from ..sources.files import numbered_folders, remove_folder
 from .tables import FolderTable
 
 
@@ -47,6 +48,21 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows, written once to the shared folder for the statements inside, then removed.
+
+    Cached rows would fill the executors' heap with a batch's texts while its tasks
+    run, and would be lost with an executor.
+    """
+    path = scratch_dir(rows.sparkSession, "kept")
+    try:
+        rows.write.option("compression", "zstd").parquet(path)
+        yield rows.sparkSession.read.schema(rows.schema).parquet(path)
+    finally:
+        remove_folder(rows.sparkSession, path)
+
+
 class References:
     """A declared reference: rows of ``child`` per value of ``column``, and whether ``parent`` has that key.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from ..operators.changelog import expand, net_changes, resolve
 from ..schemas import CAPTURED, IMAGE_METADATA
 from ..sources.readers import csv_stream, image_stream, topic_stream
 from ..sources.sinks import EVERY_MINUTE, append_stream, each_batch
+from .follow import kept
 from .tables import BUCKETS, AppendedTable, Before, open_table
 
 ORDER = ["ts_ms", "offset"]
@@ -33,16 +35,13 @@ def apply_changes(
 ) -> None:
     """One micro-batch of the shared change log into every captured table.
 
-    The batch is parsed once, as far as its keys, and kept while the tables
-    take their parts side by side; a row's text is parsed only if it survives
+    The batch is parsed once, as far as its keys, and kept in the shared folder while
+    the tables take their parts side by side; a row's text is parsed only if it survives
     the reduction to one change per key. The tables are known beforehand, so
     nothing is collected to find them.
     """
-    keyed = keyed_texts(batch, tables).persist()
-    try:
+    with kept(keyed_texts(batch, tables)) as keyed:
         _apply_keyed(keyed, batch_id, bronze, fmt, tables, stream, buckets)
-    finally:
-        keyed.unpersist()
 
 
 def apply_messages(
@@ -56,16 +55,13 @@ def apply_messages(
     adds nothing, and kept and quarantined messages are all there are.
     """
     spark = batch.sparkSession
-    messages = sorted_messages(batch, tables).persist()
-    try:
+    with kept(sorted_messages(batch, tables)) as messages:
         refused = F.col("reason").isNotNull()
         AppendedTable(spark, f"{quarantine}/messages").add(
             batch_id, messages.where(refused).select("reason", "key", "value", "offset"), stream)
         AppendedTable(spark, f"{quarantine}/counts").add(
             batch_id, messages.agg(F.count("*").alias("messages"), F.count_if(~refused).alias("kept")), stream)
         _apply_keyed(messages.where(~refused), batch_id, bronze, fmt, tables, stream, buckets)
-    finally:
-        messages.unpersist()
 
 
 def _apply_keyed(keyed: DataFrame, batch_id: int, bronze: str, fmt: str, tables, stream: str, buckets: int) -> None:
@@ -75,20 +71,17 @@ def _apply_keyed(keyed: DataFrame, batch_id: int, bronze: str, fmt: str, tables,
         schema, keys = tables[name]
         target = open_table(spark, f"{bronze}/{name}", keys, fmt, buckets=buckets)
         net = net_changes(table_log(keyed, name, keys), keys, ORDER)
-        if target.exists():  # else nothing is looked up in it, and it is read once
-            net = net.persist()
+        # In a table that is not there yet nothing is looked up, and the changes are read once.
+        with kept(net) if target.exists() else nullcontext(net) as changes:
 
-        def rows(before: Before) -> DataFrame:
-            # Only the buckets of the batch's keys are read, and of them only keys.
-            current = before(touching=net, columns=keys)
-            now = net.select(*keys).limit(0) if current is None else current  # an empty side is planned away
-            parsed = resolve(net, now, keys).withColumn("image", F.from_json("image", schema))
-            return expand(parsed, keys, schema.names)
+            def rows(before: Before) -> DataFrame:
+                # Only the buckets of the batch's keys are read, and of them only keys.
+                current = before(touching=changes, columns=keys)
+                now = changes.select(*keys).limit(0) if current is None else current  # an empty side is planned away
+                parsed = resolve(changes, now, keys).withColumn("image", F.from_json("image", schema))
+                return expand(parsed, keys, schema.names)
 
-        try:
             target.write(batch_id, rows, stream)
-        finally:
-            net.unpersist()
 
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         jobs = [pool.submit(inheritable_thread_target(spark)(apply), name) for name in tables]

@@ -490,3 +490,38 @@ def test_gold_job_on_a_kept_join(spark, tmp_path):
     put("customer", 1, silver.clean_customer(spark.createDataFrame([row(CUSTOMER, customer_id="0")], CUSTOMER)), "d")
     kept = built("--keep-join")
     assert kept == built() and len(kept) == 6
+
+
+def test_batches_are_not_held_in_memory(spark, tmp_path, monkeypatch):
+    """A batch's texts lie in the shared folder while its tables take their parts, and are gone afterwards."""
+    import json
+
+    from test_jobs import customer
+    from claimworks import session
+    from claimworks.sources import files
+    from claimworks.streaming import follow, ingest
+
+    def batch(*changes):
+        return spark.createDataFrame(
+            [("customer", op, None, json.dumps(customer(i, name)), ts, ts) for op, i, name, ts in changes],
+            "table_name string, op string, before_str string, after_str string, ts_ms long, offset long")
+
+    cached, folders = [], []
+    deliver = FolderTable._deliver
+
+    def watched(table, frame, number):
+        cached.append(not spark._jsparkSession.sharedState().cacheManager().isEmpty())
+        deliver(table, frame, number)
+
+    def noted(session_, name):
+        folders.append(session.scratch_dir(session_, name))
+        return folders[-1]
+
+    monkeypatch.setattr(FolderTable, "_deliver", watched)
+    monkeypatch.setattr(follow, "scratch_dir", noted)
+    ingest.apply_changes(batch(("c", 1, "A", 1), ("c", 2, "B", 1)), 0, str(tmp_path))
+    ingest.apply_changes(batch(("u", 1, "C", 2), ("c", 3, "D", 2)), 1, str(tmp_path))
+    assert len(cached) == 6 and not any(cached)
+    assert len(folders) == 1 + 1 + 3 and not any(files.path_exists(spark, f) for f in folders)
+    table = FolderTable(spark, f"{tmp_path}/customer", ["customer_id"])
+    assert sorted(r["name"] for r in table.read().collect()) == ["B", "C", "D"]
