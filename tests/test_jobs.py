@@ -479,3 +479,26 @@ def test_gold_joins_split_hot_keys(spark, tmp_path):
             spark.conf.unset(k)
             if k in before:
                 spark.conf.set(k, before[k])
+
+
+def test_load_cleans_what_stays(spark, tmp_path, monkeypatch):
+    """Policies and claims are cleaned when the first record of a key is found, and no step's shuffle files are left."""
+    extracts, cleaned, freed = write_extracts(tmp_path), {}, []
+    with open(extracts["claim"], "a") as more:
+        more.write("C1,P9,2021-05-06,1,1,2,3,6,x,1,30,x,07-08-2001,2020-05-01,5,t,s,2,TRUE\n" + "," * 18 + "\n")
+    load_claims, overwrite = load.load_claims, load.overwrite
+
+    def watched(df, *more):
+        freed.append(spark.conf.get(session.FREE_SHUFFLES))
+        overwrite(df, *more)
+
+    def counted(df):
+        cleaned.setdefault("claims", []).append(df.count())
+        return load_claims(df)
+
+    monkeypatch.setattr(load, "overwrite", watched)
+    monkeypatch.setattr(load, "LOADS", (*load.LOADS[:2], ("claim", "claim_no", counted)))
+    for attempt in range(2):
+        load.load_extracts(spark, extracts, f"{tmp_path}/db", f"{tmp_path}/stage{attempt}")
+    assert cleaned["claims"] == [1, 0] and freed == ["true"] * 6
+    assert [(r.claim_no, r.policy_no) for r in spark.read.parquet(f"{tmp_path}/db/claim").collect()] == [("C1", "P1")]
