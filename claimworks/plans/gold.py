@@ -34,6 +34,11 @@ def policies_with_customers(policies: DataFrame, customer: DataFrame) -> DataFra
     ).drop(customer["customer_id"])
 
 
+def policies_of_vehicles(policies: DataFrame, vehicle: DataFrame) -> DataFrame:
+    """Policies whose vehicle is known: no other can be in the enriched table, so claims of no other need to be moved twice."""
+    return policies.join(vehicle.select("chassis_no"), "chassis_no", "left_semi").select(*policies.columns)
+
+
 def customer_claim_policy(claim: DataFrame, policy: DataFrame, customer: DataFrame) -> DataFrame:
     """Claims with their policy and customer.
 

@@ -6,7 +6,7 @@ it stood before the batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,32 @@ from pyspark.sql import functions as F
 from ..functions import casts, ranges, text
 from ..operators.aggregate import fill_missing, impute_from_history
 from ..operators.dedupe import keep_one
+from ..session import freed_shuffles, scratch_dir
+from ..sources.sinks import overwrite
+
+
+MOST_ROWS = 75_000_000
+
+
+def cleaned_in_parts(
+    rule: Callable[[DataFrame], DataFrame], rows: DataFrame, keys: Sequence[str], most: int | None = None
+) -> DataFrame:
+    """``rule(rows)``; of more than ``most`` rows as a table in the scratch folder, written part by part.
+
+    A part is what a hash of ``keys`` says, so a rule that reduces rows by these
+    columns gives the same rows; on disk lie the shuffle files of one part, not of
+    all. Each part scans ``rows`` again, and makes only its own ready.
+    """
+    parts = -(-rows.count() // (most or MOST_ROWS))
+    if parts <= 1:
+        return rule(rows)
+    spark, part = rows.sparkSession, F.pmod(F.xxhash64(*keys), F.lit(parts))
+    folder = scratch_dir(spark, "cleaned")
+    paths = [f"{folder}/part={n}" for n in range(parts)]
+    with freed_shuffles(spark):
+        for n, path in enumerate(paths):
+            overwrite(rule(rows.where(part == n)), path)
+    return spark.read.schema(rule(rows).schema).parquet(*paths)
 
 
 def clean_policy(df: DataFrame, precision: int = 10, scale: int = 2) -> DataFrame:

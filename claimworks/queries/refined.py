@@ -91,6 +91,13 @@ def silver_frames(spark, sf):
             silver.clean_customer(standins.frame(spark, sf, "customer")))
 
 
+def silver_tables(spark, sf):
+    """The same for joins of whole rows: large tables are cleaned part by part."""
+    return (silver.cleaned_in_parts(silver.clean_claim, standins.frame(spark, sf, "claim"), ["claim_no"]),
+            silver.cleaned_in_parts(silver.clean_policy, standins.policies(spark, sf), ["policy_no"]),
+            silver.clean_customer(standins.frame(spark, sf, "customer")))
+
+
 @query("silver_policy", portable_sql(
     POLICY_SQL, "pol_issue_date pol_eff_date pol_expiry_date", "sum_insured premium"))
 def silver_policy(spark, sf):
@@ -219,10 +226,11 @@ ENRICHED_SQL = f"""select *, {place_sql('address')}
 
 @query("gold_enriched", portable_sql(ENRICHED_SQL, DATES, "sum_insured premium"))
 def gold_enriched(spark, sf):
-    """Flagship: bronze text to the enriched gold table in one plan."""
-    core = gold.customer_claim_policy(*silver_frames(spark, sf))
-    vehicle = gold.vehicle_averages(
-        silver.clean_telematics(standins.frame(spark, sf, "telematics")))
+    """Flagship: bronze text to the enriched gold table, in one plan unless the tables are large."""
+    claim, policy, customer = silver_tables(spark, sf)
+    vehicle, known = (gold.vehicle_averages(
+        silver.clean_telematics(standins.frame(spark, sf, "telematics"))) for _ in range(2))
+    core = gold.customer_claim_policy(claim, gold.policies_of_vehicles(policy, known), customer)
     enriched = portable(flat_place(gold.enrich(core, vehicle)))
     return single(enriched, "avg_speed", "avg_latitude", "avg_longitude")
 

@@ -481,6 +481,35 @@ def test_gold_joins_split_hot_keys(spark, tmp_path):
                 spark.conf.set(k, before[k])
 
 
+def test_tables_are_cleaned_in_parts(spark, monkeypatch):
+    """Part by part the same rows, repeated and null keys among them, and no part's shuffle files are left for the next."""
+    policies = [row(POLICY, policy_no=None if i % 9 == 0 else f"P{i % 40}", cust_id=str(i % 5), premium=str(i), make="m" if i % 2 else None)
+                for i in range(120)]
+    rows, freed, written = spark.createDataFrame(policies, POLICY), [], []
+    overwrite = silver.overwrite
+
+    def watched(df, path):
+        freed.append(spark.conf.get(session.FREE_SHUFFLES))
+        overwrite(df, path)
+        written.append(spark.read.parquet(path).count())
+
+    monkeypatch.setattr(silver, "overwrite", watched)
+    whole = silver.cleaned_in_parts(silver.clean_policy, rows, ["policy_no"])
+    assert not written and whole.count() == 40
+    parts = silver.cleaned_in_parts(silver.clean_policy, rows, ["policy_no"], most=50)
+    assert parts.schema == whole.schema and sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+    assert freed == ["true"] * 3 and sum(written) == 40 and max(written) < 30
+    assert spark.conf.get(session.FREE_SHUFFLES) != "true"
+
+
+def test_policies_of_vehicles(spark):
+    """Claims of policies whose vehicle sent no readings are not moved; the enriched table is the same."""
+    policy = spark.createDataFrame([("P1", "A"), ("P2", "B"), ("P3", None), ("P4", "A")], "policy_no string, chassis_no string")
+    vehicle = spark.createDataFrame([("A", 1.0), ("C", 2.0), (None, 3.0)], "chassis_no string, avg_speed double")
+    kept = gold.policies_of_vehicles(policy, vehicle)
+    assert kept.columns == policy.columns and sorted(r.policy_no for r in kept.collect()) == ["P1", "P4"]
+
+
 def test_load_cleans_what_stays(spark, tmp_path, monkeypatch):
     """Policies and claims are cleaned when the first record of a key is found, and no step's shuffle files are left."""
     extracts, cleaned, freed = write_extracts(tmp_path), {}, []
