@@ -198,7 +198,7 @@ DATES = ("claim_date license_issue_date incident_date pol_issue_date pol_eff_dat
 
 @query("gold_star_join", portable_sql(CORE_SQL, DATES, "sum_insured premium"))
 def gold_star_join(spark, sf):
-    return portable(gold.customer_claim_policy(*silver_frames(spark, sf)))
+    return portable(gold.customer_claim_policy(*silver_tables(spark, sf)))
 
 
 def md5_part(c: str, start: int) -> str:
